@@ -4,8 +4,10 @@ Landing turns row-oriented JSON documents into columnar Parquet once, so
 every statistic afterwards reads only the nested leaves it needs
 (``type.name``, ``player.id``, ``pass.outcome.name``, ...) with its filters
 pushed into the scan. Events are partitioned by competition season, not by
-match, to keep files large at season scale, and sorted by match inside each
-partition so a match filter can skip row groups.
+match, to keep files few at season scale, and sorted by match inside each
+file so a match filter can skip row groups. The season of a match comes
+from the small match table, joined by broadcast when the planner's size
+check allows it.
 """
 
 from __future__ import annotations
@@ -41,12 +43,11 @@ def land_events(
         F.col("season.season_id").alias("season_id"),
     )
     out = events.join(seasons, on="match_id", how="left")
-    # Range partitioning on the full sort key spreads a season, and even one
-    # very large match, over many tasks; each writes a sorted slice.
+    # No shuffle: every task sorts its own rows and writes its own files per
+    # season, so a season (or one huge match) never funnels into one task.
     keys = ["competition_id", "season_id", "match_id", "index"]
     (
-        out.repartitionByRange(*keys)
-        .sortWithinPartitions(*keys)
+        out.sortWithinPartitions(*keys)
         .write.mode(mode)
         .partitionBy("competition_id", "season_id")
         .parquet(path)
