@@ -174,9 +174,9 @@ def test_all_player_stats_reads_events_twice_without_cross_joins(events_small):
 
 
 def test_heatmap_kernel_is_broadcast_and_bounded(spark, events_small):
-    kernel = SP.gaussian_kernel_table(spark)
-    assert kernel.count() <= 25 * 25 * 81
-    w = kernel.groupBy("bin_x", "bin_y").agg(F.sum("w").alias("s")).agg(F.min("s"), F.max("s")).first()
-    assert abs(float(w[0]) - 1) < 1e-9 and abs(float(w[1]) - 1) < 1e-9  # each target's weights sum to 1
+    kernel = SP.gaussian_axis_kernel(spark, 25)
+    assert kernel.count() <= 25 * 9
+    w = kernel.groupBy("tgt").agg(F.sum("w").alias("s")).agg(F.min("s"), F.max("s")).first()
+    assert abs(float(w[0]) - 1) < 1e-11 and abs(float(w[1]) - 1) < 1e-11  # each target's weights sum to 1
     plan = _plan(SP.heatmap_smooth(SP.heatmap_counts(P.player_positions(events_small))))
     assert "BroadcastHashJoin" in plan

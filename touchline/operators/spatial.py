@@ -3,9 +3,10 @@
 The heatmap is two relational steps. Counting locations into bins is a
 grouped count, pre-aggregated map-side, so even a player holding a third of
 all events reduces to at most one row per bin per task. Gaussian smoothing is
-then an equi-join of those bin counts with a kernel table whose size is fixed
-by the grid and the kernel radius (bins_x * bins_y * (2r+1)^2 rows, 50,625
-for the defaults), never by the data, so broadcasting it is bounded.
+then two equi-joins (x, then y: the filter is separable) of those bin counts
+with an axis kernel whose size is fixed by the grid and the kernel radius
+(bins * (2r+1) rows, 225 for the defaults), never by the data, so
+broadcasting it is bounded.
 """
 
 from __future__ import annotations
@@ -86,48 +87,37 @@ def _reflect(p, n: int):
     return F.when(p < 0, -1 - p).when(p > n - 1, 2 * n - 1 - p).otherwise(p)
 
 
-def gaussian_kernel_table(
+def _weight_type() -> str:
+    return f"decimal({KERNEL_SCALE + 1},{KERNEL_SCALE})"
+
+
+def gaussian_axis_kernel(
     spark: SparkSession,
-    bins: tuple[int, int] = HEATMAP_BINS,
+    bins: int,
     sigma: float = HEATMAP_SIGMA,
     truncate: float = HEATMAP_TRUNCATE,
 ) -> DataFrame:
-    """Rows (src_x, src_y, bin_x, bin_y, w): how much of a source bin's count
-    lands in a target bin under a separable Gaussian filter with reflected
-    edges. Built from generators only; its size depends on the grid alone."""
+    """Rows (src, tgt, w) of a 1-D Gaussian filter with reflected edges: the
+    share of source bin ``src`` that lands in target bin ``tgt``. Weights are
+    exact decimals; the table has at most ``bins * (2r+1)`` rows whatever the
+    data, so broadcasting it is bounded."""
     radius = int(truncate * sigma + 0.5)
-    if radius >= min(bins):
+    if radius >= bins:
         raise ValueError("kernel radius must be smaller than the grid")
-    offsets = F.sequence(F.lit(-radius), F.lit(radius))
     norm = sum(math.exp(-0.5 * (a / sigma) ** 2) for a in range(-radius, radius + 1))
-
-    def weight(a):
-        return F.exp(F.lit(-0.5) * (a / F.lit(sigma)) * (a / F.lit(sigma))) / F.lit(norm)
-
-    grid = (
-        spark.range(1)
-        .select(F.explode(F.sequence(F.lit(0), F.lit(bins[0] - 1))).alias("bin_x"))
-        .select("bin_x", F.explode(F.sequence(F.lit(0), F.lit(bins[1] - 1))).alias("bin_y"))
-        .select("bin_x", "bin_y", F.explode(offsets).alias("a"))
-        .select("bin_x", "bin_y", "a", F.explode(offsets).alias("b"))
+    a = F.col("a") / F.lit(sigma)
+    taps = spark.range(bins).select(
+        F.col("id").cast("int").alias("tgt"),
+        F.explode(F.sequence(F.lit(-radius), F.lit(radius))).alias("a"),
     )
     return (
-        grid.select(
-            _reflect(F.col("bin_x") + F.col("a"), bins[0]).alias("src_x"),
-            _reflect(F.col("bin_y") + F.col("b"), bins[1]).alias("src_y"),
-            "bin_x",
-            "bin_y",
-            (weight(F.col("a")) * weight(F.col("b"))).alias("w"),
-        )
-        .groupBy("src_x", "src_y", "bin_x", "bin_y")
-        .agg(F.sum("w").alias("w"))
-        .select(
-            "src_x",
-            "src_y",
-            "bin_x",
-            "bin_y",
-            F.col("w").cast(f"decimal({KERNEL_SCALE + 8},{KERNEL_SCALE})").alias("w"),
+        taps.select(
+            _reflect(F.col("tgt") + F.col("a"), bins).alias("src"),
+            "tgt",
+            (F.exp(F.lit(-0.5) * a * a) / F.lit(norm)).cast(_weight_type()).alias("w"),
         )
+        .groupBy("src", "tgt")
+        .agg(F.sum("w").cast(_weight_type()).alias("w"))
     )
 
 
@@ -140,16 +130,33 @@ def heatmap_smooth(
 ) -> DataFrame:
     """C2 step 2: Gaussian-smoothed bin counts per group.
 
-    Bins out of the kernel's reach of every count are 0 and are not listed.
+    The filter is separable: one pass along x, one along y, each a join with
+    a (2r+1)-tap axis kernel and a re-aggregation, so a bin fans out to 2(2r+1)
+    partial sums instead of (2r+1)^2. All sums are exact decimals, so the
+    result equals the 2-D convolution with weights ``wx * wy`` and does not
+    depend on summation order. Bins out of the kernel's reach of every count
+    are 0 and are not listed.
     """
-    kernel = gaussian_kernel_table(counts.sparkSession, bins, sigma, truncate)
-    joined = counts.join(
-        F.broadcast(kernel),
-        (counts["bin_x"] == kernel["src_x"]) & (counts["bin_y"] == kernel["src_y"]),
+    spark = counts.sparkSession
+    kx = gaussian_axis_kernel(spark, bins[0], sigma, truncate).alias("kx")
+    ky = gaussian_axis_kernel(spark, bins[1], sigma, truncate).alias("ky")
+    c = counts.alias("c")
+    along_x = (
+        c.join(F.broadcast(kx), F.col("c.bin_x") == F.col("kx.src"))
+        .groupBy(*[F.col(f"c.{g}").alias(g) for g in group_cols],
+                 F.col("kx.tgt").alias("bin_x"), F.col("c.bin_y").alias("bin_y"))
+        .agg(
+            F.sum(F.col("c.n").cast("decimal(12,0)") * F.col("kx.w"))
+            .cast(f"decimal({KERNEL_SCALE + 12},{KERNEL_SCALE})")
+            .alias("v")
+        )
+        .alias("sx")
     )
-    contrib = F.col("n").cast("decimal(12,0)") * F.col("w")
-    return joined.groupBy(*group_cols, kernel["bin_x"], kernel["bin_y"]).agg(
-        F.round(F.sum(contrib), SMOOTH_SCALE).cast("double").alias("density")
+    return (
+        along_x.join(F.broadcast(ky), F.col("sx.bin_y") == F.col("ky.src"))
+        .groupBy(*[F.col(f"sx.{g}").alias(g) for g in group_cols],
+                 F.col("sx.bin_x").alias("bin_x"), F.col("ky.tgt").alias("bin_y"))
+        .agg(F.round(F.sum(F.col("sx.v") * F.col("ky.w")), SMOOTH_SCALE).cast("double").alias("density"))
     )
 
 

@@ -325,24 +325,22 @@ HEATMAP_COUNTS = (
     "GROUP BY ALL"
 )
 
-KERNEL = (
-    "SELECT src_x, src_y, bin_x, bin_y, cast(sum(w) AS DECIMAL(20,12)) AS w FROM ("
-    " SELECT CASE WHEN gx.i + a.a < 0 THEN -1 - (gx.i + a.a) WHEN gx.i + a.a > 24 THEN 49 - (gx.i + a.a)"
-    "   ELSE gx.i + a.a END AS src_x,"
-    " CASE WHEN gy.j + b.b < 0 THEN -1 - (gy.j + b.b) WHEN gy.j + b.b > 24 THEN 49 - (gy.j + b.b)"
-    "   ELSE gy.j + b.b END AS src_y,"
-    " gx.i AS bin_x, gy.j AS bin_y,"
-    " (exp(-0.5 * a.a * a.a) / nrm.s) * (exp(-0.5 * b.b * b.b) / nrm.s) AS w"
-    " FROM range(25) gx(i), range(25) gy(j), range(-4, 5) a(a), range(-4, 5) b(b),"
+KERNEL_1D = (
+    "SELECT src, tgt, cast(sum(w) AS DECIMAL(13,12)) AS w FROM ("
+    " SELECT CASE WHEN g.i + a.a < 0 THEN -1 - (g.i + a.a) WHEN g.i + a.a > 24 THEN 49 - (g.i + a.a)"
+    "   ELSE g.i + a.a END AS src, g.i AS tgt,"
+    " cast(exp(-0.5 * a.a * a.a) / nrm.s AS DECIMAL(13,12)) AS w"
+    " FROM range(25) g(i), range(-4, 5) a(a),"
     " (SELECT sum(exp(-0.5 * r * r)) AS s FROM range(-4, 5) t(r)) nrm"
-    ") AS k GROUP BY src_x, src_y, bin_x, bin_y"
+    ") AS k GROUP BY src, tgt"
 )
 
+# The full 2-D convolution (81 taps, weight wx * wy), not the two passes.
 HEATMAP_SMOOTH = (
-    "SELECT c.player_id, cast(k.bin_x AS INTEGER) AS bin_x, cast(k.bin_y AS INTEGER) AS bin_y, "
-    "cast(round(sum(cast(c.n AS DECIMAL(12,0)) * k.w), 6) AS DOUBLE) AS density "
-    "FROM hc c JOIN kernel k ON c.bin_x = k.src_x AND c.bin_y = k.src_y "
-    "GROUP BY c.player_id, k.bin_x, k.bin_y"
+    "SELECT c.player_id, cast(kx.tgt AS INTEGER) AS bin_x, cast(ky.tgt AS INTEGER) AS bin_y, "
+    "cast(round(sum(cast(c.n AS DECIMAL(12,0)) * (kx.w * ky.w)), 6) AS DOUBLE) AS density "
+    "FROM hc c JOIN k1 kx ON c.bin_x = kx.src JOIN k1 ky ON c.bin_y = ky.src "
+    "GROUP BY c.player_id, kx.tgt, ky.tgt"
 )
 
 SHOT_MAP = (
@@ -387,7 +385,7 @@ def oracle_sql() -> dict[str, str]:
     out["season_events"] = _with(SEASON_EVENTS)
     out["pass_vectors"] = _with(PASS_VECTORS)
     out["heatmap_counts"] = _with(HEATMAP_COUNTS)
-    out["heatmap_smooth"] = _with(HEATMAP_SMOOTH, ("hc", HEATMAP_COUNTS), ("kernel", KERNEL))
+    out["heatmap_smooth"] = _with(HEATMAP_SMOOTH, ("hc", HEATMAP_COUNTS), ("k1", KERNEL_1D))
     out["shot_map"] = _with(SHOT_MAP)
     out["shot_map_bounds"] = _with(SHOT_MAP_BOUNDS, ("sm", SHOT_MAP))
     out["top_players"] = _with(

@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 
 from touchline.schemas import EVENT_SCHEMA
 from touchline.session import checkpoint_dir
-from touchline.sources.landing import land_events, land_table
+from touchline.sources.landing import land_table, write_events
 
 # ---------------------------------------------------------------------------
 # The derivation of FIXTURES.md §3, in its order. Each expression
@@ -150,10 +150,10 @@ def _point(*cols: str) -> Column:
     return F.array(*[F.col(c) for c in cols])
 
 
-def _player_events(flat: DataFrame) -> DataFrame:
+def _player_event_columns() -> list[Column]:
     t = F.col("type_name")
-    return flat.select(
-        *_shape(
+    return (
+        _shape(
             {
                 "id": F.col("event_id").cast("string"),
                 "index": F.col("event_id"),
@@ -233,7 +233,7 @@ def _player_events(flat: DataFrame) -> DataFrame:
     )
 
 
-def _lineup_events(flat: DataFrame) -> DataFrame:
+def _lineup_events(flat: DataFrame, extra: list[str]) -> DataFrame:
     """``Starting XI`` events: one per match, team and block of player ids.
 
     ``collect_set`` deduplicates map-side, and the chunk key bounds every
@@ -245,14 +245,18 @@ def _lineup_events(flat: DataFrame) -> DataFrame:
         _ref("position_name").alias("position"),
         F.col("jersey_number").alias("jersey_number"),
     )
-    grouped = flat.groupBy("match_id", "team_id", "team_name", chunk).agg(
+    grouped = flat.groupBy("match_id", "team_id", "team_name", *extra, chunk).agg(
         F.array_sort(F.collect_set(entry)).alias("lineup")
     )
     return grouped.select(
         *_shape(
             {
                 "id": F.concat_ws(
-                    "-", F.lit("xi"), F.col("match_id"), F.col("team_id"), F.col("chunk")
+                    "-",
+                    F.lit("xi"),
+                    F.col("match_id").cast("string"),
+                    F.col("team_id").cast("string"),
+                    F.col("chunk").cast("string"),
                 ),
                 "index": F.lit(0),
                 "type": F.struct(
@@ -266,7 +270,8 @@ def _lineup_events(flat: DataFrame) -> DataFrame:
                 ),
                 "match_id": F.col("match_id"),
             }
-        )
+        ),
+        *extra,
     )
 
 
@@ -280,26 +285,37 @@ def _spread(events: DataFrame) -> DataFrame:
     return events
 
 
-def match_events(events: DataFrame) -> DataFrame:
-    """Nested match events (EVENT_SCHEMA) derived from a driver ``events`` frame."""
-    flat = flat_match_events(_spread(events))
-    return _player_events(flat).unionByName(_lineup_events(flat))
+SEASON_COLUMNS = ["competition_id", "season_id"]
+
+
+def match_events(events: DataFrame, with_season: bool = False) -> DataFrame:
+    """Nested match events (EVENT_SCHEMA) derived from a driver ``events`` frame.
+
+    With ``with_season`` the competition and season ids are added as plain
+    columns (the landing partition columns).
+    """
+    flat = flat_match_events(_spread(events)).withColumns(
+        {c: F.col(c).cast("bigint") for c in SEASON_COLUMNS}
+    )
+    extra = SEASON_COLUMNS if with_season else []
+    players = flat.select(*_player_event_columns(), *extra)
+    return players.unionByName(_lineup_events(flat, extra))
 
 
 def matches_from_events(events: DataFrame) -> DataFrame:
-    """Match documents (MATCH_SCHEMA) derived from driver ``events``.
+    """Match documents (MATCH_SCHEMA) from nested events with season columns.
 
     Home team ``900+2p``, away ``901+2p`` with ``p = (match_id-3895000) div 10``;
-    each score is that team's goals in the match.
+    each score is that team's goals in the match. One aggregation over the
+    events' match, team, type and shot outcome columns.
     """
-    flat = flat_match_events(_spread(events))
     p = F.floor((F.col("match_id") - 3895000) / 10)
     home = (900 + 2 * p).cast("bigint")
     away = (901 + 2 * p).cast("bigint")
-    goal = F.col("shot_outcome") == "Goal"
-    agg = flat.groupBy("match_id", "competition_id", "season_id").agg(
-        F.count_if(goal & (F.col("team_id") == home)).alias("home_score"),
-        F.count_if(goal & (F.col("team_id") == away)).alias("away_score"),
+    goal = (F.col("type.name") == "Shot") & (F.col("shot.outcome.name") == "Goal")
+    agg = events.groupBy("match_id", *SEASON_COLUMNS).agg(
+        F.count_if(goal & (F.col("team.id") == home)).alias("home_score"),
+        F.count_if(goal & (F.col("team.id") == away)).alias("away_score"),
     )
     return agg.select(
         F.col("match_id").cast("bigint").alias("match_id"),
@@ -374,19 +390,16 @@ def landed_paths(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
     keyed by the source's fingerprint; later calls, from any session that
     sees the same folder, read the landed tables. Events are written by the
     same landing job as real match documents: partitioned by competition
-    season, range-partitioned and sorted by match.
+    season and sorted by match. Matches are then one aggregation over the
+    landed events.
     """
     src = f"{sf_dir.rstrip('/')}/events.parquet"
     root = f"{checkpoint_dir(spark).rstrip('/')}/derived-{_fingerprint(spark, src)}"
     events_path, matches_path = f"{root}/events", f"{root}/matches"
-    if not _landed(spark, matches_path):
-        land_table(matches_from_events(read_driver_events(spark, sf_dir)), matches_path)
     if not _landed(spark, events_path):
-        land_events(
-            match_events(read_driver_events(spark, sf_dir)),
-            spark.read.parquet(matches_path),
-            events_path,
-        )
+        write_events(match_events(read_driver_events(spark, sf_dir), with_season=True), events_path)
+    if not _landed(spark, matches_path):
+        land_table(matches_from_events(spark.read.parquet(events_path)), matches_path)
     return events_path, matches_path
 
 

@@ -42,12 +42,18 @@ def land_events(
         F.col("competition.competition_id").alias("competition_id"),
         F.col("season.season_id").alias("season_id"),
     )
-    out = events.join(seasons, on="match_id", how="left")
-    # No shuffle: every task sorts its own rows and writes its own files per
-    # season, so a season (or one huge match) never funnels into one task.
+    write_events(events.join(seasons, on="match_id", how="left"), path, mode)
+
+
+def write_events(events: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """Write events that carry ``competition_id`` and ``season_id`` columns.
+
+    No shuffle: every task sorts its own rows and writes its own files per
+    season, so a season (or one huge match) never funnels into one task.
+    """
     keys = ["competition_id", "season_id", "match_id", "index"]
     (
-        out.sortWithinPartitions(*keys)
+        events.sortWithinPartitions(*keys)
         .write.mode(mode)
         .partitionBy("competition_id", "season_id")
         .parquet(path)
