@@ -40,14 +40,17 @@ def local_session(
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster that setting names shared storage and is used as is. Only
-    when it is unset (local tests) is a fresh scratch folder chosen and set.
+    On a cluster that setting names shared storage and is used as is (the
+    setting cannot change at run time). Only when it is unset (local tests)
+    is a scratch folder chosen, once per application, and registered with
+    ``setCheckpointDir``.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
-        spark.sparkContext.setCheckpointDir(configured)
         return configured
+    current = spark.sparkContext._jsc.sc().getCheckpointDir()
+    if current.isDefined():
+        return current.get()
     path = tempfile.mkdtemp(prefix="touchline-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-    spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)
-    return path
+    return spark.sparkContext._jsc.sc().getCheckpointDir().get()
