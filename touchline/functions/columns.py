@@ -32,6 +32,21 @@ def count_if(cond: Column | None) -> Column:
     return F.count(F.lit(1)) if cond is None else F.count_if(cond)
 
 
+def count_if_sql(cond: str | None) -> str:
+    """SQL for the rows where ``cond`` is true (null counts as false); all rows for None."""
+    return "count(1)" if cond is None else f"count_if({cond})"
+
+
+def pct_sql(part: str, whole: str, scale: int = 0) -> str:
+    """SQL form of ``pct``."""
+    return f"coalesce(round(try_divide({part}, {whole}) * 100, {scale}), 0.0)"
+
+
+def minutes_rounded_sql(seconds: str) -> str:
+    """SQL form of ``minutes_rounded``."""
+    return f"cast(round(sum(cast({seconds} AS decimal(18,6))) / 60, 2) AS double)"
+
+
 def pct(part: Column | str, whole: Column | str, scale: int = 0) -> Column:
     """``round(part / whole * 100, scale)``; 0.0 when ``whole`` is 0 or null.
 

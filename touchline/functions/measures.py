@@ -6,25 +6,26 @@ statistic (filter to the type, one aggregation) and the all-player table,
 which folds several specs into one aggregation over one scan instead of one
 sub-plan and one full outer join per statistic.
 
-Conditions are built lazily (``lambda: Column``) because Column objects need
-a live session.
+Conditions are Spark SQL boolean expressions over the nested event columns
+(``pass.outcome.name IS NULL``): one parse on the JVM per aggregate instead of
+a Python round trip per column operation.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
-Cond = Callable[[], Column]
+# A condition is a Spark SQL boolean expression; None means "every row".
+Cond = str
 
 
 @dataclass(frozen=True)
 class Ratio:
+    """``round(part / whole * 100, scale)``; ``part`` and ``whole`` are column
+    names or SQL expressions over the counts."""
+
     name: str
-    part: str | Callable[[], Column]
+    part: str
     whole: str
     scale: int = 0
 
@@ -45,28 +46,29 @@ class Stat:
         return list(self.keys) + list(self.measure_columns)
 
 
-def _name(path: str) -> Cond:
-    return lambda: F.col(path)
+def sql_str(value: str) -> str:
+    """A Spark SQL string literal."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
 def _eq(path: str, value: str) -> Cond:
-    return lambda: F.col(path) == value
+    return f"{path} = {sql_str(value)}"
 
 
 def _isin(path: str, values: list[str]) -> Cond:
-    return lambda: F.col(path).isin(values)
+    return f"{path} IN ({', '.join(sql_str(v) for v in values)})"
 
 
 def _null(path: str) -> Cond:
-    return lambda: F.col(path).isNull()
+    return f"{path} IS NULL"
 
 
 def _not_null(path: str) -> Cond:
-    return lambda: F.col(path).isNotNull()
+    return f"{path} IS NOT NULL"
 
 
 def _both(a: Cond, b: Cond) -> Cond:
-    return lambda: a() & b()
+    return f"({a}) AND ({b})"
 
 
 KEYS_TTPP = ("team_name", "team_id", "player_name", "player_id")
@@ -182,11 +184,7 @@ def shots() -> Stat:
             ("not_on_target", _isin("shot.outcome.name", SHOT_OFF_TARGET)),
         ),
         ratios=(
-            Ratio(
-                "on_target_accuracy",
-                lambda: F.col("total_shots") - F.col("not_on_target"),
-                "total_shots",
-            ),
+            Ratio("on_target_accuracy", "total_shots - not_on_target", "total_shots"),
             Ratio("not_on_target_accuracy", "not_on_target", "total_shots"),
             Ratio("shots_per_goal_ratio", "goal", "total_shots"),
         ),
@@ -340,10 +338,7 @@ def renamed(stat: Stat, mapping: dict[str, str]) -> Stat:
         event_type=stat.event_type,
         keys=stat.keys,
         counts=tuple((rn(n), c) for n, c in stat.counts),
-        ratios=tuple(
-            Ratio(rn(r.name), rn(r.part) if isinstance(r.part, str) else r.part, rn(r.whole), r.scale)
-            for r in stat.ratios
-        ),
+        ratios=tuple(Ratio(rn(r.name), rn(r.part), rn(r.whole), r.scale) for r in stat.ratios),
         minutes=tuple((rn(n), v) for n, v in stat.minutes),
         measure_columns=tuple(rn(c) for c in stat.measure_columns),
         sort_desc=rn(stat.sort_desc),

@@ -17,7 +17,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from touchline.functions import measures as M
-from touchline.functions.columns import count_if, minutes_rounded, pct, player_keys, type_is
+from touchline.functions.columns import (
+    count_if_sql,
+    minutes_rounded_sql,
+    pct_sql,
+    player_keys,
+    type_is,
+)
 
 
 def scope(
@@ -36,31 +42,31 @@ def scope(
     return events
 
 
-def _and(a: Column | None, b: Column | None) -> Column | None:
+def _and(a: str | None, b: str | None) -> str | None:
     if a is None:
         return b
     if b is None:
         return a
-    return a & b
+    return f"({a}) AND ({b})"
 
 
-def stat_aggregates(stat: M.Stat, within: Column | None = None) -> list[Column]:
-    """Aggregate expressions of ``stat``; ``within`` restricts them to some rows."""
+def stat_aggregates(stat: M.Stat, within: str | None = None) -> list[Column]:
+    """Aggregate expressions of ``stat``; ``within`` (SQL) restricts them to some rows."""
     aggs = []
     for name, cond in stat.counts:
-        aggs.append(count_if(_and(within, cond() if cond else None)).alias(name))
+        aggs.append(F.expr(count_if_sql(_and(within, cond))).alias(name))
     for name, value in stat.minutes:
-        col = F.col(value) if within is None else F.when(within, F.col(value))
-        aggs.append(minutes_rounded(col).alias(name))
+        col = value if within is None else f"CASE WHEN {within} THEN {value} END"
+        aggs.append(F.expr(minutes_rounded_sql(col)).alias(name))
     return aggs
 
 
 def stat_ratios(stat: M.Stat) -> dict[str, Column]:
-    out = {}
-    for r in stat.ratios:
-        part = F.col(r.part) if isinstance(r.part, str) else r.part()
-        out[r.name] = pct(part, r.whole, r.scale)
-    return out
+    return {r.name: F.expr(pct_sql(r.part, r.whole, r.scale)) for r in stat.ratios}
+
+
+def type_is_sql(name: str) -> str:
+    return f"type.name = {M.sql_str(name)}"
 
 
 def order_stat(df: DataFrame, desc: str, first: str = "team_name") -> DataFrame:
@@ -152,7 +158,7 @@ def combined_stats(
     )
     aggs: list[Column] = []
     for s in stats:
-        aggs += stat_aggregates(s, within=type_is(s.event_type))
+        aggs += stat_aggregates(s, within=type_is_sql(s.event_type))
     out = df.groupBy(*player_keys()).agg(*aggs)
     fills = {}
     for s in stats:

@@ -116,12 +116,16 @@ def all_player_stats(
     measures = A.combined_stats(events, stats, team_id=team_id, team_name=team_name)
     players = A.lineup(events, team_id=team_id, team_name=team_name, sort=False)
     joined = players.join(measures, on=PLAYER_KEYS, how="full_outer")
+    # Zero of the column's own type: 0 for counts, 0.0 for ratios and minutes.
+    zero = {c: F.lit(0) for s in stats for c, _ in s.counts}
+    zero.update({r.name: F.lit(0.0) for s in stats for r in s.ratios})
+    zero.update({c: F.lit(0.0) for s in stats for c, _ in s.minutes})
     measure_cols = [c for s in stats for c in s.measure_columns]
     out = joined.select(
         *PLAYER_KEYS,
-        F.coalesce(F.col("player_number"), F.lit(0)).cast("bigint").alias("player_number"),
+        F.coalesce(F.col("player_number"), F.lit(0).cast("bigint")).alias("player_number"),
         F.coalesce(F.col("player_positions"), F.lit("")).alias("player_positions"),
-        *[F.coalesce(F.col(c), F.lit(0)).cast(joined.schema[c].dataType).alias(c) for c in measure_cols],
+        *[F.coalesce(F.col(c), zero[c]).alias(c) for c in measure_cols],
     )
     if sort:
         out = out.orderBy("player_number", "team_name", "player_id")

@@ -3,6 +3,11 @@
 Each query takes ``(spark, sf_dir)``, derives match events from the driver's
 ``events`` table (FIXTURES.md §3) and returns a lazy DataFrame. Point arrays
 are returned as x / y columns so an SQL engine can compare them.
+
+Queries return each table in its writer form, without the presentation sort
+the named-statistic API (``plans.catalog``) applies: a global sort costs a
+sampling job and a range shuffle, and a table written to Parquet or compared
+as a set has no use for it.
 """
 
 from __future__ import annotations
@@ -95,7 +100,7 @@ def _top_players(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _team_complete_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return S.team_complete_rows(A.time_on_ball(_ev(spark, sf_dir)), TEAM_ID)
+    return S.team_complete_rows(A.time_on_ball(_ev(spark, sf_dir), sort=False), TEAM_ID)
 
 
 def _with_events(fn: Callable[[DataFrame], DataFrame]) -> Query:
@@ -122,8 +127,11 @@ PLAYER_STATS: list[tuple[str, Callable[..., DataFrame], Callable[[DataFrame], Da
 
 
 def _player_query(fn, wrap, player_id: int | None) -> Query:
+    sortable = fn.__module__.endswith("aggregations")
+
     def q(spark: SparkSession, sf_dir: str) -> DataFrame:
-        df = fn(_ev(spark, sf_dir), player_id=player_id)
+        kw = {"sort": False} if sortable else {}
+        df = fn(_ev(spark, sf_dir), player_id=player_id, **kw)
         return wrap(df) if wrap else df
 
     return q
@@ -133,20 +141,26 @@ def queries() -> dict[str, Query]:
     out: dict[str, Query] = {}
     for key, fn, wrap in PLAYER_STATS:
         out[key] = _player_query(fn, wrap, None)
-    out["substitutions"] = _with_events(P.substitutions)
-    out["lineup"] = _with_events(A.lineup)
+    out["substitutions"] = _with_events(lambda ev: P.substitutions(ev, sort=False))
+    out["lineup"] = _with_events(lambda ev: A.lineup(ev, sort=False))
     out["team_players"] = _with_events(lambda ev: TM.team_players(ev, TEAM_NAME))
     out["team_players_by_id"] = _with_events(lambda ev: TM.team_players_by_id(ev, TEAM_ID))
-    out["team_exact_passes"] = _with_events(lambda ev: TM.team_exact_passes(ev, team_id=TEAM_ID))
+    out["team_exact_passes"] = _with_events(
+        lambda ev: TM.team_exact_passes(ev, team_id=TEAM_ID, sort=False)
+    )
     out["team_exact_passes_by_name"] = _with_events(
-        lambda ev: TM.team_exact_passes(ev, team_name=TEAM_NAME)
+        lambda ev: TM.team_exact_passes(ev, team_name=TEAM_NAME, sort=False)
+    )
+    out["team_fouls"] = _with_events(lambda ev: TM.team_fouls(ev, team_id=TEAM_ID, sort=False))
+    out["team_fouls_by_name"] = _with_events(
+        lambda ev: TM.team_fouls(ev, team_name=TEAM_NAME, sort=False)
+    )
+    out["all_player_stats"] = _with_events(lambda ev: TM.all_player_stats(ev, sort=False))
+    out["team_match_stats"] = _with_events(
+        lambda ev: TM.team_match_stats(ev, team_id=TEAM_ID, sort=False)
     )
-    out["team_fouls"] = _with_events(lambda ev: TM.team_fouls(ev, team_id=TEAM_ID))
-    out["team_fouls_by_name"] = _with_events(lambda ev: TM.team_fouls(ev, team_name=TEAM_NAME))
-    out["all_player_stats"] = _with_events(TM.all_player_stats)
-    out["team_match_stats"] = _with_events(lambda ev: TM.team_match_stats(ev, team_id=TEAM_ID))
     out["team_match_stats_by_name"] = _with_events(
-        lambda ev: TM.team_match_stats(ev, team_name=TEAM_NAME)
+        lambda ev: TM.team_match_stats(ev, team_name=TEAM_NAME, sort=False)
     )
     for key, fn, wrap in PLAYER_STATS:
         out[f"{key}_player"] = _player_query(fn, wrap, PLAYER_ID)

@@ -119,7 +119,7 @@ def player_totals(stream: DataFrame) -> DataFrame:
     types = sorted({s.event_type for s in stats})
     aggs = []
     for s in stats:
-        aggs += A.stat_aggregates(s, within=F.col("type.name") == s.event_type)
+        aggs += A.stat_aggregates(s, within=A.type_is_sql(s.event_type))
     counted = (
         events.filter(F.col("type.name").isin(types) & F.col("player.id").isNotNull())
         .groupBy(*player_keys())
