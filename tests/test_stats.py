@@ -180,3 +180,39 @@ def test_heatmap_kernel_is_broadcast_and_bounded(spark, events_small):
     assert abs(float(w[0]) - 1) < 1e-11 and abs(float(w[1]) - 1) < 1e-11  # each target's weights sum to 1
     plan = _plan(SP.heatmap_smooth(SP.heatmap_counts(P.player_positions(events_small))))
     assert "BroadcastHashJoin" in plan
+
+
+# --- API surface: ordering, source-shaped columns, schema helper ---------------
+
+def test_catalog_orders_as_the_source(events_small):
+    rows = catalog.stat("pass_acc", events_small).collect()
+    keys = [(r.team_name, -r.pass_accuracy, r.player_id) for r in rows]
+    assert keys == sorted(keys)
+    subs = catalog.stat("subs", events_small).collect()
+    assert [(r.match_id, r.team_name) for r in subs] == sorted((r.match_id, r.team_name) for r in subs)
+    lineup = catalog.stat("players", events_small).collect()
+    assert [(r.team_name, r.player_number) for r in lineup] == sorted((r.team_name, r.player_number) for r in lineup)
+
+
+def test_drop_absent_gives_the_source_shape(doc_events):
+    fixed = A.blocks(doc_events)
+    trimmed = A.blocks(doc_events, drop_absent=True)
+    assert "offensive_blocks" in fixed.columns
+    assert trimmed.columns == ["team_name", "team_id", "player_id", "player_name", "total_blocks",
+                               "standard_blocks", "standard_block_ratio", "deflection_blocks",
+                               "deflection_block_ratio"]
+    won = A.fouls_won(doc_events, drop_absent=True)
+    assert "advantage_fouls" in won.columns and "penalty_fouls" not in won.columns
+    committed = A.fouls_committed(doc_events, drop_absent=True)
+    assert {"dive_fouls", "dive_foul_ratio", "card_fouls"} <= set(committed.columns)
+    assert "handball_fouls" not in committed.columns
+
+
+def test_nested_field_exists():
+    from touchline.schemas import EVENT_SCHEMA, nested_field_exists
+
+    assert nested_field_exists(EVENT_SCHEMA, "block", "deflection")
+    assert nested_field_exists(EVENT_SCHEMA, "pass", "name")  # one struct deeper (pass.outcome.name)
+    assert not nested_field_exists(EVENT_SCHEMA, "block", "card")
+    assert not nested_field_exists(EVENT_SCHEMA, "minute", "x")
+    assert not nested_field_exists(EVENT_SCHEMA, "nope", "x")

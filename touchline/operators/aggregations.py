@@ -93,6 +93,19 @@ def player_stat(
     return order_stat(out, stat.sort_desc) if sort else out
 
 
+def drop_absent(table: DataFrame, stat: M.Stat, always: tuple[str, ...]) -> DataFrame:
+    """The source's data-dependent shape: drop every optional measure (and its
+    ratio) that is 0 for all rows. One aggregate job over the (per-player)
+    table decides; the columns in ``always`` are kept regardless."""
+    ratio_of = {r.part: r.name for r in stat.ratios}
+    optional = [n for n, _ in stat.counts if n not in always]
+    if not optional:
+        return table
+    row = table.agg(*[F.max(F.col(c)).alias(c) for c in optional]).first()
+    absent = [c for c in optional if row is None or not row[c]]
+    return table.drop(*absent, *[ratio_of[c] for c in absent if c in ratio_of])
+
+
 def pass_accuracy(events: DataFrame, player_id: int | None = None, **kw) -> DataFrame:
     """A2."""
     return player_stat(events, M.pass_accuracy(), player_id=player_id, **kw)
@@ -123,19 +136,44 @@ def ball_recoveries(events: DataFrame, player_id: int | None = None, **kw) -> Da
     return player_stat(events, M.ball_recoveries(), player_id=player_id, **kw)
 
 
-def blocks(events: DataFrame, player_id: int | None = None, **kw) -> DataFrame:
-    """A8, fixed columns (0 where a kind never occurs)."""
-    return player_stat(events, M.blocks(), player_id=player_id, **kw)
+def _fixed_or_trimmed(events, stat, always, player_id, trim, kw) -> DataFrame:
+    table = player_stat(events, stat, player_id=player_id, **kw)
+    return drop_absent(table, stat, always) if trim else table
+
+
+def blocks(
+    events: DataFrame, player_id: int | None = None, drop_absent: bool = False, **kw
+) -> DataFrame:
+    """A8, fixed columns (0 where a kind never occurs); ``drop_absent`` drops
+    kinds that never occur, as the source does."""
+    return _fixed_or_trimmed(
+        events, M.blocks(), ("total_blocks", "standard_blocks"), player_id, drop_absent, kw
+    )
 
 
-def fouls_committed(events: DataFrame, player_id: int | None = None, **kw) -> DataFrame:
-    """A9, fixed columns (0 where a kind never occurs)."""
-    return player_stat(events, M.fouls_committed(), player_id=player_id, **kw)
+def fouls_committed(
+    events: DataFrame, player_id: int | None = None, drop_absent: bool = False, **kw
+) -> DataFrame:
+    """A9, fixed columns (0 where a kind never occurs); ``drop_absent`` drops
+    kinds that never occur, as the source does."""
+    return _fixed_or_trimmed(
+        events,
+        M.fouls_committed(),
+        ("total_fouls_committed", "standard_fouls"),
+        player_id,
+        drop_absent,
+        kw,
+    )
 
 
-def fouls_won(events: DataFrame, player_id: int | None = None, **kw) -> DataFrame:
-    """A10, fixed columns (0 where a kind never occurs)."""
-    return player_stat(events, M.fouls_won(), player_id=player_id, **kw)
+def fouls_won(
+    events: DataFrame, player_id: int | None = None, drop_absent: bool = False, **kw
+) -> DataFrame:
+    """A10, fixed columns (0 where a kind never occurs); ``drop_absent`` drops
+    kinds that never occur, as the source does."""
+    return _fixed_or_trimmed(
+        events, M.fouls_won(), ("total_fouls_won", "standard_fouls"), player_id, drop_absent, kw
+    )
 
 
 def combined_stats(

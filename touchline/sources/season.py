@@ -3,8 +3,8 @@
 The events of a season are the events of the season's matches. Instead of
 collecting match ids to the driver and loading one document per match, the
 match list stays a DataFrame and selects events with a left-semi join. The
-match list is small (hundreds of rows per season), so AQE broadcasts it when
-its measured size is under the broadcast bound and keeps a shuffle join
+match list is small (hundreds of rows per season), so the planner broadcasts
+it when its size is under the broadcast bound and keeps a shuffle join
 otherwise. On landed data partitioned by season the same selection is a
 partition filter instead.
 """
@@ -28,7 +28,18 @@ def season_match_ids(matches: DataFrame, competition_id: int, season_id: int) ->
 def season_events(
     events: DataFrame, matches: DataFrame, competition_id: int, season_id: int
 ) -> DataFrame:
-    """Events of one competition season (left-semi join on match_id)."""
+    """Events of one competition season.
+
+    On landed events (partitioned by ``competition_id`` / ``season_id``) this
+    is a filter on the partition columns, so only that season's files are
+    listed and read. On events straight from documents it is a left-semi
+    join with the season's matches.
+    """
+    if {"competition_id", "season_id"} <= set(events.columns):
+        return events.filter(
+            (F.col("competition_id") == F.lit(competition_id))
+            & (F.col("season_id") == F.lit(season_id))
+        )
     ids = season_match_ids(matches, competition_id, season_id)
     return events.join(ids, on="match_id", how="left_semi")
 
