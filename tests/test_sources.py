@@ -95,3 +95,34 @@ def test_align_union_fills_missing_fields(spark):
     b = spark.createDataFrame([(2,)], "id long")
     rows = sorted(map(tuple, align_union([a, b]).collect()), key=lambda r: r[0])
     assert rows == [(1, "x"), (2, None)]
+
+
+def test_match_ids_from_the_path_when_missing(spark, scratch):
+    import json
+
+    d = os.path.join(scratch, "matches", "11")
+    os.makedirs(d)
+    with open(os.path.join(d, "90.json"), "w") as f:
+        json.dump([{"match_id": 5, "home_team": {"home_team_id": 1, "home_team_name": "X"},
+                    "away_team": {"away_team_id": 2, "away_team_name": "Y"},
+                    "home_score": 2, "away_score": 1}], f)
+    m = S.split_corrupt(S.read_matches(spark, os.path.join(scratch, "matches", "*", "*.json")).cache())[0]
+    (r,) = m.select("competition.competition_id", "season.season_id").collect()
+    assert (r[0], r[1]) == (11, 90)
+
+
+def test_landing_is_atomic_and_reused(spark):
+    import uuid as _uuid
+
+    from touchline.sources import derived as D
+
+    spark.conf.set(D.LANDING_TAG_CONF, _uuid.uuid4().hex)
+    try:
+        a = D.landed_paths(spark, "/root/testdata/sf0.001")
+        b = D.landed_paths(spark, "/root/testdata/sf0.001")
+        assert a == b
+        parent = a[0].rsplit("/", 1)[0].replace("file:", "")
+        assert not [n for n in os.listdir(parent) if ".tmp-" in n]
+        assert spark.read.parquet(a[0]).count() > 0
+    finally:
+        spark.conf.unset(D.LANDING_TAG_CONF)

@@ -15,6 +15,8 @@ from __future__ import annotations
 
 import hashlib
 import re
+import threading
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -403,6 +405,23 @@ def _landed(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
+_LANDING_LOCK = threading.Lock()
+
+
+def _land_atomically(spark: SparkSession, path: str, write) -> None:
+    """Write with ``write(tmp_path)`` into a private folder, then rename it to
+    ``path``. A crash mid-write leaves no half table under ``path``, and of two
+    concurrent landings the first rename wins and the other is discarded."""
+    if _landed(spark, path):
+        return
+    tmp = f"{path}.tmp-{uuid.uuid4().hex}"
+    write(tmp)
+    p_tmp, fs = _fs(spark, tmp)
+    p_dst, _ = _fs(spark, path)
+    if fs.exists(p_dst) or not fs.rename(p_tmp, p_dst):
+        fs.delete(p_tmp, True)
+
+
 def landed_paths(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
     """Land the derived events and matches once, as the ingest job would,
     and return their Parquet paths.
@@ -417,11 +436,22 @@ def landed_paths(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
     src = f"{sf_dir.rstrip('/')}/events.parquet"
     root = f"{checkpoint_dir(spark).rstrip('/')}/derived-{_fingerprint(spark, src)}"
     events_path, matches_path = f"{root}/events", f"{root}/matches"
-    if not _landed(spark, events_path):
-        write_events(match_events(read_driver_events(spark, sf_dir), with_season=True), events_path)
-    if not _landed(spark, matches_path):
-        events = spark.read.schema(LANDED_EVENTS_SCHEMA).parquet(events_path)
-        land_table(matches_from_events(events), matches_path)
+    with _LANDING_LOCK:
+        _land_atomically(
+            spark,
+            events_path,
+            lambda tmp: write_events(
+                match_events(read_driver_events(spark, sf_dir), with_season=True), tmp
+            ),
+        )
+        _land_atomically(
+            spark,
+            matches_path,
+            lambda tmp: land_table(
+                matches_from_events(spark.read.schema(LANDED_EVENTS_SCHEMA).parquet(events_path)),
+                tmp,
+            ),
+        )
     return events_path, matches_path
 
 

@@ -51,8 +51,26 @@ def read_competitions(spark: SparkSession, path: str) -> DataFrame:
 
 def read_matches(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """S3: match documents, one per competition and season
-    (``matches/<competition_id>/<season_id>.json``)."""
-    return read_json_documents(spark, path, MATCH_SCHEMA)
+    (``matches/<competition_id>/<season_id>.json``). When a document lacks the
+    competition or season ids, they are taken from its path."""
+    df = read_json_documents(spark, path, MATCH_SCHEMA)
+    ids = F.regexp_extract(F.col("source_file"), r"(\d+)/(\d+)\.json$", 1)
+    season = F.regexp_extract(F.col("source_file"), r"(\d+)/(\d+)\.json$", 2)
+    from_path_comp = F.when(ids != "", ids.cast("bigint"))
+    from_path_season = F.when(season != "", season.cast("bigint"))
+    return df.withColumn(
+        "competition",
+        F.struct(
+            F.coalesce(F.col("competition.competition_id"), from_path_comp).alias("competition_id"),
+            F.col("competition.competition_name").alias("competition_name"),
+        ),
+    ).withColumn(
+        "season",
+        F.struct(
+            F.coalesce(F.col("season.season_id"), from_path_season).alias("season_id"),
+            F.col("season.season_name").alias("season_name"),
+        ),
+    )
 
 
 def match_id_from_path(path_col: str = "source_file"):
