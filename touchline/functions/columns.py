@@ -27,45 +27,27 @@ def type_is(name: str) -> Column:
     return F.col("type.name") == name
 
 
-def count_if(cond: Column | None) -> Column:
-    """Rows where ``cond`` is true (null counts as false); all rows for None."""
-    return F.count(F.lit(1)) if cond is None else F.count_if(cond)
-
-
 def count_if_sql(cond: str | None) -> str:
     """SQL for the rows where ``cond`` is true (null counts as false); all rows for None."""
     return "count(1)" if cond is None else f"count_if({cond})"
 
 
 def pct_sql(part: str, whole: str, scale: int = 0) -> str:
-    """SQL form of ``pct``."""
-    return f"coalesce(round(try_divide({part}, {whole}) * 100, {scale}), 0.0)"
-
-
-def minutes_rounded_sql(seconds: str) -> str:
-    """SQL form of ``minutes_rounded``."""
-    return f"cast(round(sum(cast({seconds} AS decimal(18,6))) / 60, 2) AS double)"
-
-
-def pct(part: Column | str, whole: Column | str, scale: int = 0) -> Column:
     """``round(part / whole * 100, scale)``; 0.0 when ``whole`` is 0 or null.
 
-    Division stays in double, the same operation order as the reference, so
-    the rounding matches an SQL engine doing the same double arithmetic.
+    Division stays in double, the same operation order as the source, so the
+    rounding matches an SQL engine doing the same double arithmetic.
     """
-    part = F.col(part) if isinstance(part, str) else part
-    whole = F.col(whole) if isinstance(whole, str) else whole
-    return F.coalesce(F.round(F.try_divide(part, whole) * 100, scale), F.lit(0.0))
+    return f"coalesce(round(try_divide({part}, {whole}) * 100, {scale}), 0.0)"
 
 
-def minutes_rounded(seconds: Column) -> Column:
+def minutes_rounded_sql(seconds: str) -> str:
     """Exact ``round(sum(seconds) / 60, 2)`` as a double.
 
     Summing doubles depends on the order rows arrive in; summing decimals does
     not, so the result is the same however the data is partitioned.
     """
-    total = F.sum(seconds.cast("decimal(18,6)"))
-    return F.round(total / 60, 2).cast("double")
+    return f"cast(round(sum(cast({seconds} AS decimal(18,6))) / 60, 2) AS double)"
 
 
 def mm_ss(minute: Column, second: Column) -> Column:

@@ -235,14 +235,9 @@ ALL_STATS_COLUMNS = {
                "save_blocks", "save_block_ratio", "counterpress_blocks", "counterpress_block_ratio"],
     "time_on_ball": ["total_time_with_ball"],
 }
-_INT_MEASURE_PREFIXES = ("total_", "accurate_", "successful_", "goal", "blocked_", "not_on_target",
-                         "standard_blocks", "deflection_blocks", "offensive_blocks", "save_blocks",
-                         "counterpress_blocks")
-
-
 def _zero(col: str) -> str:
-    is_ratio = col.endswith(("_ratio", "_accuracy")) or col == "total_time_with_ball"
-    if is_ratio and col != "not_on_target":
+    """Zero fill after an outer join: 0.0 for ratios and minutes, 0 for counts."""
+    if col.endswith(("_ratio", "_accuracy")) or col == "total_time_with_ball":
         return f"coalesce({col}, 0.0) AS {col}"
     return f"coalesce({col}, 0) AS {col}"
 

@@ -107,30 +107,31 @@ def _with_events(fn: Callable[[DataFrame], DataFrame]) -> Query:
     return lambda spark, sf_dir: fn(_ev(spark, sf_dir))
 
 
-# Player statistics with a player-filter overload (query key stem, function,
-# wrapper turning point arrays into columns).
-PLAYER_STATS: list[tuple[str, Callable[..., DataFrame], Callable[[DataFrame], DataFrame] | None]] = [
-    ("pass_locations", P.pass_locations, _pass_locations),
-    ("pass_accuracy", A.pass_accuracy, None),
-    ("exact_passes", A.exact_passes, None),
-    ("shots", A.shots, None),
-    ("shot_locations", P.shot_locations, _shot_locations),
-    ("time_on_ball", A.time_on_ball, None),
-    ("dribbles", A.dribbles, None),
-    ("ball_recoveries", A.ball_recoveries, None),
-    ("blocks", A.blocks, None),
-    ("fouls_committed", A.fouls_committed, None),
-    ("fouls_won", A.fouls_won, None),
-    ("pressures", P.pressures, _positions),
-    ("player_positions", P.player_positions, _positions),
+Wrap = Callable[[DataFrame], DataFrame]
+UNSORTED = {"sort": False}
+
+# Player statistics with a player-filter overload: (query key stem, function,
+# its extra arguments, wrapper turning point arrays into columns). Row-level
+# statistics have no sort to switch off.
+PLAYER_STATS: list[tuple[str, Callable[..., DataFrame], dict, Wrap | None]] = [
+    ("pass_locations", P.pass_locations, {}, _pass_locations),
+    ("pass_accuracy", A.pass_accuracy, UNSORTED, None),
+    ("exact_passes", A.exact_passes, UNSORTED, None),
+    ("shots", A.shots, UNSORTED, None),
+    ("shot_locations", P.shot_locations, {}, _shot_locations),
+    ("time_on_ball", A.time_on_ball, UNSORTED, None),
+    ("dribbles", A.dribbles, UNSORTED, None),
+    ("ball_recoveries", A.ball_recoveries, UNSORTED, None),
+    ("blocks", A.blocks, UNSORTED, None),
+    ("fouls_committed", A.fouls_committed, UNSORTED, None),
+    ("fouls_won", A.fouls_won, UNSORTED, None),
+    ("pressures", P.pressures, {}, _positions),
+    ("player_positions", P.player_positions, {}, _positions),
 ]
 
 
-def _player_query(fn, wrap, player_id: int | None) -> Query:
-    sortable = fn.__module__.endswith("aggregations")
-
+def _player_query(fn, kw: dict, wrap: Wrap | None, player_id: int | None) -> Query:
     def q(spark: SparkSession, sf_dir: str) -> DataFrame:
-        kw = {"sort": False} if sortable else {}
         df = fn(_ev(spark, sf_dir), player_id=player_id, **kw)
         return wrap(df) if wrap else df
 
@@ -139,8 +140,8 @@ def _player_query(fn, wrap, player_id: int | None) -> Query:
 
 def queries() -> dict[str, Query]:
     out: dict[str, Query] = {}
-    for key, fn, wrap in PLAYER_STATS:
-        out[key] = _player_query(fn, wrap, None)
+    for key, fn, kw, wrap in PLAYER_STATS:
+        out[key] = _player_query(fn, kw, wrap, None)
     out["substitutions"] = _with_events(lambda ev: P.substitutions(ev, sort=False))
     out["lineup"] = _with_events(lambda ev: A.lineup(ev, sort=False))
     out["team_players"] = _with_events(lambda ev: TM.team_players(ev, TEAM_NAME))
@@ -162,8 +163,8 @@ def queries() -> dict[str, Query]:
     out["team_match_stats_by_name"] = _with_events(
         lambda ev: TM.team_match_stats(ev, team_name=TEAM_NAME, sort=False)
     )
-    for key, fn, wrap in PLAYER_STATS:
-        out[f"{key}_player"] = _player_query(fn, wrap, PLAYER_ID)
+    for key, fn, kw, wrap in PLAYER_STATS:
+        out[f"{key}_player"] = _player_query(fn, kw, wrap, PLAYER_ID)
     out["competitions"] = lambda spark, sf_dir: P.competitions(
         D.competitions_from_matches(D.load_matches(spark, sf_dir))
     )
