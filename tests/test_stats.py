@@ -216,3 +216,22 @@ def test_nested_field_exists():
     assert not nested_field_exists(EVENT_SCHEMA, "block", "card")
     assert not nested_field_exists(EVENT_SCHEMA, "minute", "x")
     assert not nested_field_exists(EVENT_SCHEMA, "nope", "x")
+
+
+def test_source_entry_points(spark, tmp_path_factory):
+    paths = write_documents(str(tmp_path_factory.mktemp("api")))
+    events = S.split_corrupt(S.read_events(spark, paths["events"]).cache())[0]
+    matches = S.split_corrupt(S.read_matches(spark, paths["matches"]).cache())[0]
+    comps = S.split_corrupt(S.read_competitions(spark, paths["competitions"]).cache())[0]
+    assert catalog.competitions(comps).columns == ["competition_id", "season_id", "competition_name",
+                                                   "country_name", "season_name"]
+    assert "extra_field" not in catalog.competitions(comps, all=True).columns  # explicit schema
+    assert catalog.matches(matches, 9, 281).count() == 2
+    assert catalog.matches(matches, 9, 281, all=True).count() == 2
+    one = catalog.match_stat(events, 3895303, "pass_acc").collect()
+    assert [(r.player_id, r.total_passes) for r in one] == [(40724, 1)]
+    season = catalog.season_stat(events, matches, 9, 281, "pass_acc", player_id=40724).collect()
+    assert [(r.player_id, r.total_passes) for r in season] == [(40724, 3)]
+    assert catalog.season_stat(events, matches, 9, 282, "shot").count() == 0
+    team = catalog.season_team_stat(events, matches, 9, 281, "all", team_id=904)
+    assert {r.player_id for r in team.collect()} == {40724, 34870}

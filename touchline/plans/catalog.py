@@ -1,4 +1,6 @@
-"""The named-statistic surface: statistic names to DataFrame functions.
+"""The named-statistic surface: statistic names to DataFrame functions, and
+the source API's five entry points (competitions, matches, one match, a
+season, a season's team) as functions over DataFrames.
 
 ``stat(name, events, player_id)`` serves the per-match and per-season
 statistics, ``team_stat(name, events, team_id, team_name)`` the team tables.
@@ -11,10 +13,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from touchline.operators import aggregations as A
 from touchline.operators import projections as P
 from touchline.operators import team as TM
+from touchline.sources.season import season_events
 
 PlayerFn = Callable[..., DataFrame]
 
@@ -85,3 +89,54 @@ def team_stat(
     if by_name:
         return TM.team_players(events, team_name)
     return TM.team_players_by_id(events, team_id if team_id is not None else 0)
+
+
+# --- the five entry points of the source API, as functions over DataFrames ---
+
+
+def competitions(competitions_df: DataFrame, all: bool = False) -> DataFrame:  # noqa: A002
+    """Competition list (P1), or the raw documents with ``all``."""
+    return competitions_df if all else P.competitions(competitions_df)
+
+
+def matches(
+    matches_df: DataFrame, competition_id: int, season_id: int, all: bool = False  # noqa: A002
+) -> DataFrame:
+    """One competition season's matches (P2), or the raw documents with ``all``."""
+    season = matches_df.filter(
+        (F.col("competition.competition_id") == F.lit(competition_id))
+        & (F.col("season.season_id") == F.lit(season_id))
+    )
+    return season if all else P.matches(season)
+
+
+def match_stat(events: DataFrame, match_id: int, name: str, player_id: int | None = None) -> DataFrame:
+    """A named statistic of one match. On landed events (sorted by match
+    within each file) the match filter skips row groups by their statistics."""
+    return stat(name, events.filter(F.col("match_id") == F.lit(match_id)), player_id)
+
+
+def season_stat(
+    events: DataFrame,
+    matches_df: DataFrame,
+    competition_id: int,
+    season_id: int,
+    name: str,
+    player_id: int | None = None,
+) -> DataFrame:
+    """A named statistic of one competition season."""
+    return stat(name, season_events(events, matches_df, competition_id, season_id), player_id)
+
+
+def season_team_stat(
+    events: DataFrame,
+    matches_df: DataFrame,
+    competition_id: int,
+    season_id: int,
+    name: str,
+    team_id: int | None = None,
+    team_name: str | None = None,
+) -> DataFrame:
+    """A named team table of one competition season."""
+    season = season_events(events, matches_df, competition_id, season_id)
+    return team_stat(name, season, team_id=team_id, team_name=team_name)
