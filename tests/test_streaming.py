@@ -25,6 +25,7 @@ def test_stream_lands_documents_and_quarantines(spark, scratch):
     assert {r.season_id for r in landed.select("season_id").distinct().collect()} == {281}
     bad = spark.read.json(q).collect()
     assert len(bad) == 1 and bad[0].source_file.endswith("3895304.json")
+    assert bad[0].raw_text.startswith("[")
 
 
 def test_running_totals_follow_new_documents(spark, scratch):

@@ -21,6 +21,9 @@ from pyspark.sql import types as T
 from touchline.schemas import COMPETITION_SCHEMA, EVENT_DOCUMENT_SCHEMA, MATCH_SCHEMA
 
 CORRUPT = "_corrupt_record"
+# Name of the raw text in quarantine output. Not ``_corrupt_record``: a JSON
+# reader would take a field of that name for its own corrupt-record column.
+RAW_TEXT = "raw_text"
 
 
 def read_json_documents(
@@ -89,10 +92,14 @@ def read_events(spark: SparkSession, path: str | list[str]) -> DataFrame:
 def split_corrupt(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(good rows, quarantine rows) of a frame read with ``keep_corrupt``.
 
-    Spark refuses a query over raw JSON that reads only the corrupt column, so
-    callers should land (or cache) the parsed frame before splitting it when
-    they want the quarantine alone.
+    The quarantine keeps the source file, the first data field and the raw
+    text (as ``raw_text``): Spark refuses a query over raw JSON that reads the
+    corrupt column alone. Writing both parts re-parses the documents unless the frame is
+    persisted first (``land_events`` does that).
     """
     good = df.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
-    bad = df.filter(F.col(CORRUPT).isNotNull()).select("source_file", CORRUPT)
+    first = next(c for c in df.columns if c not in (CORRUPT, "source_file"))
+    bad = df.filter(F.col(CORRUPT).isNotNull()).select(
+        "source_file", first, F.col(CORRUPT).alias(RAW_TEXT)
+    )
     return good, bad

@@ -12,6 +12,7 @@ check allows it.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -32,7 +33,12 @@ def land_events(
     The season of each match comes from the match list by a join on the
     small match table.
     """
+    parsed = None
     if "_corrupt_record" in events.columns:
+        if quarantine_path:
+            # Parse the documents once for both outputs; the persisted blocks
+            # are recomputed from the files if an executor is lost.
+            parsed = events = events.persist(StorageLevel.DISK_ONLY)
         events, bad = split_corrupt(events)
         if quarantine_path:
             bad.write.mode(mode).json(quarantine_path)
@@ -43,6 +49,8 @@ def land_events(
         F.col("season.season_id").alias("season_id"),
     )
     write_events(events.join(seasons, on="match_id", how="left"), path, mode)
+    if parsed is not None:
+        parsed.unpersist()
 
 
 def write_events(events: DataFrame, path: str, mode: str = "overwrite") -> None:

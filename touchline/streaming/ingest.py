@@ -28,7 +28,7 @@ from touchline.operators import aggregations as A
 from touchline.operators import team as TM
 from touchline.schemas import EVENT_DOCUMENT_SCHEMA
 from touchline.session import checkpoint_dir
-from touchline.sources.documents import CORRUPT, match_id_from_path
+from touchline.sources.documents import CORRUPT, RAW_TEXT, match_id_from_path
 
 
 def read_event_stream(
@@ -85,7 +85,9 @@ def start_landing(
     )
     # The id column is read too: Spark refuses a raw-JSON query that reads
     # the corrupt-record column alone.
-    bad = stream.filter(F.col(CORRUPT).isNotNull()).select("source_file", "id", CORRUPT)
+    bad = stream.filter(F.col(CORRUPT).isNotNull()).select(
+        "source_file", "id", F.col(CORRUPT).alias(RAW_TEXT)
+    )
 
     def _trigger(w):
         if available_now:
