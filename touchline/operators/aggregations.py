@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from touchline.functions import measures as M
 from touchline.functions.columns import (
+    PLAYER_KEYS,
     count_if_sql,
     minutes_rounded_sql,
     pct_sql,
@@ -50,19 +51,34 @@ def _and(a: str | None, b: str | None) -> str | None:
     return f"({a}) AND ({b})"
 
 
-def stat_aggregates(stat: M.Stat, within: str | None = None) -> list[Column]:
-    """Aggregate expressions of ``stat``; ``within`` (SQL) restricts them to some rows."""
-    aggs = []
-    for name, cond in stat.counts:
-        aggs.append(F.expr(count_if_sql(_and(within, cond))).alias(name))
+def stat_aggregates_sql(stat: M.Stat, within: str | None = None) -> list[str]:
+    """Aggregate expressions of ``stat`` as ``expr AS name``; ``within`` (SQL)
+    restricts them to some rows."""
+    aggs = [f"{count_if_sql(_and(within, cond))} AS {name}" for name, cond in stat.counts]
     for name, value in stat.minutes:
         col = value if within is None else f"CASE WHEN {within} THEN {value} END"
-        aggs.append(F.expr(minutes_rounded_sql(col)).alias(name))
+        aggs.append(f"{minutes_rounded_sql(col)} AS {name}")
     return aggs
 
 
+def stat_aggregates(stat: M.Stat, within: str | None = None) -> list[Column]:
+    """Aggregate Columns of ``stat`` (one parsed expression each)."""
+    return [F.expr(a) for a in stat_aggregates_sql(stat, within)]
+
+
+def stat_ratios_sql(stat: M.Stat) -> dict[str, str]:
+    return {r.name: pct_sql(r.part, r.whole, r.scale) for r in stat.ratios}
+
+
 def stat_ratios(stat: M.Stat) -> dict[str, Column]:
-    return {r.name: F.expr(pct_sql(r.part, r.whole, r.scale)) for r in stat.ratios}
+    return {name: F.expr(sql) for name, sql in stat_ratios_sql(stat).items()}
+
+
+def _finish(table: DataFrame, columns: list[str], computed: dict[str, str]) -> DataFrame:
+    """One projection: each output column as is, or computed from SQL."""
+    return table.selectExpr(
+        *[f"{computed[c]} AS {c}" if c in computed else f"`{c}`" for c in columns]
+    )
 
 
 def type_is_sql(name: str) -> str:
@@ -86,10 +102,7 @@ def player_stat(
     """One statistic table: filter to the type, aggregate, add ratios."""
     df = scope(events, player_id, team_id, team_name).filter(type_is(stat.event_type))
     out = df.groupBy(*player_keys()).agg(*stat_aggregates(stat))
-    ratios = stat_ratios(stat)
-    if ratios:
-        out = out.withColumns(ratios)
-    out = out.select(*stat.columns())
+    out = _finish(out, stat.columns(), stat_ratios_sql(stat))
     return order_stat(out, stat.sort_desc) if sort else out
 
 
@@ -198,12 +211,21 @@ def combined_stats(
     for s in stats:
         aggs += stat_aggregates(s, within=type_is_sql(s.event_type))
     out = df.groupBy(*player_keys()).agg(*aggs)
-    fills = {}
+    computed: dict[str, str] = {}
     for s in stats:
-        fills.update(stat_ratios(s))
+        computed.update(stat_ratios_sql(s))
         for name, _ in s.minutes:
-            fills[name] = F.coalesce(F.col(name), F.lit(0.0))
-    return out.withColumns(fills)
+            computed[name] = f"coalesce({name}, 0.0)"
+    columns = list(PLAYER_KEYS) + [c for s in stats for c in _measure_names(s)]
+    return _finish(out, columns, computed)
+
+
+def _measure_names(stat: M.Stat) -> list[str]:
+    """Every count, minute and ratio column of a statistic, in output order
+    where the statistic lists them, then any others."""
+    names = list(stat.measure_columns)
+    extra = [n for n, _ in stat.counts] + [n for n, _ in stat.minutes] + [r.name for r in stat.ratios]
+    return names + [n for n in extra if n not in names]
 
 
 def lineup(

@@ -86,7 +86,7 @@ def team_fouls(
     committed, won = team_fouls_stats()
     out = A.combined_stats(events, [committed, won], team_id=team_id, team_name=team_name)
     keys = list(M.KEYS_TPPT)
-    out = out.select(*keys, *committed.measure_columns, *won.measure_columns)
+    out = out.select(*keys, *committed.measure_columns, *won.measure_columns)  # column order
     if sort:
         out = out.orderBy("team_name", "player_name", "player_id")
     return out
@@ -117,15 +117,15 @@ def all_player_stats(
     players = A.lineup(events, team_id=team_id, team_name=team_name, sort=False)
     joined = players.join(measures, on=PLAYER_KEYS, how="full_outer")
     # Zero of the column's own type: 0 for counts, 0.0 for ratios and minutes.
-    zero = {c: F.lit(0) for s in stats for c, _ in s.counts}
-    zero.update({r.name: F.lit(0.0) for s in stats for r in s.ratios})
-    zero.update({c: F.lit(0.0) for s in stats for c, _ in s.minutes})
+    zero = {c: "0" for s in stats for c, _ in s.counts}
+    zero.update({r.name: "0.0" for s in stats for r in s.ratios})
+    zero.update({c: "0.0" for s in stats for c, _ in s.minutes})
     measure_cols = [c for s in stats for c in s.measure_columns]
-    out = joined.select(
+    out = joined.selectExpr(
         *PLAYER_KEYS,
-        F.coalesce(F.col("player_number"), F.lit(0).cast("bigint")).alias("player_number"),
-        F.coalesce(F.col("player_positions"), F.lit("")).alias("player_positions"),
-        *[F.coalesce(F.col(c), zero[c]).alias(c) for c in measure_cols],
+        "coalesce(player_number, cast(0 AS bigint)) AS player_number",
+        "coalesce(player_positions, '') AS player_positions",
+        *[f"coalesce({c}, {zero[c]}) AS {c}" for c in measure_cols],
     )
     if sort:
         out = out.orderBy("player_number", "team_name", "player_id")

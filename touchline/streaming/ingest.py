@@ -127,12 +127,13 @@ def player_totals(stream: DataFrame) -> DataFrame:
         .groupBy(*player_keys())
         .agg(*aggs)
     )
-    fills = {}
+    computed: dict[str, str] = {}
     for s in stats:
-        fills.update(A.stat_ratios(s))
+        computed.update(A.stat_ratios_sql(s))
         for name, _ in s.minutes:
-            fills[name] = F.coalesce(F.col(name), F.lit(0.0))
-    return counted.withColumns(fills)
+            computed[name] = f"coalesce({name}, 0.0)"
+    columns = [c for c in counted.columns if c not in computed] + list(computed)
+    return counted.selectExpr(*[f"{computed[c]} AS {c}" if c in computed else f"`{c}`" for c in columns])
 
 
 def start_player_totals(
