@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from touchline.functions.columns import coord
 
-# Pitch and heatmap settings of the source client (a StatsBomb
+# Pitch and heatmap settings of the source client (the common
 # pitch of 120 x 80, 25 x 25 bins, Gaussian sigma 1 truncated at 4 sigma,
 # reflected edges), and its shot-map frame (centre 40, x limits 32..47).
 PITCH_LENGTH = 120.0
