@@ -372,7 +372,7 @@ def _fs(spark: SparkSession, path: str):
 
 # Bump when the packing of derived events changes in a way FLAT_COLUMNS and
 # EVENT_SCHEMA do not show.
-LANDING_VERSION = 2
+LANDING_VERSION = 3
 
 # A session may set this to land into a folder of its own (the benchmark does,
 # to time a fresh landing inside the shared checkpoint folder).
