@@ -47,3 +47,14 @@ def test_entry_smoke(spark):
     assert len(rows) > 0
     assert df.columns[:6] == ["team_name", "team_id", "player_name", "player_id",
                               "player_number", "player_positions"]
+
+
+@pytest.mark.parametrize("key", ["all_player_stats", "team_fouls", "heatmap_smooth", "season_events"])
+def test_heavy_queries_match_oracle_at_sf001(spark, key):
+    """The driver's scale (sf0.01) for the widest plans."""
+    from conftest import SF_MID
+
+    got = E.queries()[key](spark, SF_MID).toPandas()
+    want = duck(SF_MID).sql(E.oracle_sql()[key]).df()
+    assert sorted(got.columns) == sorted(want.columns) and len(got) == len(want)
+    assert _norm(got).equals(_norm(want))

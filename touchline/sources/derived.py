@@ -281,10 +281,12 @@ def _spread(events: DataFrame) -> DataFrame:
     """Spread an under-partitioned input (one small file is one task) over the
     cluster's cores. Input that already has enough splits is left alone, so
     at scale this adds no shuffle."""
-    cores = events.sparkSession.sparkContext.defaultParallelism
-    if events.rdd.getNumPartitions() < cores:
-        return events.repartition(cores)
-    return events
+    try:
+        cores = events.sparkSession.sparkContext.defaultParallelism
+        splits = events.rdd.getNumPartitions()
+    except Exception:  # no RDD view (e.g. a Spark Connect session): leave as is
+        return events
+    return events.repartition(cores) if splits < cores else events
 
 
 SEASON_COLUMNS = ["competition_id", "season_id"]
