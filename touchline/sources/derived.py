@@ -424,7 +424,22 @@ def _land_atomically(spark: SparkSession, path: str, write) -> None:
         fs.delete(p_tmp, True)
 
 
+# Landed paths already verified in this application: the source is
+# fingerprinted once per session and sf_dir (the driver tables do not change
+# while a session runs).
+_VERIFIED: dict[tuple[str, str, str], tuple[str, str]] = {}
+
+
 def landed_paths(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    """(events, matches) Parquet paths of ``sf_dir``'s derived tables, landed
+    on first use (see ``_land_derived``)."""
+    key = (spark.sparkContext.applicationId, sf_dir, spark.conf.get(LANDING_TAG_CONF, ""))
+    if key not in _VERIFIED:
+        _VERIFIED[key] = _land_derived(spark, sf_dir)
+    return _VERIFIED[key]
+
+
+def _land_derived(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
     """Land the derived events and matches once, as the ingest job would,
     and return their Parquet paths.
 
