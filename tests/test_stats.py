@@ -235,3 +235,51 @@ def test_source_entry_points(spark, tmp_path_factory):
     assert catalog.season_stat(events, matches, 9, 282, "shot").count() == 0
     team = catalog.season_team_stat(events, matches, 9, 281, "all", team_id=904)
     assert {r.player_id for r in team.collect()} == {40724, 34870}
+
+
+def _events(spark, rows):
+    from touchline.schemas import EVENT_SCHEMA
+
+    full = []
+    for r in rows:
+        e = {f.name: None for f in EVENT_SCHEMA.fields}
+        e.update(r)
+        full.append(e)
+    return spark.createDataFrame(full, EVENT_SCHEMA)
+
+
+def test_outcome_struct_without_name_is_completed(spark):
+    """A pass whose outcome struct exists but has no name is completed,
+    in the location table and in the accuracy tables alike."""
+    team, player = {"id": 1, "name": "T"}, {"id": 5, "name": "P"}
+    ev = _events(spark, [
+        {"id": "a", "index": 1, "match_id": 1, "type": {"id": None, "name": "Pass"}, "team": team,
+         "player": player, "pass": {"end_location": [1.0, 1.0], "outcome": {"id": 9, "name": None},
+                                    "body_part": None, "type": None}},
+        {"id": "b", "index": 2, "match_id": 1, "type": {"id": None, "name": "Pass"}, "team": team,
+         "player": player, "pass": {"end_location": [2.0, 2.0], "outcome": {"id": 9, "name": "Out"},
+                                    "body_part": None, "type": None}},
+    ])
+    assert sorted(r.outcome for r in P.pass_locations(ev).collect()) == ["Completed", "Out"]
+    (r,) = A.pass_accuracy(ev).collect()
+    assert (r.total_passes, r.accurate_passes, r.pass_accuracy) == (2, 1, 50.0)
+    (x,) = A.exact_passes(ev).collect()
+    assert x.accurate_passes == 1
+
+
+def test_two_jersey_numbers_give_two_rows(spark):
+    """The all-player key includes the jersey number."""
+    team = {"id": 1, "name": "T"}
+
+    def xi(i, number):
+        return {"id": f"xi{i}", "index": 0, "match_id": i, "type": {"id": None, "name": "Starting XI"},
+                "team": team, "tactics": {"formation": None, "lineup": [
+                    {"player": {"id": 5, "name": "P"}, "position": {"id": None, "name": "Left Wing"},
+                     "jersey_number": number}]}}
+
+    ev = _events(spark, [xi(1, 7), xi(2, 11), {
+        "id": "p", "index": 1, "match_id": 1, "type": {"id": None, "name": "Pass"}, "team": team,
+        "player": {"id": 5, "name": "P"},
+        "pass": {"end_location": [1.0, 1.0], "outcome": None, "body_part": None, "type": None}}])
+    rows = sorted((r.player_number, r.total_passes) for r in TM.all_player_stats(ev).collect())
+    assert rows == [(7, 1), (11, 1)]
