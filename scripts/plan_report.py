@@ -25,15 +25,16 @@ def main() -> None:
         "initial physical plan, before AQE re-plans at run time). Scans are of the landed",
         "nested event Parquet; *pushed* is what reaches the Parquet reader.",
         "",
-        "| query | scans | shuffles | broadcasts | joins | cross | python | pushed filters |",
-        "| --- | --- | --- | --- | --- | --- | --- | --- |",
+        "| query | scans | shuffles | broadcasts | joins | cross | python | partition filters | pushed filters |",
+        "| --- | --- | --- | --- | --- | --- | --- | --- | --- |",
     ]
     for key, fn in E.queries().items():
         s = summarize(fn(spark, sf_dir))
         pushed = "; ".join(sorted(set(s.pushed_filters))) or "–"
+        parts = "; ".join(sorted(set(s.partition_filters))) or "–"
         lines.append(
             f"| {key} | {s.scans} | {s.shuffles} | {s.broadcasts} | {', '.join(s.joins) or '–'} "
-            f"| {s.cross_products} | {s.python_udfs} | {pushed} |"
+            f"| {s.cross_products} | {s.python_udfs} | {parts} | {pushed} |"
         )
     out = os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "PLANS.md")
     with open(out, "w") as f:

@@ -36,6 +36,7 @@ class PlanSummary:
     broadcasts: int = 0
     joins: list[str] = field(default_factory=list)
     pushed_filters: list[str] = field(default_factory=list)
+    partition_filters: list[str] = field(default_factory=list)
     read_columns: list[str] = field(default_factory=list)
     cross_products: int = 0
     python_udfs: int = 0
@@ -50,6 +51,9 @@ def summarize(df: DataFrame) -> PlanSummary:
             m = re.search(r"PushedFilters: \[(.*?)\], ReadSchema", line)
             if m and m.group(1):
                 s.pushed_filters.append(m.group(1))
+            m = re.search(r"PartitionFilters: \[(.*?)\], PushedFilters", line)
+            if m and m.group(1):
+                s.partition_filters.append(m.group(1))
             m = re.search(r"ReadSchema: struct<(.*)>", line)
             if m:
                 s.read_columns.append(m.group(1))
