@@ -12,6 +12,7 @@ broadcasting it is bounded.
 from __future__ import annotations
 
 import math
+from decimal import ROUND_HALF_UP, Decimal
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -82,15 +83,15 @@ def heatmap_counts(
     )
 
 
-def _reflect(p, n: int):
-    """Mirror an index at the grid edges, edge cell included (d c b a | a b c d)."""
-    return F.when(p < 0, -1 - p).when(p > n - 1, 2 * n - 1 - p).otherwise(p)
-
-
 def _weight_type() -> str:
     return f"decimal({KERNEL_SCALE + 1},{KERNEL_SCALE})"
 
 
+def _mirror(p: int, n: int) -> int:
+    """Mirror an index at the grid edges, edge cell included (d c b a | a b c d)."""
+    return -1 - p if p < 0 else (2 * n - 1 - p if p > n - 1 else p)
+
+
 def gaussian_axis_kernel(
     spark: SparkSession,
     bins: int,
@@ -98,27 +99,28 @@ def gaussian_axis_kernel(
     truncate: float = HEATMAP_TRUNCATE,
 ) -> DataFrame:
     """Rows (src, tgt, w) of a 1-D Gaussian filter with reflected edges: the
-    share of source bin ``src`` that lands in target bin ``tgt``. Weights are
-    exact decimals; the table has at most ``bins * (2r+1)`` rows whatever the
-    data, so broadcasting it is bounded."""
+    share of source bin ``src`` that lands in target bin ``tgt``.
+
+    The table is a constant of the parameters (at most ``bins * (2r+1)`` rows,
+    225 for the defaults), so it is built as a local relation: no job, no
+    shuffle, and broadcasting it is bounded. Each tap's weight is rounded
+    half-up to KERNEL_SCALE decimals; taps that mirror onto the same source
+    are added exactly.
+    """
     radius = int(truncate * sigma + 0.5)
     if radius >= bins:
         raise ValueError("kernel radius must be smaller than the grid")
-    norm = sum(math.exp(-0.5 * (a / sigma) ** 2) for a in range(-radius, radius + 1))
-    a = F.col("a") / F.lit(sigma)
-    taps = spark.range(bins).select(
-        F.col("id").cast("int").alias("tgt"),
-        F.explode(F.sequence(F.lit(-radius), F.lit(radius))).alias("a"),
-    )
-    return (
-        taps.select(
-            _reflect(F.col("tgt") + F.col("a"), bins).alias("src"),
-            "tgt",
-            (F.exp(F.lit(-0.5) * a * a) / F.lit(norm)).cast(_weight_type()).alias("w"),
-        )
-        .groupBy("src", "tgt")
-        .agg(F.sum("w").cast(_weight_type()).alias("w"))
-    )
+    taps = [math.exp(-0.5 * (a / sigma) ** 2) for a in range(-radius, radius + 1)]
+    norm = sum(taps)
+    quantum = Decimal(1).scaleb(-KERNEL_SCALE)
+    weight = [Decimal(repr(t / norm)).quantize(quantum, rounding=ROUND_HALF_UP) for t in taps]
+    table: dict[tuple[int, int], Decimal] = {}
+    for tgt in range(bins):
+        for i, a in enumerate(range(-radius, radius + 1)):
+            key = (_mirror(tgt + a, bins), tgt)
+            table[key] = table.get(key, Decimal(0)) + weight[i]
+    rows = [(src, tgt, w) for (src, tgt), w in sorted(table.items())]
+    return spark.createDataFrame(rows, f"src int, tgt int, w {_weight_type()}")
 
 
 def heatmap_smooth(
