@@ -119,8 +119,11 @@ def gaussian_axis_kernel(
         for i, a in enumerate(range(-radius, radius + 1)):
             key = (_mirror(tgt + a, bins), tgt)
             table[key] = table.get(key, Decimal(0)) + weight[i]
-    rows = [(src, tgt, w) for (src, tgt), w in sorted(table.items())]
-    return spark.createDataFrame(rows, f"src int, tgt int, w {_weight_type()}")
+    values = ", ".join(f"({src}, {tgt}, {w}BD)" for (src, tgt), w in sorted(table.items()))
+    return spark.sql(
+        f"SELECT src, tgt, CAST(w AS {_weight_type()}) AS w "
+        f"FROM VALUES {values} AS kernel(src, tgt, w)"
+    )
 
 
 def heatmap_smooth(
