@@ -170,8 +170,9 @@ def test_player_filter_and_type_reach_the_scan(spark, events_small):
 def test_all_player_stats_reads_events_twice_without_cross_joins(events_small):
     plan = _plan(TM.all_player_stats(events_small))
     assert plan.count("FileScan parquet") == 2  # measures once, line-ups once
-    # one shuffle per side; the join reuses both partitionings
-    assert plan.count("Exchange hashpartitioning") == 2
+    # measures: one shuffle of partial aggregates, reused by the join; line-up:
+    # one of partial aggregates, then its per-player rows once more for the join
+    assert plan.count("Exchange hashpartitioning") == 3
     assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
 
 

@@ -233,15 +233,12 @@ def lineup(
     team_id: int | None = None,
     team_name: str | None = None,
     sort: bool = True,
-    partition_by_player: bool = False,
 ) -> DataFrame:
     """A1: players from the line-ups with jersey number and all positions played.
 
-    Positions are deduplicated map-side (``collect_set``), so a group holds at
-    most one entry per distinct position however many line-ups name the player.
-    With ``partition_by_player`` the line-up entries are hash-partitioned on
-    the four player keys instead: the aggregation needs no shuffle of its own
-    and the result is already partitioned for a join on the player keys.
+    Positions are deduplicated map-side (``collect_set``) before the shuffle,
+    so a group holds at most one entry per distinct position however many
+    line-ups name the player.
     """
     entries = scope(events, team_id=team_id, team_name=team_name).select(
         F.col("team.name").alias("team_name"),
@@ -255,8 +252,6 @@ def lineup(
         F.col("e.player.id").alias("player_id"),
         F.col("e.position.name").alias("position"),
     )
-    if partition_by_player:
-        entries = entries.repartition(*PLAYER_KEYS)
     out = entries.groupBy(
         "team_name", "team_id", "player_name", "player_number", "player_id"
     ).agg(

@@ -3,11 +3,11 @@
 The all-player table is one aggregation over one scan (every measure of
 passes, shots, dribbles, recoveries, blocks and carry time at once) and a
 single full outer join with the line-up table, instead of seven sub-plans
-and six joins. Both join sides are per-player aggregates, already hash
-partitioned on the player keys (the measures by their aggregation, the
-line-up entries by one repartition that its aggregation reuses), so the join
-adds no shuffle; AQE turns it into a broadcast only when the runtime size is
-under the configured bound.
+and six joins. Both join sides are pre-aggregated before any shuffle: the
+measures side arrives hash-partitioned on the player keys from its own
+aggregation; the line-up side (one row per player and jersey number) is
+re-partitioned once. AQE turns the join into a broadcast only when the
+runtime size is under the configured bound.
 """
 
 from __future__ import annotations
@@ -116,9 +116,7 @@ def all_player_stats(
     """
     stats = season_stats()
     measures = A.combined_stats(events, stats, team_id=team_id, team_name=team_name)
-    players = A.lineup(
-        events, team_id=team_id, team_name=team_name, sort=False, partition_by_player=True
-    )
+    players = A.lineup(events, team_id=team_id, team_name=team_name, sort=False)
     joined = players.join(measures, on=PLAYER_KEYS, how="full_outer")
     # Zero of the column's own type: 0 for counts, 0.0 for ratios and minutes.
     zero = {c: "0" for s in stats for c, _ in s.counts}
