@@ -141,6 +141,11 @@ def heatmap_smooth(
     result equals the 2-D convolution with weights ``wx * wy`` and does not
     depend on summation order. Bins out of the kernel's reach of every count
     are 0 and are not listed.
+
+    Exact range: a group's count in one bin below 10^12 (a trillion events of
+    one player in one cell), which keeps every product within Spark's 38
+    decimal digits; beyond it Spark raises an overflow error (ANSI mode)
+    rather than return a rounded value.
     """
     spark = counts.sparkSession
     kx = gaussian_axis_kernel(spark, bins[0], sigma, truncate).alias("kx")
