@@ -158,3 +158,19 @@ def test_documents_round_trip_equals_landed_tables(spark, scratch, events_small)
     assert rows(A.fouls_committed(from_docs, sort=False)) == rows(A.fouls_committed(events_small, sort=False))
     assert rows(P.substitutions(from_docs, sort=False)) == rows(P.substitutions(events_small, sort=False))
     assert json.loads(open(os.path.join(ev_dir, f"{min(per_match)}.json")).read())  # valid JSON array
+
+
+def test_json_lines_documents(spark, scratch):
+    import json
+
+    path = os.path.join(scratch, "lines.json")
+    with open(path, "w") as f:
+        for i in range(3):
+            f.write(json.dumps({"competition_id": 9, "season_id": 280 + i, "country_name": "X"}) + "\n")
+        f.write("{not json\n")
+    from touchline.schemas import COMPETITION_SCHEMA
+
+    df = S.read_json_documents(spark, path, COMPETITION_SCHEMA, multi_line=False).cache()
+    good, bad = S.split_corrupt(df)
+    assert sorted(r.season_id for r in good.collect()) == [280, 281, 282]
+    assert [r.raw_text for r in bad.collect()] == ["{not json"]

@@ -27,9 +27,18 @@ RAW_TEXT = "raw_text"
 
 
 def read_json_documents(
-    spark: SparkSession, path: str | list[str], schema: T.StructType, keep_corrupt: bool = True
+    spark: SparkSession,
+    path: str | list[str],
+    schema: T.StructType,
+    keep_corrupt: bool = True,
+    multi_line: bool = True,
 ) -> DataFrame:
-    """JSON documents (one array each, or JSON lines) with a fixed schema.
+    """JSON documents with a fixed schema.
+
+    ``multi_line`` (the source format) reads each file as one JSON value, an
+    array giving one row per element; such a file is one task, which suits
+    per-match documents of a few MB. ``multi_line=False`` reads JSON lines,
+    which Spark splits inside large files.
 
     With ``keep_corrupt`` the frame has a ``_corrupt_record`` column holding
     the raw text of a document that did not parse (null for good rows), and
@@ -39,7 +48,7 @@ def read_json_documents(
         schema = T.StructType(schema.fields + [T.StructField(CORRUPT, T.StringType())])
     reader = (
         spark.read.schema(schema)
-        .option("multiLine", True)
+        .option("multiLine", multi_line)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT)
     )
