@@ -322,11 +322,10 @@ HEATMAP_COUNTS = (
 
 KERNEL_1D = (
     "SELECT src, tgt, cast(sum(w) AS DECIMAL(13,12)) AS w FROM ("
-    " SELECT CASE WHEN g.i + a.a < 0 THEN -1 - (g.i + a.a) WHEN g.i + a.a > 24 THEN 49 - (g.i + a.a)"
-    "   ELSE g.i + a.a END AS src, g.i AS tgt,"
-    " cast(exp(-0.5 * a.a * a.a) / nrm.s AS DECIMAL(13,12)) AS w"
-    " FROM range(25) g(i), range(-4, 5) a(a),"
-    " (SELECT sum(exp(-0.5 * r * r)) AS s FROM range(-4, 5) t(r)) nrm"
+    " SELECT CASE WHEN tgt + a < 0 THEN -1 - (tgt + a) WHEN tgt + a > 24 THEN 49 - (tgt + a)"
+    "   ELSE tgt + a END AS src, tgt,"
+    " cast(exp(-0.5 * a * a) / (SELECT sum(exp(-0.5 * r * r)) FROM range(-4, 5) t(r)) AS DECIMAL(13,12)) AS w"
+    " FROM (SELECT i AS tgt, unnest(range(-4, 5)) AS a FROM range(25) g(i)) AS taps"
     ") AS k GROUP BY src, tgt"
 )
 
