@@ -6,7 +6,10 @@ cover them:
 * ``start_landing`` lands every new document into the same Parquet layout as
   the batch landing (partitioned by competition season), through Spark's file
   sink: exactly-once, restartable from its checkpoint after a lost executor
-  or driver. Unreadable documents go to a quarantine sink of their own.
+  or driver. Unreadable documents go to a quarantine sink of their own. The
+  two sinks are two queries over the same source, so each new document is
+  parsed twice; that keeps both outputs exactly-once, which a single
+  ``foreachBatch`` writer would not without idempotent paths.
 * ``player_totals`` keeps every player's season measures up to date as a
   streaming aggregation. All measures are counts or exact decimal sums, so
   the state is one row per player (bounded by the number of players, not by
