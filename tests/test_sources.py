@@ -174,3 +174,12 @@ def test_json_lines_documents(spark, scratch):
     good, bad = S.split_corrupt(df)
     assert sorted(r.season_id for r in good.collect()) == [280, 281, 282]
     assert [r.raw_text for r in bad.collect()] == ["{not json"]
+
+
+def test_duplicate_match_listing_does_not_double_events(spark, scratch):
+    paths = _docs(scratch)
+    matches = S.split_corrupt(S.read_matches(spark, paths["matches"]).cache())[0]
+    doubled = matches.unionByName(matches)
+    out = os.path.join(scratch, "landed_dup")
+    land_events(S.read_events(spark, paths["events"]), doubled, out)
+    assert spark.read.parquet(out).count() == 23

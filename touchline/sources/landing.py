@@ -43,11 +43,13 @@ def land_events(
         if quarantine_path:
             bad.write.mode(mode).json(quarantine_path)
     events = events.drop("source_file")
+    # distinct: a match listed twice (a re-published season file) must not
+    # double its events.
     seasons = matches.select(
         "match_id",
         F.col("competition.competition_id").alias("competition_id"),
         F.col("season.season_id").alias("season_id"),
-    )
+    ).distinct()
     write_events(events.join(seasons, on="match_id", how="left"), path, mode)
     if parsed is not None:
         parsed.unpersist()
