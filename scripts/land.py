@@ -2,11 +2,12 @@
 
 Usage:
   spark-submit scripts/land.py --events 's3://…/events/*.json' \\
-      --matches 's3://…/matches/*/*.json' --out s3://…/landed [--mode append]
+      --matches 's3://…/matches/*/*.json' [--competitions s3://…/competitions.json] \\
+      --out s3://…/landed [--mode append]
 
 Writes <out>/events (partitioned by competition_id, season_id), <out>/matches,
-and unreadable documents to <out>/quarantine. Uses the session's settings;
-nothing is collected to the driver.
+<out>/competitions, and unreadable event documents to <out>/quarantine.
+Uses the session's settings; nothing is collected to the driver.
 """
 
 from __future__ import annotations
@@ -19,7 +20,12 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from pyspark.sql import SparkSession  # noqa: E402
 
-from touchline.sources.documents import read_events, read_matches, split_corrupt  # noqa: E402
+from touchline.sources.documents import (  # noqa: E402
+    read_competitions,
+    read_events,
+    read_matches,
+    split_corrupt,
+)
 from touchline.sources.landing import land_events, land_table  # noqa: E402
 
 
@@ -27,11 +33,15 @@ def main() -> None:
     ap = argparse.ArgumentParser()
     ap.add_argument("--events", required=True)
     ap.add_argument("--matches", required=True)
+    ap.add_argument("--competitions")
     ap.add_argument("--out", required=True)
     ap.add_argument("--mode", default="overwrite", choices=["overwrite", "append"])
     args = ap.parse_args()
     spark = SparkSession.builder.appName("touchline-land").getOrCreate()
     out = args.out.rstrip("/")
+    if args.competitions:
+        good_competitions, _ = split_corrupt(read_competitions(spark, args.competitions))
+        land_table(good_competitions, f"{out}/competitions", mode=args.mode)
     good_matches, _ = split_corrupt(read_matches(spark, args.matches))
     land_table(good_matches, f"{out}/matches", mode=args.mode)
     matches = spark.read.parquet(f"{out}/matches")
