@@ -55,3 +55,19 @@ def test_running_totals_follow_new_documents(spark, scratch):
         for c in ("total_passes", "accurate_passes", "pass_accuracy", "total_shots", "goal",
                   "total_blocks", "deflection_blocks", "total_time_with_ball", "ball_recovery_ratio"):
             assert s[c] == r[c], (r.player_id, c)
+
+
+def test_totals_accumulate_over_micro_batches(spark, scratch):
+    """One document per trigger: the running state adds batches up exactly."""
+    ev_dir = os.path.join(scratch, "events")
+    os.makedirs(ev_dir)
+    for mid, docs in ((3895302, match_full()), (3895303, match_drift())):
+        with open(os.path.join(ev_dir, f"{mid}.json"), "w") as f:
+            json.dump(docs, f)
+    stream = read_event_stream(spark, ev_dir, max_files_per_trigger=1)
+    q = start_player_totals(stream, "totals_c", checkpoint=os.path.join(scratch, "ckpt"), available_now=True)
+    q.awaitTermination(120)
+    assert len([p for p in q.recentProgress if p["numInputRows"] > 0]) == 2  # two micro-batches
+    rows = {r.player_id: r for r in spark.table("totals_c").collect()}
+    assert rows[40724].total_passes == 3 and rows[40724].total_time_with_ball == round(19.75 / 60, 2)
+    assert rows[40724].blocked_or_saved_by_goalkeeper == 1  # the Saved shot of the second match
