@@ -9,7 +9,6 @@ import numpy as np
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
-from touchline.operators import aggregations as A
 from touchline.operators import spatial as SP
 from touchline.operators import team as TM
 from touchline.schemas import EVENT_SCHEMA
