@@ -286,3 +286,13 @@ def test_two_jersey_numbers_give_two_rows(spark):
         "pass": {"end_location": [1.0, 1.0], "outcome": None, "body_part": None, "type": None}}])
     rows = sorted((r.player_number, r.total_passes) for r in TM.all_player_stats(ev).collect())
     assert rows == [(7, 1), (11, 1)]
+
+
+def test_source_shape_through_the_api(doc_events):
+    fixed = catalog.stat("block", doc_events)
+    shaped = catalog.stat("block", doc_events, source_shape=True)
+    assert "offensive_blocks" in fixed.columns and "offensive_blocks" not in shaped.columns
+    assert catalog.stat("pass_acc", doc_events, source_shape=True).columns == catalog.stat(
+        "pass_acc", doc_events).columns
+    one = catalog.match_stat(doc_events, 3895302, "fouls_won", source_shape=True)
+    assert "penalty_fouls" not in one.columns and "advantage_fouls" in one.columns

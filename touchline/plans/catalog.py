@@ -60,12 +60,24 @@ STATS["possession"] = A.time_on_ball
 TEAM_STATS = ("all", "foul", "pass", "players")
 
 
-def stat(name: str, events: DataFrame, player_id: int | None = None) -> DataFrame:
-    """A named statistic over a match's or a season's events."""
+# Statistics whose columns depend on the data in the source.
+SHAPED = {"block", "fouls_commit", "fouls_won"}
+
+
+def stat(
+    name: str, events: DataFrame, player_id: int | None = None, source_shape: bool = False
+) -> DataFrame:
+    """A named statistic over a match's or a season's events.
+
+    ``source_shape`` drops the block and foul kinds that never occur, as the
+    source does; by default those tables keep every column.
+    """
     if name not in STATS:
         raise ValueError(f"unknown stat: {name}")
     if player_id is not None and player_id < 0:
         player_id = None
+    if source_shape and name in SHAPED:
+        return STATS[name](events, player_id=player_id, drop_absent=True)
     return STATS[name](events, player_id=player_id)
 
 
@@ -110,10 +122,17 @@ def matches(
     return season if all else P.matches(season)
 
 
-def match_stat(events: DataFrame, match_id: int, name: str, player_id: int | None = None) -> DataFrame:
+def match_stat(
+    events: DataFrame,
+    match_id: int,
+    name: str,
+    player_id: int | None = None,
+    source_shape: bool = False,
+) -> DataFrame:
     """A named statistic of one match. On landed events (sorted by match
     within each file) the match filter skips row groups by their statistics."""
-    return stat(name, events.filter(F.col("match_id") == F.lit(match_id)), player_id)
+    one_match = events.filter(F.col("match_id") == F.lit(match_id))
+    return stat(name, one_match, player_id, source_shape)
 
 
 def season_stat(
@@ -123,9 +142,11 @@ def season_stat(
     season_id: int,
     name: str,
     player_id: int | None = None,
+    source_shape: bool = False,
 ) -> DataFrame:
     """A named statistic of one competition season."""
-    return stat(name, season_events(events, matches_df, competition_id, season_id), player_id)
+    season = season_events(events, matches_df, competition_id, season_id)
+    return stat(name, season, player_id, source_shape)
 
 
 def season_team_stat(
