@@ -20,7 +20,8 @@ class _Opt:
 
 
 class _FakeSC:
-    def __init__(self):
+    def __init__(self, master="local[2]"):
+        self.master = master
         self.dir = None
         outer = self
 
@@ -39,9 +40,9 @@ class _FakeSC:
 
 
 class _FakeSpark:
-    def __init__(self, configured=None):
+    def __init__(self, configured=None, master="local[2]"):
         self.configured = configured
-        self.sparkContext = _FakeSC()
+        self.sparkContext = _FakeSC(master)
 
         class _Conf:
             def get(_self, key, default=None):
@@ -62,6 +63,14 @@ def test_unset_folder_gets_one_scratch_folder(tmp_path, monkeypatch):
     assert checkpoint_dir(spark) == first  # reused, not a new folder per call
 
 
+def test_cluster_without_setting_is_an_error():
+    import pytest
+
+    with pytest.raises(RuntimeError, match="shared storage"):
+        checkpoint_dir(_FakeSpark(None, master="yarn"))
+    assert checkpoint_dir(_FakeSpark("s3a://bucket/ckpt", master="yarn")) == "s3a://bucket/ckpt"
+
+
 def test_real_session_reads_its_setting(spark):
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:

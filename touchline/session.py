@@ -41,9 +41,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster that setting names shared storage and is used as is (the
-    setting cannot change at run time). Only when it is unset (local tests)
-    is a scratch folder chosen, once per application, and registered with
-    ``setCheckpointDir``.
+    setting cannot change at run time). Only when it is unset in local mode
+    (tests) is a scratch folder chosen, once per application, and registered
+    with ``setCheckpointDir``. A cluster without the setting is an error: a
+    machine-local folder is not visible to the executors.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
@@ -51,6 +52,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
     current = spark.sparkContext._jsc.sc().getCheckpointDir()
     if current.isDefined():
         return current.get()
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError(
+            "spark.checkpoint.dir is not set: set it to a folder on shared storage"
+        )
     path = tempfile.mkdtemp(prefix="touchline-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     spark.sparkContext.setCheckpointDir(path)
     return spark.sparkContext._jsc.sc().getCheckpointDir().get()
