@@ -183,3 +183,20 @@ def test_duplicate_match_listing_does_not_double_events(spark, scratch):
     out = os.path.join(scratch, "landed_dup")
     land_events(S.read_events(spark, paths["events"]), doubled, out)
     assert spark.read.parquet(out).count() == 23
+
+
+def test_unknown_fields_report_drift(spark, scratch):
+    import json
+
+    from touchline.schemas import EVENT_DOCUMENT_SCHEMA
+
+    d = os.path.join(scratch, "ev")
+    os.makedirs(d)
+    doc = [{"id": "1", "type": {"id": 30, "name": "Pass"},
+            "pass": {"outcome": {"name": "Out"}, "technique": {"id": 1, "name": "Through Ball"}},
+            "related_events": ["a", "b"], "tactics": {"lineup": [{"jersey_number": 3, "country": "X"}]}}]
+    with open(os.path.join(d, "1.json"), "w") as f:
+        json.dump(doc, f)
+    got = S.unknown_fields(spark, os.path.join(d, "*.json"), EVENT_DOCUMENT_SCHEMA, sampling_ratio=1.0)
+    assert got == ["pass.technique", "pass.technique.id", "pass.technique.name", "related_events",
+                   "tactics.lineup.country"]

@@ -112,3 +112,39 @@ def split_corrupt(df: DataFrame) -> tuple[DataFrame, DataFrame]:
         "source_file", first, F.col(CORRUPT).alias(RAW_TEXT)
     )
     return good, bad
+
+
+def _paths(dt: T.DataType, prefix: str = "") -> set[str]:
+    """Every nested field path of a type (array elements are looked into)."""
+    while isinstance(dt, T.ArrayType):
+        dt = dt.elementType
+    out: set[str] = set()
+    if isinstance(dt, T.StructType):
+        for f in dt.fields:
+            path = f"{prefix}{f.name}"
+            out.add(path)
+            out |= _paths(f.dataType, path + ".")
+    return out
+
+
+def unknown_fields(
+    spark: SparkSession,
+    path: str | list[str],
+    schema: T.StructType,
+    sampling_ratio: float = 0.1,
+    multi_line: bool = True,
+) -> list[str]:
+    """Field paths present in (a sample of) the documents but not in ``schema``.
+
+    The explicit schema keeps every statistic stable when documents drift,
+    but it ignores fields it does not know; this report (one inference job
+    over a sample) shows what a provider has added, e.g. ``pass.technique``.
+    """
+    inferred = (
+        spark.read.option("multiLine", multi_line)
+        .option("samplingRatio", sampling_ratio)
+        .json(path)
+        .schema
+    )
+    known = _paths(schema)
+    return sorted(p for p in _paths(inferred) if p not in known and p != CORRUPT)
