@@ -6,8 +6,8 @@ single full outer join with the line-up table, instead of seven sub-plans
 and six joins. Both join sides are pre-aggregated before any shuffle: the
 measures side arrives hash-partitioned on the player keys from its own
 aggregation; the line-up side (one row per player and jersey number) is
-re-partitioned once. AQE turns the join into a broadcast only when the
-runtime size is under the configured bound.
+re-partitioned once. A full outer join is never broadcast; it is a sort-merge
+join of two tables the size of the player list, where no key can be hot.
 """
 
 from __future__ import annotations
