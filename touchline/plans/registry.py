@@ -1,8 +1,11 @@
 """Registered queries: one per operator of the inventory, over whole tables.
 
-Each query takes ``(spark, sf_dir)``, derives match events from the driver's
-``events`` table (FIXTURES.md §3) and returns a lazy DataFrame. Point arrays
-are returned as x / y columns so an SQL engine can compare them.
+Each query takes ``(spark, sf_dir)`` and returns a lazy DataFrame over the
+match events derived from the driver's ``events`` table (FIXTURES.md §3). The
+derivation is landed as nested Parquet once per source (under the checkpoint
+folder) and every query reads that table, as statistics read landed match
+documents in production. Point arrays are returned as x / y columns so an SQL
+engine can compare them.
 
 Queries return each table in its writer form, without the presentation sort
 the named-statistic API (``plans.catalog``) applies: a global sort costs a
