@@ -200,3 +200,23 @@ def test_unknown_fields_report_drift(spark, scratch):
     got = S.unknown_fields(spark, os.path.join(d, "*.json"), EVENT_DOCUMENT_SCHEMA, sampling_ratio=1.0)
     assert got == ["pass.technique", "pass.technique.id", "pass.technique.name", "related_events",
                    "tactics.lineup.country"]
+
+
+def test_ingest_cli(spark, scratch, monkeypatch):
+    import importlib.util
+    import sys
+
+    paths = _docs(scratch)
+    spec = importlib.util.spec_from_file_location(
+        "land_cli", os.path.join(os.path.dirname(__file__), "..", "scripts", "land.py"))
+    cli = importlib.util.module_from_spec(spec)
+    spec.loader.exec_module(cli)
+    out = os.path.join(scratch, "cli_out")
+    monkeypatch.setattr(sys, "argv", ["land.py", "--events", paths["events"], "--matches", paths["matches"],
+                                      "--competitions", paths["competitions"], "--out", out])
+    cli.main()
+    assert spark.read.parquet(os.path.join(out, "events")).count() == 23
+    assert spark.read.parquet(os.path.join(out, "matches")).count() == 3
+    assert spark.read.parquet(os.path.join(out, "competitions")).count() == 1
+    (q,) = spark.read.json(os.path.join(out, "quarantine")).collect()
+    assert q.source_file.endswith("3895304.json")
