@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-import math
 from collections import defaultdict
+from decimal import ROUND_HALF_UP, Decimal
 
 import numpy as np
 from hypothesis import HealthCheck, given, settings
@@ -50,7 +50,10 @@ def event_rows(draw):
 
 
 def _pct(a, b):
-    return float(round(a / b * 100)) if b else 0.0  # exact halves do not occur for these small counts
+    """Spark's round: half up, on the double's shortest decimal form."""
+    if not b:
+        return 0.0
+    return float(Decimal(repr(a / b * 100)).quantize(Decimal(1), rounding=ROUND_HALF_UP))
 
 
 def _brute(rows):
@@ -101,7 +104,8 @@ def test_one_pass_table_matches_brute_force(spark, rows):
         assert r.successful_dribbles == m["successful_dribbles"]
         assert r.ball_recovery_ratio == _pct(m["successful_ball_recoveries"], m["total_ball_recoveries"])
         assert r.standard_blocks == m["standard_blocks"] and r.deflection_blocks == m["deflection_blocks"]
-        assert r.total_time_with_ball == math.floor(m["seconds"] / 60 * 100 + 0.5) / 100
+        minutes = (Decimal(repr(m["seconds"])) / 60).quantize(Decimal("0.01"), rounding=ROUND_HALF_UP)
+        assert r.total_time_with_ball == float(minutes)
 
 
 def _numpy_gaussian(counts: np.ndarray, sigma=1.0, truncate=4.0) -> np.ndarray:
