@@ -50,6 +50,11 @@ def main() -> None:
     ]
     for key, cols in schemas:
         lines.append(f"| {key} | " + "<br>".join(f"`{c}`" for c in cols) + " |")
+    lines += ["", "## Physical plans of three representative queries", ""]
+    for key in ("pass_accuracy_player", "all_player_stats", "heatmap_smooth"):
+        df = E.queries()[key](spark, sf_dir)
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        lines += [f"### {key}", "", "```", plan.rstrip(), "```", ""]
     out = os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "PLANS.md")
     with open(out, "w") as f:
         f.write("\n".join(lines) + "\n")
