@@ -9,6 +9,7 @@ import numpy as np
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
+from touchline.operators import aggregations as A
 from touchline.operators import spatial as SP
 from touchline.operators import team as TM
 from touchline.schemas import EVENT_SCHEMA
@@ -139,3 +140,73 @@ def test_heatmap_matches_numpy_filter(spark, points):
     assert {(i, j) for i in range(25) for j in range(25) if want[i, j] > 1e-12} == set(got)
     # mass is preserved by the reflected filter
     assert abs(sum(got.values()) - len(points)) < 1e-3
+
+
+FOUL_TYPES = [None, "6 Seconds", "Backpass Pick", "Dangerous Play", "Dive", "Foul Out", "Handball"]
+
+
+@st.composite
+def foul_rows(draw):
+    rows = []
+    for i in range(draw(st.integers(1, 30))):
+        pid, pname, tid, tname = draw(st.sampled_from(PLAYERS[:3]))
+        won = draw(st.booleans())
+        e = {f.name: None for f in EVENT_SCHEMA.fields}
+        e.update(id=str(i), index=i, match_id=1, team=_ref(tid, tname), player=_ref(pid, pname),
+                 type={"id": None, "name": "Foul Won" if won else "Foul Committed"})
+        if draw(st.booleans()):
+            flag = lambda: draw(st.sampled_from([None, True]))
+            if won:
+                e["foul_won"] = {"defensive": flag(), "advantage": flag(), "penalty": flag()}
+            else:
+                e["foul_committed"] = {"type": _ref(None, draw(st.sampled_from(FOUL_TYPES))),
+                                       "counterpress": flag(), "offensive": flag(), "advantage": flag(),
+                                       "penalty": flag(), "card": _ref(None, draw(st.sampled_from([None, "Yellow Card"])))}
+        rows.append(e)
+    return rows
+
+
+def _pct2(a, b):
+    return float(Decimal(repr(a / b * 100)).quantize(Decimal("0.01"), rounding=ROUND_HALF_UP))
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=list(HealthCheck))
+@given(rows=foul_rows())
+def test_foul_tables_match_brute_force(spark, rows):
+    df = spark.createDataFrame(rows, EVENT_SCHEMA)
+    committed = {r.player_id: r.asDict() for r in A.fouls_committed(df, sort=False).collect()}
+    won = {r.player_id: r.asDict() for r in A.fouls_won(df, sort=False).collect()}
+    want_c, want_w = defaultdict(lambda: defaultdict(int)), defaultdict(lambda: defaultdict(int))
+    for e in rows:
+        pid = e["player"]["id"]
+        if e["type"]["name"] == "Foul Committed":
+            m, fc = want_c[pid], e["foul_committed"]
+            m["total_fouls_committed"] += 1
+            m["standard_fouls"] += fc is None
+            if fc is not None:
+                kind = fc["type"] and fc["type"]["name"]
+                for name, value in (("six_seconds_fouls", "6 Seconds"), ("backpass_pick_fouls", "Backpass Pick"),
+                                    ("dangerous_play_fouls", "Dangerous Play"), ("dive_fouls", "Dive"),
+                                    ("fouls_out", "Foul Out"), ("handball_fouls", "Handball")):
+                    m[name] += kind == value
+                for flag in ("counterpress", "offensive", "advantage", "penalty", "card"):
+                    m[f"{flag}_fouls"] += fc[flag] is not None
+        else:
+            m, fw = want_w[pid], e["foul_won"]
+            m["total_fouls_won"] += 1
+            m["standard_fouls"] += fw is None
+            if fw is not None:
+                for flag in ("defensive", "advantage", "penalty"):
+                    m[f"{flag}_fouls"] += fw[flag] is not None
+    assert set(committed) == set(want_c) and set(won) == set(want_w)
+    for pid, m in want_c.items():
+        got = committed[pid]
+        for name, v in m.items():
+            assert got[name] == v, (name, got[name], v)
+        assert got["dive_foul_ratio"] == _pct2(m["dive_fouls"], m["total_fouls_committed"])
+        assert got["standard_foul_ratio"] == _pct2(m["standard_fouls"], m["total_fouls_committed"])
+    for pid, m in want_w.items():
+        got = won[pid]
+        for name, v in m.items():
+            assert got[name] == v, (name, got[name], v)
+        assert got["penalty_foul_ratio"] == _pct2(m["penalty_fouls"], m["total_fouls_won"])
