@@ -210,3 +210,36 @@ def test_foul_tables_match_brute_force(spark, rows):
         for name, v in m.items():
             assert got[name] == v, (name, got[name], v)
         assert got["penalty_foul_ratio"] == _pct2(m["penalty_fouls"], m["total_fouls_won"])
+
+
+def test_match_clock_format_every_value(spark):
+    from pyspark.sql import functions as F
+
+    from touchline.functions.columns import mm_ss
+
+    df = spark.range(131 * 60).select((F.col("id") / 60).cast("long").alias("m"), (F.col("id") % 60).alias("s"))
+    got = {(r.m, r.s): r.t for r in df.select("m", "s", mm_ss(F.col("m"), F.col("s")).alias("t")).collect()}
+    assert len(got) == 131 * 60
+    assert all(t == f"{m:02d}:{s:02d}" for (m, s), t in got.items())
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+@given(entries=st.lists(st.tuples(st.integers(1, 4), st.sampled_from([7, 9]),
+                                  st.sampled_from(["Left Wing", "Center Back", "Goalkeeper"])),
+                        min_size=1, max_size=12))
+def test_lineup_matches_brute_force(spark, entries):
+    team = {"id": 1, "name": "T"}
+    rows = []
+    for i, (pid, number, pos) in enumerate(entries):
+        e = {f.name: None for f in EVENT_SCHEMA.fields}
+        e.update(id=f"xi{i}", index=0, match_id=i, team=team, type={"id": None, "name": "Starting XI"},
+                 tactics={"formation": None, "lineup": [
+                     {"player": {"id": pid, "name": f"P{pid}"}, "position": {"id": None, "name": pos},
+                      "jersey_number": number}]})
+        rows.append(e)
+    got = {(r.player_id, r.player_number): r.player_positions
+           for r in A.lineup(spark.createDataFrame(rows, EVENT_SCHEMA)).collect()}
+    want = defaultdict(set)
+    for pid, number, pos in entries:
+        want[(pid, number)].add(pos)
+    assert got == {k: ", ".join(sorted(v)) for k, v in want.items()}
