@@ -220,3 +220,38 @@ def test_ingest_cli(spark, scratch, monkeypatch):
     assert spark.read.parquet(os.path.join(out, "competitions")).count() == 1
     (q,) = spark.read.json(os.path.join(out, "quarantine")).collect()
     assert q.source_file.endswith("3895304.json")
+
+
+def test_stat_cli_routes(spark, scratch, monkeypatch):
+    import importlib.util
+    import sys
+
+    paths = _docs(scratch)
+    here = os.path.join(os.path.dirname(__file__), "..", "scripts")
+
+    def load(name):
+        spec = importlib.util.spec_from_file_location(name, os.path.join(here, f"{name}.py"))
+        mod = importlib.util.module_from_spec(spec)
+        spec.loader.exec_module(mod)
+        return mod
+
+    landed = os.path.join(scratch, "landed_cli")
+    monkeypatch.setattr(sys, "argv", ["land.py", "--events", paths["events"], "--matches", paths["matches"],
+                                      "--competitions", paths["competitions"], "--out", landed])
+    load("land").main()
+    stat = load("stat")
+
+    def run(*route):
+        out = os.path.join(scratch, "out-" + "-".join(route).replace(" ", "_"))
+        stat.main(["--landed", landed, "--out", out, *route])
+        return spark.read.json(out).collect()
+
+    assert [r.competition_id for r in run("competitions")] == [9]
+    assert len(run("matches", "--competition", "9", "--season", "281")) == 2
+    ev = run("events", "--match", "3895302", "--stat", "pass_acc", "--player", "40724")
+    assert [(r.player_id, r.total_passes) for r in ev] == [(40724, 2)]
+    season = run("season", "--competition", "9", "--season", "281", "--stat", "pass_acc")
+    assert {r.player_id: r.total_passes for r in season} == {40724: 3, 34870: 1}
+    team = run("season-team", "--competition", "9", "--season", "281", "--stat", "players",
+               "--team-name", "Bayer Leverkusen")
+    assert sorted(r.name for r in team) == ["Florian Wirtz", "Granit Xhaka"]
