@@ -387,6 +387,9 @@ def oracle_sql() -> dict[str, str]:
         "cast(rn AS INTEGER) AS rank FROM (SELECT *, row_number() OVER "
         "(PARTITION BY team_id ORDER BY pass_accuracy DESC, player_id) AS rn FROM ep) AS r "
         f"WHERE rn <= {TOP_N}", ("ep", exact_passes_sql()))
+    out["top_players_overall"] = _with(
+        "SELECT team_name, team_id, player_name, player_id, total_passes, pass_accuracy FROM ep "
+        f"ORDER BY pass_accuracy DESC, player_id LIMIT {TOP_N}", ("ep", exact_passes_sql()))
     out["team_complete_rows"] = _with(
         f"SELECT * FROM ({time_on_ball_sql()}) AS t WHERE {tf} AND total_time_with_ball IS NOT NULL")
     return out

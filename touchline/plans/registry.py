@@ -102,6 +102,14 @@ def _top_players(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _top_players_overall(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table = A.exact_passes(_ev(spark, sf_dir), sort=False)
+    top = S.top_players(table, "pass_accuracy", TOP_N)
+    return top.select(
+        "team_name", "team_id", "player_name", "player_id", "total_passes", "pass_accuracy"
+    )
+
+
 def _team_complete_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return S.team_complete_rows(A.time_on_ball(_ev(spark, sf_dir), sort=False), TEAM_ID)
 
@@ -179,5 +187,6 @@ def queries() -> dict[str, Query]:
     out["shot_map"] = _shot_map
     out["shot_map_bounds"] = _shot_map_bounds
     out["top_players"] = _top_players
+    out["top_players_overall"] = _top_players_overall
     out["team_complete_rows"] = _team_complete_rows
     return out
