@@ -1,7 +1,8 @@
-"""Column builders shared by the statistics.
+"""Column and SQL-expression builders shared by the statistics.
 
-All are built-in Spark expressions, so every statistic stays inside
-whole-stage codegen with no Python on the hot path.
+Every one becomes a built-in Spark expression (the ``*_sql`` forms are
+parsed by Spark once per query), so every statistic stays inside whole-stage
+codegen with no Python on the hot path.
 """
 
 from __future__ import annotations
