@@ -255,3 +255,25 @@ def test_stat_cli_routes(spark, scratch, monkeypatch):
     team = run("season-team", "--competition", "9", "--season", "281", "--stat", "players",
                "--team-name", "Bayer Leverkusen")
     assert sorted(r.name for r in team) == ["Florian Wirtz", "Granit Xhaka"]
+
+
+def test_relanding_a_season_keeps_the_others(spark, scratch):
+    import json
+
+    from jsondocs import TEAM_A, WIRTZ, ev
+
+    paths = _docs(scratch)
+    matches = S.split_corrupt(S.read_matches(spark, paths["matches"]).cache())[0]
+    out = os.path.join(scratch, "landed_seasons")
+    land_events(S.read_events(spark, paths["events"]), matches, out)
+    other = os.path.join(scratch, "season282")
+    os.makedirs(other)
+    with open(os.path.join(other, "3895999.json"), "w") as f:
+        json.dump([ev(1, "Pass", TEAM_A, WIRTZ, **{"pass": {"end_location": [1.0, 1.0]}})], f)
+    land_events(S.read_events(spark, os.path.join(other, "*.json")), matches, out, mode="overwrite")
+    seasons = {r.season_id: r.n for r in spark.read.parquet(out).groupBy("season_id").agg(F.count("*").alias("n")).collect()}
+    assert seasons == {281: 23, 282: 1}
+    # landing season 281 again replaces it, not adds to it
+    land_events(S.read_events(spark, paths["events"]), matches, out, mode="overwrite")
+    seasons = {r.season_id: r.n for r in spark.read.parquet(out).groupBy("season_id").agg(F.count("*").alias("n")).collect()}
+    assert seasons == {281: 23, 282: 1}

@@ -60,11 +60,14 @@ def write_events(events: DataFrame, path: str, mode: str = "overwrite") -> None:
 
     No shuffle: every task sorts its own rows and writes its own files per
     season, so a season (or one huge match) never funnels into one task.
+    Overwrite is per partition: landing one season again replaces that
+    season and leaves every other season in place.
     """
     keys = ["competition_id", "season_id", "match_id", "index"]
     (
         events.sortWithinPartitions(*keys)
         .write.mode(mode)
+        .option("partitionOverwriteMode", "dynamic")
         .partitionBy("competition_id", "season_id")
         .parquet(path)
     )
