@@ -26,7 +26,7 @@ from touchline.sources.documents import (  # noqa: E402
     read_matches,
     split_corrupt,
 )
-from touchline.sources.landing import land_events, land_table  # noqa: E402
+from touchline.sources.landing import land_events, land_matches, land_table  # noqa: E402
 
 
 def main() -> None:
@@ -43,7 +43,7 @@ def main() -> None:
         good_competitions, _ = split_corrupt(read_competitions(spark, args.competitions))
         land_table(good_competitions, f"{out}/competitions", mode=args.mode)
     good_matches, _ = split_corrupt(read_matches(spark, args.matches))
-    land_table(good_matches, f"{out}/matches", mode=args.mode)
+    land_matches(good_matches, f"{out}/matches", mode=args.mode)
     matches = spark.read.parquet(f"{out}/matches")
     land_events(
         read_events(spark, args.events),

@@ -277,3 +277,16 @@ def test_relanding_a_season_keeps_the_others(spark, scratch):
     land_events(S.read_events(spark, paths["events"]), matches, out, mode="overwrite")
     seasons = {r.season_id: r.n for r in spark.read.parquet(out).groupBy("season_id").agg(F.count("*").alias("n")).collect()}
     assert seasons == {281: 23, 282: 1}
+
+
+def test_relanding_matches_keeps_other_seasons(spark, scratch):
+    from touchline.sources.landing import land_matches
+
+    paths = _docs(scratch)
+    matches = S.split_corrupt(S.read_matches(spark, paths["matches"]).cache())[0]
+    out = os.path.join(scratch, "matches_landed")
+    land_matches(matches, out)
+    land_matches(matches.filter("season.season_id = 282"), out, mode="overwrite")
+    per_season = {r.season_id: r.n for r in spark.read.parquet(out).groupBy("season_id").agg(
+        F.count("*").alias("n")).collect()}
+    assert per_season == {281: 2, 282: 1}

@@ -79,6 +79,24 @@ def land_table(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.select(*cols).write.mode(mode).parquet(path)
 
 
+def land_matches(matches: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """Write match documents partitioned by (competition_id, season_id), with
+    per-partition overwrite: landing one season's match list replaces that
+    season only."""
+    cols = [c for c in matches.columns if c not in ("_corrupt_record", "source_file")]
+    (
+        matches.select(
+            *cols,
+            F.col("competition.competition_id").alias("competition_id"),
+            F.col("season.season_id").alias("season_id"),
+        )
+        .write.mode(mode)
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("competition_id", "season_id")
+        .parquet(path)
+    )
+
+
 def write_json(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """K1: a result as JSON lines, written by the executors (nulls omitted)."""
     df.write.mode(mode).json(path)
