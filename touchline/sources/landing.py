@@ -32,6 +32,12 @@ def land_events(
     already clean. Rows that did not parse go to ``quarantine_path``.
     The season of each match comes from the match list by a join on the
     small match table.
+
+    ``mode="overwrite"`` replaces each season present in ``events`` as a
+    whole, so give it all documents of those seasons; ``mode="append"`` adds
+    documents landed for the first time. Matches arriving one by one are the
+    streaming ingest's job (``streaming.ingest.start_landing``), which
+    processes each file exactly once.
     """
     parsed = None
     if "_corrupt_record" in events.columns:
