@@ -58,3 +58,20 @@ def test_heavy_queries_match_oracle_at_sf001(spark, key):
     want = duck(SF_MID).sql(E.oracle_sql()[key]).df()
     assert sorted(got.columns) == sorted(want.columns) and len(got) == len(want)
     assert _norm(got).equals(_norm(want))
+
+
+def test_queries_survive_an_unwritable_landing(spark, monkeypatch):
+    """If the derived tables cannot be landed, queries derive them in place
+    and still agree with the oracle."""
+    from touchline.sources import derived as D
+
+    def fail(*_a, **_k):
+        raise OSError("read-only checkpoint folder")
+
+    monkeypatch.setattr(D, "landed_paths", fail)
+    con = duck(SF_SMALL)
+    for key in ("pass_accuracy", "all_player_stats", "matches", "season_events"):
+        with pytest.warns(RuntimeWarning, match="landing the derived tables failed"):
+            got = E.queries()[key](spark, SF_SMALL).toPandas()
+        want = con.sql(E.oracle_sql()[key]).df()
+        assert _norm(got).equals(_norm(want)), key

@@ -17,6 +17,7 @@ import hashlib
 import re
 import threading
 import uuid
+import warnings
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -481,11 +482,34 @@ def _read_landed(spark: SparkSession, path: str, schema: T.StructType) -> DataFr
     return _READERS[key]
 
 
+def _landed_or_none(spark: SparkSession, sf_dir: str) -> tuple[str, str] | None:
+    try:
+        return landed_paths(spark, sf_dir)
+    except Exception as exc:  # e.g. an unwritable checkpoint folder
+        warnings.warn(
+            f"landing the derived tables failed ({type(exc).__name__}: {exc}); "
+            "deriving them in every query instead",
+            RuntimeWarning,
+            stacklevel=3,
+        )
+        return None
+
+
 def load_match_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Nested match events of ``sf_dir`` (landed once, then read as Parquet)."""
-    return _read_landed(spark, landed_paths(spark, sf_dir)[0], LANDED_EVENTS_SCHEMA)
+    """Nested match events of ``sf_dir`` (landed once, then read as Parquet).
+
+    If the derived tables cannot be landed, the same events are derived
+    within the query instead: identical rows, more work per query.
+    """
+    paths = _landed_or_none(spark, sf_dir)
+    if paths is None:
+        return match_events(read_driver_events(spark, sf_dir), with_season=True)
+    return _read_landed(spark, paths[0], LANDED_EVENTS_SCHEMA)
 
 
 def load_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Match documents of ``sf_dir`` (landed once, then read as Parquet)."""
-    return _read_landed(spark, landed_paths(spark, sf_dir)[1], MATCH_SCHEMA)
+    paths = _landed_or_none(spark, sf_dir)
+    if paths is None:
+        return matches_from_events(match_events(read_driver_events(spark, sf_dir), with_season=True))
+    return _read_landed(spark, paths[1], MATCH_SCHEMA)
