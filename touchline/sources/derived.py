@@ -365,8 +365,8 @@ def _fs(spark: SparkSession, path: str):
     return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
-# Bump when the packing of derived events changes in a way FLAT_COLUMNS and
-# EVENT_SCHEMA do not show.
+# Bump when the derivation changes in a way FLAT_COLUMNS, PLAYER_EVENT_SQL and
+# EVENT_SCHEMA do not show (e.g. the line-up packing).
 LANDING_VERSION = 5
 
 # A session may set this to land into a folder of its own (the benchmark does,
@@ -386,6 +386,7 @@ def _fingerprint(spark: SparkSession, path: str) -> str:
             str(st.getLen()),
             str(st.getModificationTime()),
             repr(FLAT_COLUMNS),
+            repr(PLAYER_EVENT_SQL),
             EVENT_SCHEMA.json(),
             str(LINEUP_CHUNK),
             str(LANDING_VERSION),
