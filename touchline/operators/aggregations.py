@@ -70,10 +70,6 @@ def stat_ratios_sql(stat: M.Stat) -> dict[str, str]:
     return {r.name: pct_sql(r.part, r.whole, r.scale) for r in stat.ratios}
 
 
-def stat_ratios(stat: M.Stat) -> dict[str, Column]:
-    return {name: F.expr(sql) for name, sql in stat_ratios_sql(stat).items()}
-
-
 def _finish(table: DataFrame, columns: list[str], computed: dict[str, str]) -> DataFrame:
     """One projection: each output column as is, or computed from SQL."""
     return table.selectExpr(
