@@ -5,7 +5,10 @@ from __future__ import annotations
 import uuid
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -52,6 +55,23 @@ def by_chars(frames: Iterable[pd.DataFrame], text: str, most: int = BATCH_CHARS)
             start = stop
 
 
+def by_bytes(batches: Iterable[pa.RecordBatch], text: str, most: int = BATCH_CHARS) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
+    """Arrow batches cut into runs of whole rows of about ``most`` bytes, with their texts.
+
+    Other columns stay in Arrow, so null and large ids pass unchanged. A text
+    longer than that is a run of its own; null texts become empty.
+    """
+    for batch in batches:
+        texts = pc.fill_null(batch.column(text), "")
+        ends = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False), dtype=np.int64)
+        start = 0
+        while start < len(texts):
+            base = ends[start - 1] if start else 0
+            stop = max(start + 1, int(ends.searchsorted(base + most, side="right")))
+            yield batch.slice(start, stop - start), texts.slice(start, stop - start).to_pylist()
+            start = stop
+
+
 def components(edges: DataFrame) -> DataFrame:
     """``(node, component)`` for the nodes of ``edges(a, b)``: the smallest node reachable.
 

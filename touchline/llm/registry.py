@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from touchline.llm import licenses, secrets, warc
+from touchline.llm import licenses, packing, secrets, warc
 
-_MODULES = [licenses, warc, secrets]
+_MODULES = [licenses, warc, secrets, packing]
 
 QUERIES = {name: query for m in _MODULES for name, query in m.QUERIES.items()}
 ORACLE_SQL = {name: sql for m in _MODULES for name, sql in m.ORACLE_SQL.items()}
