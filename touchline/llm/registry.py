@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from touchline.llm import licenses, near_dups, packing, secrets, warc
+from touchline.llm import licenses, near_dups, packing, secrets, vector_dups, warc
 
-_MODULES = [licenses, warc, secrets, near_dups, packing]
+_MODULES = [licenses, warc, vector_dups, secrets, near_dups, packing]
 
 QUERIES = {name: query for m in _MODULES for name, query in m.QUERIES.items()}
 ORACLE_SQL = {name: sql for m in _MODULES for name, sql in m.ORACLE_SQL.items()}
