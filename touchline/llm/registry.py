@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from touchline.llm import html_text, licenses, near_dups, packing, secrets, topk, vector_dups, warc
+from touchline.llm import html_text, lexicon, licenses, near_dups, packing, secrets, topk, vector_dups, warc
 
-_MODULES = [licenses, topk, warc, vector_dups, secrets, html_text, near_dups, packing]
+_MODULES = [licenses, topk, warc, vector_dups, secrets, html_text, lexicon, near_dups, packing]
 
 QUERIES = {name: query for m in _MODULES for name, query in m.QUERIES.items()}
 ORACLE_SQL = {name: sql for m in _MODULES for name, sql in m.ORACLE_SQL.items()}
