@@ -126,24 +126,41 @@ def found_spans(text: Column) -> list[tuple[str, Column]]:
     return steps
 
 
-def scan(docs: DataFrame, text_col: str = "text", carry: list[str] | None = None) -> DataFrame:
-    """Secret spans of every row: the columns ``carry`` plus ``base`` and ``added``.
-
-    Both are arrays of ``(start, kind, end)`` in code points, end exclusive,
-    ``kind`` a position in ``KINDS``, sorted by start. Null and empty texts have
-    none; repeated rows give repeated results; carried columns, null or not,
-    pass unchanged, whatever their names. One row per input row, no shuffle.
+def scan(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """Secret spans of every row: ``row, text, base, added``.
+
+    ``row`` holds the input's columns, whatever their names, unchanged; ``text``
+    is the scanned text, empty for null. The spans are arrays of ``(start, kind,
+    end)`` in code points, end exclusive, ``kind`` a position in ``KINDS``,
+    sorted by start. Empty texts have none; repeated rows give repeated results.
+    One row per input row, no shuffle.
     """
-    carry = carry or []
-    out = docs.select(F.struct(*carry).alias("_row") if carry else F.lit(None).alias("_row"), F.col(text_col).alias("_text"))
+    out = docs.select(F.struct("*").alias("row"), F.col(text_col).alias("_text"))
     for name, value in found_spans(F.col("_text")):
         out = out.withColumn(name, value)
-    return out.select(*(F.col("_row").getField(c).alias(f"_in_{i}") for i, c in enumerate(carry)), "_text", "base", "added").select(
-        *(F.col(f"_in_{i}").alias(c) for i, c in enumerate(carry)), "base", "added", "_text"
-    )
+    return out.select("row", F.col("_text").alias("text"), "base", "added")
+
+
+def redact(docs: DataFrame, text_col: str = "text", count_col: str = "n_chars") -> DataFrame:
+    """``docs`` with every secret in its texts replaced by a mark, and the texts' lengths, if there, counted anew.
+
+    Null texts stay null, and rows without a secret stay as they are.
+    """
+    found = scan(docs, text_col).withColumn("spans", F.expr("array_sort(concat(base, added))"))
+    found = found.select("row", F.when(F.size("spans") > 0, redacted()).alias("new"))
+
+    def value(c: str) -> Column:
+        old = F.col("row").getField(c)
+        if c == text_col:
+            return F.coalesce("new", old).alias(c)
+        if c == count_col:
+            return F.coalesce(F.length("new").cast(docs.schema[c].dataType), old).alias(c)
+        return old.alias(c)
+
+    return found.select(*map(value, docs.columns))
 
 
-def redacted(text: str = "_text", spans: str = "array_sort(concat(base, added))", mark: str = "[SECRET]") -> Column:
+def redacted(text: str = "text", spans: str = "spans", mark: str = "[SECRET]") -> Column:
     """``text`` with the union of ``spans`` replaced by ``mark``."""
     return F.expr(
         f"if(size({spans}) = 0, {text}, aggregate({spans}, named_struct('at', 0, 'out', ''), (s, h) -> if(h.end <= s.at, s, named_struct("
@@ -157,10 +174,10 @@ _NAMED = "array_join(transform({0}, h -> concat(element_at(array(" + ", ".join(f
 
 def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Contract query of operator 5 over all of ``documents``."""
-    found = scan(table(spark, sf_dir, "documents"), carry=["doc_id"])
+    found = scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
     count = "cast(size(filter(base, h -> h.kind = {0})) as bigint)"
     return found.select(
-        "doc_id",
+        F.col("row.doc_id").alias("doc_id"),
         F.expr(count.format(0)).alias("n_assign"),
         F.expr(count.format(1)).alias("n_access"),
         F.expr(count.format(2)).alias("n_hex"),
