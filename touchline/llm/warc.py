@@ -209,10 +209,11 @@ def read(spark: SparkSession, path: str) -> DataFrame:
     start = F.lit(len(MAGIC)).cast("bigint")
     entered = found.select("path", F.col("exit").alias("at")).distinct()
     jumps = landed(found.join(entered.union(found.filter(F.col("at") == start).select("path", "at")).distinct(), ["path", "at"], "left_semi").select("path", "at", F.col("exit").alias("to")), "jumps")
+    nodes = jumps.select("path", "at")
     reached = landed(jumps.filter(F.col("at") == start).select("path", "at"), "reached")
     n = reached.count()
     while True:
-        onward = reached.join(jumps, ["path", "at"]).select("path", F.col("to").alias("at")).join(jumps.select("path", "at"), ["path", "at"], "left_semi")
+        onward = reached.join(jumps, ["path", "at"]).select("path", F.col("to").alias("at")).join(nodes, ["path", "at"], "left_semi")
         more = landed(reached.union(onward).distinct(), "reached")
         if (m := more.count()) == n:
             break
