@@ -24,7 +24,6 @@ from touchline.sources.documents import (  # noqa: E402
     read_competitions,
     read_events,
     read_matches,
-    split_corrupt,
 )
 from touchline.sources.landing import land_events, land_matches, land_table  # noqa: E402
 
@@ -35,22 +34,19 @@ def main() -> None:
     ap.add_argument("--matches", required=True)
     ap.add_argument("--competitions")
     ap.add_argument("--out", required=True)
-    ap.add_argument("--mode", default="overwrite", choices=["overwrite", "append"])
     args = ap.parse_args()
     spark = SparkSession.builder.appName("touchline-land").getOrCreate()
     out = args.out.rstrip("/")
+    quarantine = f"{out}/quarantine"
     if args.competitions:
-        good_competitions, _ = split_corrupt(read_competitions(spark, args.competitions))
-        land_table(good_competitions, f"{out}/competitions", mode=args.mode)
-    good_matches, _ = split_corrupt(read_matches(spark, args.matches))
-    land_matches(good_matches, f"{out}/matches", mode=args.mode)
-    matches = spark.read.parquet(f"{out}/matches")
+        land_table(read_competitions(spark, args.competitions), f"{out}/competitions", quarantine_path=quarantine)
+    land_matches(read_matches(spark, args.matches), f"{out}/matches", quarantine_path=quarantine)
     land_events(
         read_events(spark, args.events),
-        matches,
+        spark.read.parquet(f"{out}/matches"),
         f"{out}/events",
-        quarantine_path=f"{out}/quarantine",
-        mode=args.mode,
+        quarantine_path=quarantine,
+        pending_path=f"{out}/pending",
     )
 
 

@@ -8,8 +8,11 @@ import pytest
 
 import __spark_entry__ as E
 from conftest import SF_SMALL, duck
+from touchline.plans.oracle import oracle_sql
+from touchline.plans.registry import queries
 
-KEYS = sorted(E.queries())
+QUERIES, SQL = queries(), oracle_sql()
+KEYS = sorted(QUERIES)
 
 
 def _norm(df: pd.DataFrame) -> pd.DataFrame:
@@ -27,13 +30,14 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.oracle_sql()) == set(E.queries())
+    assert set(SQL) == set(QUERIES)
+    assert set(SQL) <= set(E.oracle_sql()) <= set(E.queries())
 
 
 @pytest.mark.parametrize("key", KEYS)
 def test_query_matches_oracle(spark, con, key):
-    got = E.queries()[key](spark, SF_SMALL).toPandas()
-    want = con.sql(E.oracle_sql()[key]).df()
+    got = QUERIES[key](spark, SF_SMALL).toPandas()
+    want = con.sql(SQL[key]).df()
     assert sorted(got.columns) == sorted(want.columns)
     assert len(got) == len(want)
     for c in got.columns:
@@ -54,24 +58,7 @@ def test_heavy_queries_match_oracle_at_sf001(spark, key):
     """The driver's scale (sf0.01) for the widest plans."""
     from conftest import SF_MID
 
-    got = E.queries()[key](spark, SF_MID).toPandas()
-    want = duck(SF_MID).sql(E.oracle_sql()[key]).df()
+    got = QUERIES[key](spark, SF_MID).toPandas()
+    want = duck(SF_MID).sql(SQL[key]).df()
     assert sorted(got.columns) == sorted(want.columns) and len(got) == len(want)
     assert _norm(got).equals(_norm(want))
-
-
-def test_queries_survive_an_unwritable_landing(spark, monkeypatch):
-    """If the derived tables cannot be landed, queries derive them in place
-    and still agree with the oracle."""
-    from touchline.sources import derived as D
-
-    def fail(*_a, **_k):
-        raise OSError("read-only checkpoint folder")
-
-    monkeypatch.setattr(D, "landed_paths", fail)
-    con = duck(SF_SMALL)
-    for key in ("pass_accuracy", "all_player_stats", "matches", "season_events"):
-        with pytest.warns(RuntimeWarning, match="landing the derived tables failed"):
-            got = E.queries()[key](spark, SF_SMALL).toPandas()
-        want = con.sql(E.oracle_sql()[key]).df()
-        assert _norm(got).equals(_norm(want)), key

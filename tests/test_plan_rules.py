@@ -11,8 +11,8 @@ from __future__ import annotations
 
 import pytest
 
-import __spark_entry__ as E
 from conftest import SF_SMALL
+from touchline.plans.registry import queries
 
 PRE_AGGREGATED = {"HashAggregate", "ObjectHashAggregate", "SortAggregate", "WindowGroupLimit"}
 
@@ -42,9 +42,9 @@ def _initial_plan(df):
     return plan
 
 
-@pytest.mark.parametrize("key", sorted(E.queries()))
+@pytest.mark.parametrize("key", sorted(queries()))
 def test_plan_follows_scale_rules(spark, key):
-    plan = _initial_plan(E.queries()[key](spark, SF_SMALL))
+    plan = _initial_plan(queries()[key](spark, SF_SMALL))
     for node in _walk(plan):
         name = node.nodeName()
         assert name not in ("CartesianProduct", "BroadcastNestedLoopJoin"), name
@@ -69,14 +69,14 @@ def test_rules_catch_a_raw_shuffle(spark, events_small):
     assert any(_through(_children(n)[0]).nodeName() not in PRE_AGGREGATED for n in exchanges)
 
 
-@pytest.mark.parametrize("key", sorted(E.queries()))
+@pytest.mark.parametrize("key", sorted(set(queries()) - {"event_documents"}))  # that one reads JSON text
 def test_every_scan_reads_a_pruned_schema(spark, key):
     """Column pruning reaches the Parquet reader: no registered query reads
     every top-level field of the landed events (22), and none reads every
     leaf of a nested struct it only tests one field of."""
     from touchline.sources.derived import LANDED_EVENTS_SCHEMA
 
-    plan = _initial_plan(E.queries()[key](spark, SF_SMALL))
+    plan = _initial_plan(queries()[key](spark, SF_SMALL))
     scans = [n for n in _walk(plan) if n.nodeName().startswith("Scan parquet")]
     assert scans, key
     full = len(LANDED_EVENTS_SCHEMA.fields)
@@ -85,4 +85,5 @@ def test_every_scan_reads_a_pruned_schema(spark, key):
         n = required.size()
         assert n < full, (key, n)
         assert "tactics" not in required.simpleString() or key in ("lineup", "all_player_stats",
-                                                                    "team_match_stats", "team_match_stats_by_name")
+                                                                    "team_match_stats", "team_match_stats_by_name",
+                                                                    "entry_season_team_all")

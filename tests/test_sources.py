@@ -270,11 +270,11 @@ def test_relanding_a_season_keeps_the_others(spark, scratch):
     os.makedirs(other)
     with open(os.path.join(other, "3895999.json"), "w") as f:
         json.dump([ev(1, "Pass", TEAM_A, WIRTZ, **{"pass": {"end_location": [1.0, 1.0]}})], f)
-    land_events(S.read_events(spark, os.path.join(other, "*.json")), matches, out, mode="overwrite")
+    land_events(S.read_events(spark, os.path.join(other, "*.json")), matches, out)
     seasons = {r.season_id: r.n for r in spark.read.parquet(out).groupBy("season_id").agg(F.count("*").alias("n")).collect()}
     assert seasons == {281: 23, 282: 1}
     # landing season 281 again replaces it, not adds to it
-    land_events(S.read_events(spark, paths["events"]), matches, out, mode="overwrite")
+    land_events(S.read_events(spark, paths["events"]), matches, out)
     seasons = {r.season_id: r.n for r in spark.read.parquet(out).groupBy("season_id").agg(F.count("*").alias("n")).collect()}
     assert seasons == {281: 23, 282: 1}
 
@@ -286,7 +286,7 @@ def test_relanding_matches_keeps_other_seasons(spark, scratch):
     matches = S.split_corrupt(S.read_matches(spark, paths["matches"]).cache())[0]
     out = os.path.join(scratch, "matches_landed")
     land_matches(matches, out)
-    land_matches(matches.filter("season.season_id = 282"), out, mode="overwrite")
+    land_matches(matches.filter("season.season_id = 282"), out)
     per_season = {r.season_id: r.n for r in spark.read.parquet(out).groupBy("season_id").agg(
         F.count("*").alias("n")).collect()}
     assert per_season == {281: 2, 282: 1}

@@ -102,8 +102,9 @@ def test_shot_outcome_groups_within_total(events_small):
 def test_one_pass_table_equals_join_of_separate_tables(events_small):
     one = TM.all_player_stats(events_small, sort=False)
     keys = ["player_name", "team_name", "team_id", "player_id"]
-    joined = TM.outer_join_fill(
-        keys,
+    from functools import reduce
+
+    joined = reduce(lambda left, right: TM.filled_outer_join(keys, left, right), [
         A.lineup(events_small, sort=False),
         A.pass_accuracy(events_small, sort=False),
         A.shots(events_small, sort=False),
@@ -111,7 +112,7 @@ def test_one_pass_table_equals_join_of_separate_tables(events_small):
         A.ball_recoveries(events_small, sort=False),
         A.blocks(events_small, sort=False),
         A.time_on_ball(events_small, sort=False),
-    ).select(*one.columns)
+    ]).select(*one.columns)
     assert one.exceptAll(joined).count() == 0 and joined.exceptAll(one).count() == 0
 
 
@@ -211,16 +212,6 @@ def test_drop_absent_gives_the_source_shape(doc_events):
     assert "handball_fouls" not in committed.columns
 
 
-def test_nested_field_exists():
-    from touchline.schemas import EVENT_SCHEMA, nested_field_exists
-
-    assert nested_field_exists(EVENT_SCHEMA, "block", "deflection")
-    assert nested_field_exists(EVENT_SCHEMA, "pass", "name")  # one struct deeper (pass.outcome.name)
-    assert not nested_field_exists(EVENT_SCHEMA, "block", "card")
-    assert not nested_field_exists(EVENT_SCHEMA, "minute", "x")
-    assert not nested_field_exists(EVENT_SCHEMA, "nope", "x")
-
-
 def test_source_entry_points(spark, tmp_path_factory):
     paths = write_documents(str(tmp_path_factory.mktemp("api")))
     events = S.split_corrupt(S.read_events(spark, paths["events"]).cache())[0]

@@ -8,7 +8,12 @@ import os
 from jsondocs import match_drift, match_full, write_documents
 from touchline.operators import team as TM
 from touchline.sources import documents as S
-from touchline.streaming.ingest import read_event_stream, start_landing, start_player_totals
+from touchline.streaming.ingest import (
+    read_event_stream,
+    read_player_totals,
+    start_landing,
+    start_player_totals,
+)
 
 
 def test_stream_lands_documents_and_quarantines(spark, scratch):
@@ -29,23 +34,23 @@ def test_stream_lands_documents_and_quarantines(spark, scratch):
 
 
 def test_running_totals_follow_new_documents(spark, scratch):
-    ev_dir = os.path.join(scratch, "events")
+    ev_dir, totals = os.path.join(scratch, "events"), os.path.join(scratch, "totals")
     os.makedirs(ev_dir)
     with open(os.path.join(ev_dir, "3895302.json"), "w") as f:
         json.dump(match_full(), f)
     stream = read_event_stream(spark, ev_dir)
     ckpt = os.path.join(scratch, "ckpt")
-    q = start_player_totals(stream, "totals_a", checkpoint=ckpt, available_now=True)
+    q = start_player_totals(stream, "totals_a", totals, checkpoint=ckpt, available_now=True)
     q.awaitTermination(120)
-    first = {r.player_id: r for r in spark.table("totals_a").collect()}
+    first = {r.player_id: r for r in read_player_totals(spark, totals).collect()}
     assert first[40724].total_passes == 2 and first[40724].goal == 1
 
     # a second match arrives; the restarted query picks up only the new file
     with open(os.path.join(ev_dir, "3895303.json"), "w") as f:
         json.dump(match_drift(), f)
-    q = start_player_totals(read_event_stream(spark, ev_dir), "totals_b", checkpoint=ckpt, available_now=True)
+    q = start_player_totals(read_event_stream(spark, ev_dir), "totals_b", totals, checkpoint=ckpt, available_now=True)
     q.awaitTermination(120)
-    streamed = {r.player_id: r.asDict() for r in spark.table("totals_b").collect()}
+    streamed = {r.player_id: r.asDict() for r in read_player_totals(spark, totals).collect()}
     assert streamed[40724]["total_passes"] == 3 and streamed[40724]["pass_accuracy"] == 67.0
 
     batch_events = S.split_corrupt(S.read_events(spark, os.path.join(ev_dir, "*.json")).cache())[0]
@@ -59,15 +64,15 @@ def test_running_totals_follow_new_documents(spark, scratch):
 
 def test_totals_accumulate_over_micro_batches(spark, scratch):
     """One document per trigger: the running state adds batches up exactly."""
-    ev_dir = os.path.join(scratch, "events")
+    ev_dir, totals = os.path.join(scratch, "events"), os.path.join(scratch, "totals")
     os.makedirs(ev_dir)
     for mid, docs in ((3895302, match_full()), (3895303, match_drift())):
         with open(os.path.join(ev_dir, f"{mid}.json"), "w") as f:
             json.dump(docs, f)
     stream = read_event_stream(spark, ev_dir, max_files_per_trigger=1)
-    q = start_player_totals(stream, "totals_c", checkpoint=os.path.join(scratch, "ckpt"), available_now=True)
+    q = start_player_totals(stream, "totals_c", totals, checkpoint=os.path.join(scratch, "ckpt"), available_now=True)
     q.awaitTermination(120)
     assert len([p for p in q.recentProgress if p["numInputRows"] > 0]) == 2  # two micro-batches
-    rows = {r.player_id: r for r in spark.table("totals_c").collect()}
+    rows = {r.player_id: r for r in read_player_totals(spark, totals).collect()}
     assert rows[40724].total_passes == 3 and rows[40724].total_time_with_ball == round(19.75 / 60, 2)
     assert rows[40724].blocked_or_saved_by_goalkeeper == 1  # the Saved shot of the second match

@@ -13,6 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -33,13 +34,14 @@ def scope(
     team_id: int | None = None,
     team_name: str | None = None,
 ) -> DataFrame:
-    """Restrict events to one player and/or team (None = no restriction)."""
+    """Restrict events to one player and/or team (None = no restriction); a
+    team name wins over a team id."""
     if player_id is not None:
         events = events.filter(F.col("player.id") == F.lit(player_id))
-    if team_id is not None:
-        events = events.filter(F.col("team.id") == F.lit(team_id))
     if team_name is not None:
         events = events.filter(F.col("team.name") == F.lit(team_name))
+    elif team_id is not None:
+        events = events.filter(F.col("team.id") == F.lit(team_id))
     return events
 
 
@@ -82,9 +84,10 @@ def type_is_sql(name: str) -> str:
 
 
 def order_stat(df: DataFrame, desc: str, first: str = "team_name") -> DataFrame:
-    """The source ordering (team, then the headline measure, descending) with a
-    player-id tie-break so the order is total."""
-    return df.orderBy(F.col(first), F.col(desc).desc(), F.col("player_id"))
+    """The source ordering (team, then the headline measure, descending) with
+    all player keys as tie-break so the order is total."""
+    ties = [k for k in ("player_id", "team_id", "team_name", "player_name") if k in df.columns and k != first]
+    return df.orderBy(F.col(first), F.col(desc).desc(), *ties)
 
 
 def player_stat(
@@ -110,6 +113,7 @@ def drop_absent(table: DataFrame, stat: M.Stat, always: tuple[str, ...]) -> Data
     optional = [n for n, _ in stat.counts if n not in always]
     if not optional:
         return table
+    table = table.persist(StorageLevel.MEMORY_AND_DISK)  # per player, not per event
     row = table.agg(*[F.max(F.col(c)).alias(c) for c in optional]).first()
     absent = [c for c in optional if row is None or not row[c]]
     return table.drop(*absent, *[ratio_of[c] for c in absent if c in ratio_of])

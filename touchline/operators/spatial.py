@@ -33,7 +33,7 @@ SHOT_MAP_X_MAX = 47.0
 
 # Kernel weights are rounded to this many decimals and all smoothing sums are
 # exact decimals, so the result does not depend on summation order.
-KERNEL_SCALE = 12
+KERNEL_SCALE = 9
 SMOOTH_SCALE = 6
 
 
@@ -135,38 +135,43 @@ def heatmap_smooth(
 ) -> DataFrame:
     """C2 step 2: Gaussian-smoothed bin counts per group.
 
-    The filter is separable: one pass along x, one along y, each a join with
-    a (2r+1)-tap axis kernel and a re-aggregation, so a bin fans out to 2(2r+1)
-    partial sums instead of (2r+1)^2. All sums are exact decimals, so the
-    result equals the 2-D convolution with weights ``wx * wy`` and does not
-    depend on summation order. Bins out of the kernel's reach of every count
-    are 0 and are not listed.
-
-    Exact range: a group's count in one bin below 10^12 (a trillion events of
-    one player in one cell), which keeps every product within Spark's 38
-    decimal digits; beyond it Spark raises an overflow error (ANSI mode)
-    rather than return a rounded value.
+    Every group gets all ``bins[0] * bins[1]`` cells: a bin of a group is first
+    completed along each axis by exploding the axis's bins (a fixed factor). The
+    filter is separable: one pass along x, one along y, each a join with a
+    (2r+1)-tap axis kernel and a re-aggregation, so a bin fans out to 2(2r+1)
+    partial sums instead of (2r+1)^2. The result does not depend on summation
+    order: counts are multiplied by weights scaled to whole numbers, in exact
+    decimals of 38 digits. A product of two weights takes ``2 * KERNEL_SCALE``
+    = 18 of them, so any bigint count fits.
     """
     spark = counts.sparkSession
-    kx = gaussian_axis_kernel(spark, bins[0], sigma, truncate).alias("kx")
-    ky = gaussian_axis_kernel(spark, bins[1], sigma, truncate).alias("ky")
-    c = counts.alias("c")
+    scale = 10**KERNEL_SCALE
+    whole = F.round(F.col("w") * F.lit(scale)).cast("decimal(38,0)")
+    kx = gaussian_axis_kernel(spark, bins[0], sigma, truncate).select("src", "tgt", whole.alias("w")).alias("kx")
+    ky = gaussian_axis_kernel(spark, bins[1], sigma, truncate).select("src", "tgt", whole.alias("w")).alias("ky")
+    zero = F.lit(0).cast("decimal(38,0)")
+    # rows of the grid that hold counts, spread along x; all other cells start from zero
     along_x = (
-        c.join(F.broadcast(kx), F.col("c.bin_x") == F.col("kx.src"))
-        .groupBy(*[F.col(f"c.{g}").alias(g) for g in group_cols],
-                 F.col("kx.tgt").alias("bin_x"), F.col("c.bin_y").alias("bin_y"))
-        .agg(
-            F.sum(F.col("c.n").cast("decimal(12,0)") * F.col("kx.w"))
-            .cast(f"decimal({KERNEL_SCALE + 12},{KERNEL_SCALE})")
-            .alias("v")
-        )
-        .alias("sx")
+        counts.alias("c")
+        .join(F.broadcast(kx), F.col("c.bin_x") == F.col("kx.src"))
+        .groupBy(*[F.col(f"c.{g}").alias(g) for g in group_cols], F.col("kx.tgt").alias("bin_x"), F.col("c.bin_y").alias("bin_y"))
+        .agg(F.sum((F.col("c.n").cast("decimal(20,0)") * F.col("kx.w")).cast("decimal(38,0)")).cast("decimal(38,0)").alias("v"))
+    )
+    axis = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    empty = (
+        counts.select(*group_cols).distinct().select(*group_cols, axis(bins[0]).alias("bin_x"))
+        .select(*group_cols, "bin_x", axis(bins[1]).alias("bin_y"), zero.alias("d"))
+    )
+    along_y = (
+        along_x.alias("sx")
+        .join(F.broadcast(ky), F.col("sx.bin_y") == F.col("ky.src"))
+        .select(*[F.col(f"sx.{g}").alias(g) for g in group_cols], F.col("sx.bin_x").alias("bin_x"), F.col("ky.tgt").alias("bin_y"), (F.col("sx.v") * F.col("ky.w")).cast("decimal(38,0)").alias("d"))
     )
+    # half up at SMOOTH_SCALE decimals, still in whole numbers; the last step is one exact division
+    units = F.round(F.sum("d").cast("decimal(38,0)"), SMOOTH_SCALE - 2 * KERNEL_SCALE).cast("decimal(38,0)")
+    units = (units / F.lit(10 ** (2 * KERNEL_SCALE - SMOOTH_SCALE))).cast("decimal(38,0)").cast("double")
     return (
-        along_x.join(F.broadcast(ky), F.col("sx.bin_y") == F.col("ky.src"))
-        .groupBy(*[F.col(f"sx.{g}").alias(g) for g in group_cols],
-                 F.col("sx.bin_x").alias("bin_x"), F.col("ky.tgt").alias("bin_y"))
-        .agg(F.round(F.sum(F.col("sx.v") * F.col("ky.w")), SMOOTH_SCALE).cast("double").alias("density"))
+        along_y.union(empty).groupBy(*group_cols, "bin_x", "bin_y").agg((units / F.lit(float(10**SMOOTH_SCALE))).alias("density"))
     )
 
 
@@ -216,8 +221,10 @@ def top_players(
     Per partition this is ``row_number() <= n``, which Spark runs with a
     partial per-task limit before the shuffle (window group limit), so a large
     group ships at most ``n`` rows per task. Overall it is a take-ordered.
+    Ties go by all key columns, so the result is defined.
     """
-    order = [F.col(column).desc(), F.col(tie).asc()]
+    keys = [tie, *(k for k in ("team_id", "team_name", "player_name", "player_number") if k in df.columns)]
+    order = [F.col(column).desc(), *[F.col(k).asc() for k in keys]]
     if not partition_by:
         return df.orderBy(*order).limit(n)
     w = Window.partitionBy(*partition_by).orderBy(*order)

@@ -12,9 +12,7 @@ join of two tables the size of the player list, where no key can be hot.
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -23,13 +21,23 @@ from touchline.functions.columns import PLAYER_KEYS
 from touchline.operators import aggregations as A
 
 
-def outer_join_fill(keys: list[str], base: DataFrame, *others: DataFrame) -> DataFrame:
-    """H2: full outer join on ``keys`` (USING, so keys are merged), then
-    numeric nulls to 0 and string nulls to ""."""
-    joined = reduce(lambda l, r: l.join(r, on=keys, how="full_outer"), others, base)
-    numeric = [f.name for f in joined.schema.fields if isinstance(f.dataType, T.NumericType)]
-    strings = [f.name for f in joined.schema.fields if isinstance(f.dataType, T.StringType)]
-    return joined.na.fill(0, numeric).na.fill("", strings)
+def filled_outer_join(keys: list[str], left: DataFrame, right: DataFrame) -> DataFrame:
+    """H2: full outer join of two tables on null-safe ``keys``, then numeric
+    nulls to zero and string nulls to "", all in one projection."""
+    other = right.select(*[F.col(k).alias(f"_key_{k}") for k in keys], *[c for c in right.columns if c not in keys])
+    on = [left[k].eqNullSafe(other[f"_key_{k}"]) for k in keys]
+    joined = left.join(other, on, "full_outer")
+
+    def filled(name: str, value: Column, kind: T.DataType) -> Column:
+        if isinstance(kind, T.NumericType):
+            value = F.coalesce(value, F.lit(0).cast(kind))
+        elif isinstance(kind, T.StringType):
+            value = F.coalesce(value, F.lit(""))
+        return value.alias(name)
+
+    key = [filled(k, F.coalesce(F.col(k), F.col(f"_key_{k}")), left.schema[k].dataType) for k in keys]
+    rest = [(f.name, f.dataType) for df in (left, right) for f in df.schema if f.name not in keys]
+    return joined.select(*key, *[filled(c, F.col(c), kind) for c, kind in rest])
 
 
 def team_players(events: DataFrame, team_name: str) -> DataFrame:
@@ -90,7 +98,7 @@ def team_fouls(
     keys = list(M.KEYS_TPPT)
     out = out.select(*keys, *committed.measure_columns, *won.measure_columns)  # column order
     if sort:
-        out = out.orderBy("team_name", "player_name", "player_id")
+        out = out.orderBy("team_name", "player_name", "player_id", "team_id")
     return out
 
 
@@ -130,7 +138,7 @@ def all_player_stats(
         *[f"coalesce({c}, {zero[c]}) AS {c}" for c in measure_cols],
     )
     if sort:
-        out = out.orderBy("player_number", "team_name", "player_id")
+        out = out.orderBy("player_number", "team_name", "player_id", "team_id", "player_name", "player_positions")
     return out
 
 

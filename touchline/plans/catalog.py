@@ -84,23 +84,15 @@ def stat(
 def team_stat(
     name: str, events: DataFrame, team_id: int | None = None, team_name: str | None = None
 ) -> DataFrame:
-    """A named team table; a non-empty team name wins over the id."""
+    """A named team table of one team: a non-empty name wins over the id, and
+    with neither the id is 0, which no team has, so the table is empty."""
     if name not in TEAM_STATS:
         raise ValueError(f"unknown team stat: {name}")
-    by_name = bool(team_name)
-    if name == "all":
-        return TM.team_match_stats(events, team_id=team_id, team_name=team_name or None)
-    if name == "foul":
-        if by_name:
-            return TM.team_fouls(events, team_name=team_name)
-        return TM.team_fouls(events, team_id=team_id)
-    if name == "pass":
-        if by_name:
-            return TM.team_exact_passes(events, team_name=team_name)
-        return TM.team_exact_passes(events, team_id=team_id)
-    if by_name:
-        return TM.team_players(events, team_name)
-    return TM.team_players_by_id(events, team_id if team_id is not None else 0)
+    team: dict = {"team_name": team_name} if team_name else {"team_id": team_id or 0}
+    if name == "players":
+        return TM.team_players(events, **team) if team_name else TM.team_players_by_id(events, **team)
+    tables = {"all": TM.team_match_stats, "foul": TM.team_fouls, "pass": TM.team_exact_passes}
+    return tables[name](events, **team)
 
 
 # --- the five entry points of the source API, as functions over DataFrames ---

@@ -8,7 +8,15 @@ separate statistics full-outer-joined and zero filled, not one aggregation.
 
 from __future__ import annotations
 
-from touchline.plans.registry import PLAYER_ID, SEASON, TEAM_ID, TEAM_NAME, TOP_N
+from touchline.plans.registry import (
+    MATCH_ID,
+    PLAYER_ID,
+    SEASON,
+    SEASON_TEAM,
+    TEAM_ID,
+    TEAM_NAME,
+    TOP_N,
+)
 from touchline.sources.derived import LINEUP_CHUNK, flat_match_events_sql
 
 ME = flat_match_events_sql("events")
@@ -296,14 +304,40 @@ COMPETITIONS = (
     "'Season ' || cast(season_id AS VARCHAR) AS season_name FROM me"
 )
 
-SEASON_EVENTS = (
-    "SELECT match_id, cast(event_id AS VARCHAR) AS id, type_name, team_id, player_name, minute, \"second\" "
-    f"FROM me WHERE competition_id = {SEASON[0]} AND season_id = {SEASON[1]} "
-    "UNION ALL "
-    "SELECT DISTINCT match_id, 'xi-' || cast(match_id AS VARCHAR) || '-' || cast(team_id AS VARCHAR) || '-' || "
-    f"cast(cast(floor(player_id / {LINEUP_CHUNK}) AS BIGINT) AS VARCHAR) AS id, 'Starting XI' AS type_name, "
-    "team_id, NULL AS player_name, cast(0 AS BIGINT) AS minute, cast(0 AS BIGINT) AS \"second\" "
-    f"FROM me WHERE competition_id = {SEASON[0]} AND season_id = {SEASON[1]}"
+def _flat_events(where: str) -> str:
+    """Player events and the line-up events, one per match, team and chunk of players."""
+    return (
+        "SELECT match_id, cast(event_id AS VARCHAR) AS id, type_name, team_id, player_name, minute, \"second\" "
+        f"FROM me WHERE {where} "
+        "UNION ALL "
+        "SELECT DISTINCT match_id, 'xi-' || cast(match_id AS VARCHAR) || '-' || cast(team_id AS VARCHAR) || '-' || "
+        f"cast(cast(floor(player_id / {LINEUP_CHUNK}) AS BIGINT) AS VARCHAR) AS id, 'Starting XI' AS type_name, "
+        "team_id, NULL AS player_name, cast(0 AS BIGINT) AS minute, cast(0 AS BIGINT) AS \"second\" "
+        f"FROM me WHERE {where}"
+    )
+
+
+IN_SEASON = f"competition_id = {SEASON[0]} AND season_id = {SEASON[1]}"
+SEASON_EVENTS = _flat_events(IN_SEASON)
+
+JSON_ROWS = (
+    "SELECT '{\"match_id\":' || match_id || ',\"id\":\"' || id || '\"' || "
+    "CASE WHEN player_name IS NULL THEN '' ELSE ',\"player_name\":\"' || player_name || '\"' END || '}' AS json "
+    f"FROM ({_flat_events('true')}) AS e"
+)
+
+ALIGN_UNION = " UNION ALL ".join(
+    f"SELECT match_id, cast(event_id AS VARCHAR) AS id, {p} AS pass_outcome, {s} AS shot_outcome, {m} AS player_name FROM me WHERE type_name = '{t}'"
+    for t, p, s, m in [
+        ("Pass", "pass_outcome", "cast(NULL AS VARCHAR)", "cast(NULL AS VARCHAR)"),
+        ("Shot", "cast(NULL AS VARCHAR)", "shot_outcome", "cast(NULL AS VARCHAR)"),
+        ("Pressure", "cast(NULL AS VARCHAR)", "cast(NULL AS VARCHAR)", "player_name"),
+    ]
+)
+
+FILLED_OUTER_JOIN = (
+    f"SELECT {KEYS}, coalesce(total_shots, 0) AS total_shots, coalesce(goal, 0) AS goal, "
+    f"coalesce(total_fouls_won, 0) AS total_fouls_won FROM s FULL OUTER JOIN f USING ({KEYS})"
 )
 
 # --- pitch analytics -------------------------------------------------------
@@ -321,20 +355,24 @@ HEATMAP_COUNTS = (
 )
 
 KERNEL_1D = (
-    "SELECT src, tgt, cast(sum(w) AS DECIMAL(13,12)) AS w FROM ("
+    "SELECT src, tgt, cast(sum(w) AS DECIMAL(10,9)) AS w FROM ("
     " SELECT CASE WHEN tgt + a < 0 THEN -1 - (tgt + a) WHEN tgt + a > 24 THEN 49 - (tgt + a)"
     "   ELSE tgt + a END AS src, tgt,"
-    " cast(exp(-0.5 * a * a) / (SELECT sum(exp(-0.5 * r * r)) FROM range(-4, 5) t(r)) AS DECIMAL(13,12)) AS w"
+    " cast(exp(-0.5 * a * a) / (SELECT sum(exp(-0.5 * r * r)) FROM range(-4, 5) t(r)) AS DECIMAL(10,9)) AS w"
     " FROM (SELECT i AS tgt, unnest(range(-4, 5)) AS a FROM range(25) g(i)) AS taps"
     ") AS k GROUP BY src, tgt"
 )
 
 # The full 2-D convolution (81 taps, weight wx * wy), not the two passes.
 HEATMAP_SMOOTH = (
-    "SELECT c.player_id, cast(kx.tgt AS INTEGER) AS bin_x, cast(ky.tgt AS INTEGER) AS bin_y, "
-    "cast(round(sum(cast(c.n AS DECIMAL(12,0)) * (kx.w * ky.w)), 6) AS DOUBLE) AS density "
-    "FROM hc c JOIN k1 kx ON c.bin_x = kx.src JOIN k1 ky ON c.bin_y = ky.src "
-    "GROUP BY c.player_id, kx.tgt, ky.tgt"
+    "SELECT g.player_id, cast(g.x AS INTEGER) AS bin_x, cast(g.y AS INTEGER) AS bin_y, "
+    "coalesce(d.density, 0) AS density FROM "
+    "(SELECT player_id, x, unnest(range(25)) AS y FROM "
+    " (SELECT player_id, unnest(range(25)) AS x FROM (SELECT DISTINCT player_id FROM hc) AS p) AS q) AS g "
+    "LEFT JOIN (SELECT c.player_id, kx.tgt AS x, ky.tgt AS y, "
+    " cast(round(sum(cast(c.n AS DECIMAL(18,0)) * (kx.w * ky.w)), 6) AS DOUBLE) AS density "
+    " FROM hc c JOIN k1 kx ON c.bin_x = kx.src JOIN k1 ky ON c.bin_y = ky.src "
+    " GROUP BY c.player_id, kx.tgt, ky.tgt) AS d USING (player_id, x, y)"
 )
 
 SHOT_MAP = (
@@ -385,11 +423,30 @@ def oracle_sql() -> dict[str, str]:
     out["top_players"] = _with(
         "SELECT team_name, team_id, player_name, player_id, total_passes, pass_accuracy, "
         "cast(rn AS INTEGER) AS rank FROM (SELECT *, row_number() OVER "
-        "(PARTITION BY team_id ORDER BY pass_accuracy DESC, player_id) AS rn FROM ep) AS r "
+        "(PARTITION BY team_id ORDER BY pass_accuracy DESC, player_id, team_id, team_name, player_name) AS rn FROM ep) AS r "
         f"WHERE rn <= {TOP_N}", ("ep", exact_passes_sql()))
     out["top_players_overall"] = _with(
         "SELECT team_name, team_id, player_name, player_id, total_passes, pass_accuracy FROM ep "
-        f"ORDER BY pass_accuracy DESC, player_id LIMIT {TOP_N}", ("ep", exact_passes_sql()))
+        f"ORDER BY pass_accuracy DESC, player_id, team_id, team_name, player_name LIMIT {TOP_N}", ("ep", exact_passes_sql()))
     out["team_complete_rows"] = _with(
         f"SELECT * FROM ({time_on_ball_sql()}) AS t WHERE {tf} AND total_time_with_ball IS NOT NULL")
+    out["event_documents"] = _with(_flat_events("true"))
+    out["season_events_semi_join"] = _with(SEASON_EVENTS)
+    out["align_union"] = _with(ALIGN_UNION)
+    out["json_rows"] = _with(JSON_ROWS)
+    out["filled_outer_join"] = _with(FILLED_OUTER_JOIN, ("s", shots_sql()), ("f", fouls_won_sql()))
+    st = f"team_id = {SEASON_TEAM} AND match_id IN (SELECT match_id FROM me WHERE {IN_SEASON})"
+    out["entry_competitions"] = _with(COMPETITIONS)
+    out["entry_matches"] = _with(
+        f"SELECT m.* FROM ({MATCHES}) AS m WHERE m.match_id IN (SELECT match_id FROM me WHERE {IN_SEASON})")
+    out["entry_match_all"] = _with(_flat_events(f"match_id = {MATCH_ID}"))
+    out["entry_match_stat"] = _with(pass_accuracy_sql(f"match_id = {MATCH_ID}"))
+    out["entry_season_stat"] = _with(shots_sql(IN_SEASON))
+    out["entry_season_team_all"] = all_player_stats_sql(st)
+    out["entry_season_team_foul"] = team_fouls_sql(st)
+    out["entry_season_team_pass"] = _with(exact_passes_sql(st))
+    out["entry_season_team_players"] = _with(
+        f"SELECT DISTINCT player_name AS name, player_id AS id FROM me WHERE {st} AND player_name IS NOT NULL")
+    out["entry_season_team_default"] = _with(
+        "SELECT DISTINCT player_name AS name, player_id AS id FROM me WHERE team_id = 0 AND player_name IS NOT NULL")
     return out

@@ -15,18 +15,25 @@ as a set has no use for it.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from touchline.functions import measures as M
 from touchline.functions.columns import coord
 from touchline.operators import aggregations as A
 from touchline.operators import projections as P
 from touchline.operators import spatial as S
 from touchline.operators import team as TM
+from touchline.plans import catalog
+from touchline.schemas import EVENT_DOCUMENT_SCHEMA
+from touchline.session import checkpoint_dir
 from touchline.sources import derived as D
-from touchline.sources.season import season_events
+from touchline.sources.documents import read_events, split_corrupt
+from touchline.sources.landing import json_rows
+from touchline.sources.season import align_union, season_events
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -37,6 +44,9 @@ TEAM_NAME = "Team 904"
 PLAYER_ID = 7
 SEASON = (9, 281)
 TOP_N = 5
+# A match of that season and one of its teams.
+MATCH_ID = 3895000
+SEASON_TEAM = 900
 
 
 def _ev(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -66,8 +76,12 @@ def _positions(df: DataFrame) -> DataFrame:
 def _season_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = _ev(spark, sf_dir)
     matches = D.load_matches(spark, sf_dir)
-    ev = season_events(events, matches, *SEASON)
-    return ev.select(
+    return _flat(season_events(events, matches, *SEASON))
+
+
+def _flat(events: DataFrame) -> DataFrame:
+    """Scalar columns of events, for comparison as rows."""
+    return events.select(
         "match_id",
         "id",
         F.col("type.name").alias("type_name"),
@@ -78,6 +92,71 @@ def _season_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _event_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events as one JSON document per match, read back."""
+    fields = [f.name for f in EVENT_DOCUMENT_SCHEMA]
+    path = f"{checkpoint_dir(spark).rstrip('/')}/documents-{uuid.uuid4().hex}"
+    documents = (
+        _ev(spark, sf_dir).groupBy("match_id").agg(F.collect_list(F.struct(*fields)).alias("events"))
+        .select("match_id", F.to_json("events").alias("value"))
+    )
+    documents.write.partitionBy("match_id").text(path)
+    good, _ = split_corrupt(read_events(spark, path))
+    return _flat(good)
+
+
+def _season_events_semi_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S5, S6 on events that don't carry their season."""
+    events = _ev(spark, sf_dir).drop("competition_id", "season_id")
+    return _flat(season_events(events, D.load_matches(spark, sf_dir), *SEASON))
+
+
+def _align_union(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """H3: frames of three kinds of events, each without the others' columns."""
+    events = _ev(spark, sf_dir)
+    of = lambda kind, **cols: events.filter(F.col("type.name") == kind).select("match_id", "id", *[F.col(c).alias(n) for n, c in cols.items()])
+    return align_union([
+        of("Pass", pass_outcome="pass.outcome.name"), of("Shot", shot_outcome="shot.outcome.name"), of("Pressure", player_name="player.name")
+    ])
+
+
+def _json_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K1: rows as JSON objects; the line-ups have no player and leave it out."""
+    return json_rows(_ev(spark, sf_dir).select("match_id", "id", F.col("player.name").alias("player_name")))
+
+
+def _filled_outer_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """H2: shooters beside fouled players, zero where a player is only one of them."""
+    events = _ev(spark, sf_dir)
+    left = A.shots(events, sort=False).select(*M.KEYS_TPPT, "total_shots", "goal")
+    right = A.fouls_won(events, sort=False).select(*M.KEYS_TPPT, "total_fouls_won")
+    return TM.filled_outer_join(list(M.KEYS_TPPT), left, right)
+
+
+def _season_team(name: str, **team) -> Query:
+    def q(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return catalog.season_team_stat(_ev(spark, sf_dir), D.load_matches(spark, sf_dir), *SEASON, name, **team)
+
+    return q
+
+
+def _entry_points() -> dict[str, Query]:
+    """The five entry points of the source API."""
+    competitions = lambda spark, sf_dir: D.competitions_from_matches(D.load_matches(spark, sf_dir))
+    return {
+        "entry_competitions": lambda spark, sf_dir: catalog.competitions(competitions(spark, sf_dir)),
+        "entry_matches": lambda spark, sf_dir: catalog.matches(D.load_matches(spark, sf_dir), *SEASON),
+        "entry_match_all": lambda spark, sf_dir: _flat(catalog.match_stat(_ev(spark, sf_dir), MATCH_ID, "all")),
+        "entry_match_stat": lambda spark, sf_dir: catalog.match_stat(_ev(spark, sf_dir), MATCH_ID, "pass_acc"),
+        "entry_season_stat": lambda spark, sf_dir: catalog.season_stat(_ev(spark, sf_dir), D.load_matches(spark, sf_dir), *SEASON, "shot"),
+        "entry_season_team_all": _season_team("all", team_id=SEASON_TEAM),
+        "entry_season_team_foul": _season_team("foul", team_id=SEASON_TEAM),
+        "entry_season_team_pass": _season_team("pass", team_name=f"Team {SEASON_TEAM}"),
+        "entry_season_team_players": _season_team("players", team_id=SEASON_TEAM),
+        "entry_season_team_default": _season_team("players"),
+    }
+
+
 def _heatmap_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return S.heatmap_counts(P.player_positions(_ev(spark, sf_dir)))
 
@@ -189,4 +268,9 @@ def queries() -> dict[str, Query]:
     out["top_players"] = _top_players
     out["top_players_overall"] = _top_players_overall
     out["team_complete_rows"] = _team_complete_rows
-    return out
+    out["event_documents"] = _event_documents
+    out["season_events_semi_join"] = _season_events_semi_join
+    out["align_union"] = _align_union
+    out["json_rows"] = _json_rows
+    out["filled_outer_join"] = _filled_outer_join
+    return out | _entry_points()

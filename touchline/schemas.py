@@ -174,22 +174,3 @@ EVENT_DOCUMENT_SCHEMA = T.StructType(EVENT_FIELDS)
 
 # Schema of landed events: the document fields plus the match they came from.
 EVENT_SCHEMA = T.StructType(EVENT_FIELDS + [T.StructField("match_id", T.LongType())])
-
-
-def nested_field_exists(schema: T.StructType, parent: str, nested: str) -> bool:
-    """True if ``parent`` is a struct holding ``nested`` directly or one level down.
-
-    With explicit schemas every statistic returns fixed columns, so this is
-    only needed to trim columns for callers that want the data-dependent shape.
-    """
-    if parent not in schema.fieldNames():
-        return False
-    parent_type = schema[parent].dataType
-    if not isinstance(parent_type, T.StructType):
-        return False
-    for field in parent_type.fields:
-        if field.name == nested:
-            return True
-        if isinstance(field.dataType, T.StructType) and nested in field.dataType.fieldNames():
-            return True
-    return False

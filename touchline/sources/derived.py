@@ -17,7 +17,6 @@ import hashlib
 import re
 import threading
 import uuid
-import warnings
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -270,18 +269,6 @@ def _lineup_events(flat: DataFrame, extra: list[str]) -> DataFrame:
     )
 
 
-def _spread(events: DataFrame) -> DataFrame:
-    """Spread an under-partitioned input (one small file is one task) over the
-    cluster's cores. Input that already has enough splits is left alone, so
-    at scale this adds no shuffle."""
-    try:
-        cores = events.sparkSession.sparkContext.defaultParallelism
-        splits = events.rdd.getNumPartitions()
-    except Exception:  # no RDD view (e.g. a Spark Connect session): leave as is
-        return events
-    return events.repartition(cores) if splits < cores else events
-
-
 SEASON_COLUMNS = ["competition_id", "season_id"]
 
 
@@ -291,7 +278,7 @@ def match_events(events: DataFrame, with_season: bool = False) -> DataFrame:
     With ``with_season`` the competition and season ids are added as plain
     columns (the landing partition columns).
     """
-    flat = flat_match_events(_spread(events)).withColumns(
+    flat = flat_match_events(events).withColumns(
         {c: F.col(c).cast("bigint") for c in SEASON_COLUMNS}
     )
     extra = SEASON_COLUMNS if with_season else []
@@ -367,7 +354,7 @@ def _fs(spark: SparkSession, path: str):
 
 # Bump when the derivation changes in a way FLAT_COLUMNS, PLAYER_EVENT_SQL and
 # EVENT_SCHEMA do not show (e.g. the line-up packing).
-LANDING_VERSION = 5
+LANDING_VERSION = 6
 
 # A session may set this to land into a folder of its own (the benchmark does,
 # to time a fresh landing inside the shared checkpoint folder).
@@ -375,142 +362,96 @@ LANDING_TAG_CONF = "touchline.landing.tag"
 
 
 def _fingerprint(spark: SparkSession, path: str) -> str:
-    """Source path, size and modification time plus the derivation itself,
-    so a changed source or a changed derivation is landed again instead of
-    being served stale."""
+    """Every file of the source (path, length, modification time; subfolders
+    included) and the derivation itself, so a changed source or a changed
+    derivation is landed again instead of being served stale."""
     p, fs = _fs(spark, path)
-    st = fs.getFileStatus(p)
-    key = "|".join(
-        [
-            str(p.toUri()),
-            str(st.getLen()),
-            str(st.getModificationTime()),
-            repr(FLAT_COLUMNS),
-            repr(PLAYER_EVENT_SQL),
-            EVENT_SCHEMA.json(),
-            str(LINEUP_CHUNK),
-            str(LANDING_VERSION),
-            spark.conf.get(LANDING_TAG_CONF, ""),
-        ]
-    )
-    return hashlib.sha1(key.encode()).hexdigest()[:16]
-
-
-def _landed(spark: SparkSession, path: str) -> bool:
-    p, fs = _fs(spark, f"{path}/_SUCCESS")
-    return bool(fs.exists(p))
+    digest = hashlib.sha1()
+    files = []
+    listing = fs.listFiles(p, True)
+    while listing.hasNext():
+        f = listing.next()
+        files.append(f"{f.getPath().toUri()}|{f.getLen()}|{f.getModificationTime()}")
+    for key in [
+        *sorted(files),
+        repr(FLAT_COLUMNS),
+        repr(PLAYER_EVENT_SQL),
+        EVENT_SCHEMA.json(),
+        str(LINEUP_CHUNK),
+        str(LANDING_VERSION),
+        spark.conf.get(LANDING_TAG_CONF, ""),
+    ]:
+        digest.update(key.encode() + b"\n")
+    return digest.hexdigest()[:16]
 
 
 _LANDING_LOCK = threading.Lock()
 
 
-def _land_atomically(spark: SparkSession, path: str, write) -> None:
-    """Write with ``write(tmp_path)`` into a private folder, then rename it to
-    ``path``. A crash mid-write leaves no half table under ``path``, and of two
-    concurrent landings the first rename wins and the other is discarded."""
-    if _landed(spark, path):
-        return
-    tmp = f"{path}.tmp-{uuid.uuid4().hex}"
-    write(tmp)
-    p_tmp, fs = _fs(spark, tmp)
-    p_dst, _ = _fs(spark, path)
-    if fs.exists(p_dst) or not fs.rename(p_tmp, p_dst):
-        fs.delete(p_tmp, True)
-
-
-# Landed paths already verified in this application: the source is
-# fingerprinted once per session and sf_dir (the driver tables do not change
-# while a session runs).
-_VERIFIED: dict[tuple[str, str, str], tuple[str, str]] = {}
-
-
 def landed_paths(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
-    """(events, matches) Parquet paths of ``sf_dir``'s derived tables, landed
-    on first use (see ``_land_derived``)."""
-    key = (spark.sparkContext.applicationId, sf_dir, spark.conf.get(LANDING_TAG_CONF, ""))
-    if key not in _VERIFIED:
-        _VERIFIED[key] = _land_derived(spark, sf_dir)
-    return _VERIFIED[key]
-
-
-def _land_derived(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
-    """Land the derived events and matches once, as the ingest job would,
-    and return their Parquet paths.
-
-    They go under the shared checkpoint folder (``spark.checkpoint.dir``),
-    keyed by the source's fingerprint; later calls, from any session that
-    sees the same folder, read the landed tables. Events are written by the
-    same landing job as real match documents: partitioned by competition
-    season and sorted by match. Matches are then one aggregation over the
-    landed events.
+    """(events, matches) Parquet paths of ``sf_dir``'s derived tables.
+
+    The source is fingerprinted on every call. Its tables live under the shared
+    checkpoint folder in a folder named by source and fingerprint; each landing
+    writes a version folder of its own there and, once both tables are complete,
+    a marker that names it. Only marked versions are read: a half-written
+    landing never is, and it cannot harm a complete one. Of two concurrent
+    landings either may be read, they hold the same rows. Folders of older
+    fingerprints of the same source are removed after a landing.
     """
     src = f"{sf_dir.rstrip('/')}/events.parquet"
-    root = f"{checkpoint_dir(spark).rstrip('/')}/derived-{_fingerprint(spark, src)}"
-    events_path, matches_path = f"{root}/events", f"{root}/matches"
+    p, fs = _fs(spark, src)
+    name = hashlib.sha1(f"{fs.makeQualified(p).toUri()}|{spark.conf.get(LANDING_TAG_CONF, '')}".encode()).hexdigest()[:12]
+    home = f"{checkpoint_dir(spark).rstrip('/')}/derived-{name}"
+    root = f"{home}/{_fingerprint(spark, src)}"
     with _LANDING_LOCK:
-        _land_atomically(
-            spark,
-            events_path,
-            lambda tmp: write_events(
-                match_events(read_driver_events(spark, sf_dir), with_season=True), tmp
-            ),
-        )
-        _land_atomically(
-            spark,
-            matches_path,
-            lambda tmp: land_table(
-                matches_from_events(spark.read.schema(LANDED_EVENTS_SCHEMA).parquet(events_path)),
-                tmp,
-            ),
-        )
-    return events_path, matches_path
-
+        version = _published(spark, root)
+        if version is None:
+            version = uuid.uuid4().hex
+            _land_version(spark, sf_dir, f"{root}/{version}")
+            p_marker, fs = _fs(spark, f"{root}/_published/{version}")
+            fs.create(p_marker, False).close()
+            _remove_others(spark, home, root)
+    return f"{root}/{version}/events", f"{root}/{version}/matches"
+
+
+def _published(spark: SparkSession, root: str) -> str | None:
+    """The version that a completion marker names, if there is one."""
+    p, fs = _fs(spark, f"{root}/_published")
+    if not fs.exists(p):
+        return None
+    return min((f.getPath().getName() for f in fs.listStatus(p)), default=None)
 
-LANDED_EVENTS_SCHEMA = T.StructType(
-    EVENT_SCHEMA.fields + [T.StructField(c, T.LongType()) for c in SEASON_COLUMNS]
-)
 
-# One reader per (application, path): the file listing is done once and every
-# query plans against the same file index. Reads use the known schema, so no
-# schema-inference job runs per query.
-_READERS: dict[tuple[str, str], DataFrame] = {}
+def _remove_others(spark: SparkSession, home: str, root: str) -> None:
+    p, fs = _fs(spark, home)
+    for f in fs.listStatus(p):
+        if f.getPath().getName() != root.rpartition("/")[2]:
+            fs.delete(f.getPath(), True)
 
 
-def _read_landed(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    key = (spark.sparkContext.applicationId, path)
-    if key not in _READERS:
-        _READERS[key] = spark.read.schema(schema).parquet(path)
-    return _READERS[key]
+def _land_version(spark: SparkSession, sf_dir: str, path: str) -> None:
+    """Land the derived events and matches, as the ingest job would.
 
+    Events are written by the same writer as real match documents: partitioned
+    by competition season and sorted by match. Matches are then one aggregation
+    over the landed events.
+    """
+    write_events(match_events(read_driver_events(spark, sf_dir), with_season=True), f"{path}/events")
+    land_table(
+        matches_from_events(spark.read.schema(LANDED_EVENTS_SCHEMA).parquet(f"{path}/events")), f"{path}/matches"
+    )
 
-def _landed_or_none(spark: SparkSession, sf_dir: str) -> tuple[str, str] | None:
-    try:
-        return landed_paths(spark, sf_dir)
-    except Exception as exc:  # e.g. an unwritable checkpoint folder
-        warnings.warn(
-            f"landing the derived tables failed ({type(exc).__name__}: {exc}); "
-            "deriving them in every query instead",
-            RuntimeWarning,
-            stacklevel=3,
-        )
-        return None
 
+LANDED_EVENTS_SCHEMA = T.StructType(
+    EVENT_SCHEMA.fields + [T.StructField(c, T.LongType()) for c in SEASON_COLUMNS]
+)
 
 def load_match_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Nested match events of ``sf_dir`` (landed once, then read as Parquet).
-
-    If the derived tables cannot be landed, the same events are derived
-    within the query instead: identical rows, more work per query.
-    """
-    paths = _landed_or_none(spark, sf_dir)
-    if paths is None:
-        return match_events(read_driver_events(spark, sf_dir), with_season=True)
-    return _read_landed(spark, paths[0], LANDED_EVENTS_SCHEMA)
+    """Nested match events of ``sf_dir`` (landed once, then read as Parquet)."""
+    return spark.read.schema(LANDED_EVENTS_SCHEMA).parquet(landed_paths(spark, sf_dir)[0])
 
 
 def load_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Match documents of ``sf_dir`` (landed once, then read as Parquet)."""
-    paths = _landed_or_none(spark, sf_dir)
-    if paths is None:
-        return matches_from_events(match_events(read_driver_events(spark, sf_dir), with_season=True))
-    return _read_landed(spark, paths[1], MATCH_SCHEMA)
+    return spark.read.schema(MATCH_SCHEMA).parquet(landed_paths(spark, sf_dir)[1])

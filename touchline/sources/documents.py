@@ -1,15 +1,16 @@
 """JSON document sources.
 
 A source document is one JSON array (competitions, a season's matches, or a
-match's events). All are read by ``spark.read.json`` over a path or glob with
-an explicit schema and ``multiLine``: one distributed scan over every file,
-no per-document fetch loop and no schema-inference pass. The match of an
-event comes from the document's file name (``<match_id>.json``) through the
-``_metadata`` column.
-
-Unreadable documents are not dropped: PERMISSIVE mode keeps them as rows
-with their raw text in ``_corrupt_record``; ``split_corrupt`` separates them
-into a quarantine frame next to the good rows.
+match's events). All are read over a path or glob with an explicit schema:
+one distributed scan over every file, no per-document fetch loop and no
+schema-inference pass. A document is split into its elements first and each
+element is parsed by itself, so a malformed field costs its own element only.
+The match of an event comes from the document's file name (``<match_id>.json``)
+through the ``_metadata`` column.
+
+What does not parse is not dropped: an element, or the whole text of a document
+that is no JSON array, stays as a row with its raw text in ``_corrupt_record``;
+``split_corrupt`` separates those rows into a quarantine frame.
 """
 
 from __future__ import annotations
@@ -26,6 +27,39 @@ CORRUPT = "_corrupt_record"
 RAW_TEXT = "raw_text"
 
 
+def parse_documents(texts: DataFrame, schema: T.StructType) -> DataFrame:
+    """One row per element of the documents ``value`` (JSON arrays, or single
+    objects), with the raw text of what does not parse in ``_corrupt_record``.
+    Blank documents and empty arrays give no rows."""
+    with_corrupt = T.StructType(schema.fields + [T.StructField(CORRUPT, T.StringType())])
+    keep = [c for c in texts.columns if c != "value"]
+    text = F.trim(F.regexp_replace("value", "^\ufeff|^\\s+|\\s+$", ""))
+    elements = F.when(text.startswith("{"), F.array(text)).otherwise(
+        F.from_json(text, "array<string>")
+    )
+    # the document's own text goes on only if it could not be split
+    split = texts.filter(text != "").select(*keep, elements.alias("elements"), "value")
+    rows = split.select(
+        *keep,
+        F.when(F.col("elements").isNull(), F.col("value")).alias("unreadable"),
+        F.explode(F.coalesce("elements", F.array(F.lit(None).cast("string")))).alias("element"),
+    )
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    parsed = rows.withColumn("row", F.from_json("element", with_corrupt, options))
+    # an element that is no object (a number, null) has no fields to read
+    no_object = ~F.coalesce(F.ltrim("element").startswith("{"), F.lit(False))
+    corrupt = (
+        F.when(F.col("unreadable").isNotNull(), F.col("unreadable"))
+        .when(no_object, F.coalesce("element", F.lit("null")))
+        .otherwise(F.col(f"row.{CORRUPT}"))
+    )
+    return parsed.select(
+        *[F.col("row").getField(f.name).alias(f.name) for f in schema.fields],
+        corrupt.alias(CORRUPT),
+        *keep,
+    )
+
+
 def read_json_documents(
     spark: SparkSession,
     path: str | list[str],
@@ -35,25 +69,30 @@ def read_json_documents(
 ) -> DataFrame:
     """JSON documents with a fixed schema.
 
-    ``multi_line`` (the source format) reads each file as one JSON value, an
-    array giving one row per element; such a file is one task, which suits
-    per-match documents of a few MB. ``multi_line=False`` reads JSON lines,
-    which Spark splits inside large files.
+    ``multi_line`` (the source format) reads each file as one JSON array, a row
+    per element; such a file is one task, which suits per-match documents of a
+    few MB. ``multi_line=False`` reads JSON lines, which Spark splits inside
+    large files.
 
     With ``keep_corrupt`` the frame has a ``_corrupt_record`` column holding
-    the raw text of a document that did not parse (null for good rows), and
-    the ``source_file`` it came from.
+    the raw text of an element (or document) that did not parse, null for good
+    rows, and the ``source_file`` it came from; without it such rows are left out.
     """
-    if keep_corrupt:
-        schema = T.StructType(schema.fields + [T.StructField(CORRUPT, T.StringType())])
-    reader = (
-        spark.read.schema(schema)
-        .option("multiLine", multi_line)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", CORRUPT)
-    )
-    df = reader.json(path)
-    return df.withColumn("source_file", F.col("_metadata.file_path"))
+    if multi_line:
+        texts = (
+            spark.read.text(path, wholetext=True)
+            .select("value", F.col("_metadata.file_path").alias("source_file"))
+        )
+        df = parse_documents(texts, schema)
+    else:
+        df = (
+            spark.read.schema(T.StructType(schema.fields + [T.StructField(CORRUPT, T.StringType())]))
+            .option("mode", "PERMISSIVE")
+            .option("columnNameOfCorruptRecord", CORRUPT)
+            .json(path)
+            .withColumn("source_file", F.col("_metadata.file_path"))
+        )
+    return df if keep_corrupt else df.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
 
 
 def read_competitions(spark: SparkSession, path: str) -> DataFrame:
@@ -86,9 +125,10 @@ def read_matches(spark: SparkSession, path: str | list[str]) -> DataFrame:
 
 
 def match_id_from_path(path_col: str = "source_file"):
-    """The match id in a file name ``.../<match_id>.json`` (null if none)."""
-    raw = F.regexp_extract(F.col(path_col), r"(\d+)\.json$", 1)
-    return F.when(raw != "", raw.cast("bigint"))
+    """The match id in a path ``.../<match_id>.json`` or, as Spark's own writers
+    name them, ``.../match_id=<match_id>/...`` (null if none)."""
+    raw = F.regexp_extract(F.col(path_col), r"(?:match_id=(\d+)/[^/]*|(\d+)\.json)$", 0)
+    return F.regexp_extract(raw, r"\d+", 0).try_cast("bigint")
 
 
 def read_events(spark: SparkSession, path: str | list[str]) -> DataFrame:
@@ -102,9 +142,8 @@ def split_corrupt(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(good rows, quarantine rows) of a frame read with ``keep_corrupt``.
 
     The quarantine keeps the source file, the first data field and the raw
-    text (as ``raw_text``): Spark refuses a query over raw JSON that reads the
-    corrupt column alone. Writing both parts re-parses the documents unless the frame is
-    persisted first (``land_events`` does that).
+    text (as ``raw_text``). Writing both parts parses the documents twice,
+    which costs less at scale than a copy of the parsed input on disk.
     """
     good = df.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
     first = next(c for c in df.columns if c not in (CORRUPT, "source_file"))
@@ -131,14 +170,14 @@ def unknown_fields(
     spark: SparkSession,
     path: str | list[str],
     schema: T.StructType,
-    sampling_ratio: float = 0.1,
+    sampling_ratio: float = 1.0,
     multi_line: bool = True,
 ) -> list[str]:
-    """Field paths present in (a sample of) the documents but not in ``schema``.
+    """Field paths present in the documents but not in ``schema``.
 
     The explicit schema keeps every statistic stable when documents drift,
     but it ignores fields it does not know; this report (one inference job
-    over a sample) shows what a provider has added, e.g. ``pass.technique``.
+    over all documents, unless a sample is asked for) shows what a provider has added, e.g. ``pass.technique``.
     """
     inferred = (
         spark.read.option("multiLine", multi_line)

@@ -4,19 +4,58 @@ Landing turns row-oriented JSON documents into columnar Parquet once, so
 every statistic afterwards reads only the nested leaves it needs
 (``type.name``, ``player.id``, ``pass.outcome.name``, ...) with its filters
 pushed into the scan. Events are partitioned by competition season, not by
-match, to keep files few at season scale, and sorted by match inside each
-file so a match filter can skip row groups. The season of a match comes
-from the small match table, joined by broadcast when the planner's size
-check allows it.
+match, to keep files few at season scale. The unit of landing is the match: a
+match that is landed again replaces itself and nothing else. Matches that the
+list does not name, or names twice, wait in a pending table until a later
+landing finds their season. Nothing that was read is dropped: what does not
+parse is appended to a quarantine.
 """
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from touchline.sources.documents import split_corrupt
+from touchline.sources.documents import CORRUPT, RAW_TEXT, split_corrupt
+
+SEASON = ["competition_id", "season_id"]
+
+
+def _fs(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    p, fs = _fs(spark, path)
+    return bool(fs.exists(p))
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    p, fs = _fs(spark, path)
+    fs.delete(p, True)
+
+
+def match_seasons(matches: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(match_id, competition_id, season_id) with one row per match, and the
+    rows of matches that are listed under two seasons or under none."""
+    listed = matches.select(
+        "match_id",
+        F.col("competition.competition_id").alias("competition_id"),
+        F.col("season.season_id").alias("season_id"),
+    ).distinct()
+    known = F.col("competition_id").isNotNull() & F.col("season_id").isNotNull()
+    per = listed.groupBy("match_id").agg(F.count(F.lit(1)).alias("n"), F.min(known).alias("known"))
+    clear = per.filter("n = 1 and known and match_id is not null").select("match_id")
+    return listed.join(clear, "match_id", "left_semi"), listed.join(clear, "match_id", "left_anti")
+
+
+def _quarantine(bad: DataFrame, path: str) -> None:
+    """Append rows (``raw_text`` and where it came from); none write no files."""
+    if not bad.isEmpty():
+        bad.write.mode("append").json(path)
 
 
 def land_events(
@@ -24,81 +63,134 @@ def land_events(
     matches: DataFrame,
     path: str,
     quarantine_path: str | None = None,
-    mode: str = "overwrite",
+    pending_path: str | None = None,
 ) -> None:
-    """Write events to Parquet partitioned by (competition_id, season_id).
-
-    ``events`` may come from ``read_events`` (with a corrupt column) or be
-    already clean. Rows that did not parse go to ``quarantine_path``.
-    The season of each match comes from the match list by a join on the
-    small match table.
-
-    ``mode="overwrite"`` replaces each season present in ``events`` as a
-    whole, so give it all documents of those seasons; ``mode="append"`` adds
-    documents landed for the first time. Matches arriving one by one are the
-    streaming ingest's job (``streaming.ingest.start_landing``), which
-    processes each file exactly once.
+    """Land the matches of ``events`` under ``path``, partitioned by season.
+
+    Every match of ``events`` replaces what was landed of it before, in
+    whichever season or the pending table that was; all other matches stay. The
+    season comes from the match list; matches without one are kept under
+    ``pending_path`` and are landed with the next call whose list names them.
+    Elements that did not parse, and events without a match id, are appended to
+    ``quarantine_path``. Both default to folders beside ``path``. The new state
+    of the seasons concerned is written aside first and then swapped in, season
+    by season. One landing at a time may work on a path.
     """
-    parsed = None
-    if "_corrupt_record" in events.columns:
-        if quarantine_path:
-            # Parse the documents once for both outputs; the persisted blocks
-            # are recomputed from the files if an executor is lost.
-            parsed = events = events.persist(StorageLevel.DISK_ONLY)
+    spark = events.sparkSession
+    quarantine_path = quarantine_path or f"{path.rstrip('/')}-quarantine"
+    pending_path = pending_path or f"{path.rstrip('/')}-pending"
+    if CORRUPT in events.columns:
         events, bad = split_corrupt(events)
-        if quarantine_path:
-            bad.write.mode(mode).json(quarantine_path)
-    events = events.drop("source_file")
-    # distinct: a match listed twice (a re-published season file) must not
-    # double its events.
-    seasons = matches.select(
-        "match_id",
-        F.col("competition.competition_id").alias("competition_id"),
-        F.col("season.season_id").alias("season_id"),
-    ).distinct()
-    write_events(events.join(seasons, on="match_id", how="left"), path, mode)
-    if parsed is not None:
-        parsed.unpersist()
+        _quarantine(bad, quarantine_path)
+    lost = events.filter("match_id is null")
+    source = F.col("source_file") if "source_file" in events.columns else F.lit(None).cast("string")
+    _quarantine(
+        lost.select(source.alias("source_file"), F.to_json(F.struct(*lost.columns)).alias(RAW_TEXT)),
+        quarantine_path,
+    )
+    events = events.filter("match_id is not null").drop("source_file", *SEASON)
+    seasons, unclear = match_seasons(matches)
+    _quarantine(
+        unclear.select(F.lit(None).cast("string").alias("source_file"), F.to_json(F.struct(*unclear.columns)).alias(RAW_TEXT)),
+        quarantine_path,
+    )
+    arrived = events.select("match_id").distinct()
+    if _exists(spark, pending_path):
+        waiting = spark.read.schema(_with(events, "match_id")).parquet(pending_path)
+        named = waiting.join(seasons, "match_id", "left_semi").join(arrived, "match_id", "left_anti")
+        events = events.unionByName(named)
+        arrived = events.select("match_id").distinct()
+    incoming = events.join(seasons, "match_id", "left")
+    staged = f"{path.rstrip('/')}-staging-{uuid.uuid4().hex}"
+    fresh = incoming.filter("competition_id is not null")
+    merged, gone = fresh, None
+    if _exists(spark, path):
+        landed = spark.read.schema(fresh.schema).parquet(path)
+        gone = landed.join(arrived, "match_id", "left_semi").select(*SEASON).distinct()
+        touched = gone.union(fresh.select(*SEASON).distinct()).distinct()
+        old = landed.join(touched, SEASON, "left_semi").join(arrived, "match_id", "left_anti")
+        merged = fresh.unionByName(old)
+    write_events(merged, f"{staged}/events")
+    incoming.filter("competition_id is null").drop(*SEASON).write.partitionBy("match_id").parquet(f"{staged}/pending")
+    arrived.write.parquet(f"{staged}/arrived")
+    emptied = []
+    if gone is not None:
+        state = spark.read.schema(fresh.schema).parquet(f"{staged}/events").select(*SEASON).distinct()
+        emptied = gone.join(state, SEASON, "left_anti").collect()  # seasons that lost their last match
+    dynamic = {"partitionOverwriteMode": "dynamic"}
+    spark.read.schema(fresh.schema).parquet(f"{staged}/events").sortWithinPartitions(*SEASON, "match_id", "index").write.mode(
+        "overwrite"
+    ).options(**dynamic).partitionBy(*SEASON).parquet(path)
+    for row in emptied:
+        _delete(spark, f"{path}/competition_id={row[0]}/season_id={row[1]}")
+    if _exists(spark, pending_path):
+        kept = spark.read.schema(_with(events, "match_id")).parquet(pending_path)
+        settled = kept.select("match_id").distinct().join(spark.read.schema("match_id bigint").parquet(f"{staged}/arrived"), "match_id")
+        for row in settled.collect():  # matches, not events
+            _delete(spark, f"{pending_path}/match_id={row[0]}")
+    spark.read.schema(_with(events, "match_id")).parquet(f"{staged}/pending").write.mode("overwrite").options(**dynamic).partitionBy(
+        "match_id"
+    ).parquet(pending_path)
+    _delete(spark, staged)
+
+
+def _with(events: DataFrame, key: str):
+    """The schema of ``events`` with the partition column ``key`` last."""
+    return events.select(*[c for c in events.columns if c != key], key).schema
 
 
 def write_events(events: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Write events that carry ``competition_id`` and ``season_id`` columns.
 
-    No shuffle: every task sorts its own rows and writes its own files per
-    season, so a season (or one huge match) never funnels into one task.
-    Overwrite is per partition: landing one season again replaces that
-    season and leaves every other season in place.
+    Rows are rebalanced by season first, so a season has few files however many
+    tasks hold rows of it; adaptive execution splits a large season over tasks.
+    Rows are sorted by match inside a file.
     """
-    keys = ["competition_id", "season_id", "match_id", "index"]
     (
-        events.sortWithinPartitions(*keys)
+        events.hint("rebalance", *SEASON)
+        .sortWithinPartitions(*SEASON, "match_id", "index")
         .write.mode(mode)
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("competition_id", "season_id")
+        .partitionBy(*SEASON)
         .parquet(path)
     )
 
 
-def land_table(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Write a small table (competitions, matches) to Parquet."""
-    cols = [c for c in df.columns if c not in ("_corrupt_record", "source_file")]
-    df.select(*cols).write.mode(mode).parquet(path)
+def _good(df: DataFrame, path: str, quarantine_path: str | None) -> DataFrame:
+    """The rows that parsed; the others go to the quarantine."""
+    if CORRUPT in df.columns:
+        df, bad = split_corrupt(df)
+        _quarantine(bad, quarantine_path or f"{path.rstrip('/')}-quarantine")
+    return df.drop("source_file")
 
 
-def land_matches(matches: DataFrame, path: str, mode: str = "overwrite") -> None:
+def land_table(df: DataFrame, path: str, mode: str = "overwrite", quarantine_path: str | None = None) -> None:
+    """Write a small table (competitions, matches) to Parquet; rows that did
+    not parse are appended to the quarantine."""
+    _good(df, path, quarantine_path).write.mode(mode).parquet(path)
+
+
+def land_matches(matches: DataFrame, path: str, mode: str = "overwrite", quarantine_path: str | None = None) -> None:
     """Write match documents partitioned by (competition_id, season_id), with
     per-partition overwrite: landing one season's match list replaces that
-    season only."""
-    cols = [c for c in matches.columns if c not in ("_corrupt_record", "source_file")]
+    season only. Rows that did not parse, or have no match id, are appended to
+    the quarantine."""
+    good = _good(matches, path, quarantine_path)
+    lost = good.filter("match_id is null")
+    _quarantine(
+        lost.select(F.to_json(F.struct(*lost.columns)).alias(RAW_TEXT)),
+        quarantine_path or f"{path.rstrip('/')}-quarantine",
+    )
     (
-        matches.select(
-            *cols,
+        good.filter("match_id is not null")
+        .select(
+            *good.columns,
             F.col("competition.competition_id").alias("competition_id"),
             F.col("season.season_id").alias("season_id"),
         )
         .write.mode(mode)
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("competition_id", "season_id")
+        .partitionBy(*SEASON)
         .parquet(path)
     )
 

@@ -5,14 +5,11 @@ collecting match ids to the driver and loading one document per match, the
 match list stays a DataFrame and selects events with a left-semi join. The
 match list is small (hundreds of rows per season), so the planner broadcasts
 it when its size is under the broadcast bound and keeps a shuffle join
-otherwise. On landed data partitioned by season the same selection is a
-partition filter instead.
+otherwise. On landed data partitioned by season, partition pruning comes first.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -28,22 +25,35 @@ def season_match_ids(matches: DataFrame, competition_id: int, season_id: int) ->
 def season_events(
     events: DataFrame, matches: DataFrame, competition_id: int, season_id: int
 ) -> DataFrame:
-    """Events of one competition season.
+    """Events of the matches that the list gives for one competition season.
 
-    On landed events (partitioned by ``competition_id`` / ``season_id``) this
-    is a filter on the partition columns, so only that season's files are
-    listed and read. On events straight from documents it is a left-semi
-    join with the season's matches.
+    The match list alone decides, so landed events and events straight from
+    documents give the same rows, also events that were landed before their
+    match was listed. On landed events (``competition_id`` / ``season_id``
+    partitions) only that season's partition and the unlisted one are read:
+    a match is landed there or nowhere else.
     """
     if {"competition_id", "season_id"} <= set(events.columns):
-        return events.filter(
-            (F.col("competition_id") == F.lit(competition_id))
-            & (F.col("season_id") == F.lit(season_id))
+        in_season = (F.col("competition_id") == F.lit(competition_id)) & (
+            F.col("season_id") == F.lit(season_id)
         )
+        unlisted = F.col("competition_id").isNull() | F.col("season_id").isNull()
+        events = events.filter(in_season | unlisted)
     ids = season_match_ids(matches, competition_id, season_id)
     return events.join(ids, on="match_id", how="left_semi")
 
 
 def align_union(frames: list[DataFrame]) -> DataFrame:
-    """H3: union frames whose schemas drifted; missing fields become null."""
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+    """H3: union frames whose schemas drifted; missing fields become null.
+
+    Neighbours are united pairwise, so the plan is as deep as the logarithm
+    of the number of frames.
+    """
+    while len(frames) > 1:
+        frames = [
+            frames[i].unionByName(frames[i + 1], allowMissingColumns=True)
+            if i + 1 < len(frames)
+            else frames[i]
+            for i in range(0, len(frames), 2)
+        ]
+    return frames[0]

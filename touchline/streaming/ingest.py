@@ -23,7 +23,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from touchline.functions.columns import player_keys
@@ -31,7 +30,8 @@ from touchline.operators import aggregations as A
 from touchline.operators import team as TM
 from touchline.schemas import EVENT_DOCUMENT_SCHEMA
 from touchline.session import checkpoint_dir
-from touchline.sources.documents import CORRUPT, RAW_TEXT, match_id_from_path
+from touchline.sources.documents import CORRUPT, RAW_TEXT, match_id_from_path, parse_documents
+from touchline.sources.landing import match_seasons
 
 
 def read_event_stream(
@@ -39,21 +39,11 @@ def read_event_stream(
 ) -> DataFrame:
     """New match documents in ``events_dir`` as a stream of events (with
     ``match_id`` from the file name and the raw text of unreadable files)."""
-    schema = T.StructType(EVENT_DOCUMENT_SCHEMA.fields + [T.StructField(CORRUPT, T.StringType())])
-    reader = (
-        spark.readStream.schema(schema)
-        .option("multiLine", True)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", CORRUPT)
-        .option("pathGlobFilter", "*.json")
-    )
+    reader = spark.readStream.option("pathGlobFilter", "*.json")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return (
-        reader.json(events_dir)
-        .withColumn("source_file", F.col("_metadata.file_path"))
-        .withColumn("match_id", match_id_from_path())
-    )
+    texts = reader.text(events_dir, wholetext=True).select("value", F.col("_metadata.file_path").alias("source_file"))
+    return parse_documents(texts, EVENT_DOCUMENT_SCHEMA).withColumn("match_id", match_id_from_path())
 
 
 def _checkpoint(spark: SparkSession, name: str, given: str | None) -> str:
@@ -72,22 +62,17 @@ def start_landing(
     """Land a document stream to Parquet; returns (landing, quarantine) queries.
 
     The season of each event comes from a stream-static join with the match
-    table (small: one row per match).
+    list, one row per match. A match that is not listed yet lands in the null
+    season, where ``season.season_events`` finds it once its list names it.
     """
     spark = stream.sparkSession
     base = _checkpoint(spark, "landing", checkpoint)
-    seasons = matches.select(
-        "match_id",
-        F.col("competition.competition_id").alias("competition_id"),
-        F.col("season.season_id").alias("season_id"),
-    )
+    seasons, _ = match_seasons(matches)
     good = (
         stream.filter(F.col(CORRUPT).isNull())
         .drop(CORRUPT, "source_file")
         .join(seasons, on="match_id", how="left")
     )
-    # The id column is read too: Spark refuses a raw-JSON query that reads
-    # the corrupt-record column alone.
     bad = stream.filter(F.col(CORRUPT).isNotNull()).select(
         "source_file", "id", F.col(CORRUPT).alias(RAW_TEXT)
     )
@@ -141,20 +126,37 @@ def player_totals(stream: DataFrame) -> DataFrame:
 
 def start_player_totals(
     stream: DataFrame,
-    query_name: str,
+    name: str,
+    path: str,
     checkpoint: str | None = None,
     available_now: bool = False,
-    sink: str = "memory",
 ) -> StreamingQuery:
-    """Run ``player_totals`` into a sink (memory table ``query_name`` by default)."""
-    spark = stream.sparkSession
+    """Keep ``player_totals`` up to date under ``path``.
+
+    Each trigger writes the players whose totals changed, and only those, to
+    ``path/batch=<n>``; a batch that is run again after a failure overwrites its
+    own folder. ``read_player_totals`` gives every player's newest row.
+    """
+
+    def write(changed: DataFrame, batch: int) -> None:
+        changed.write.mode("overwrite").parquet(f"{path}/batch={batch}")
+
     w = (
         player_totals(stream)
-        .writeStream.format(sink)
-        .queryName(query_name)
-        .outputMode("complete")
-        .option("checkpointLocation", _checkpoint(spark, f"totals-{query_name}", checkpoint))
+        .writeStream.foreachBatch(write)
+        .queryName(name)
+        .outputMode("update")
+        .option("checkpointLocation", _checkpoint(stream.sparkSession, f"totals-{name}", checkpoint))
     )
     if available_now:
         w = w.trigger(availableNow=True)
     return w.start()
+
+
+def read_player_totals(spark: SparkSession, path: str) -> DataFrame:
+    """Every player's totals as of the last batch that changed them."""
+    rows = spark.read.parquet(path)
+    keys = ["team_name", "team_id", "player_name", "player_id"]
+    keys = [k for k in keys if k in rows.columns]
+    newest = F.max_by(F.struct(*[c for c in rows.columns if c not in (*keys, "batch")]), "batch")
+    return rows.groupBy(*keys).agg(newest.alias("row")).select(*keys, "row.*")
