@@ -10,7 +10,7 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-import __spark_entry__ as E  # noqa: E402
+from touchline.plans import registry as E  # noqa: E402
 from touchline.plans.inspect import summarize  # noqa: E402
 from touchline.session import local_session  # noqa: E402
 

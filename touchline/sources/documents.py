@@ -37,19 +37,19 @@ def parse_documents(texts: DataFrame, schema: T.StructType) -> DataFrame:
     elements = F.when(text.startswith("{"), F.array(text)).otherwise(
         F.from_json(text, "array<string>")
     )
-    # the document's own text goes on only if it could not be split
-    split = texts.filter(text != "").select(*keep, elements.alias("elements"), "value")
-    rows = split.select(
-        *keep,
-        F.when(F.col("elements").isNull(), F.col("value")).alias("unreadable"),
-        F.explode(F.coalesce("elements", F.array(F.lit(None).cast("string")))).alias("element"),
+    # pieces carry all that is needed of the document, so that no row carries its whole text
+    piece = lambda of, unreadable: F.struct(of.alias("text"), F.lit(unreadable).alias("unreadable"))
+    pieces = F.when(elements.isNull(), F.array(piece(F.col("value"), True))).otherwise(
+        F.transform(elements, lambda e: piece(e, False))
     )
+    rows = texts.filter(text != "").select(*keep, F.explode(pieces).alias("piece"))
+    rows = rows.select(*keep, F.col("piece.text").alias("element"), F.col("piece.unreadable").alias("unreadable"))
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
     parsed = rows.withColumn("row", F.from_json("element", with_corrupt, options))
     # an element that is no object (a number, null) has no fields to read
     no_object = ~F.coalesce(F.ltrim("element").startswith("{"), F.lit(False))
     corrupt = (
-        F.when(F.col("unreadable").isNotNull(), F.col("unreadable"))
+        F.when(F.col("unreadable"), F.col("element"))
         .when(no_object, F.coalesce("element", F.lit("null")))
         .otherwise(F.col(f"row.{CORRUPT}"))
     )
