@@ -6,7 +6,6 @@ import uuid
 from collections.abc import Iterable, Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
@@ -14,8 +13,8 @@ from pyspark.sql import functions as F
 
 from touchline.session import checkpoint_dir
 
-#: Characters (or matrix cells) that one step inside a task handles at once.
-BATCH_CHARS = 2_000_000
+#: Bytes of text that one step inside a task handles at once.
+BATCH_BYTES = 2_000_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -39,23 +38,7 @@ def landed(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def by_chars(frames: Iterable[pd.DataFrame], text: str, most: int = BATCH_CHARS) -> Iterator[pd.DataFrame]:
-    """Arrow batches cut into runs of whole rows of about ``most`` characters.
-
-    A text longer than that is a run of its own; null texts become empty.
-    """
-    for frame in frames:
-        frame[text] = frame[text].fillna("")
-        ends = frame[text].str.len().cumsum().to_numpy()
-        start = 0
-        while start < len(frame):
-            base = ends[start - 1] if start else 0
-            stop = max(start + 1, int(ends.searchsorted(base + most, side="right")))
-            yield frame.iloc[start:stop].reset_index(drop=True)
-            start = stop
-
-
-def by_bytes(batches: Iterable[pa.RecordBatch], text: str, most: int = BATCH_CHARS) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
+def by_bytes(batches: Iterable[pa.RecordBatch], text: str, most: int = BATCH_BYTES) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
     """Arrow batches cut into runs of whole rows of about ``most`` bytes, with their texts.
 
     Other columns stay in Arrow, so null and large ids pass unchanged. A text

@@ -35,6 +35,8 @@ PER_LANGUAGE, SAMPLE_WORDS = 300, 1_000_000
 BUCKETS, GRAM, LEXICON, CHAIN, STRETCH = 1 << 17, 4, 20_000, 64, 16
 EPOCHS, CHAINS, RATE, DECAY = 3, 256, 0.2, 1e-6
 UNKNOWN = "und"
+#: Bytes of text, and words, whose features are computed at once.
+_RUN, _PART = 600_000, 20_000
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -168,8 +170,12 @@ def fitted(texts: list[str], langs: list[str]) -> Model:
     model = Model(labels, np.zeros((BUCKETS, size)), common, np.zeros((len(common) + 1, size)), np.zeros((size, size)), np.zeros(size))
     if not len(marks) or size < 2:
         return model
-    found, bounds = features(words, one)
-    spans = np.diff(np.append(bounds, len(found)))
+    found, spans = [], []
+    for at in range(0, len(one), _PART):  # in parts, as the intermediate arrays are larger than the result
+        part, begins = features(words, one[at : at + _PART])
+        found.append(part.astype(np.int32)), spans.append(np.diff(np.append(begins, len(part))))
+    found, spans = np.concatenate(found), np.concatenate(spans)
+    bounds = np.cumsum(spans) - spans
     lexical = _lexical(common, marks)
     # stretches of words; a chain is four in a row or four of anywhere
     text = np.repeat(np.arange(len(texts)), words.counts)
@@ -279,7 +285,7 @@ def predict(docs: DataFrame, model: Model, names: tuple[str, str] = ("lang_pred"
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, texts in by_bytes(batches, "text"):
+        for batch, texts in by_bytes(batches, "text", _RUN):
             langs, scores = languages(sent.value, texts)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(langs, pa.string()), pa.array(scores, pa.float64())], names=[*batch.schema.names, *names])
 
