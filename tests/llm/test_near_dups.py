@@ -34,8 +34,10 @@ def _texts():
     return out + out[:15] + [out[0].upper(), "  " + out[1].replace(" ", "\n\t")]
 
 
-@pytest.mark.parametrize("words", [2, 5])
-def test_links(spark, make_docs, words):  # noqa: F811
+@pytest.mark.parametrize("words,rounds", [(2, None), (5, None), (2, 0)])
+def test_links(spark, make_docs, monkeypatch, words, rounds):  # noqa: F811
+    if rounds == 0:  # the exact round alone
+        monkeypatch.setattr(near_dups, "CENTERS", ())
     rows = [*enumerate(_texts() + ODD), (3, _texts()[3]), (3, _texts()[3]), (None, _texts()[0]), (None, None)]
     got = near_dups.link(make_docs(rows), words=words).collect()
     assert len(got) == len(rows)
