@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from touchline.llm.common import by_bytes, table
+from touchline.llm.common import by_bytes, landed, table
 
 #: Words of the lexicon, and their most bytes.
 WORDS, WORD_BYTES = 131_072, 48
@@ -252,7 +252,11 @@ class Encoder:
 
 
 def frequent_words(docs: DataFrame, tokenizer: str, text_col: str = "text", words: int = WORDS) -> list[str]:
-    """The ``words`` most frequent words of all texts, ties by the word."""
+    """The most frequent words of all texts, ``words`` at most.
+
+    Words are taken by classes of similar counts, most frequent first, as long
+    as whole classes fit: the classes' sizes are all that is needed to choose.
+    """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe, found = _bpe(tokenizer), Counter()
@@ -266,8 +270,14 @@ def frequent_words(docs: DataFrame, tokenizer: str, text_col: str = "text", word
         yield give()
 
     counted = docs.select(F.col(text_col).alias("text")).mapInArrow(count, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
-    top = counted.filter(F.octet_length("word") <= WORD_BYTES).orderBy(F.col("n").desc(), "word").limit(words)
-    return [r["word"] for r in top.select("word").collect()]
+    rank = F.floor(F.log2("n") * 16).cast("int")
+    counted = landed(counted.filter(F.octet_length("word") <= WORD_BYTES), "words")
+    least, left = None, words
+    for r in sorted(counted.groupBy(rank.alias("rank")).count().collect(), reverse=True):
+        if (left := left - r["count"]) < 0:
+            break
+        least = r["rank"]
+    return [] if least is None else [r["word"] for r in counted.filter(rank >= least).select("word").collect()]
 
 
 def lexicon_of(found: list[str], tokenizer: str) -> bytes:
