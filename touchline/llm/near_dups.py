@@ -7,13 +7,16 @@ a tuple of the second collection forms a table key: ``s1 * s2`` tables cost only
 tables would take. A pair of similarity ``j`` meets in some table with
 probability ``(1 - (1 - j^r1)^s1) * (1 - (1 - j^r2)^s2)``, 0.9993 at ``j = 0.8``.
 
-Equal sets are collapsed first. Of a table's bucket only its smallest member,
-the root, is compared with the others, and each set with the smallest of its
-roots: linear in the bucket's size, however many copies it holds. Verified links
-join components. This repeats over the bucket members that are not yet in their
-root's component; at last those are compared with every bucket member of
-another component. So every pair that shares a bucket is verified or already
-connected. Verification builds both full sets from the whole texts.
+Equal sets are collapsed first. A bucket is compared with a few of its members
+only, its centers (its smallest member, and the least by some hashes), and each
+set with one center of each kind: linear in the bucket's size, however many copies it holds. Verified
+links join components. A second round does this with new centers over the
+bucket members that are not yet in their center's component; at last those meet
+every bucket member of another component. So every pair that shares a bucket is
+verified or already connected, or proved to be no link: each set also has an
+odd sketch, the parities of its shingles in ``BITS`` cells, and two sets differ
+in at least as many shingles as their sketches in cells. Verification builds
+both full sets from the whole texts.
 """
 
 from __future__ import annotations
@@ -23,15 +26,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from touchline.llm.common import by_bytes, components, landed, table
 
 #: (minhashes of a tuple, tuples) of the two collections.
 COLLECTIONS = ((2, 8), (3, 11))
-#: Rounds that compare with roots only, before the exact one.
-STARS = 2
+#: Hashes that choose centers, by round; the exact round follows.
+CENTERS = ((0, 1), (2, 3, 4, 5))
+#: Cells of an odd sketch.
+BITS = 512
+#: Bytes of text whose sets are built at once.
+_RUN = 500_000
 
 _RANDOM = np.random.Generator(np.random.PCG64(20240229))
 _BYTE = _RANDOM.integers(1, 1 << 63, 256, np.uint64)
@@ -100,9 +107,15 @@ def _minhashes(found: np.ndarray) -> np.ndarray:
     return least
 
 
+def _odd(found: np.ndarray) -> np.ndarray:
+    """The parity of the set's shingles in each cell, as 64-bit words."""
+    cells = (found >> np.uint64(64 - BITS.bit_length() + 1)).astype(np.int64)
+    return np.packbits((np.bincount(cells, minlength=BITS) & 1).astype(np.uint8)).view(np.int64)
+
+
 def _sketch(words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, texts in by_bytes(batches, "text"):
+        for batch, texts in by_bytes(batches, "text", _RUN):
             sets = shingle_sets(texts, words)
             marks = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets]
             tuples = []
@@ -116,8 +129,9 @@ def _sketch(words: int):
                         mixed = _mixed(mixed * _BASE + part[:, :, k])
                     at += r * s
                     tuples.append(pa.ListArray.from_arrays(np.arange(0, mixed.size + 1, s, dtype=np.int32), pa.array(np.ascontiguousarray(mixed).reshape(-1).view(np.int64))))
+            odd = pa.array([_odd(s) for s in sets], pa.list_(pa.int64()))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(marks, pa.binary()), *tuples], names=["id", "n", "mark", "left", "right"]
+                [batch.column("id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(marks, pa.binary()), *tuples, odd], names=["id", "n", "mark", "left", "right", "odd"]
             )
 
     return run
@@ -127,7 +141,7 @@ def _similar(words: int, percent: int):
     """Pairs of texts whose full sets are similar enough."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, texts in by_bytes(batches, "text_a"):
+        for batch, texts in by_bytes(batches, "text_a", _RUN):
             lefts = shingle_sets(texts, words)
             keep = []
             for (part, others), n in _runs_of(batch):
@@ -139,7 +153,7 @@ def _similar(words: int, percent: int):
 
     def _runs_of(batch: pa.RecordBatch):
         n = 0
-        for part, others in by_bytes([batch], "text_b"):
+        for part, others in by_bytes([batch], "text_b", _RUN):
             yield (part, others), n
             n += len(others)
 
@@ -156,6 +170,15 @@ def _verified(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> Da
     return landed(joined.mapInArrow(_similar(words, percent), "a bigint, b bigint"), "links")
 
 
+def _ranked(rep: Column, seed: int) -> Column:
+    return F.struct(F.xxhash64(F.lit(seed), rep).alias("rank"), rep.alias("rep"))
+
+
+def _centers(seeds: tuple[int, ...]) -> list[Column]:
+    """The bucket's least member by each hash."""
+    return [F.min(_ranked(F.col("rep"), k)).getField("rep").alias(f"center{k}") for k in seeds]
+
+
 def link(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: ``doc_id, n_shingles, component_id, kept``.
 
@@ -167,17 +190,17 @@ def link(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_
     columns are not read.
     """
     rows = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text"))
-    sketch = landed(rows.mapInArrow(_sketch(words), "id bigint, n bigint, mark binary, left array<bigint>, right array<bigint>"), "sketch")
+    sketch = landed(rows.mapInArrow(_sketch(words), "id bigint, n bigint, mark binary, left array<bigint>, right array<bigint>, odd array<bigint>"), "sketch")
     sets = landed(
         sketch.filter("n > 0 and id is not null").groupBy("mark")
-        .agg(F.min("id").alias("rep"), F.first("n").alias("n"), F.first("left").alias("left"), F.first("right").alias("right")),
+        .agg(F.min("id").alias("rep"), F.first("n").alias("n"), F.first("left").alias("left"), F.first("right").alias("right"), F.first("odd").alias("odd")),
         "sets",
     )
     keys = sets.select(
         "rep", "n", F.explode(F.expr("flatten(transform(left, (x, i) -> transform(right, (y, j) -> xxhash64(i, j, x, y))))")).alias("key")
     )
-    buckets = keys.groupBy("key").agg(F.min("rep").alias("root"), F.count(F.lit(1)).alias("size")).filter("size > 1").drop("size")
-    members = landed(keys.join(buckets, "key").select("key", "rep", "n", "root"), "members")
+    buckets = keys.groupBy("key").agg(F.min("rep").alias("center"), F.count(F.lit(1)).alias("size")).filter("size > 1").drop("size")
+    members = landed(keys.join(buckets, "key"), "members")
 
     # each text that may take part, once: the representatives that share a bucket
     some = landed(members.select(F.col("rep").alias("id")).distinct(), "candidates")
@@ -186,28 +209,36 @@ def link(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_
         texts = landed(texts.groupBy("id", F.xxhash64("text").alias("of")).agg(F.first("text").alias("text")).drop("of"), "texts")
     links = None
     found = docs.sparkSession.createDataFrame([], "rep bigint, component bigint")
-    for turn in range(STARS + 1):
+    for seeds in (*CENTERS, None):
         left = members.join(found, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-        of_root = found.select(F.col("rep").alias("root"), F.col("component").alias("of_root"))
-        left = left.join(of_root, "root", "left").withColumn("of_root", F.coalesce("of_root", "root"))
-        apart = landed(left.filter("component <> of_root").select("key", "rep", "n", "component"), "apart")
+        center = found.select(F.col("rep").alias("center"), F.col("component").alias("central"))
+        left = left.join(center, "center", "left").filter(F.col("component") != F.coalesce("central", "center"))
+        apart = landed(left.select("key", "rep", "n", "component"), "apart")
         if apart.isEmpty():
             break
-        if turn < STARS:
-            # the first turn compares with the bucket's root, the next ones with the smallest member that is still apart
-            if turn == 0:
-                near = members.filter("root < rep").select("rep", "root")
-            else:
-                least = apart.groupBy("key").agg(F.min("rep").alias("root"))
-                near = apart.join(least, "key").filter("root < rep").select("rep", "root")
-            pairs = near.groupBy("rep").agg(F.min("root").alias("root")).select(F.col("rep").alias("a"), F.col("root").alias("b"))
-        else:
-            other = members.join(found, "rep", "left").select("key", F.col("rep").alias("b"), F.col("n").alias("nb"), F.coalesce("component", "rep").alias("cb"))
+        if seeds is None:
+            undone = members.join(apart.select("key").distinct(), "key", "left_semi").select("key", "rep", "n")
+            of = sets.select("rep", "left", "right", "odd")
+            other = undone.join(of, "rep").join(found, "rep", "left").select(
+                "key", F.col("rep").alias("b"), F.col("n").alias("nb"), F.coalesce("component", "rep").alias("cb"), F.col("left").alias("lb"), F.col("right").alias("rb"), F.col("odd").alias("ob")
+            )
+            # a pair counts in the first table that it shares
+            i, j = (F.coalesce(*(F.when(F.col(x)[k] == F.col(y)[k], k) for k in range(s))) for (_, s), x, y in zip(COLLECTIONS, ("left", "right"), ("lb", "rb"), strict=True))
+            differ = sum(F.bit_count(F.col("odd")[k].bitwiseXOR(F.col("ob")[k])) for k in range(BITS // 64))
             pairs = (
-                apart.join(other, "key").filter(F.col("component") != F.col("cb"))
+                apart.join(of, "rep").join(other, "key").filter(F.col("component") != F.col("cb"))
                 .filter(F.least("n", "nb") * 100 >= F.greatest("n", "nb") * percent)
+                .filter(differ * (100 + percent) <= (F.col("n") + F.col("nb")) * (100 - percent))
+                .filter(F.col("key") == F.xxhash64(i, j, F.get("left", i), F.get("right", j)))
                 .select(F.least("rep", "b").alias("a"), F.greatest("rep", "b").alias("b")).distinct()
             )
+        else:
+            # the buckets that aren't done get new centers
+            undone = members.join(apart.select("key").distinct(), "key", "left_semi")
+            near = apart.select("key", "rep").join(undone.groupBy("key").agg(F.min("center").alias("center"), *_centers(seeds)), "key")
+            least = [F.min("center"), *(F.min(_ranked(F.col(f"center{k}"), k)).getField("rep") for k in seeds)]
+            pairs = near.groupBy("rep").agg(F.array_distinct(F.array(*least)).alias("near")).select("rep", F.explode("near").alias("near"))
+            pairs = pairs.filter("rep <> near").select(F.least("rep", "near").alias("a"), F.greatest("rep", "near").alias("b")).distinct()
         more = _verified(pairs, texts, words, percent)
         links = more if links is None else links.union(more)
         found = components(links).select(F.col("node").alias("rep"), "component")
