@@ -63,6 +63,48 @@ def test_license_rules_can_match():
         assert any(s in r.keyword for s in licenses._stems(sorted({x.keyword for x in licenses.rules()})))
 
 
+def _examples(node):
+    """Written examples of a parsed pattern: each alternative and each end of a repeat, in some example; gaps are words."""
+    if isinstance(node, str):
+        return _examples(list(re._parser.parse(node.replace("@", ""))))
+    if not isinstance(node, tuple):  # a sequence
+        parts = [_examples(x) for x in node]
+        most = ["".join(max(p, key=len) for p in parts)]
+        return list(dict.fromkeys(most + ["".join(p[0] if j != i else x for j, p in enumerate(parts)) for i in range(len(parts)) for x in parts[i]])) or [""]
+    kind, of = str(node[0]), node[1]
+    if kind == "LITERAL":
+        return [chr(of)]
+    if kind == "BRANCH":
+        return [x for part in of[1] for x in _examples(list(part))]
+    if kind == "SUBPATTERN":
+        return _examples(list(of[3]))
+    if kind == "MAX_REPEAT":
+        least, most, inner = of
+        return list(dict.fromkeys(x * n for x in _examples(list(inner)) for n in (least, min(most, 20))))
+    assert kind == "IN", node
+    return [{"LITERAL": chr, "CATEGORY": lambda c: {"CATEGORY_NOT_SPACE": "w", "CATEGORY_DIGIT": "1"}[str(c)]}[str(k)](v) for k, v in of]
+
+
+def _undetected(make_docs, examples):
+    """Examples, of ``(rule, text)``, that no detection of the rule's tier or a better one covers."""
+    rows = [(i, text) for i, (_, text) in enumerate(examples)]
+    got = {r["id"]: r["hits"] for r in licenses.scan(make_docs(rows)).collect()}
+    return [(r.label, text) for i, (r, text) in enumerate(examples) if not any(h["first"] == 0 and h["last"] >= len(text.split()) and h["tier"] <= r.tier for h in got[i])]
+
+
+def test_license_rules_detect_their_text(make_docs):
+    """The longest example of every rule that its needle lets through, with its gaps filled."""
+    fit = [(r, [x for x in _examples(r.pattern) if not r.needle or r.needle in x.split()]) for r in licenses.rules()]
+    assert not _undetected(make_docs, [(r, max(some, key=lambda x: len(x.split()))) for r, some in fit if some])
+
+
+def test_license_names_are_placed_by_their_keyword(spark, make_docs):
+    """A name that isn't at the keyword is no match of the keyword's rule."""
+    assert all(r.keyword in x.split() for r in licenses.rules() for x in _examples(r.pattern))
+    far = "php " + "word " * 20 + "license"
+    assert licenses.scan(make_docs([(1, far), (2, "php license")])).filter("size(hits) > 0").select("id").collect() == [(2,)]
+
+
 def test_empty_tables(spark, make_docs):
     assert licenses.scan(make_docs([])).count() == 0
     assert secrets.scan(make_docs([])).count() == 0

@@ -15,6 +15,7 @@ or a better tier contains it. Base rules are counted and labelled before that.
 
 from __future__ import annotations
 
+import re
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -22,8 +23,6 @@ from pyspark.sql import functions as F
 
 from touchline.llm.common import table
 
-#: Words of the window before and after an anchor; no rule spans more.
-BEFORE, AFTER = 12, 40
 #: Tiers, best first: grant and condition texts, names with versions, bare names.
 TEXT, NAMED, GENERIC = 1, 2, 3
 
@@ -170,6 +169,24 @@ _TAGS = [
 ]
 
 
+def _anchored(name: str) -> str:
+    """A name with its keyword marked in every alternative, as a match is placed by its anchor."""
+    parts, depth = [""], 0
+    for c in name:
+        depth += (c == "(") - (c == ")")
+        if c == "|" and not depth:
+            parts.append("")
+        else:
+            parts[-1] += c
+    for n, part in enumerate(parts):
+        if "(?: license" in part:  # an optional end
+            head, _, tail = part.partition("(?: license")
+            parts[n] = f"{head} @license{tail.removesuffix(')?')}"
+        else:
+            parts[n] = part.replace(" license", " @license", 1) if " license" in part else f"{part} @license"
+    return "|".join(parts)
+
+
 def rules() -> list[Rule]:
     """All rules in priority order."""
     out = [Rule(x, GENERIC, "license", needle, p, 0.9, True) for x, needle, p in _BASE]
@@ -184,13 +201,24 @@ def rules() -> list[Rule]:
             Rule(label, versioned, "licence", needle, f"(?:the )?(?:{name}) @licence", 0.85),
         ]
         if " license" in name:
-            out.append(Rule(label, versioned, "license", needle, f"(?:the )?(?:{name.replace(' license', ' @license', 1)})", 0.85))
+            out.append(Rule(label, versioned, "license", needle, f"(?:the )?(?:{_anchored(name)})", 0.85))
         else:
             out.append(Rule(label, versioned, "license", needle, f"(?:the )?(?:{name}) @license", 0.85))
     out += [Rule(x, NAMED if x[-1].isdigit() else GENERIC, k, "", p, 0.7) for x, k, p in _TAGS]
     return out
 
 
+def _span(found: list[Rule]) -> tuple[int, int]:
+    """Words before an anchor, and from it on, that hold every match of the rules, or more."""
+    # each word is written with one space, repeated ones as often as they may be there
+    written = [re.sub(r"\(\?: \\[Sd]\+?\)\{0,(\d+)\}", lambda m: " " * int(m[1]), r.pattern) for r in found]
+    return max(p[: p.rindex("@")].count(" ") for p in written), max(p[p.index("@") :].count(" ") for p in written) + 1
+
+
+#: Words of the window before and after an anchor; no rule spans more.
+BEFORE, AFTER = _span(rules())
+
+
 def _stems(keywords: list[str]) -> list[str]:
     """Substrings of which every text with a keyword holds at least one."""
     short = sorted({k[:6] for k in keywords}, key=lambda k: (len(k), k))
