@@ -98,6 +98,15 @@ def test_license_rules_detect_their_text(make_docs):
     assert not _undetected(make_docs, [(r, max(some, key=lambda x: len(x.split()))) for r, some in fit if some])
 
 
+def test_license_needles_let_every_alternative_through(make_docs):
+    """Each alternative of every rule holds the needle and is detected."""
+    examples = [(r, x) for r in licenses.rules() for x in _examples(r.pattern)]
+    assert not [x for x in examples if x[0].needle and x[0].needle not in x[1].split()]
+    assert not _undetected(make_docs, examples)
+    text = "licensed under Creative Commons Attribution-Non-Commercial 4.0"
+    assert [h["label"] for h in licenses.scan(make_docs([(1, text)])).first()["hits"] if h["tier"] == licenses.TEXT] == ["cc-by-nc-4.0"]
+
+
 def test_license_names_are_placed_by_their_keyword(spark, make_docs):
     """A name that isn't at the keyword is no match of the keyword's rule."""
     assert all(r.keyword in x.split() for r in licenses.rules() for x in _examples(r.pattern))

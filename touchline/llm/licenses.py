@@ -31,7 +31,7 @@ class Rule(NamedTuple):
     label: str
     tier: int
     keyword: str
-    needle: str  # another word that the window must hold, or ""
+    needle: str  # another word that every match of the pattern holds, or ""
     pattern: str
     weight: float
     base: bool = False
@@ -44,9 +44,9 @@ _BASE = [("mit", "mit", "mit @license"), ("apache", "apache", "apache @license")
 _FAMILIES = [
     ("mit", "mit", "mit", "mit"),
     ("mit-0", "mit 0", "attribution", "mit no attribution"),
-    ("x11", "x11", "x11", "x11|x consortium"),
+    ("x11", "x11", "", "x11|x consortium"),
     ("expat", "expat", "expat", "expat"),
-    ("isc", "isc", "isc", "isc|internet systems consortium"),
+    ("isc", "isc", "", "isc|internet systems consortium"),
     ("apache-1.1", "apache 1 1", "apache", "apache(?: software)? (?:license )?(?:version )?1 1"),
     ("apache-2.0", "apache 2 0", "apache", "apache(?: software)? (?:license )?(?:version |v )?v?2(?: 0)?"),
     ("bsd-2-clause", "bsd 2 clause", "bsd", "(?:simplified|freebsd|2 clause|two clause) bsd|bsd (?:2|two) clause"),
@@ -75,16 +75,16 @@ _FAMILIES = [
     ("zlib", "zlib", "zlib", "zlib(?: libpng)?"),
     ("libpng", "libpng", "libpng", "libpng"),
     ("unlicense", "unlicense", "unlicense", "unlicense"),
-    ("wtfpl", "wtfpl", "wtfpl", "wtfpl|do what the fuck you want to public license"),
+    ("wtfpl", "wtfpl", "", "wtfpl|do what the fuck you want to public license"),
     ("cc0-1.0", "cc0 1 0", "cc0", "cc0(?: 1 0)?(?: universal)?"),
     ("cc-by-4.0", "cc by 4 0", "attribution", "creative commons attribution(?: 4 0)?(?: international)?"),
-    ("cc-by-sa-4.0", "cc by sa 4 0", "sharealike", "creative commons attribution share ?alike(?: 4 0)?"),
-    ("cc-by-nc-4.0", "cc by nc 4 0", "noncommercial", "creative commons attribution non ?commercial(?: 4 0)?"),
-    ("cc-by-nd-4.0", "cc by nd 4 0", "noderivatives", "creative commons attribution no ?deriv(?:ative)?s(?: 4 0)?"),
+    ("cc-by-sa-4.0", "cc by sa 4 0", "attribution", "creative commons attribution share ?alike(?: 4 0)?"),
+    ("cc-by-nc-4.0", "cc by nc 4 0", "attribution", "creative commons attribution non ?commercial(?: 4 0)?"),
+    ("cc-by-nd-4.0", "cc by nd 4 0", "attribution", "creative commons attribution no ?deriv(?:ative)?s(?: 4 0)?"),
     ("ofl-1.1", "ofl 1 1", "sil", "sil open font(?: license(?: (?:version )?1 1)?)?"),
     ("psf-2.0", "psf 2 0", "python", "python software foundation(?: license(?: (?:version )?2)?)?"),
     ("postgresql", "postgresql", "postgresql", "postgresql"),
-    ("ncsa", "ncsa", "ncsa", "ncsa|university of illinois"),
+    ("ncsa", "ncsa", "", "ncsa|university of illinois"),
     ("openssl", "openssl", "openssl", "openssl"),
     ("php-3.01", "php 3 01", "php", "php license (?:version )?3 01|php"),
     ("ruby", "ruby", "ruby", "ruby"),
@@ -134,7 +134,7 @@ _SENTENCES = [
     ("mpl-2.0", "copyright", "mpl", "if a copy of the mpl was not distributed with this file" + _G % 20 + " @copyright"),
     ("epl-1.0", "licensed", "eclipse", "made available under the terms of the eclipse public license" + _G % 12 + " @licensed"),
     ("bsl-1.0", "license", "boost", "boost software @license version 1 0"),
-    ("bsl-1.0", "permission", "boost", "@permission is hereby granted free of charge to any person or organization obtaining a copy of the software"),
+    ("bsl-1.0", "permission", "organization", "@permission is hereby granted free of charge to any person or organization obtaining a copy of the software"),
     ("zlib", "warranty", "implied", "this software is provided as is without any express or implied @warranty"),
     ("zlib", "permission", "alter", "@permission is granted to anyone to use this software for any purpose including commercial applications and to alter it"),
     ("unlicense", "domain", "unencumbered", "this is free and unencumbered software released into the public @domain"),
