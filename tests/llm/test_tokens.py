@@ -132,6 +132,19 @@ def test_language_of_odd_texts(spark, make_docs):  # noqa: F811
             assert not blank or (r["p"], r["s"]) == ("und", 0.0)
 
 
+def test_every_language_is_learned(spark, monkeypatch):
+    """A short sample holds all languages, also beside common ones and over-long texts."""
+    monkeypatch.setattr(language, "SAMPLE_WORDS", 250)
+    of = [("en", "the dog " * 4)] * 400 + [("fr", "le chat " * 4)] * 40 + [("cy", "y gath " * 9000)] * 4 + [(f"l{k}", "mot " * 8) for k in range(5)] * 2
+    docs = spark.createDataFrame([(i, text, lang) for i, (lang, text) in enumerate(of)], "doc_id long, text string, lang string")
+    kept = {lang for i, (lang, _) in enumerate(of) if zlib.crc32(str(i).encode()) % 5}
+    texts, langs = language.sample(docs, 10)
+    assert set(langs) == kept == {"en", "fr", "cy", *(f"l{k}" for k in range(5))}
+    sizes = {lang: sum(len(t) for t, x in zip(texts, langs, strict=True) if x == lang) for lang in kept}
+    assert max(sizes.values()) <= 250 * 8 // len(kept) and sizes["cy"] > 0.9 * 250 * 8 // len(kept)
+    assert language._longest([5, 100, 30], 65) == 30 and language._longest([5, 6], 65) == 6
+
+
 def test_forward_backward_is_exact():
     r = np.random.RandomState(0)
     model = language.Model(["a", "b", "c"], None, None, None, r.normal(size=(3, 3)), r.normal(size=3))

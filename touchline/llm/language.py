@@ -24,7 +24,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from touchline.llm.common import by_bytes, table
@@ -257,23 +257,47 @@ def held_out(id_column: Column) -> Column:
     return F.coalesce(F.crc32(id_column.cast("string").cast("binary")) % 5 == 0, F.lit(True))
 
 
+def _longest(lengths: list[int], room: int) -> int:
+    """The length to which texts are cut so that all of them fit into ``room``."""
+    for n, x in enumerate(sorted(lengths)):
+        if x * (len(lengths) - n) > room:
+            return room // (len(lengths) - n)
+        room -= x
+    return max(lengths)
+
+
 def sample(docs: DataFrame, per_language: int = PER_LANGUAGE) -> tuple[list[str], list[str]]:
     """Texts and languages of a bounded sample of the labelled rows that may be learned from.
 
     All rows are counted, then rows are chosen by a hash of their id, at a rate
-    that gives ``per_language`` rows of each language on average.
+    that gives ``per_language`` rows of each language on average, and one at
+    least. Every language has the same share of the sample's characters; if its
+    texts are longer, the longest give their first part only.
     """
     rows = docs.filter("lang is not null and text is not null").filter(~held_out(F.col("doc_id"))).select("text", "lang", F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)).alias("draw"))
-    counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+    counts = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.min("draw").alias("least")).collect()
+    if not counts:
+        return [], []
     chosen = F.lit(False)
-    for lang, n in counts.items():
-        chosen |= (F.col("lang") == F.lit(lang)) & (F.col("draw") < F.lit(int(min(1.0, per_language / n) * (1 << 30))))
-    found = rows.filter(chosen).orderBy("draw", "lang", "text").limit(2 * per_language * max(len(counts), 1)).collect()
-    texts, langs, left = [], [], SAMPLE_WORDS * 8
-    for r in found:
-        if (left := left - len(r["text"])) >= 0 or not texts:
-            texts.append(r["text"]), langs.append(r["lang"])
-    return texts, langs
+    for r in counts:
+        most = max(int(min(1.0, per_language / r["n"]) * (1 << 30)), r["least"] + 1)
+        chosen |= (F.col("lang") == F.lit(r["lang"])) & (F.col("draw") < F.lit(most))
+    some = rows.filter(chosen).withColumns({"tie": F.xxhash64("text"), "length": F.length("text")})
+    first = Window.partitionBy("lang").orderBy("draw", "tie")
+
+    def taken(columns: DataFrame) -> DataFrame:
+        return columns.withColumn("place", F.row_number().over(first)).filter(F.col("place") <= 2 * per_language)
+
+    lengths: dict[str, list[int]] = {}
+    for r in taken(some.select("lang", "draw", "tie", "length")).collect():
+        lengths.setdefault(r["lang"], []).append(r["length"])
+    room = max(SAMPLE_WORDS * 8 // len(counts), 1)
+    longest = F.when(F.lit(False), F.lit(0))
+    for lang, of in lengths.items():
+        longest = longest.when(F.col("lang") == F.lit(lang), F.lit(_longest(of, room)))
+    found = taken(some.select("lang", "draw", "tie", F.substring("text", F.lit(1), longest).alias("text"))).collect()
+    found = sorted(found, key=lambda r: (r["draw"], r["lang"], r["text"]))
+    return [r["text"] for r in found], [r["lang"] for r in found]
 
 
 def predict(docs: DataFrame, model: Model, names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
