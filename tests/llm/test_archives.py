@@ -49,6 +49,12 @@ def test_round_trip(spark, split):
     assert sorted(map(repr, want)) == sorted(repr((r["id"], r["bytes"], r["sha1"], r["type"], r["refers_to"])) for r in got)
 
 
+def test_long_urls(spark):
+    rows, path = [(i, "u" * n, f"page {i}") for i, n in enumerate([5, 70_000, 5, 3_000_000, 5])], os.path.join(tempfile.mkdtemp(prefix="warc-test-"), "out")
+    warc.write(_pages(spark, rows).coalesce(1), path)
+    assert sorted((r["id"], r["url"], r["bytes"]) for r in warc.read(spark, path).collect()) == [(i, url, len(html)) for i, url, html in rows]
+
+
 def test_damage_and_foreign_records(spark):
     folder = tempfile.mkdtemp(prefix="warc-test-")
     record = lambda kind, body: f"WARC/1.0\r\nWARC-Type: {kind}\r\nWARC-Record-ID: <urn:uuid:1>\r\nContent-Length: {len(body)}\r\n\r\n{body}\r\n\r\n"

@@ -33,8 +33,6 @@ MAGIC = "WARC/1.0\r\n"
 END = "\r\n\r\n"
 #: Payloads of fewer bytes are always written in full.
 LEAST_REVISIT = 1000
-#: A header is not looked for beyond so many bytes.
-MOST_HEADER = 1 << 16
 
 
 def _header_value(value) -> object:
@@ -108,7 +106,7 @@ def _fields(head: bytes) -> dict[str, str]:
 
 def _parsed(piece: bytes) -> tuple[dict[str, str], int, int] | None:
     """Header fields, the block's start in the piece and the record's length, if a record starts here."""
-    cut = piece.find(END.encode(), 0, MOST_HEADER)
+    cut = piece.find(END.encode())
     fields = _fields(piece[:cut]) if cut >= 0 else {}
     if not re.fullmatch(r"[0-9]{1,15}", fields.get("content-length", "")) or "warc-type" not in fields:
         return None
@@ -117,7 +115,7 @@ def _parsed(piece: bytes) -> tuple[dict[str, str], int, int] | None:
 
 def _content(fields: dict[str, str], block: bytes) -> tuple[int | None, str | None]:
     """Bytes and SHA-1 of the full payload: of revisits, as their headers state them."""
-    cut = block.find(END.encode(), 0, MOST_HEADER)
+    cut = block.find(END.encode())
     payload = block[cut + len(END):] if cut >= 0 else block
     if fields["warc-type"] != "revisit":
         return len(payload), hashlib.sha1(payload).hexdigest()
