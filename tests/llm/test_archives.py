@@ -91,6 +91,28 @@ def test_rendering(page, text):
     assert html_text.render(page)[0] == text
 
 
+@pytest.mark.parametrize("sheet,seen", [
+    ("@media print {.x{display:none}}", True), ("@media (max-width:600px){.y{color:red}.x{display:none}}", True), ("@MEDIA screen and (max-width:9em){.x{display:none}}", True),
+    ("@supports (display:grid){.x{display:none}}", True), ("@media print{@media screen{.x{display:none}}}", True), (".y{color:red; .x{display:none} }", True),
+    ("@media print{.y{color:red}} .x{display:none}", False), ("@media screen{.x{display:none}}", False), ("@media print, all{.x{display:none}}", False),
+    ("@layer a{.x{display:none}}", False), ("@import 'a.css'; @charset \"}\"; .x{display:none}", False), (".y{content:'{'} p, .x{color:red;display:none;.z{color:red}}", False),
+    (".x{color:red;@media print{display:none}}", True), ("}.x{display:none}", False), ("@layer a, b; .x{display:none}", False),
+])
+def test_rules_that_hold_on_a_screen(sheet, seen):
+    assert html_text.render(f"<style>{sheet}</style><b class=x>text</b>")[0] == ("text" if seen else "")
+
+
+@pytest.mark.parametrize("page,text", [
+    ("<style media=print>b{display:none}</style><b>x</b>", "x"), ("a <math><mi>x</mi><mo>=</mo><mn>2</mn></math> b", "a x=2 b"),
+    ("<math><semantics><mi>x</mi><annotation encoding='application/x-tex'>\\x</annotation></semantics></math>", "x"),
+    ("<svg><title>t</title><desc>d</desc><defs/><path d='M0'/><text>one</text><text x=3>two</text><g display=none><text>no</text></g></svg>z", "one two z"),
+    ("<svg><defs><text>no</text></defs><metadata>no</metadata><text>a<tspan x=1>b</tspan></text></svg>", "a b"),
+    ("<svg/>a<desc>b</desc>", "ab"), ("<svg><title/><text>a</text></svg>", "a"),
+])
+def test_rendering_of_drawings_and_formulas(page, text):
+    assert html_text.render(page)[0] == text
+
+
 def test_rendering_survives(spark):
     assert html_text.render("<div>" * 50000 + "deep" + "</div>" * 3)[0] == "deep"
     assert html_text.render("<ul><li>" * 3000 + "deep")[0].strip().endswith("deep")

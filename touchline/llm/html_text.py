@@ -25,7 +25,10 @@ from touchline.llm.common import by_bytes, table
 # Fixed values of HTML: elements by how they behave.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 RAW = set("script style textarea title xmp iframe noembed noframes".split())
-UNSEEN = set("head script style template title noscript iframe noembed noframes object audio video canvas datalist meta link svg math map".split())
+UNSEEN = set("head script style template title noscript iframe noembed noframes object audio video canvas datalist meta link map".split())
+FOREIGN = {"svg", "math"}
+#: Parts of these that are not shown.
+FOREIGN_UNSEEN = set("desc defs metadata symbol clippath mask pattern marker annotation annotation-xml mphantom".split())
 SPACED = set("p h1 h2 h3 h4 h5 h6 ul ol dl blockquote pre table figure fieldset hr menu".split())
 BLOCK = SPACED | set(
     "html body address article aside center dd details dialog dir div dt figcaption footer form header hgroup legend li main nav optgroup option search section summary caption thead tbody tfoot tr td th select".split()
@@ -55,7 +58,9 @@ _MARKUP = re.compile(
 )
 _ATTRIBUTE = re.compile(r"""([^\s"'>/=][^\s"'>/=]*)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 _SPACE = re.compile("[ \t\n\r\f]+")
-_RULE = re.compile(r"([^{}]+)\{([^{}]*)\}")
+_SHEET = re.compile(r"""[{};]|"(?:[^"\\\n]|\\.)*"?|'(?:[^'\\\n]|\\.)*'?|[^{};"']+""", re.S)
+#: Media queries that hold for every screen.
+_SCREEN = re.compile(r"(?:(?:only\s+)?(?:all|screen)|not\s+print)?", re.I)
 _SELECTOR = re.compile(r"([a-z][a-z0-9]*)?(?:([.#])([\w-]+))?")
 _HIDING = re.compile(r"(?:^|;)\s*(display|visibility)\s*:\s*([a-z-]+)", re.I)
 #: Widest line of a cell, widest indent.
@@ -69,6 +74,11 @@ def _attributes(text: str) -> dict[str, str]:
     return out
 
 
+def _on_screen(media: str) -> bool:
+    """Whether a list of media queries holds for every screen, whatever its size."""
+    return any(_SCREEN.fullmatch(m.strip()) for m in media.split(","))
+
+
 def _number(text: str | None, least: int, most: int, default: int) -> int:
     return min(max(int(text), least), most) if text and re.fullmatch(r"-?[0-9]{1,9}", text.strip()) else default
 
@@ -177,7 +187,7 @@ class Renderer:
         self.out = _Lines()
         self.tables: list[_Table] = []
         self.rules: list[tuple[str, str, str, str, str]] = []
-        self.pre = 0
+        self.pre = self.foreign = 0
         self.n_tables = self.n_items = 0
         self.title: list[str] = []
 
@@ -197,7 +207,7 @@ class Renderer:
         if name in SECTIONS | {"tr", "caption"} and not self.tables:
             return
         self.element(name, attributes)
-        if name in VOID or closed and name in {"svg", "math"}:
+        if name in VOID or closed and self.foreign:
             self.close()
 
     def in_table(self) -> str:
@@ -238,7 +248,8 @@ class Renderer:
         """Whether the element is cut, and what it says of its visibility."""
         cut, shown = "hidden" in got or name == "input" or name == "dialog" and "open" not in got, None
         classes = got.get("class", "").split()
-        said = [b for tag, kind, value, a, b in self.rules if (not tag or tag == name) and (not kind or (value in classes if kind == "." else value == got.get("id"))) for b in [(a, b)]]
+        said = [(k, got[k].strip().lower()) for k in ("display", "visibility") if self.foreign and k in got]
+        said += [b for tag, kind, value, a, b in self.rules if (not tag or tag == name) and (not kind or (value in classes if kind == "." else value == got.get("id"))) for b in [(a, b)]]
         said += [(m[1].lower(), m[2].lower()) for m in _HIDING.finditer(got.get("style", ""))]
         for what, value in said:
             if what == "display":
@@ -249,9 +260,10 @@ class Renderer:
 
     def element(self, name: str, attributes: str) -> None:
         above = self.open[-1]
+        self.foreign += name in FOREIGN
         got = _attributes(attributes) if attributes and not attributes.isspace() else {}
         cut, shown = self.hidden(name, got) if got or self.rules else (name in ("input", "dialog"), None)
-        seen = above.seen and not cut and name not in UNSEEN
+        seen = above.seen and not cut and name not in UNSEEN and not (self.foreign and name in FOREIGN_UNSEEN)
         e = _Open(name, seen, above.shown if shown is None else shown)
         self.open.append(e)
         if not seen:
@@ -261,6 +273,8 @@ class Renderer:
                 self.out.end()
             return
         if name not in BLOCK:
+            if self.foreign and (name in ("text", "mtd") or name == "tspan" and "x" in got):
+                self.text(" ")  # these have a place of their own
             return
         nested = name in LISTS and any(x.name == "li" for x in self.open[:-1])
         if name in CELLS:
@@ -305,6 +319,9 @@ class Renderer:
     def close(self) -> None:
         e = self.open.pop()
         name = e.name
+        self.foreign -= name in FOREIGN
+        if e.seen and self.foreign and name in ("text", "mtd"):
+            self.text(" ")
         if not e.seen or name not in BLOCK:
             return
         if name in CELLS:
@@ -365,11 +382,11 @@ class Renderer:
                 self.end(name)
                 continue
             self.start(name, attributes, attributes.endswith("/"))
-            if name in RAW:
+            if name in RAW and not (self.foreign and attributes.endswith("/")):
                 stop = re.compile(f"</{name}(?=[\\s/>])[^>]*>?", re.I).search(page, at)
                 raw = page[at : stop.start() if stop else len(page)]
                 at = stop.end() if stop else len(page)
-                if name == "style":
+                if name == "style" and _on_screen(_attributes(attributes).get("media", "")):
                     self.styled(raw)
                 elif name == "title" and not self.title:
                     self.title.append(_SPACE.sub(" ", html.unescape(raw)).strip())
@@ -383,12 +400,37 @@ class Renderer:
         self.out.end()
 
     def styled(self, sheet: str) -> None:
-        """Rules with a plain selector that hide or show."""
-        for selectors, body in _RULE.findall(re.sub(r"/\*.*?(\*/|\Z)", "", sheet, flags=re.S)):
-            said = [(m[1].lower(), m[2].lower()) for m in _HIDING.finditer(body)]
-            for selector in selectors.split(",") if said else ():
-                if (m := _SELECTOR.fullmatch(selector.strip())) and m[0]:
-                    self.rules += [(m[1] or "", m[2] or "", m[3] or "", a, b) for a, b in said]
+        """Rules with a plain selector that hide or show; those of at-rules only if they hold for every screen."""
+        blocks: list[tuple[str | bool, str]] = []  # a rule's selectors, or whether the rules inside hold; what stood before in the block above
+        now = ""
+        for m in _SHEET.finditer(re.sub(r"/\*.*?(\*/|\Z)", "", sheet, flags=re.S)):
+            of = blocks[-1][0] if blocks else True
+            if m[0] == "{":
+                before, _, head = now.rpartition(";")
+                head = head.strip()
+                if of is True and head.startswith("@"):
+                    name, _, media = re.sub(r"^(@[\w-]+)", r"\1 ", head).partition(" ")
+                    inside = name.lower() == "@layer" or name.lower() == "@media" and _on_screen(media)
+                else:
+                    inside = now.strip() if of is True else False
+                blocks.append((inside, before if isinstance(of, str) else ""))
+                now = ""
+            elif m[0] == "}":
+                if isinstance(of, str):
+                    self.rule(of, now)
+                now = blocks.pop()[1] + ";" if blocks else ""
+                if not blocks or blocks[-1][0] is True:
+                    now = ""
+            elif m[0] == ";" and of is True and now.lstrip().startswith("@"):
+                now = ""
+            elif of is not False:
+                now += m[0]
+
+    def rule(self, selectors: str, body: str) -> None:
+        said = [(m[1].lower(), m[2].lower()) for m in _HIDING.finditer(body)]
+        for selector in selectors.split(",") if said else ():
+            if (m := _SELECTOR.fullmatch(selector.strip())) and m[0]:
+                self.rules += [(m[1] or "", m[2] or "", m[3] or "", a, b) for a, b in said]
 
 
 def render(page: str) -> tuple[str, str, int, int]:
