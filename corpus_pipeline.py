@@ -23,10 +23,10 @@ def _fresh(docs: DataFrame, name: str) -> str:
 
 
 def keep_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 8: documents with a language stay; null, empty and letterless texts go."""
+    """Operator 8: documents with a language stay, or all with a letter if none could be learned; null, empty and letterless texts go."""
     names = _fresh(docs, "op8_language"), _fresh(docs, "op8_score")
-    found = language.identify(docs, names)
-    return found.filter(F.col(names[0]) != language.UNKNOWN).drop(*names)
+    found = language.identify(docs, names, unlearned=None)
+    return found.filter(~F.col(names[0]).eqNullSafe(language.UNKNOWN)).drop(*names)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

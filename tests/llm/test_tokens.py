@@ -190,6 +190,12 @@ def test_pipeline(spark, sf, tmp_path, make_docs):  # noqa: F811
     _check_packed(final, [(r["doc_id"], r["text"]) for r in docs.collect()])
 
 
+def test_pipeline_keeps_unlabelled_texts(spark, make_docs):  # noqa: F811
+    docs = make_docs([(1, "a clean text"), (2, None), (3, ""), (4, "12 !!"), (5, "ünd"), (None, "no id")]).withColumn("lang", F.lit(None).cast("string"))
+    kept = corpus_pipeline.keep_language(spark, docs, "")
+    assert kept.columns == docs.columns and {r["doc_id"] for r in kept.collect()} == {1, 5, None}
+
+
 @pytest.mark.parametrize("stage", range(4))
 def test_pipeline_stands_empty_tables(spark, make_docs, stage):  # noqa: F811
     assert corpus_pipeline.STAGES[stage][1](spark, make_docs([]), "").count() == 0

@@ -239,10 +239,13 @@ def labelled(model: Model, texts: list[str]) -> tuple[Words, np.ndarray]:
     return words, marginals(model, scores[of], _chains(words.counts))
 
 
-def languages(model: Model, texts: list[str]) -> tuple[list[str], list[float]]:
-    """The language of each text and the share of its words' probability that is its."""
+def languages(model: Model, texts: list[str], unlearned: str | None = UNKNOWN) -> tuple[list[str | None], list[float]]:
+    """The language of each text and the share of its words' probability that is its.
+
+    Without labels it is ``unlearned`` for texts with a word.
+    """
     if not model.labels:
-        return [UNKNOWN] * len(texts), [0.0] * len(texts)
+        return [unlearned if n else UNKNOWN for n in words_of(texts).counts], [0.0] * len(texts)
     words, found = labelled(model, texts)
     ends = np.concatenate([[0], np.cumsum(words.counts)])
     total = np.concatenate([np.zeros((1, len(model.labels))), np.cumsum(found, axis=0)])
@@ -300,26 +303,27 @@ def sample(docs: DataFrame, per_language: int = PER_LANGUAGE) -> tuple[list[str]
     return [r["text"] for r in found], [r["lang"] for r in found]
 
 
-def predict(docs: DataFrame, model: Model, names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+def predict(docs: DataFrame, model: Model, names: tuple[str, str] = ("lang_pred", "score"), unlearned: str | None = UNKNOWN) -> DataFrame:
     """``docs`` with the language of each text and its score, under the given names.
 
-    Null and empty texts and texts without a letter are ``und`` with score 0, as
-    is everything if there was nothing to learn from. No shuffle.
+    Null and empty texts and texts without a letter are ``und`` with score 0. If
+    there was nothing to learn from, all others are ``unlearned``, with score 0.
+    No shuffle.
     """
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in by_bytes(batches, "text", _RUN):
-            langs, scores = languages(sent.value, texts)
+            langs, scores = languages(sent.value, texts, unlearned)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(langs, pa.string()), pa.array(scores, pa.float64())], names=[*batch.schema.names, *names])
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
     return docs.mapInArrow(run, f"{schema}, `{names[0]}` string, `{names[1]}` double")
 
 
-def identify(docs: DataFrame, names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+def identify(docs: DataFrame, names: tuple[str, str] = ("lang_pred", "score"), unlearned: str | None = UNKNOWN) -> DataFrame:
     """Fit on the labelled rows of ``docs`` and predict all of them."""
-    return predict(docs, fitted(*sample(docs)), names)
+    return predict(docs, fitted(*sample(docs)), names, unlearned)
 
 
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
