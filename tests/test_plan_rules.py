@@ -9,6 +9,8 @@
 
 from __future__ import annotations
 
+import json
+
 import pytest
 
 from conftest import SF_SMALL
@@ -87,3 +89,24 @@ def test_every_scan_reads_a_pruned_schema(spark, key):
         assert "tactics" not in required.simpleString() or key in ("lineup", "all_player_stats",
                                                                     "team_match_stats", "team_match_stats_by_name",
                                                                     "entry_season_team_all")
+
+
+def test_event_documents_are_bounded(spark, monkeypatch):
+    """A match of many events has several documents, none with more than its share, and no event is lost."""
+    from glob import glob
+
+    from touchline.plans import registry
+    from touchline.session import checkpoint_dir
+
+    monkeypatch.setattr(registry, "DOCUMENT_EVENTS", 40)
+    before = set(glob(f"{checkpoint_dir(spark).removeprefix('file:')}/documents-*"))
+    got = registry._event_documents(spark, SF_SMALL)
+    (path,) = set(glob(f"{checkpoint_dir(spark).removeprefix('file:')}/documents-*")) - before
+    sizes = {}
+    for name in glob(f"{path}/match_id=*/part-*"):
+        with open(name) as f:
+            sizes.setdefault(name.split("/")[-2], []).append(len(json.loads(f.read())))
+    assert sizes and max(map(max, sizes.values())) <= 40 and max(map(len, sizes.values())) > 1
+    want = registry._flat(registry._ev(spark, SF_SMALL))
+    assert got.count() == want.count() == sum(map(sum, sizes.values()))
+    assert got.exceptAll(want).isEmpty()

@@ -47,6 +47,8 @@ TOP_N = 5
 # A match of that season and one of its teams.
 MATCH_ID = 3895000
 SEASON_TEAM = 900
+# Most events of a JSON document, a few megabytes; about a match of real data.
+DOCUMENT_EVENTS = 4000
 
 
 def _ev(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -93,14 +95,20 @@ def _flat(events: DataFrame) -> DataFrame:
 
 
 def _event_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The events as one JSON document per match, read back."""
+    """The events as JSON documents of a match, read back.
+
+    A document holds events of one match out of ``DOCUMENT_EVENTS`` consecutive
+    rows of a task, so its size is bounded and a large match has several.
+    """
     fields = [f.name for f in EVENT_DOCUMENT_SCHEMA]
     path = f"{checkpoint_dir(spark).rstrip('/')}/documents-{uuid.uuid4().hex}"
+    row = F.monotonically_increasing_id()  # the task above bit 33, the row in it below
+    chunk = F.struct(F.shiftright(row, 33), (row.bitwiseAND((1 << 33) - 1) / DOCUMENT_EVENTS).cast("bigint"))
     documents = (
-        _ev(spark, sf_dir).groupBy("match_id").agg(F.collect_list(F.struct(*fields)).alias("events"))
+        _ev(spark, sf_dir).withColumn("chunk", chunk).groupBy("match_id", "chunk").agg(F.collect_list(F.struct(*fields)).alias("events"))
         .select("match_id", F.to_json("events").alias("value"))
     )
-    documents.write.partitionBy("match_id").text(path)
+    documents.write.option("maxRecordsPerFile", 1).partitionBy("match_id").text(path)
     good, _ = split_corrupt(read_events(spark, path))
     return _flat(good)
 
