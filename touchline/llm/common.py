@@ -104,3 +104,17 @@ def components(edges: DataFrame) -> DataFrame:
     if total is None:
         return edges.select(F.col("a").alias("node"), F.col("b").alias("component"))
     return total.withColumnRenamed("root", "component")
+
+
+def crc32_sql(text: str) -> str:
+    """DuckDB SQL of the unsigned CRC-32 of an ASCII text, by half bytes."""
+    table = []
+    for n in range(16):
+        for _ in range(4):
+            n = n >> 1 ^ (0xEDB88320 if n & 1 else 0)
+        table.append(n)
+    step = lambda crc, bits: f"xor({crc} >> 4, ({table}::BIGINT[])[(xor({crc}, {bits}) & 15) + 1])"
+    return (
+        f"xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, [ascii(c)::BIGINT for c in string_split({text}, '')]), "
+        f"lambda crc, b: {step(step('crc', 'b'), '(b >> 4)')}))"
+    )
