@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -177,13 +179,38 @@ def test_all_player_stats_reads_events_twice_without_cross_joins(events_small):
     assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
 
 
-def test_heatmap_kernel_is_broadcast_and_bounded(spark, events_small):
+def test_heatmap_kernel_is_bounded_and_smoothing_joins_nothing(spark, events_small):
     kernel = SP.gaussian_axis_kernel(spark, 25)
     assert kernel.count() <= 25 * 9
     w = kernel.groupBy("tgt").agg(F.sum("w").alias("s")).agg(F.min("s"), F.max("s")).first()
     assert abs(float(w[0]) - 1) < 1e-11 and abs(float(w[1]) - 1) < 1e-11  # each target's weights sum to 1
-    plan = _plan(SP.heatmap_smooth(SP.heatmap_counts(P.player_positions(events_small))))
-    assert "BroadcastHashJoin" in plan
+    assert abs(math.fsum(SP.gaussian_taps()) - 1) < 1e-15
+    plan = _plan(SP.heatmap(P.player_positions(events_small)))
+    # one shuffle, of states that the tasks have merged; the kernel is part of the expression
+    assert plan.count("Exchange hashpartitioning") == 1 and "partial_approx_top_k" in plan
+    assert "Join" not in plan and "Broadcast" not in plan
+
+
+def test_heatmap_states_count_exactly(spark):
+    """Every cell of the grid, from once to tens of thousands of times: the states' counts are the plain ones."""
+    rows = spark.range(300_000).select(
+        (F.col("id") % 3).alias("player_id"),
+        F.array((F.sqrt(F.col("id") % 360_000) * 0.2), (F.pmod(F.hash("id"), F.lit(7919)) % 80).cast("double")).alias("location"),
+    ).repartition(16)
+    direct = {tuple(r)[:3]: r.density for r in SP.heatmap(rows).collect()}
+    counted = {tuple(r)[:3]: r.density for r in SP.heatmap_smooth(SP.heatmap_counts(rows)).collect()}
+    assert direct == counted and len(direct) == 3 * 625
+    assert sum(direct.values()) == pytest.approx(300_000, abs=1e-2)
+    assert max(r.n for r in SP.heatmap_counts(rows).collect()) > 300
+
+
+def test_heatmap_of_other_grids(spark):
+    rows = spark.createDataFrame([(1, [x * 1.0, 70.0]) for x in range(0, 120, 7)] + [(None, [0.0, 0.0]), (2, None), (3, [None, 1.0])], "player_id long, location array<double>")
+    cells = SP.heatmap(rows, bins=(12, 5), sigma=0.5, truncate=3.0).collect()
+    assert {r.player_id for r in cells} == {1, None} and len(cells) == 2 * 12 * 5
+    assert sum(r.density for r in cells if r.player_id == 1) == pytest.approx(18, abs=1e-4)
+    with pytest.raises(ValueError):
+        SP.heatmap(rows, bins=(3, 3))
 
 
 # --- API surface: ordering, source-shaped columns, schema helper ---------------

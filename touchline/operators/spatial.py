@@ -1,20 +1,17 @@
 """Pitch analytics (C1-C6): pass vectors, position heatmaps, shot maps, top-n.
 
-The heatmap is two relational steps. Counting locations into bins is a
-grouped count, pre-aggregated map-side, so even a player holding a third of
-all events reduces to at most one row per bin per task. Gaussian smoothing is
-then two equi-joins (x, then y: the filter is separable) of those bin counts
-with an axis kernel whose size is fixed by the grid and the kernel radius
-(bins * (2r+1) rows, 225 for the defaults), never by the data, so
-broadcasting it is bounded.
+The heatmap is one aggregation and one projection. A group's state is a bounded
+array, a count for each of the grid's cells, which every task merges before the
+shuffle: a player holding a third of all events leaves a task as one such array.
+Gaussian smoothing is then a separable convolution of that array with array
+functions, inside the row: no join, and no second shuffle.
 """
 
 from __future__ import annotations
 
 import math
-from decimal import ROUND_HALF_UP, Decimal
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from touchline.functions.columns import coord
@@ -31,9 +28,7 @@ SHOT_MAP_CENTER = 40.0
 SHOT_MAP_X_MIN = 32.0
 SHOT_MAP_X_MAX = 47.0
 
-# Kernel weights are rounded to this many decimals and all smoothing sums are
-# exact decimals, so the result does not depend on summation order.
-KERNEL_SCALE = 9
+# Decimals of a smoothed density.
 SMOOTH_SCALE = 6
 
 
@@ -70,60 +65,117 @@ def heatmap_counts(
     Bin ``i`` of ``n`` over length ``L`` holds ``i*L/n <= x < (i+1)*L/n``; the
     far edge falls into the last bin.
     """
+    return _binned(positions, group_cols, bins, pitch, location).groupBy(*group_cols, "bin_x", "bin_y").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _binned(positions: DataFrame, group_cols: tuple[str, ...], bins: tuple[int, int], pitch: tuple[float, float], location: str) -> DataFrame:
+    """The bins of every located event."""
     x = coord(location, 0)
     y = coord(location, 1)
-    return (
-        positions.filter(x.isNotNull() & y.isNotNull())
-        .groupBy(
-            *group_cols,
-            _bin(x, bins[0], pitch[0]).alias("bin_x"),
-            _bin(y, bins[1], pitch[1]).alias("bin_y"),
-        )
-        .agg(F.count(F.lit(1)).alias("n"))
+    return positions.filter(x.isNotNull() & y.isNotNull()).select(
+        *group_cols, _bin(x, bins[0], pitch[0]).alias("bin_x"), _bin(y, bins[1], pitch[1]).alias("bin_y")
     )
 
 
-def _weight_type() -> str:
-    return f"decimal({KERNEL_SCALE + 1},{KERNEL_SCALE})"
-
-
 def _mirror(p: int, n: int) -> int:
     """Mirror an index at the grid edges, edge cell included (d c b a | a b c d)."""
     return -1 - p if p < 0 else (2 * n - 1 - p if p > n - 1 else p)
 
 
+def gaussian_taps(sigma: float = HEATMAP_SIGMA, truncate: float = HEATMAP_TRUNCATE) -> list[float]:
+    """The ``2r+1`` weights of a 1-D Gaussian filter, ``r = truncate * sigma``.
+
+    The centre's weight takes the rounding remainder of the others, so they sum to 1.
+    """
+    radius = int(truncate * sigma + 0.5)
+    taps = [math.exp(-0.5 * (a / sigma) ** 2) for a in range(-radius, radius + 1)]
+    norm = math.fsum(taps)
+    taps = [t / norm for t in taps]
+    taps[radius] = 1.0 - math.fsum(taps[:radius] + taps[radius + 1 :])
+    return taps
+
+
+def _radius(taps: list[float], bins: int) -> int:
+    if len(taps) // 2 >= bins:
+        raise ValueError("kernel radius must be smaller than the grid")
+    return len(taps) // 2
+
+
 def gaussian_axis_kernel(
     spark: SparkSession,
     bins: int,
     sigma: float = HEATMAP_SIGMA,
     truncate: float = HEATMAP_TRUNCATE,
 ) -> DataFrame:
-    """Rows (src, tgt, w) of a 1-D Gaussian filter with reflected edges: the
-    share of source bin ``src`` that lands in target bin ``tgt``.
-
-    The table is a constant of the parameters (at most ``bins * (2r+1)`` rows,
-    225 for the defaults), so it is built as a local relation: no job, no
-    shuffle, and broadcasting it is bounded. Each tap's weight is rounded
-    half-up to KERNEL_SCALE decimals; taps that mirror onto the same source
-    are added exactly.
+    """Rows (src, tgt, w) of the filter with reflected edges: the share of source
+    bin ``src`` that lands in target bin ``tgt``, at most ``bins * (2r+1)`` rows."""
+    taps = gaussian_taps(sigma, truncate)
+    radius = _radius(taps, bins)
+    share: dict[tuple[int, int], list[float]] = {}
+    for target in range(bins):
+        for a, w in enumerate(taps):
+            share.setdefault((_mirror(target + a - radius, bins), target), []).append(w)
+    return spark.createDataFrame([(src, tgt, math.fsum(ws)) for (src, tgt), ws in sorted(share.items())], "src int, tgt int, w double")
+
+
+def _let(value: Column, then) -> Column:
+    """``then(value)`` with ``value`` computed once, also when it is used inside a lambda."""
+    return F.transform(F.array(value), then)[0]
+
+
+def _smoothed_rows(grids: DataFrame, group_cols: tuple[str, ...], bins: tuple[int, int], sigma: float, truncate: float) -> DataFrame:
+    """A row per group and cell of the smoothed grid.
+
+    ``cells`` is an array of ``(cell, count)`` structs with ``cell = bin_x * bins[1] + bin_y``,
+    each cell at most once. The filter is separable. Along x it works on the whole grid: the
+    grid, widened by its mirrored edges, is shifted ``2r+1`` times by a row and the copies are
+    added, each with its weight. Along y it is a sum of ``2r+1`` elements for each cell listed.
+    Sums have a fixed order: equal counts give equal digits however events were partitioned.
     """
-    radius = int(truncate * sigma + 0.5)
-    if radius >= bins:
-        raise ValueError("kernel radius must be smaller than the grid")
-    taps = [math.exp(-0.5 * (a / sigma) ** 2) for a in range(-radius, radius + 1)]
-    norm = sum(taps)
-    quantum = Decimal(1).scaleb(-KERNEL_SCALE)
-    weight = [Decimal(repr(t / norm)).quantize(quantum, rounding=ROUND_HALF_UP) for t in taps]
-    table: dict[tuple[int, int], Decimal] = {}
-    for tgt in range(bins):
-        for i, a in enumerate(range(-radius, radius + 1)):
-            key = (_mirror(tgt + a, bins), tgt)
-            table[key] = table.get(key, Decimal(0)) + weight[i]
-    values = ", ".join(f"({src}, {tgt}, {w}BD)" for (src, tgt), w in sorted(table.items()))
-    return spark.sql(
-        f"SELECT src, tgt, CAST(w AS {_weight_type()}) AS w "
-        f"FROM VALUES {values} AS kernel(src, tgt, w)"
-    )
+    nx, ny = bins
+    taps = gaussian_taps(sigma, truncate)
+    rx, ry = _radius(taps, nx), _radius(taps, ny)
+    inside = [_mirror(x, nx) * ny + y for x in range(-rx, nx + rx) for y in range(ny)]
+    widened = lambda m: F.transform(F.lit(inside), lambda i: F.coalesce(F.try_element_at(m, i), F.lit(0)).cast("double"))
+
+    def plus(weight: float):
+        return lambda s, v: s + v * weight
+
+    def along_x(g: Column) -> Column:
+        out = F.transform(F.slice(g, 1, nx * ny), lambda v: v * taps[0])
+        for a, weight in enumerate(taps[1:], 1):
+            out = F.zip_with(out, F.slice(g, a * ny + 1, nx * ny), plus(weight))
+        return out
+
+    smooth_x = _let(_let(F.map_from_entries("cells"), widened), along_x)
+    listed = grids.select(*group_cols, smooth_x.alias("grid")).select(*group_cols, "grid", F.explode(F.sequence(F.lit(0), F.lit(nx * ny - 1))).alias("cell"))
+    x, y = F.floor(F.col("cell") / ny).cast("int"), (F.col("cell") % ny).cast("int")
+    mirrored = F.lit([_mirror(y, ny) for y in range(-ry, ny + ry)])
+    density = sum((F.col("grid")[x * ny + mirrored[y + b]] * weight for b, weight in enumerate(taps)), F.lit(0.0))
+    return listed.select(*group_cols, x.alias("bin_x"), y.alias("bin_y"), F.round(density, SMOOTH_SCALE).alias("density"))
+
+
+def heatmap(
+    positions: DataFrame,
+    group_cols: tuple[str, ...] = ("player_id",),
+    bins: tuple[int, int] = HEATMAP_BINS,
+    pitch: tuple[float, float] = (PITCH_LENGTH, PITCH_WIDTH),
+    location: str = "location",
+    sigma: float = HEATMAP_SIGMA,
+    truncate: float = HEATMAP_TRUNCATE,
+) -> DataFrame:
+    """Gaussian-smoothed position counts, all ``bins[0] * bins[1]`` cells of every group.
+
+    One aggregation state per group counts its cells: Spark's frequent-items state,
+    with room for every cell of the grid. It only estimates once there are more
+    distinct items than it tracks, which can't happen here, so the counts are exact. States
+    merge in each task, so one shuffle moves at most one bounded array per group and task.
+    """
+    n = bins[0] * bins[1]
+    cell = (F.col("bin_x") * bins[1] + F.col("bin_y")).alias("cell")
+    cells = _binned(positions, group_cols, bins, pitch, location).select(*group_cols, cell)
+    grids = cells.groupBy(*group_cols).agg(F.expr(f"approx_top_k(cell, {n}, {n})").alias("cells"))
+    return _smoothed_rows(grids, group_cols, bins, sigma, truncate)
 
 
 def heatmap_smooth(
@@ -133,46 +185,12 @@ def heatmap_smooth(
     sigma: float = HEATMAP_SIGMA,
     truncate: float = HEATMAP_TRUNCATE,
 ) -> DataFrame:
-    """C2 step 2: Gaussian-smoothed bin counts per group.
-
-    Every group gets all ``bins[0] * bins[1]`` cells: a bin of a group is first
-    completed along each axis by exploding the axis's bins (a fixed factor). The
-    filter is separable: one pass along x, one along y, each a join with a
-    (2r+1)-tap axis kernel and a re-aggregation, so a bin fans out to 2(2r+1)
-    partial sums instead of (2r+1)^2. The result does not depend on summation
-    order: counts are multiplied by weights scaled to whole numbers, in exact
-    decimals of 38 digits. A product of two weights takes ``2 * KERNEL_SCALE``
-    = 18 of them, so any bigint count fits.
+    """C2 step 2 by itself: the same from bin counts, one row per group and bin.
+
+    At most ``bins[0] * bins[1]`` rows of a group are gathered into its array.
     """
-    spark = counts.sparkSession
-    scale = 10**KERNEL_SCALE
-    whole = F.round(F.col("w") * F.lit(scale)).cast("decimal(38,0)")
-    kx = gaussian_axis_kernel(spark, bins[0], sigma, truncate).select("src", "tgt", whole.alias("w")).alias("kx")
-    ky = gaussian_axis_kernel(spark, bins[1], sigma, truncate).select("src", "tgt", whole.alias("w")).alias("ky")
-    zero = F.lit(0).cast("decimal(38,0)")
-    # rows of the grid that hold counts, spread along x; all other cells start from zero
-    along_x = (
-        counts.alias("c")
-        .join(F.broadcast(kx), F.col("c.bin_x") == F.col("kx.src"))
-        .groupBy(*[F.col(f"c.{g}").alias(g) for g in group_cols], F.col("kx.tgt").alias("bin_x"), F.col("c.bin_y").alias("bin_y"))
-        .agg(F.sum((F.col("c.n").cast("decimal(20,0)") * F.col("kx.w")).cast("decimal(38,0)")).cast("decimal(38,0)").alias("v"))
-    )
-    axis = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    empty = (
-        counts.select(*group_cols).distinct().select(*group_cols, axis(bins[0]).alias("bin_x"))
-        .select(*group_cols, "bin_x", axis(bins[1]).alias("bin_y"), zero.alias("d"))
-    )
-    along_y = (
-        along_x.alias("sx")
-        .join(F.broadcast(ky), F.col("sx.bin_y") == F.col("ky.src"))
-        .select(*[F.col(f"sx.{g}").alias(g) for g in group_cols], F.col("sx.bin_x").alias("bin_x"), F.col("ky.tgt").alias("bin_y"), (F.col("sx.v") * F.col("ky.w")).cast("decimal(38,0)").alias("d"))
-    )
-    # half up at SMOOTH_SCALE decimals, still in whole numbers; the last step is one exact division
-    units = F.round(F.sum("d").cast("decimal(38,0)"), SMOOTH_SCALE - 2 * KERNEL_SCALE).cast("decimal(38,0)")
-    units = (units / F.lit(10 ** (2 * KERNEL_SCALE - SMOOTH_SCALE))).cast("decimal(38,0)").cast("double")
-    return (
-        along_y.union(empty).groupBy(*group_cols, "bin_x", "bin_y").agg((units / F.lit(float(10**SMOOTH_SCALE))).alias("density"))
-    )
+    entry = F.struct((F.col("bin_x") * bins[1] + F.col("bin_y")).alias("cell"), F.col("n").cast("bigint").alias("n"))
+    return _smoothed_rows(counts.groupBy(*group_cols).agg(F.collect_list(entry).alias("cells")), group_cols, bins, sigma, truncate)
 
 
 def three_dimensional(shots: DataFrame) -> DataFrame:

@@ -354,11 +354,12 @@ HEATMAP_COUNTS = (
     "GROUP BY ALL"
 )
 
+# The Gaussian filter's weights as they are, not rounded.
 KERNEL_1D = (
-    "SELECT src, tgt, cast(sum(w) AS DECIMAL(10,9)) AS w FROM ("
+    "SELECT src, tgt, sum(w) AS w FROM ("
     " SELECT CASE WHEN tgt + a < 0 THEN -1 - (tgt + a) WHEN tgt + a > 24 THEN 49 - (tgt + a)"
     "   ELSE tgt + a END AS src, tgt,"
-    " cast(exp(-0.5 * a * a) / (SELECT sum(exp(-0.5 * r * r)) FROM range(-4, 5) t(r)) AS DECIMAL(10,9)) AS w"
+    " exp(-0.5 * a * a) / (SELECT sum(exp(-0.5 * r * r)) FROM range(-4, 5) t(r)) AS w"
     " FROM (SELECT i AS tgt, unnest(range(-4, 5)) AS a FROM range(25) g(i)) AS taps"
     ") AS k GROUP BY src, tgt"
 )
@@ -370,7 +371,7 @@ HEATMAP_SMOOTH = (
     "(SELECT player_id, x, unnest(range(25)) AS y FROM "
     " (SELECT player_id, unnest(range(25)) AS x FROM (SELECT DISTINCT player_id FROM hc) AS p) AS q) AS g "
     "LEFT JOIN (SELECT c.player_id, kx.tgt AS x, ky.tgt AS y, "
-    " cast(round(sum(cast(c.n AS DECIMAL(18,0)) * (kx.w * ky.w)), 6) AS DOUBLE) AS density "
+    " round(fsum(c.n * kx.w * ky.w), 6) AS density "
     " FROM hc c JOIN k1 kx ON c.bin_x = kx.src JOIN k1 ky ON c.bin_y = ky.src "
     " GROUP BY c.player_id, kx.tgt, ky.tgt) AS d USING (player_id, x, y)"
 )

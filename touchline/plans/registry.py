@@ -170,7 +170,7 @@ def _heatmap_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _heatmap_smooth(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return S.heatmap_smooth(S.heatmap_counts(P.player_positions(_ev(spark, sf_dir))))
+    return S.heatmap(P.player_positions(_ev(spark, sf_dir)))
 
 
 def _shot_map(spark: SparkSession, sf_dir: str) -> DataFrame:
