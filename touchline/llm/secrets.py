@@ -6,17 +6,22 @@ so a running sum of their lengths gives every start and end in code points.
 
 The entropy kinds look at candidate strings, maximal runs of token characters.
 A candidate belongs to the narrowest character class that covers it (hex,
-alnum, base64), and each class has its own window and threshold. The Shannon
-entropy of every window comes from incremental counts: when the window moves,
-the sum of ``n * log2(n)`` over its characters changes only by the terms of the
-character that leaves and the one that enters. Candidates on the allow-list
-(identifiers without digits, plain numbers, UUIDs, sample values) are
+alnum, base64), and each class has its own window and threshold; a candidate
+shorter than its class's window is one window, with the threshold for that length. The
+Shannon entropy of every window comes from incremental counts: the state of a
+scan holds a count for each character, packed into longs, and the sum of
+``n * log2(n)`` over them. A step takes the character that leaves from its
+count and adds the one that enters to its own; the sum changes by these two terms
+only. It is kept in whole numbers (2**-40 bits), so it doesn't drift. Candidates on the
+allow-list (identifiers without digits, plain numbers, UUIDs, sample values) are
 suppressed first. Long candidates are cut into overlapping pieces that together
-hold every window, so the work stays linear in the text.
+hold every window, so the work is linear in the text. Patterns over candidates
+repeat possessively: they neither backtrack nor recurse, however long the candidate is.
 """
 
 from __future__ import annotations
 
+import math
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -39,21 +44,27 @@ class Entropy(NamedTuple):
 
 
 CLASSES = [
-    Entropy("entropy_hex", r"^[0-9a-fA-F]+$", 20, 3.07),
-    Entropy("entropy_alnum", r"^[0-9A-Za-z]+$", 20, 3.53),
+    Entropy("entropy_hex", r"^[0-9a-fA-F]++$", 20, 3.07),
+    Entropy("entropy_alnum", r"^[0-9A-Za-z]++$", 20, 3.53),
     Entropy("entropy_base64", r"^", 24, 3.83),
 ]
 KINDS = ["assign", "access", "hex", *(c.kind for c in CLASSES)]
+#: A candidate's least length.
+SHORTEST = 20
 
 #: Candidates that match one of these are no secrets.
 ALLOWED = [
-    r"^[^0-9]*[0-9]?[^0-9]*$",  # at most one digit: words, paths, rulers
-    r"^[^A-Za-z]+$",  # numbers, dates, rulers
+    r"^[^0-9]*+[0-9]?+[^0-9]*+$",  # at most one digit: words, paths, rulers
+    r"^[^A-Za-z]++$",  # numbers, dates, rulers
     r"^[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$",  # UUIDs
     r"(?i)(example|sample|placeholder|dummy|changeme|xxxx)",
-    r"^([A-Za-z]*[-_/=+])*[A-Za-z]*[0-9]{0,4}([-_/=+][A-Za-z]*)*$",  # words with a year or a version
+    r"^(?:[A-Za-z]*+[-_/=+])*+[A-Za-z]*+[0-9]{0,4}+(?:[-_/=+][A-Za-z]*+)*+$",  # words with a year or a version
 ]
 
+#: Candidates' characters lie from ``+`` to ``z``; counts of up to 31 take five bits, twelve of them a long.
+_FIRST, _LONGS, _PER_LONG, _BITS = ord("+"), 7, 12, 5
+_UNIT = 1 << 40
+
 _SPAN = "array<struct<start: int, kind: int, end: int>>"
 
 
@@ -72,27 +83,37 @@ def _spans(kind: str, gaps: str, found: str, keep: str) -> Column:
     )
 
 
-def _count(char: str, text: str) -> str:
-    return f"(length({text}) - length(replace({text}, {char}, '')))"
-
-
-def _term(n: str) -> str:
-    return f"if({n} > 1, {n} * log2(cast({n} as double)), 0D)"
-
-
-def _peak(text: str, window: int) -> str:
-    """SQL of the largest entropy of a window of ``text``, 0 if the text is shorter."""
-    left, middle = f"substr(p, i - {window}, 1)", f"substr(p, greatest(i - {window} + 1, 1), least(i - 1, {window} - 1))"
-    before = f"substr(p, i - {window}, {window})"
-    enters = f"({_term(_count('substr(p, i, 1)', middle) + ' + 1')} - {_term(_count('substr(p, i, 1)', middle))})"
-    leaves = f"if(i > {window}, {_term(_count(left, before))} - {_term('(' + _count(left, before) + ' - 1)')}, 0D)"
-    return (
-        f"array_max(transform(sequence(0, greatest(length({text}) - {window}, 0), {PIECE}), k -> "
-        f"aggregate(transform(array(substr({text}, k + 1, {PIECE} + {window} - 1)), p -> "
-        f"aggregate(sequence(1, length(p)), named_struct('f', 0D, 'most', 0D), (s, i) -> named_struct("
-        f"'f', s.f + {enters} - {leaves}, 'most', if(i < {window}, 0D, greatest(s.most, log2({window}D) - (s.f + {enters} - {leaves}) / {window}))"
-        f")).most), 0D, (a, b) -> greatest(a, b))))"
+def least_bits(c: Entropy, length: int) -> float:
+    """The threshold of a window of ``length`` characters: the class's own, in proportion to the most that so many can hold."""
+    return c.bits * math.log2(length) / math.log2(c.window)
+
+
+def _most(c: Entropy, length: int) -> int:
+    """The largest sum of ``n * log2(n)``, in units, with which a window of ``length`` is suspicious."""
+    return math.floor(length * (math.log2(length) - least_bits(c, length)) * _UNIT)
+
+
+def _least_sum(text: str, window: str) -> str:
+    """SQL of the smallest sum of ``n * log2(n)`` over a window of ``text``, in units."""
+    terms = "array(" + ", ".join(f"{round(n * math.log2(n) * _UNIT) if n else 0}L" for n in range(32)) + ")"
+    packed = lambda k: f"case {k} " + " ".join(f"when {n} then s.a{n}" for n in range(_LONGS)) + " end"
+    count = lambda k, shift: f"cast(shiftright({packed(k)}, {shift}) & 31 as int)"
+    # a character: its long, its place there, and one there
+    place = lambda x: f"named_struct('k', ({x}) div {_PER_LONG}, 'at', cast({_BITS} * (({x}) % {_PER_LONG}) as int), 'one', shiftleft(1L, cast({_BITS} * (({x}) % {_PER_LONG}) as int)))"
+    leaves, enters = f"coalesce({count('c.o.k', 'c.o.at')}, 0)", count("c.i.k", "c.i.at")
+    # the window's count of the entering character, without the one that leaves
+    inside = f"({enters} - if(coalesce(c.o.k = c.i.k and c.o.at = c.i.at, false), 1, 0))"
+    total = f"s.f - {terms}[{leaves}] + {terms}[greatest({leaves} - 1, 0)] + {terms}[{inside} + 1] - {terms}[{inside}]"
+    longs = ", ".join(f"'a{n}', s.a{n} + if(c.i.k = {n}, c.i.one, 0L) - if(coalesce(c.o.k = {n}, false), c.o.one, 0L)" for n in range(_LONGS))
+    start = ", ".join(f"'a{n}', 0L" for n in range(_LONGS))
+    states = (
+        f"aggregate(cs, named_struct('n', 0, 'f', 0L, 'least', {1 << 62}L, {start}), (s, c) -> transform(array({total}), f -> named_struct("
+        f"'n', s.n + 1, 'f', f, 'least', if(s.n + 1 >= {window}, least(s.least, f), s.least), {longs}))[0], s -> s.least)"
     )
+    pairs = f"transform(xs, (x, i) -> named_struct('i', {place('x')}, 'o', if(i >= {window}, {place(f'xs[i - {window}]')}, null)))"
+    pieces = f"transform(sequence(0, length({text}) - {window}, {PIECE}), k -> substr({text}, k + 1, {PIECE} + {window} - 1))"
+    codes = f"transform(split(p, ''), x -> ascii(x) - {_FIRST})"
+    return f"array_min(transform(transform(transform({pieces}, p -> {codes}), xs -> {pairs}), cs -> {states}))"
 
 
 def _class_of(text: str) -> str:
@@ -103,8 +124,11 @@ def _class_of(text: str) -> str:
 def _entropic(text: str) -> str:
     """SQL of the check whether a candidate is suspicious."""
     allowed = " or ".join(f"{text} rlike {_quoted(a)}" for a in ALLOWED)
-    high = " ".join(f"when {KINDS.index(c.kind)} then {_peak(text, c.window)} >= {c.bits}D" for c in CLASSES)
-    return f"if({allowed}, false, case {_class_of(text)} {high} end)"
+    case = lambda value: " ".join(f"when {KINDS.index(c.kind)} then {value(c)}" for c in CLASSES)
+    window = "case kind " + case(lambda c: f"least(length({text}), {c.window})") + " end"
+    most = "case kind " + case(lambda c: "array(" + ", ".join(f"{_most(c, n)}L" for n in range(SHORTEST, c.window + 1)) + f")[window - {SHORTEST}]") + " end"
+    suspicious = f"transform(array({window}), window -> {_least_sum(text, 'window')} <= {most})[0]"
+    return f"if({allowed}, false, transform(array({_class_of(text)}), kind -> {suspicious})[0])"
 
 
 def found_spans(text: Column) -> list[tuple[str, Column]]:
@@ -187,7 +211,8 @@ def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _duck(pattern: str) -> str:
-    return "'" + pattern.replace("'", "''") + "'"
+    """The pattern for an engine that never backtracks, and so has no possessive repeats."""
+    return "'" + pattern.replace("*+", "*").replace("]++", "]+").replace("?+", "?").replace("}+", "}").replace("'", "''") + "'"
 
 
 def _oracle() -> str:
@@ -200,8 +225,8 @@ def _oracle() -> str:
     )
     allowed = " OR ".join(f"regexp_matches(m, {_duck(a)})" for a in ALLOWED)
     kind = " ".join(f"WHEN regexp_matches(m, {_duck(c.covers)}) THEN {KINDS.index(c.kind)}" for c in CLASSES)
-    window = " ".join(f"WHEN {KINDS.index(c.kind)} THEN {c.window}" for c in CLASSES)
-    bits = " ".join(f"WHEN {KINDS.index(c.kind)} THEN {c.bits}" for c in CLASSES)
+    window = " ".join(f"WHEN {KINDS.index(c.kind)} THEN least(len(m), {c.window})" for c in CLASSES)
+    bits = " ".join(f"WHEN {KINDS.index(c.kind)} THEN {c.bits} * log2(least(len(m), {c.window})) / log2({c.window})" for c in CLASSES)
     names = "[" + ", ".join(f"'{k}'" for k in KINDS) + "]"
     return f"""
 WITH docs AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
