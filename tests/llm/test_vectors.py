@@ -89,3 +89,37 @@ def test_blocks_share_the_budget():
         assert sum(b for _, _, b in layout) == pytest.approx(0.2, abs=1e-3)
         q = vector_dups.rotation(dims)
         assert np.allclose(q @ q.T, np.eye(dims))
+
+
+def test_block_search_equals_all_pairs():
+    """Strips over all coordinates of a block find exactly the pairs within its budget."""
+    r = np.random.RandomState(4)
+    whole = np.rint(r.normal(size=(3000, 8)) * 0.1 * vector_dups._SCALE)
+    whole[:500] = whole[500:1000] + np.rint(r.normal(size=(500, 8)) * 400)
+    part = whole.astype(np.float32)
+    square, budget = np.einsum("ij,ij->i", part, part), vector_dups.blocks(64, 0.9)[0][2]
+    exact = ((whole[:, None, :] - whole[None, :, :]) ** 2).sum(axis=2)
+
+    def pairs(a, b):
+        found = [np.stack(p, 1) for p in vector_dups._near(part, square, a, b, 0, budget)]
+        out = np.sort(np.concatenate(found), axis=1)
+        assert len(np.unique(out, axis=0)) == len(out)
+        return {(x, y) for x, y in out.tolist() if exact[x, y] <= budget}
+
+    everyone, half = np.arange(3000), np.arange(1500)
+    assert pairs(everyone, None) == {(x, y) for x, y in np.argwhere(exact <= budget).tolist() if x < y}
+    assert pairs(half, half + 1500) == {(x, y) for x, y in np.argwhere(exact <= budget).tolist() if x < 1500 <= y}
+
+
+def test_linked_vectors_are_within_a_block():
+    """The pigeonhole holds in whole numbers: some block of every linked pair is within its share."""
+    r = np.random.RandomState(6)
+    for dims in (3, 16, 64):
+        x = r.normal(size=(4000, dims))
+        y = x + r.normal(size=x.shape) * np.linalg.norm(x, axis=1, keepdims=True) / np.sqrt(dims) * 0.5
+        units = [v / np.linalg.norm(v, axis=1, keepdims=True) for v in (x, y)]
+        linked = np.einsum("ij,ij->i", *units) >= 0.9
+        a, b = (np.rint(u[linked] @ vector_dups.rotation(dims) * vector_dups._SCALE) for u in units)
+        assert linked.sum() > 500 and linked.sum() < 4000
+        inside = [((a - b)[:, f:l] ** 2).sum(axis=1) <= budget for f, l, budget in vector_dups.blocks(dims, 0.9)]
+        assert np.any(inside, axis=0).all()

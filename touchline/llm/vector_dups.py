@@ -4,9 +4,13 @@ Unit vectors with cosine ``t`` or more lie within the squared distance
 ``2 - 2t``. After a random rotation the coordinates are split into blocks, each
 with a share of that budget in proportion to its coordinates: of every linked
 pair at least one block is within its share. So each block is range-joined by
-itself, on a grid over its first coordinates whose cells are as wide as the
-block's radius; the union of the candidates is verified exactly, in double
-precision, in the same task. A pair counts in the first block it fits.
+itself, on a grid whose cells are as wide as the block's radius. Its first coordinates
+deal the vectors to tasks; a task goes on through the block's other coordinates, strip by
+strip, and multiplies only what is left together after all of them or is few enough. Candidates
+lose most false pairs to the distance over a few more coordinates; the union of the rest
+is verified exactly, in double precision, in the same task. A pair counts in the first
+block it fits: rotated coordinates are whole numbers, with the budgets rounded up for it, so
+every task comes to the same answer.
 
 Equal vectors are collapsed before, and tasks return a link count and one
 neighbour per vector, never pairs, so the output is linear in the input. Cells
@@ -35,10 +39,14 @@ BLOCKS = 8
 CHUNK = 16384
 #: Coordinate steps of a cell number.
 _STEP = 128
-#: Rows of a task compared at once, and pairs gathered at once.
-_ROWS, _PAIRS = 256, 1 << 15
-#: What rounding may add to a squared distance.
-_SLACK = 1e-5
+#: Pairs that are multiplied instead of being cut into strips once more, and pairs gathered at once.
+_LEAF, _PAIRS = 1 << 17, 1 << 17
+#: Rows of one multiplication.
+_ROWS = 512
+#: Rotated coordinates are in units of ``1 / _SCALE``, whole numbers of two bytes.
+_SCALE = 32000
+#: What single precision may add to a squared distance, in square units.
+_SLACK = 1e-5 * _SCALE**2
 
 
 @lru_cache(maxsize=8)
@@ -48,11 +56,16 @@ def rotation(dims: int) -> np.ndarray:
     return q * np.sign(np.diag(r))
 
 
-def blocks(dims: int, cosine: float) -> list[tuple[int, int, float]]:
+def most(dims: int, cosine: float) -> int:
+    """The largest squared distance, in square units, of linked vectors: a rounded coordinate is off by half a unit."""
+    return math.ceil((_SCALE * math.sqrt(2 - 2 * cosine + 1e-12) + math.sqrt(dims)) ** 2)
+
+
+def blocks(dims: int, cosine: float) -> list[tuple[int, int, int]]:
     """``(first, last, budget)`` of each block of coordinates."""
     n = min(BLOCKS, dims)
     cuts = [dims * k // n for k in range(n + 1)]
-    return [(a, b, (2 - 2 * cosine) * (b - a) / dims + _SLACK) for a, b in itertools.pairwise(cuts)]
+    return [(a, b, -(-most(dims, cosine) * (b - a) // dims)) for a, b in itertools.pairwise(cuts)]
 
 
 def _vectors(column: pa.Array) -> list[np.ndarray | None]:
@@ -69,23 +82,38 @@ def _vectors(column: pa.Array) -> list[np.ndarray | None]:
     return out
 
 
-def _prepared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Unit vectors, and their rotated coordinates in single precision."""
-    for batch in batches:
-        marks, dims, units, turned = [], [], [], []
-        for v in _vectors(batch.column("vector")):
-            if v is None:
-                marks.append(None), dims.append(None), units.append(None), turned.append(None)
-                continue
-            v = v / np.abs(v).max()  # so that squares neither overflow nor vanish
-            unit = v / math.sqrt(float(v @ v))
-            marks.append(hashlib.blake2b(v.tobytes(), digest_size=16).digest())
-            dims.append(len(v)), units.append(unit.tobytes())
-            turned.append((unit @ rotation(len(v))).astype(np.float32).tobytes())
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("id"), pa.array(marks, pa.binary()), pa.array(dims, pa.int32()), pa.array(units, pa.binary()), pa.array(turned, pa.binary())],
-            names=["id", "mark", "dims", "unit", "turned"],
-        )
+def _prepared(kind: np.dtype):
+    """Each vector's bytes as they came, its rotated coordinates, and a mark that equal directions share."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = _vectors(batch.column("vector"))
+            marks, dims = [None if v is None else hashlib.blake2b((v / np.abs(v).max()).tobytes(), digest_size=16).digest() for v in found], [None if v is None else len(v) for v in found]
+            bodies = [None if v is None else v.astype(kind).tobytes() for v in found]
+            turned: list[bytes | None] = [None] * len(found)
+            for d in {n for n in dims if n}:
+                rows = [n for n, x in enumerate(dims) if x == d]
+                whole = np.rint(_units([bodies[n] for n in rows], d, kind) @ rotation(d) * _SCALE).astype(np.int16)
+                for n, t in zip(rows, whole, strict=True):
+                    turned[n] = t.tobytes()
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("id"), pa.array(marks, pa.binary()), pa.array(dims, pa.int32()), pa.array(bodies, pa.binary()), pa.array(turned, pa.binary())],
+                names=["id", "mark", "dims", "body", "turned"],
+            )
+
+    return run
+
+
+def _units(bodies: list[bytes] | pd.Series, dims: int, kind: np.dtype) -> np.ndarray:
+    """The vectors scaled to length 1, in double precision."""
+    units = np.frombuffer(b"".join(bodies), kind).reshape(len(bodies), dims).astype(np.float64)
+    units /= np.abs(units).max(axis=1, keepdims=True)  # so that squares neither overflow nor vanish
+    units /= np.sqrt(np.einsum("ij,ij->i", units, units))[:, None]
+    return units
+
+
+def _turned(rows: pd.DataFrame, dims: int) -> np.ndarray:
+    return np.frombuffer(b"".join(rows["turned"]), np.int16).reshape(len(rows), dims)
 
 
 def _cells(cosine: float, axes: int):
@@ -94,7 +122,7 @@ def _cells(cosine: float, axes: int):
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             for dims, rows in frame.groupby("dims"):
-                turned = np.frombuffer(b"".join(rows["turned"]), np.float32).reshape(len(rows), dims).astype(np.float64)
+                turned = _turned(rows, dims)
                 for b, (first, last, budget) in enumerate(blocks(dims, cosine)):
                     cell = np.zeros(len(rows), np.int64)
                     for k in range(min(axes, last - first)):
@@ -104,9 +132,60 @@ def _cells(cosine: float, axes: int):
     return run
 
 
-def _within(x: np.ndarray, y: np.ndarray, layout: list[tuple[int, int, float]], block: int) -> np.ndarray:
-    """Whether ``block`` is the first in which each pair of rows is within its budget."""
-    square = (x.astype(np.float64) - y) ** 2
+def _strips(part: np.ndarray, rows: np.ndarray, axis: int, width: float) -> dict[int, np.ndarray]:
+    """``rows`` by the strip of ``axis`` that they lie in."""
+    strip = np.floor(part[rows, axis] / width).astype(np.int64)
+    order = np.argsort(strip, kind="stable")
+    cuts = np.flatnonzero(np.diff(strip[order])) + 1
+    return {int(strip[g[0]]): rows[g] for g in np.split(order, cuts)}
+
+
+def _near(part: np.ndarray, square: np.ndarray, a: np.ndarray, b: np.ndarray | None, axis: int, budget: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of rows of ``a`` and ``b``, or of ``a`` with itself, within ``budget`` over all coordinates of the block.
+
+    Both sides are cut into strips as wide as the radius; only a strip and its neighbours can
+    hold pairs. These go on with the next coordinate, down to few pairs or the last one.
+    """
+    other = a if b is None else b
+    if axis < part.shape[1] and len(a) * len(other) > _LEAF:
+        width = math.sqrt(budget + _SLACK)
+        left = _strips(part, a, axis, width)
+        right = left if b is None else _strips(part, b, axis, width)
+        for s, rows in left.items():
+            for t in (s, s + 1) if b is None else (s - 1, s, s + 1):
+                if t in right:
+                    yield from _near(part, square, rows, None if b is None and s == t else right[t], axis + 1, budget)
+        return
+    for start in range(0, len(a), _ROWS):
+        some = a[start : start + _ROWS]
+        against = other[start:] if b is None else other
+        # in place, as this is where the time goes
+        gap = part[some] @ part[against].T
+        gap *= -2
+        gap += square[some][:, None]
+        gap += square[against][None, :]
+        x, y = np.divmod(np.flatnonzero(gap.ravel() <= budget + _SLACK), len(against))
+        if b is None:
+            x, y = x[x < y], y[x < y]
+        if len(x):
+            yield some[x], against[y]
+
+
+def _fewer(turned: np.ndarray, x: np.ndarray, y: np.ndarray, layout: list[tuple[int, int, int]], block: int, whole: float) -> tuple[np.ndarray, np.ndarray]:
+    """The pairs whose distance over this block and the next two stays within the whole budget."""
+    total = np.zeros(len(x), np.float32)
+    for b in range(block, block + min(3, len(layout))):
+        first, last, _ = layout[b % len(layout)]
+        gap = turned[x, first:last] - turned[y, first:last]
+        total += np.einsum("ij,ij->i", gap, gap)
+        keep = total <= whole + _SLACK
+        x, y, total = x[keep], y[keep], total[keep]
+    return x, y
+
+
+def _within(x: np.ndarray, y: np.ndarray, layout: list[tuple[int, int, int]], block: int) -> np.ndarray:
+    """Whether ``block`` is the first in which each pair of rows is within its budget, in whole numbers."""
+    square = (x.astype(np.int64) - y) ** 2
     ok = np.ones(len(x), bool)
     for b, (first, last, budget) in enumerate(layout[: block + 1]):
         inside = square[:, first:last].sum(axis=1) <= budget
@@ -125,33 +204,29 @@ def _joined(parents: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
         np.minimum.at(parents, np.maximum(a, b), np.minimum(a, b))
 
 
-def _compared(cosine: float):
+def _compared(cosine: float, kind: np.dtype):
     def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        dims, block, _, kind, i, j = key
+        dims, block, _, task, i, j = key
         rows = rows.sort_values(["side", "rep"])
-        units = np.frombuffer(b"".join(rows["unit"]), np.float64).reshape(len(rows), dims)
-        turned = np.frombuffer(b"".join(rows["turned"]), np.float32).reshape(len(rows), dims)
+        units = _units(rows["body"], dims, kind)
+        whole = _turned(rows, dims)
+        turned = whole.astype(np.float32)
         weight, left = rows["weight"].to_numpy(), int((rows["side"] == 0).sum())
-        own = kind < 2 and i == j  # rows of the left side are compared with each other, too
         layout = blocks(dims, cosine)
         first, last, budget = layout[block]
         part = np.ascontiguousarray(turned[:, first:last])
-        square = (part**2).sum(axis=1)
+        square = np.einsum("ij,ij->i", part, part)
         links, parents = np.zeros(len(rows), np.int64), np.arange(len(rows))
-        for start in range(0, left, _ROWS):
-            stop = min(start + _ROWS, left)
-            base = start + 1 if own else left
-            near = square[start:stop, None] + square[None, base:] - 2 * (part[start:stop] @ part[base:].T) <= budget + _SLACK
-            a, b = np.nonzero(near)
-            a, b = a + start, b + base
-            if own:
-                keep = a < b
-                a, b = a[keep], b[keep]
+        own, visiting = np.arange(left), np.arange(left, len(rows))
+        searches = [_near(part, square, own, visiting, 0, budget)] if len(visiting) else []
+        if task < 2 and i == j:  # rows of the left side are compared with each other, too
+            searches.append(_near(part, square, own, None, 0, budget))
+        for a, b in itertools.chain(*searches):
             for at in range(0, len(a), _PAIRS):
-                x, y = a[at : at + _PAIRS], b[at : at + _PAIRS]
+                x, y = _fewer(turned, a[at : at + _PAIRS], b[at : at + _PAIRS], layout, block, most(dims, cosine))
                 keep = np.einsum("ij,ij->i", units[x], units[y]) >= cosine
                 x, y = x[keep], y[keep]
-                keep = _within(turned[x], turned[y], layout, block)
+                keep = _within(whole[x], whole[y], layout, block)
                 x, y = x[keep], y[keep]
                 np.add.at(links, x, weight[y])
                 np.add.at(links, y, weight[x])
@@ -175,10 +250,12 @@ def link(vectors: DataFrame, cosine: float = COSINE, id_col: str = "vec_id", vec
     is kept, its component null. An empty table gives no rows.
     """
     rows = vectors.select(F.col(id_col).cast("bigint").alias("id"), F.col(vector_col).alias("vector"))
-    rows = landed(rows.mapInArrow(_prepared, "id bigint, mark binary, dims int, unit binary, turned binary"), "vectors")
+    # single precision holds all that such a column has
+    kind = np.dtype(np.float32 if "float" in vectors.schema[vector_col].dataType.simpleString() else np.float64)
+    rows = landed(rows.mapInArrow(_prepared(kind), "id bigint, mark binary, dims int, body binary, turned binary"), "vectors")
     reps = landed(
         rows.filter("mark is not null and id is not null")
-        .groupBy("dims", "mark").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("weight"), F.first("unit").alias("unit"), F.first("turned").alias("turned")),
+        .groupBy("dims", "mark").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("weight"), F.first("body").alias("body"), F.first("turned").alias("turned")),
         "reps",
     )
     # a coordinate spreads over about five or six cells
@@ -219,10 +296,10 @@ def link(vectors: DataFrame, cosine: float = COSINE, id_col: str = "vec_id", vec
         .when(F.col("kx") == 1, F.array(at(0, zero, part("kv"), 1)))
         .otherwise(F.transform(upto(F.col("kx")), lambda i: at(2, i, part("kv"), 1)))
     )
-    placed = homes.join(roles, ["dims", "block", "cell"]).select("dims", "block", "task", "rep", "weight", "unit", "turned", F.explode(places).alias("p"))
+    placed = homes.join(roles, ["dims", "block", "cell"]).select("dims", "block", "task", "rep", "weight", "body", "turned", F.explode(places).alias("p"))
     found = landed(
-        placed.select("dims", "block", "task", "p.kind", "p.i", "p.j", "p.side", "rep", "weight", "unit", "turned")
-        .groupBy("dims", "block", "task", "kind", "i", "j").applyInPandas(_compared(cosine), "a bigint, b bigint, links bigint"),
+        placed.select("dims", "block", "task", "p.kind", "p.i", "p.j", "p.side", "rep", "weight", "body", "turned")
+        .groupBy("dims", "block", "task", "kind", "i", "j").applyInPandas(_compared(cosine, kind), "a bigint, b bigint, links bigint"),
         "links",
     )
     groups = components(found.select("a", "b")).select(F.col("node").alias("rep"), "component")
