@@ -36,11 +36,11 @@ from touchline.llm.common import components, landed, table
 COSINE = 0.9
 BLOCKS = 8
 #: Vectors of one side of a task, about.
-CHUNK = 16384
+CHUNK = 32768
 #: Coordinate steps of a cell number.
 _STEP = 128
 #: Pairs that are multiplied instead of being cut into strips once more, and pairs gathered at once.
-_LEAF, _PAIRS = 1 << 17, 1 << 17
+_LEAF, _PAIRS = 1 << 20, 1 << 16
 #: Rows of one multiplication.
 _ROWS = 512
 #: Rotated coordinates are in units of ``1 / _SCALE``, whole numbers of two bytes.
@@ -171,6 +171,22 @@ def _near(part: np.ndarray, square: np.ndarray, a: np.ndarray, b: np.ndarray | N
             yield some[x], against[y]
 
 
+def _gathered(found: Iterator[tuple[np.ndarray, np.ndarray]]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The same pairs, about ``_PAIRS`` at a time."""
+    held: list[tuple[np.ndarray, np.ndarray]] = []
+    n = 0
+    for a, b in found:
+        for at in range(0, len(a), _PAIRS):
+            held.append((a[at : at + _PAIRS], b[at : at + _PAIRS]))
+            n += len(held[-1][0])
+            if n >= _PAIRS:
+                yield tuple(map(np.concatenate, zip(*held)))
+                held.clear()
+                n = 0
+    if held:
+        yield tuple(map(np.concatenate, zip(*held)))
+
+
 def _fewer(turned: np.ndarray, x: np.ndarray, y: np.ndarray, layout: list[tuple[int, int, int]], block: int, whole: float) -> tuple[np.ndarray, np.ndarray]:
     """The pairs whose distance over this block and the next two stays within the whole budget."""
     total = np.zeros(len(x), np.float32)
@@ -221,16 +237,15 @@ def _compared(cosine: float, kind: np.dtype):
         searches = [_near(part, square, own, visiting, 0, budget)] if len(visiting) else []
         if task < 2 and i == j:  # rows of the left side are compared with each other, too
             searches.append(_near(part, square, own, None, 0, budget))
-        for a, b in itertools.chain(*searches):
-            for at in range(0, len(a), _PAIRS):
-                x, y = _fewer(turned, a[at : at + _PAIRS], b[at : at + _PAIRS], layout, block, most(dims, cosine))
-                keep = np.einsum("ij,ij->i", units[x], units[y]) >= cosine
-                x, y = x[keep], y[keep]
-                keep = _within(whole[x], whole[y], layout, block)
-                x, y = x[keep], y[keep]
-                np.add.at(links, x, weight[y])
-                np.add.at(links, y, weight[x])
-                _joined(parents, x, y)
+        for a, b in _gathered(itertools.chain(*searches)):
+            x, y = _fewer(turned, a, b, layout, block, most(dims, cosine))
+            keep = np.einsum("ij,ij->i", units[x], units[y]) >= cosine
+            x, y = x[keep], y[keep]
+            keep = _within(whole[x], whole[y], layout, block)
+            x, y = x[keep], y[keep]
+            np.add.at(links, x, weight[y])
+            np.add.at(links, y, weight[x])
+            _joined(parents, x, y)
         while (up := parents[parents]).sum() != parents.sum():
             parents = up
         rep, some = rows["rep"].to_numpy(), links > 0
