@@ -15,13 +15,21 @@ that is no JSON array, stays as a row with its raw text in ``_corrupt_record``;
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from touchline.schemas import COMPETITION_SCHEMA, EVENT_DOCUMENT_SCHEMA, MATCH_SCHEMA
+from touchline.sources.arrays import scan_array_documents
 
 CORRUPT = "_corrupt_record"
+REASON = "_corrupt_reason"
+#: Why a text was not read; fields that hold another type are named one by one.
+NO_ELEMENT = "no element of an array"
+NO_OBJECT = "no object"
+BROKEN = "broken json"
+UNFIT = "does not fit the schema"
+NO_MATCH = "no match id"
 # Name of the raw text in quarantine output. Not ``_corrupt_record``: a JSON
 # reader would take a field of that name for its own corrupt-record column.
 RAW_TEXT = "raw_text"
@@ -31,7 +39,6 @@ def parse_documents(texts: DataFrame, schema: T.StructType) -> DataFrame:
     """One row per element of the documents ``value`` (JSON arrays, or single
     objects), with the raw text of what does not parse in ``_corrupt_record``.
     Blank documents and empty arrays give no rows."""
-    with_corrupt = T.StructType(schema.fields + [T.StructField(CORRUPT, T.StringType())])
     keep = [c for c in texts.columns if c != "value"]
     text = F.trim(F.regexp_replace("value", "^\ufeff|^\\s+|\\s+$", ""))
     elements = F.when(text.startswith("{"), F.array(text)).otherwise(
@@ -44,6 +51,14 @@ def parse_documents(texts: DataFrame, schema: T.StructType) -> DataFrame:
     )
     rows = texts.filter(text != "").select(*keep, F.explode(pieces).alias("piece"))
     rows = rows.select(*keep, F.col("piece.text").alias("element"), F.col("piece.unreadable").alias("unreadable"))
+    return parse_elements(rows, schema)
+
+
+def parse_elements(rows: DataFrame, schema: T.StructType) -> DataFrame:
+    """Parse the texts ``element``; ``unreadable`` ones and those that don't fit
+    the schema keep their text in ``_corrupt_record`` and say why in ``_corrupt_reason``."""
+    with_corrupt = T.StructType(schema.fields + [T.StructField(CORRUPT, T.StringType())])
+    keep = [c for c in rows.columns if c not in ("element", "unreadable")]
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
     parsed = rows.withColumn("row", F.from_json("element", with_corrupt, options))
     # an element that is no object (a number, null) has no fields to read
@@ -53,32 +68,89 @@ def parse_documents(texts: DataFrame, schema: T.StructType) -> DataFrame:
         .when(no_object, F.coalesce("element", F.lit("null")))
         .otherwise(F.col(f"row.{CORRUPT}"))
     )
+    reason = (
+        F.when(F.col("unreadable"), NO_ELEMENT).when(no_object, NO_OBJECT)
+        .when(F.col(f"row.{CORRUPT}").isNotNull(), misfit(F.col("element"), schema))
+    )
     return parsed.select(
         *[F.col("row").getField(f.name).alias(f.name) for f in schema.fields],
         corrupt.alias(CORRUPT),
+        reason.alias(REASON),
         *keep,
     )
 
 
+def _fields(schema: T.StructType, prefix: str = "$") -> list[tuple[str, T.DataType]]:
+    """Every field that is no part of an array, outer ones first, as a JSON path and its type."""
+    out: list[tuple[str, T.DataType]] = []
+    for f in schema.fields:
+        path = f"{prefix}.{f.name}"
+        out.append((path, f.dataType))
+        if isinstance(f.dataType, T.StructType):
+            out += _fields(f.dataType, path)
+    return out
+
+
+#: How JSON values that a type can hold are called by ``schema_of_variant``, as a pattern.
+_NUMBER = r"(BIGINT|DOUBLE|FLOAT|DECIMAL\(\d+,\d+\))"
+
+
+def _holds(kind: T.DataType) -> str:
+    """The pattern of the values that the parser takes for a type; text takes any."""
+    if isinstance(kind, T.StructType):
+        return r"OBJECT<.*>"
+    if isinstance(kind, T.ArrayType):
+        return rf"ARRAY<({_holds(kind.elementType)}|VOID)>"
+    if isinstance(kind, (T.DoubleType, T.FloatType)):
+        return _NUMBER
+    if isinstance(kind, (T.LongType, T.IntegerType)):
+        # whole numbers of more digits than a long has are decimals
+        return r"BIGINT"
+    if isinstance(kind, T.BooleanType):
+        return r"BOOLEAN"
+    return r".*"
+
+
+def misfit(element: Column, schema: T.StructType) -> Column:
+    """Why a JSON object doesn't fit ``schema``: broken JSON, or the first field
+    that holds another type, with the type expected and the kind of value found."""
+    value = F.try_parse_json(element)
+
+    def check(path: str, kind: T.DataType) -> Column:
+        found = F.schema_of_variant(F.try_variant_get(value, path, "variant"))
+        name, expected = path.removeprefix("$."), "struct" if isinstance(kind, T.StructType) else kind.simpleString().split("<struct")[0]
+        # objects and arrays by their kind alone: their contents vary
+        kind_found = F.lower(F.regexp_extract(found, r"^\w+", 0))
+        return F.when(~found.rlike(rf"^({_holds(kind)}|VOID)$"), F.concat(F.lit(f"field {name}: {expected} expected, "), kind_found, F.lit(" found")))
+
+    checks = [check(path, kind) for path, kind in _fields(schema) if _holds(kind) != r".*"]
+    return F.when(value.isNull(), BROKEN).otherwise(F.coalesce(*checks, F.lit(UNFIT)))
+
+
 def read_json_documents(
     spark: SparkSession,
     path: str | list[str],
     schema: T.StructType,
     keep_corrupt: bool = True,
     multi_line: bool = True,
+    split: bool = False,
 ) -> DataFrame:
     """JSON documents with a fixed schema.
 
     ``multi_line`` (the source format) reads each file as one JSON array, a row
     per element; such a file is one task, which suits per-match documents of a
-    few MB. ``multi_line=False`` reads JSON lines, which Spark splits inside
-    large files.
+    few MB. With ``split`` Spark splits large documents, too, at the price of
+    reading them twice; a broken document then keeps its whole elements.
+    ``multi_line=False`` reads JSON lines, which Spark splits inside large files.
 
     With ``keep_corrupt`` the frame has a ``_corrupt_record`` column holding
     the raw text of an element (or document) that did not parse, null for good
-    rows, and the ``source_file`` it came from; without it such rows are left out.
+    rows, ``_corrupt_reason`` that says why, and the ``source_file`` it came from;
+    without it such rows are left out.
     """
-    if multi_line:
+    if multi_line and split:
+        df = parse_elements(scan_array_documents(spark, path), schema)
+    elif multi_line:
         texts = (
             spark.read.text(path, wholetext=True)
             .select("value", F.col("_metadata.file_path").alias("source_file"))
@@ -90,21 +162,21 @@ def read_json_documents(
             .option("mode", "PERMISSIVE")
             .option("columnNameOfCorruptRecord", CORRUPT)
             .json(path)
-            .withColumn("source_file", F.col("_metadata.file_path"))
+            .withColumns({REASON: F.when(F.col(CORRUPT).isNotNull(), misfit(F.col(CORRUPT), schema)), "source_file": F.col("_metadata.file_path")})
         )
-    return df if keep_corrupt else df.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
+    return df if keep_corrupt else df.filter(F.col(CORRUPT).isNull()).drop(CORRUPT, REASON)
 
 
-def read_competitions(spark: SparkSession, path: str) -> DataFrame:
+def read_competitions(spark: SparkSession, path: str, split: bool = False) -> DataFrame:
     """The competitions document."""
-    return read_json_documents(spark, path, COMPETITION_SCHEMA)
+    return read_json_documents(spark, path, COMPETITION_SCHEMA, split=split)
 
 
-def read_matches(spark: SparkSession, path: str | list[str]) -> DataFrame:
+def read_matches(spark: SparkSession, path: str | list[str], split: bool = False) -> DataFrame:
     """S3: match documents, one per competition and season
     (``matches/<competition_id>/<season_id>.json``). When a document lacks the
     competition or season ids, they are taken from its path."""
-    df = read_json_documents(spark, path, MATCH_SCHEMA)
+    df = read_json_documents(spark, path, MATCH_SCHEMA, split=split)
     ids = F.regexp_extract(F.col("source_file"), r"(\d+)/(\d+)\.json$", 1)
     season = F.regexp_extract(F.col("source_file"), r"(\d+)/(\d+)\.json$", 2)
     from_path_comp = F.when(ids != "", ids.cast("bigint"))
@@ -131,24 +203,26 @@ def match_id_from_path(path_col: str = "source_file"):
     return F.regexp_extract(raw, r"\d+", 0).try_cast("bigint")
 
 
-def read_events(spark: SparkSession, path: str | list[str]) -> DataFrame:
+def read_events(spark: SparkSession, path: str | list[str], split: bool = False) -> DataFrame:
     """Match event documents (``events/<match_id>.json``), any number of
     them in one scan, each row tagged with the ``match_id`` of its file."""
-    df = read_json_documents(spark, path, EVENT_DOCUMENT_SCHEMA)
+    df = read_json_documents(spark, path, EVENT_DOCUMENT_SCHEMA, split=split)
     return df.withColumn("match_id", match_id_from_path())
 
 
 def split_corrupt(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(good rows, quarantine rows) of a frame read with ``keep_corrupt``.
 
-    The quarantine keeps the source file, the first data field and the raw
-    text (as ``raw_text``). Writing both parts parses the documents twice,
-    which costs less at scale than a copy of the parsed input on disk.
+    The quarantine keeps the source file, the first data field, the raw text
+    (as ``raw_text``) and why it was not read (as ``reason``). Writing both parts
+    parses the documents twice, which costs less at scale than a copy of the
+    parsed input on disk.
     """
-    good = df.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
-    first = next(c for c in df.columns if c not in (CORRUPT, "source_file"))
+    good = df.filter(F.col(CORRUPT).isNull()).drop(CORRUPT, REASON)
+    first = next(c for c in df.columns if c not in (CORRUPT, REASON, "source_file"))
+    reason = F.col(REASON) if REASON in df.columns else F.lit(None).cast("string")
     bad = df.filter(F.col(CORRUPT).isNotNull()).select(
-        "source_file", first, F.col(CORRUPT).alias(RAW_TEXT)
+        "source_file", first, F.col(CORRUPT).alias(RAW_TEXT), reason.alias("reason")
     )
     return good, bad
 

@@ -18,7 +18,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from touchline.sources.documents import CORRUPT, RAW_TEXT, split_corrupt
+from touchline.sources.documents import CORRUPT, NO_MATCH, RAW_TEXT, split_corrupt
 
 SEASON = ["competition_id", "season_id"]
 
@@ -85,13 +85,13 @@ def land_events(
     lost = events.filter("match_id is null")
     source = F.col("source_file") if "source_file" in events.columns else F.lit(None).cast("string")
     _quarantine(
-        lost.select(source.alias("source_file"), F.to_json(F.struct(*lost.columns)).alias(RAW_TEXT)),
+        lost.select(source.alias("source_file"), F.to_json(F.struct(*lost.columns)).alias(RAW_TEXT), F.lit(NO_MATCH).alias("reason")),
         quarantine_path,
     )
     events = events.filter("match_id is not null").drop("source_file", *SEASON)
     seasons, unclear = match_seasons(matches)
     _quarantine(
-        unclear.select(F.lit(None).cast("string").alias("source_file"), F.to_json(F.struct(*unclear.columns)).alias(RAW_TEXT)),
+        unclear.select(F.lit(None).cast("string").alias("source_file"), F.to_json(F.struct(*unclear.columns)).alias(RAW_TEXT), F.lit("no single season").alias("reason")),
         quarantine_path,
     )
     arrived = events.select("match_id").distinct()
@@ -178,7 +178,7 @@ def land_matches(matches: DataFrame, path: str, mode: str = "overwrite", quarant
     good = _good(matches, path, quarantine_path)
     lost = good.filter("match_id is null")
     _quarantine(
-        lost.select(F.to_json(F.struct(*lost.columns)).alias(RAW_TEXT)),
+        lost.select(F.to_json(F.struct(*lost.columns)).alias(RAW_TEXT), F.lit(NO_MATCH).alias("reason")),
         quarantine_path or f"{path.rstrip('/')}-quarantine",
     )
     (

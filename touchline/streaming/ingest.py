@@ -30,7 +30,7 @@ from touchline.operators import aggregations as A
 from touchline.operators import team as TM
 from touchline.schemas import EVENT_DOCUMENT_SCHEMA
 from touchline.session import checkpoint_dir
-from touchline.sources.documents import CORRUPT, RAW_TEXT, match_id_from_path, parse_documents
+from touchline.sources.documents import CORRUPT, RAW_TEXT, NO_MATCH, REASON, match_id_from_path, parse_documents
 from touchline.sources.landing import match_seasons
 
 
@@ -62,20 +62,25 @@ def start_landing(
     """Land a document stream to Parquet; returns (landing, quarantine) queries.
 
     The season of each event comes from a stream-static join with the match
-    list, one row per match. A match that is not listed yet lands in the null
-    season, where ``season.season_events`` finds it once its list names it.
+    list, one row per match. A match that is not listed yet, or listed under two
+    seasons, lands in the null season, where ``season.season_events`` finds it once its
+    list names it. What does not parse, and events without a match id, go to the
+    quarantine with the reason.
     """
     spark = stream.sparkSession
     base = _checkpoint(spark, "landing", checkpoint)
     seasons, _ = match_seasons(matches)
     good = (
-        stream.filter(F.col(CORRUPT).isNull())
-        .drop(CORRUPT, "source_file")
+        stream.filter(F.col(CORRUPT).isNull() & F.col("match_id").isNotNull())
+        .drop(CORRUPT, REASON, "source_file")
         .join(seasons, on="match_id", how="left")
     )
-    bad = stream.filter(F.col(CORRUPT).isNotNull()).select(
-        "source_file", "id", F.col(CORRUPT).alias(RAW_TEXT)
-    )
+    fields = [c for c in stream.columns if c not in (CORRUPT, REASON, "source_file", "match_id")]
+    bad = stream.filter(F.col(CORRUPT).isNotNull() | F.col("match_id").isNull()).select(
+        "source_file", "id",
+        F.coalesce(CORRUPT, F.to_json(F.struct(*fields))).alias(RAW_TEXT),
+        F.coalesce(REASON, F.lit(NO_MATCH)).alias("reason"),
+    )
 
     def _trigger(w):
         if available_now:
