@@ -71,7 +71,7 @@ def test_rules_catch_a_raw_shuffle(spark, events_small):
     assert any(_through(_children(n)[0]).nodeName() not in PRE_AGGREGATED for n in exchanges)
 
 
-@pytest.mark.parametrize("key", sorted(set(queries()) - {"event_documents"}))  # that one reads JSON text
+@pytest.mark.parametrize("key", sorted(set(queries()) - {"event_documents", "match_documents", "competition_documents"}))  # these read JSON text
 def test_every_scan_reads_a_pruned_schema(spark, key):
     """Column pruning reaches the Parquet reader: no registered query reads
     every top-level field of the landed events (22), and none reads every
@@ -95,18 +95,18 @@ def test_event_documents_are_bounded(spark, monkeypatch):
     """A match of many events has several documents, none with more than its share, and no event is lost."""
     from glob import glob
 
-    from touchline.plans import registry
+    from touchline.plans import documents, registry
     from touchline.session import checkpoint_dir
 
-    monkeypatch.setattr(registry, "DOCUMENT_EVENTS", 40)
-    before = set(glob(f"{checkpoint_dir(spark).removeprefix('file:')}/documents-*"))
-    got = registry._event_documents(spark, SF_SMALL)
-    (path,) = set(glob(f"{checkpoint_dir(spark).removeprefix('file:')}/documents-*")) - before
+    monkeypatch.setattr(documents, "DOCUMENT_EVENTS", 40)
+    before = set(glob(f"{checkpoint_dir(spark).removeprefix('file:')}/scratch/*/documents-*"))
+    got = documents.event_documents(spark, SF_SMALL)
+    (path,) = set(glob(f"{checkpoint_dir(spark).removeprefix('file:')}/scratch/*/documents-*")) - before
     sizes = {}
     for name in glob(f"{path}/match_id=*/part-*"):
         with open(name) as f:
             sizes.setdefault(name.split("/")[-2], []).append(len(json.loads(f.read())))
     assert sizes and max(map(max, sizes.values())) <= 40 and max(map(len, sizes.values())) > 1
-    want = registry._flat(registry._ev(spark, SF_SMALL))
+    want = documents.flat(registry._ev(spark, SF_SMALL))
     assert got.count() == want.count() == sum(map(sum, sizes.values()))
     assert got.exceptAll(want).isEmpty()

@@ -11,11 +11,14 @@ aggregation, so they reach the Parquet scan as pushed filters.
 
 from __future__ import annotations
 
+import dataclasses
+import re
 from collections.abc import Sequence
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from touchline.functions import measures as M
 from touchline.functions.columns import (
@@ -149,43 +152,80 @@ def ball_recoveries(events: DataFrame, player_id: int | None = None, **kw) -> Da
     return player_stat(events, M.ball_recoveries(), player_id=player_id, **kw)
 
 
-def _fixed_or_trimmed(events, stat, always, player_id, trim, kw) -> DataFrame:
+def nested_field_exists(schema: T.StructType, parent: str, nested: str) -> bool:
+    """H1: whether ``parent`` is an object with the field ``nested``, itself or in an object inside it."""
+    kind = next((f.dataType for f in schema.fields if f.name == parent), None)
+    if not isinstance(kind, T.StructType):
+        return False
+    inner = [f.dataType for f in kind.fields if isinstance(f.dataType, T.StructType)]
+    return nested in kind.names or any(nested in t.names for t in inner)
+
+
+_FLAG = re.compile(r"(\w+)\.(\w+)(?:\.\w+)* (?:IS NOT NULL|=)")
+_PLAIN = re.compile(r"(\w+) IS NULL")
+
+
+def within_schema(stat: M.Stat, schema: T.StructType) -> M.Stat:
+    """``stat`` without the counts (and their ratios) of fields that ``schema`` doesn't have.
+
+    Decided from the schema alone, without a job. An event whose detail object is in
+    no document has none, so it counts as a standard one.
+    """
+    counts = []
+    for name, condition in stat.counts:
+        flag, plain = _FLAG.match(condition or ""), _PLAIN.match(condition or "")
+        if flag and not nested_field_exists(schema, flag[1], flag[2]):
+            continue
+        counts.append((name, "true" if plain and plain[1] not in schema.names else condition))
+    gone = {n for n, _ in stat.counts} - {n for n, _ in counts}
+    ratios = tuple(r for r in stat.ratios if r.part not in gone)
+    gone |= {r.name for r in stat.ratios} - {r.name for r in ratios}
+    return dataclasses.replace(stat, counts=tuple(counts), ratios=ratios, measure_columns=tuple(c for c in stat.measure_columns if c not in gone))
+
+
+def _fixed_or_trimmed(events, stat, always, player_id, trim, by_schema, kw) -> DataFrame:
+    if by_schema:
+        stat = within_schema(stat, events.schema)
     table = player_stat(events, stat, player_id=player_id, **kw)
     return drop_absent(table, stat, always) if trim else table
 
 
 def blocks(
-    events: DataFrame, player_id: int | None = None, drop_absent: bool = False, **kw
+    events: DataFrame, player_id: int | None = None, drop_absent: bool = False, by_schema: bool = False, **kw
 ) -> DataFrame:
     """A8, fixed columns (0 where a kind never occurs); ``drop_absent`` drops
-    kinds that never occur, as the source does."""
+    kinds that never occur, as the source does; ``by_schema`` leaves out kinds
+    whose field ``events`` doesn't have, as documents with an inferred schema do."""
     return _fixed_or_trimmed(
-        events, M.blocks(), ("total_blocks", "standard_blocks"), player_id, drop_absent, kw
+        events, M.blocks(), ("total_blocks", "standard_blocks"), player_id, drop_absent, by_schema, kw
     )
 
 
 def fouls_committed(
-    events: DataFrame, player_id: int | None = None, drop_absent: bool = False, **kw
+    events: DataFrame, player_id: int | None = None, drop_absent: bool = False, by_schema: bool = False, **kw
 ) -> DataFrame:
     """A9, fixed columns (0 where a kind never occurs); ``drop_absent`` drops
-    kinds that never occur, as the source does."""
+    kinds that never occur, as the source does; ``by_schema`` leaves out kinds
+    whose field ``events`` doesn't have, as documents with an inferred schema do."""
     return _fixed_or_trimmed(
         events,
         M.fouls_committed(),
         ("total_fouls_committed", "standard_fouls"),
         player_id,
         drop_absent,
+        by_schema,
         kw,
     )
 
 
 def fouls_won(
-    events: DataFrame, player_id: int | None = None, drop_absent: bool = False, **kw
+    events: DataFrame, player_id: int | None = None, drop_absent: bool = False, by_schema: bool = False, **kw
 ) -> DataFrame:
     """A10, fixed columns (0 where a kind never occurs); ``drop_absent`` drops
-    kinds that never occur, as the source does."""
+    kinds that never occur, as the source does; ``by_schema`` leaves out kinds
+    whose field ``events`` doesn't have, as documents with an inferred schema do."""
     return _fixed_or_trimmed(
-        events, M.fouls_won(), ("total_fouls_won", "standard_fouls"), player_id, drop_absent, kw
+        events, M.fouls_won(), ("total_fouls_won", "standard_fouls"), player_id, drop_absent, by_schema, kw
     )
 
 

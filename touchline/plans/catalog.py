@@ -135,9 +135,11 @@ def season_stat(
     name: str,
     player_id: int | None = None,
     source_shape: bool = False,
+    index: DataFrame | None = None,
 ) -> DataFrame:
-    """A named statistic of one competition season."""
-    season = season_events(events, matches_df, competition_id, season_id)
+    """A named statistic of one competition season; with the ``index`` of landed
+    events only the partitions of its matches are read."""
+    season = season_events(events, matches_df, competition_id, season_id, index)
     return stat(name, season, player_id, source_shape)
 
 
@@ -149,7 +151,8 @@ def season_team_stat(
     name: str,
     team_id: int | None = None,
     team_name: str | None = None,
+    index: DataFrame | None = None,
 ) -> DataFrame:
     """A named team table of one competition season."""
-    season = season_events(events, matches_df, competition_id, season_id)
+    season = season_events(events, matches_df, competition_id, season_id, index)
     return team_stat(name, season, team_id=team_id, team_name=team_name)

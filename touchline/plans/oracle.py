@@ -9,14 +9,17 @@ separate statistics full-outer-joined and zero filled, not one aggregation.
 from __future__ import annotations
 
 from touchline.plans.registry import (
+    LATER_SEASON,
     MATCH_ID,
     PLAYER_ID,
+    RELISTED,
     SEASON,
     SEASON_TEAM,
     TEAM_ID,
     TEAM_NAME,
     TOP_N,
 )
+from touchline.plans.documents import DAMAGE
 from touchline.sources.derived import LINEUP_CHUNK, flat_match_events_sql
 
 ME = flat_match_events_sql("events")
@@ -320,6 +323,29 @@ def _flat_events(where: str) -> str:
 IN_SEASON = f"competition_id = {SEASON[0]} AND season_id = {SEASON[1]}"
 SEASON_EVENTS = _flat_events(IN_SEASON)
 
+SEASON_EVENTS_RELISTED = _flat_events(
+    f"competition_id = {LATER_SEASON[0]} AND (season_id = {LATER_SEASON[1]} OR match_id % 10 = {RELISTED})"
+)
+
+EVENT_ARRAY = f"SELECT *, cast(row_number() OVER (ORDER BY match_id, id) - 1 AS BIGINT) AS place FROM ({_flat_events('true')}) AS e"
+
+# The planted damage of the documents by the event's id; line-ups have no number and no damage.
+DOCUMENT_FAILURES = (
+    f"SELECT match_id, CASE event_id % {DAMAGE} "
+    "WHEN 1 THEN 'field minute: bigint expected, string found' WHEN 2 THEN 'field type: struct expected, string found' "
+    "WHEN 3 THEN 'field team.id: bigint expected, array found' WHEN 4 THEN 'broken json' WHEN 5 THEN 'no object' "
+    "WHEN 6 THEN 'no element of an array' WHEN 7 THEN 'no object' WHEN 8 THEN 'field minute: bigint expected, decimal found' END AS reason, "
+    f"count(*) AS n FROM me WHERE event_id % {DAMAGE} BETWEEN 1 AND 8 GROUP BY match_id, reason"
+)
+
+DRIFT_UNION = (
+    "SELECT match_id, cast(event_id AS VARCHAR) AS id, CASE type_name WHEN 'Shot' THEN minute + 0.5 ELSE minute END::DOUBLE AS minute, "
+    "CASE type_name WHEN 'Pass' THEN location_x END AS x, CASE type_name WHEN 'Shot' THEN '{\"name\":\"' || coalesce(shot_outcome, 'none') || '\"}' "
+    "WHEN 'Pressure' THEN player_name END AS outcome FROM me WHERE type_name IN ('Pass', 'Shot', 'Pressure')"
+)
+
+MATCH_DOCUMENTS = "SELECT m.*, s.competition_id, s.season_id FROM ({}) AS m JOIN (SELECT DISTINCT match_id, cast(competition_id AS BIGINT) AS competition_id, cast(season_id AS BIGINT) AS season_id FROM me) AS s USING (match_id)"
+
 JSON_ROWS = (
     "SELECT '{\"match_id\":' || match_id || ',\"id\":\"' || id || '\"' || "
     "CASE WHEN player_name IS NULL THEN '' ELSE ',\"player_name\":\"' || player_name || '\"' END || '}' AS json "
@@ -432,6 +458,13 @@ def oracle_sql() -> dict[str, str]:
     out["team_complete_rows"] = _with(
         f"SELECT * FROM ({time_on_ball_sql()}) AS t WHERE {tf} AND total_time_with_ball IS NOT NULL")
     out["event_documents"] = _with(_flat_events("true"))
+    out["event_array_document"] = _with(EVENT_ARRAY)
+    out["match_documents"] = _with(MATCH_DOCUMENTS.format(MATCHES))
+    out["competition_documents"] = _with(COMPETITIONS)
+    out["document_failures"] = _with(DOCUMENT_FAILURES)
+    out["drift_union"] = _with(DRIFT_UNION)
+    out["blocks_by_schema"] = _with(f"SELECT * EXCLUDE (counterpress_blocks, counterpress_block_ratio) FROM ({blocks_sql()}) AS b")
+    out["season_events_relisted"] = _with(SEASON_EVENTS_RELISTED)
     out["season_events_semi_join"] = _with(SEASON_EVENTS)
     out["align_union"] = _with(ALIGN_UNION)
     out["json_rows"] = _with(JSON_ROWS)

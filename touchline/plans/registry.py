@@ -15,7 +15,6 @@ as a set has no use for it.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,10 +27,9 @@ from touchline.operators import projections as P
 from touchline.operators import spatial as S
 from touchline.operators import team as TM
 from touchline.plans import catalog
-from touchline.schemas import EVENT_DOCUMENT_SCHEMA
-from touchline.session import checkpoint_dir
+from touchline.plans import documents as DOC
+from touchline.plans.documents import flat
 from touchline.sources import derived as D
-from touchline.sources.documents import read_events, split_corrupt
 from touchline.sources.landing import json_rows
 from touchline.sources.season import align_union, season_events
 
@@ -47,8 +45,9 @@ TOP_N = 5
 # A match of that season and one of its teams.
 MATCH_ID = 3895000
 SEASON_TEAM = 900
-# Most events of a JSON document, a few megabytes; about a match of real data.
-DOCUMENT_EVENTS = 4000
+# The season after it, and the last digit of the matches that a list moves there.
+LATER_SEASON = (9, 282)
+RELISTED = 1
 
 
 def _ev(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -76,47 +75,21 @@ def _positions(df: DataFrame) -> DataFrame:
 
 
 def _season_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = _ev(spark, sf_dir)
-    matches = D.load_matches(spark, sf_dir)
-    return _flat(season_events(events, matches, *SEASON))
-
-
-def _flat(events: DataFrame) -> DataFrame:
-    """Scalar columns of events, for comparison as rows."""
-    return events.select(
-        "match_id",
-        "id",
-        F.col("type.name").alias("type_name"),
-        F.col("team.id").alias("team_id"),
-        F.col("player.name").alias("player_name"),
-        "minute",
-        "second",
-    )
+    return flat(season_events(_ev(spark, sf_dir), D.load_matches(spark, sf_dir), *SEASON, index=D.load_match_index(spark, sf_dir)))
 
 
-def _event_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The events as JSON documents of a match, read back.
-
-    A document holds events of one match out of ``DOCUMENT_EVENTS`` consecutive
-    rows of a task, so its size is bounded and a large match has several.
-    """
-    fields = [f.name for f in EVENT_DOCUMENT_SCHEMA]
-    path = f"{checkpoint_dir(spark).rstrip('/')}/documents-{uuid.uuid4().hex}"
-    row = F.monotonically_increasing_id()  # the task above bit 33, the row in it below
-    chunk = F.struct(F.shiftright(row, 33), (row.bitwiseAND((1 << 33) - 1) / DOCUMENT_EVENTS).cast("bigint"))
-    documents = (
-        _ev(spark, sf_dir).withColumn("chunk", chunk).groupBy("match_id", "chunk").agg(F.collect_list(F.struct(*fields)).alias("events"))
-        .select("match_id", F.to_json("events").alias("value"))
-    )
-    documents.write.option("maxRecordsPerFile", 1).partitionBy("match_id").text(path)
-    good, _ = split_corrupt(read_events(spark, path))
-    return _flat(good)
+def _season_events_relisted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S5, S6 after the list moved matches to the season: they are found where they were landed."""
+    season = F.col("season")
+    moved = F.struct(F.lit(LATER_SEASON[1]).cast("bigint").alias("season_id"), season["season_name"].alias("season_name"))
+    matches = D.load_matches(spark, sf_dir).withColumn("season", F.when(F.col("match_id") % 10 == RELISTED, moved).otherwise(season))
+    return flat(season_events(_ev(spark, sf_dir), matches, *LATER_SEASON, index=D.load_match_index(spark, sf_dir)))
 
 
 def _season_events_semi_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S5, S6 on events that don't carry their season."""
     events = _ev(spark, sf_dir).drop("competition_id", "season_id")
-    return _flat(season_events(events, D.load_matches(spark, sf_dir), *SEASON))
+    return flat(season_events(events, D.load_matches(spark, sf_dir), *SEASON))
 
 
 def _align_union(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -143,7 +116,7 @@ def _filled_outer_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _season_team(name: str, **team) -> Query:
     def q(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return catalog.season_team_stat(_ev(spark, sf_dir), D.load_matches(spark, sf_dir), *SEASON, name, **team)
+        return catalog.season_team_stat(_ev(spark, sf_dir), D.load_matches(spark, sf_dir), *SEASON, name, index=D.load_match_index(spark, sf_dir), **team)
 
     return q
 
@@ -154,9 +127,9 @@ def _entry_points() -> dict[str, Query]:
     return {
         "entry_competitions": lambda spark, sf_dir: catalog.competitions(competitions(spark, sf_dir)),
         "entry_matches": lambda spark, sf_dir: catalog.matches(D.load_matches(spark, sf_dir), *SEASON),
-        "entry_match_all": lambda spark, sf_dir: _flat(catalog.match_stat(_ev(spark, sf_dir), MATCH_ID, "all")),
+        "entry_match_all": lambda spark, sf_dir: flat(catalog.match_stat(_ev(spark, sf_dir), MATCH_ID, "all")),
         "entry_match_stat": lambda spark, sf_dir: catalog.match_stat(_ev(spark, sf_dir), MATCH_ID, "pass_acc"),
-        "entry_season_stat": lambda spark, sf_dir: catalog.season_stat(_ev(spark, sf_dir), D.load_matches(spark, sf_dir), *SEASON, "shot"),
+        "entry_season_stat": lambda spark, sf_dir: catalog.season_stat(_ev(spark, sf_dir), D.load_matches(spark, sf_dir), *SEASON, "shot", index=D.load_match_index(spark, sf_dir)),
         "entry_season_team_all": _season_team("all", team_id=SEASON_TEAM),
         "entry_season_team_foul": _season_team("foul", team_id=SEASON_TEAM),
         "entry_season_team_pass": _season_team("pass", team_name=f"Team {SEASON_TEAM}"),
@@ -276,7 +249,14 @@ def queries() -> dict[str, Query]:
     out["top_players"] = _top_players
     out["top_players_overall"] = _top_players_overall
     out["team_complete_rows"] = _team_complete_rows
-    out["event_documents"] = _event_documents
+    out["event_documents"] = DOC.event_documents
+    out["event_array_document"] = DOC.event_array_document
+    out["match_documents"] = DOC.match_documents
+    out["competition_documents"] = DOC.competition_documents
+    out["document_failures"] = DOC.document_failures
+    out["drift_union"] = DOC.drift_union
+    out["blocks_by_schema"] = DOC.blocks_by_schema
+    out["season_events_relisted"] = _season_events_relisted
     out["season_events_semi_join"] = _season_events_semi_join
     out["align_union"] = _align_union
     out["json_rows"] = _json_rows

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -59,3 +60,20 @@ def checkpoint_dir(spark: SparkSession) -> str:
     path = tempfile.mkdtemp(prefix="touchline-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     spark.sparkContext.setCheckpointDir(path)
     return spark.sparkContext._jsc.sc().getCheckpointDir().get()
+
+
+def _scratch_home(spark: SparkSession) -> str:
+    return f"{checkpoint_dir(spark).rstrip('/')}/scratch/{spark.sparkContext.applicationId}"
+
+
+def scratch_folder(spark: SparkSession, name: str) -> str:
+    """A new folder for intermediate tables, on the storage that the driver and all
+    executors share. All of an application's lie in one folder of its own."""
+    return f"{_scratch_home(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def remove_scratch(spark: SparkSession) -> None:
+    """Delete this application's intermediate tables. DataFrames that still read them
+    can't be used any more, so this is for the end of a job."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_scratch_home(spark))
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)

@@ -19,7 +19,6 @@ how ``write_json_array`` writes one: no task holds more than its part.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -27,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from touchline.session import checkpoint_dir
+from touchline.session import scratch_folder
 
 # States of a scan: outside strings, inside one, inside one behind a backslash.
 PLAIN, TEXT, ESCAPED = range(3)
@@ -215,7 +214,7 @@ def scan_array_documents(spark: SparkSession, path: str | list[str], folders: bo
         (F.regexp_replace(file, "/[^/]*$", "") if folders else file).alias("document"),
         file.alias("file"), F.col("_metadata.file_block_start").alias("start"), F.col("_metadata.file_size").alias("size"),
     )
-    home = f"{checkpoint_dir(spark).rstrip('/')}/array-{uuid.uuid4().hex}"
+    home = scratch_folder(spark, "array")
 
     def kept(df: DataFrame, name: str) -> DataFrame:
         """Written, so that a size check decides how it is joined and no document is scanned again for it."""
@@ -263,7 +262,7 @@ def write_json_array(df: DataFrame, path: str, order_by: list[str]) -> None:
     sees. An empty result is an empty array.
     """
     spark = df.sparkSession
-    home = f"{checkpoint_dir(spark).rstrip('/')}/array-{uuid.uuid4().hex}"
+    home = scratch_folder(spark, "array")
     keys = [f"key{n}" for n in range(len(order_by))]
     # numbered once, so that equal rows keep their order and both ends are certain
     df.select(*[F.col(c).alias(k) for c, k in zip(order_by, keys)], F.to_json(F.struct(*df.columns)).alias("json"), F.monotonically_increasing_id().alias("row")).write.parquet(home)

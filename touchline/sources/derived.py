@@ -24,7 +24,7 @@ from pyspark.sql import types as T
 
 from touchline.schemas import EVENT_SCHEMA, MATCH_SCHEMA
 from touchline.session import checkpoint_dir
-from touchline.sources.landing import land_table, write_events
+from touchline.sources.landing import index_path, land_table, read_index, write_events, write_index
 
 # ---------------------------------------------------------------------------
 # The derivation of FIXTURES.md §3, in its order. Each expression
@@ -354,7 +354,7 @@ def _fs(spark: SparkSession, path: str):
 
 # Bump when the derivation changes in a way FLAT_COLUMNS, PLAYER_EVENT_SQL and
 # EVENT_SCHEMA do not show (e.g. the line-up packing).
-LANDING_VERSION = 6
+LANDING_VERSION = 7
 
 # A session may set this to land into a folder of its own (the benchmark does,
 # to time a fresh landing inside the shared checkpoint folder).
@@ -438,9 +438,9 @@ def _land_version(spark: SparkSession, sf_dir: str, path: str) -> None:
     over the landed events.
     """
     write_events(match_events(read_driver_events(spark, sf_dir), with_season=True), f"{path}/events")
-    land_table(
-        matches_from_events(spark.read.schema(LANDED_EVENTS_SCHEMA).parquet(f"{path}/events")), f"{path}/matches"
-    )
+    landed = spark.read.schema(LANDED_EVENTS_SCHEMA).parquet(f"{path}/events")
+    write_index(landed, index_path(f"{path}/events"))
+    land_table(matches_from_events(landed), f"{path}/matches")
 
 
 LANDED_EVENTS_SCHEMA = T.StructType(
@@ -455,3 +455,8 @@ def load_match_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 def load_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Match documents of ``sf_dir`` (landed once, then read as Parquet)."""
     return spark.read.schema(MATCH_SCHEMA).parquet(landed_paths(spark, sf_dir)[1])
+
+
+def load_match_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """In which partition each match of ``sf_dir`` lies."""
+    return read_index(spark, landed_paths(spark, sf_dir)[0])

@@ -19,8 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from touchline.sources.documents import CORRUPT, NO_MATCH, RAW_TEXT, split_corrupt
-
-SEASON = ["competition_id", "season_id"]
+from touchline.sources.season import SEASON, match_partitions
 
 
 def _fs(spark: SparkSession, path: str):
@@ -72,7 +71,8 @@ def land_events(
     season comes from the match list; matches without one are kept under
     ``pending_path`` and are landed with the next call whose list names them.
     Elements that did not parse, and events without a match id, are appended to
-    ``quarantine_path``. Both default to folders beside ``path``. The new state
+    ``quarantine_path``. Both default to folders beside ``path``, where the index
+    of matches is kept, too. The new state
     of the seasons concerned is written aside first and then swapped in, season
     by season. One landing at a time may work on a path.
     """
@@ -121,8 +121,10 @@ def land_events(
     spark.read.schema(fresh.schema).parquet(f"{staged}/events").sortWithinPartitions(*SEASON, "match_id", "index").write.mode(
         "overwrite"
     ).options(**dynamic).partitionBy(*SEASON).parquet(path)
+    write_index(spark.read.schema(fresh.schema).parquet(f"{staged}/events"), index_path(path))
     for row in emptied:
-        _delete(spark, f"{path}/competition_id={row[0]}/season_id={row[1]}")
+        for table in (path, index_path(path)):
+            _delete(spark, f"{table}/competition_id={row[0]}/season_id={row[1]}")
     if _exists(spark, pending_path):
         kept = spark.read.schema(_with(events, "match_id")).parquet(pending_path)
         settled = kept.select("match_id").distinct().join(spark.read.schema("match_id bigint").parquet(f"{staged}/arrived"), "match_id")
@@ -164,6 +166,21 @@ def _good(df: DataFrame, path: str, quarantine_path: str | None) -> DataFrame:
     return df.drop("source_file")
 
 
+def index_path(path: str) -> str:
+    """Where the index of the events under ``path`` lies."""
+    return f"{path.rstrip('/')}-index"
+
+
+def write_index(events: DataFrame, path: str) -> None:
+    """Write which matches lie in the partitions of ``events``; other partitions of the index stay."""
+    match_partitions(events).hint("rebalance", *SEASON).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*SEASON).parquet(path)
+
+
+def read_index(spark: SparkSession, path: str) -> DataFrame:
+    """The index of the landed events under ``path``."""
+    return spark.read.schema("match_id bigint, competition_id bigint, season_id bigint").parquet(index_path(path))
+
+
 def land_table(df: DataFrame, path: str, mode: str = "overwrite", quarantine_path: str | None = None) -> None:
     """Write a small table (competitions, matches) to Parquet; rows that did
     not parse are appended to the quarantine."""
