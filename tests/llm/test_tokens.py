@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 import random
 import zlib
 
@@ -67,14 +68,57 @@ def test_byte_encoder_equals_the_library():
 
 
 @settings(max_examples=60, deadline=None)
-@given(st.lists(st.integers(1, 128), min_size=1, max_size=200))
-def test_differencing(lengths):
+@given(st.lists(st.integers(1, 256), min_size=1, max_size=200))
+def test_rests_fit_and_stay_whole_where_they_can(lengths):
     lengths = np.array(lengths)
-    window = packing.windows_of(lengths, 256)
-    sums = np.bincount(window, lengths)
-    assert sums.max() <= 256 and len(window) == len(lengths)
-    if len(lengths) > 100:
-        assert sums.max() - sums.min() <= 40
+    parts = packing.fitted(lengths, 256)
+    sums, covered = {}, {}
+    for i, a, b, w in parts:
+        assert a < b and a % packing.GRAIN == 0 and (b % packing.GRAIN == 0 or b == lengths[i])
+        sums[w] = sums.get(w, 0) + b - a
+        covered.setdefault(i, []).append((a, b))
+    assert max(sums.values()) <= 256 and set(sums) == set(range(len(sums)))
+    for i, n in enumerate(lengths.tolist()):
+        at = 0
+        for a, b in sorted(covered[i]):
+            assert a == at
+            at = b
+        assert at == n
+    # windows that lose less than a grain each to the cuts
+    assert len(sums) <= -(-int(lengths.sum()) // (256 - packing.GRAIN)) + 1
+    assert len(parts) <= 2 * (len(lengths) + len(sums))
+
+
+def test_differencing_against_the_best_partition():
+    """Small cases, all partitions tried: never beyond 4/3 of the best fullest window, and mostly the best itself."""
+    r, same = random.Random(5), 0
+    for _ in range(60):
+        lengths, k = [r.randint(1, 60) for _ in range(r.randint(2, 8))], r.randint(2, 3)
+        best = min(max(sum(n for n, w in zip(lengths, ws) if w == x) for x in range(k)) for ws in itertools.product(range(k), repeat=len(lengths)))
+        window = packing.differencing(np.array(lengths), k)
+        most = int(np.bincount(window, lengths, k).max())
+        assert best <= most <= best * 4 / 3
+        same += most == best
+    assert same >= 40
+
+
+def test_differences_shrink_with_the_pieces():
+    r = np.random.RandomState(2)
+    for n in (100, 400, 1600):
+        lengths = r.randint(1, 1024, n)
+        sums = np.bincount(packing.differencing(lengths, n // 2), lengths)
+        assert sums.max() - sums.min() <= 1100 - 2 * lengths.min() and sums.std() < 0.25 * lengths.std()
+
+
+def test_checksums_of_parts():
+    r = random.Random(1)
+    for n in (1, 31, 32, 33, 500, 1023):
+        data = bytes(r.randrange(256) for _ in range(4 * n))
+        marks = [zlib.crc32(data[: 4 * at]) for at in range(packing.GRAIN, n + 1, packing.GRAIN)]
+        places = [*range(0, n, packing.GRAIN), n]
+        for a in places[:-1]:
+            for b in (x for x in places if x > a):
+                assert packing.part_crc32(marks, zlib.crc32(data), n, a, b) == zlib.crc32(data[4 * a : 4 * b])
 
 
 def _check_packed(rows, docs):

@@ -1,13 +1,15 @@
 """Operator 10, packing by Karmarkar-Karp multiway differencing.
 
 Tokenizing cuts every document into pieces that fill a window by themselves and
-shorter rest pieces. The rest pieces are dealt into groups of about
-``WINDOWS`` windows by a number that their task gave them (no key of the data,
-so no group is hot), and each group is packed by itself: every piece starts as
-a partial partition of its own, the two partial partitions with the largest
-differences are merged again and again, fullest window onto emptiest, and the
-last one is a partition into near-equal windows. If its fullest window exceeds
-the capacity, the group is packed again with one window more.
+one shorter rest. The rests are dealt into groups of about ``WINDOWS`` windows by
+a number that their task gave them (no key of the data, so no group is hot), and
+each group is packed by itself: every rest starts as a partial partition of its own,
+the two partial partitions with the largest differences are merged again and again,
+fullest window onto emptiest, and the last one is a partition into near-equal
+windows. Rests stay whole but for what exceeds the capacity: where a window does, the end
+of its longest piece is cut off and goes where there is room, and when there is none any
+more the window count rises. So a cut needs no ids: pieces bring the checksums of their
+beginnings, at every ``GRAIN`` ids, and checksums of parts follow from these.
 """
 
 from __future__ import annotations
@@ -27,8 +29,8 @@ from pyspark.sql import functions as F
 from touchline.llm.common import by_bytes, landed, table
 
 CAPACITY = 1024
-#: Rest pieces have at most so many tokens: with several of them in a window the differences shrink to nothing.
-REST = 128
+#: Rests are cut at multiples of so many ids.
+GRAIN = 32
 #: Windows of a group, about.
 WINDOWS = 192
 # The tokenizer's own pattern before the merges; for characters up to U+024F the libraries agree on its classes.
@@ -82,35 +84,53 @@ def _encoder(path: str) -> Encoder:
 
 
 def pieces(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY, end_id: int = 0, with_ids: bool = False) -> DataFrame:
-    """Documents as pieces ``doc_id, start, length, ids_crc32, doc_tokens, salt`` (and ``ids``).
+    """Documents as pieces ``doc_id, start, length, ids_crc32, doc_tokens, salt, marks`` (and ``ids``).
 
     A document's ids are those of its text followed by ``end_id``: an empty or
     null text has that one id, so each row has a piece. Full windows come
-    first, then rest pieces. ``salt`` numbers the pieces uniquely.
+    first, then the rest. ``salt`` numbers the pieces uniquely; ``marks`` holds the
+    checksums of the rest's beginnings of ``GRAIN``, ``2 * GRAIN`` … ids.
     """
     kind = docs.schema[id_col].dataType.simpleString()
-    schema = f"doc_id {kind}, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, salt bigint" + (", ids binary" if with_ids else "")
+    schema = f"doc_id {kind}, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, salt bigint, marks array<bigint>" + (", ids binary" if with_ids else "")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(tokenizer)
         salt = TaskContext.get().partitionId() << 33
         for batch, texts in by_bytes(batches, "text"):
-            row, start, length, crc, total, ids = [], [], [], [], [], []
+            row, start, length, crc, total, marks, ids = [], [], [], [], [], [], []
             for n, text in enumerate(texts):
-                found = np.array([*encoder.encode(text), end_id], "<u4")
-                full = len(found) - len(found) % capacity
-                for a, b in [(a, a + capacity) for a in range(0, full, capacity)] + [(a, min(a + REST, len(found))) for a in range(full, len(found), REST)]:
-                    data = found[a:b].tobytes()
-                    row.append(n), start.append(a), length.append(b - a), crc.append(zlib.crc32(data)), total.append(len(found))
+                found = np.array([*encoder.encode(text), end_id], "<u4").tobytes()
+                count = len(found) // 4
+                for a in range(0, count, capacity):
+                    b = min(a + capacity, count)
+                    data, sums, value = found[4 * a : 4 * b], None, 0
+                    if b - a < capacity:
+                        sums = []
+                        for at in range(0, len(data) - len(data) % (4 * GRAIN), 4 * GRAIN):
+                            value = zlib.crc32(data[at : at + 4 * GRAIN], value)
+                            sums.append(value)
+                    row.append(n), start.append(a), length.append(b - a), crc.append(zlib.crc32(data)), total.append(count), marks.append(sums)
                     if with_ids:
                         ids.append(data)
-            columns = [batch.column("id").take(pa.array(row, pa.int64())), *(pa.array(x, pa.int64()) for x in (start, length, crc, total, range(salt, salt + len(row))))]
+            columns = [batch.column("id").take(pa.array(row, pa.int64())), *(pa.array(x, pa.int64()) for x in (start, length, crc, total, range(salt, salt + len(row)))), pa.array(marks, pa.list_(pa.int64()))]
             salt += len(row)
-            yield pa.RecordBatch.from_arrays(columns + [pa.array(ids, pa.binary())] * with_ids, names=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "salt", *["ids"] * with_ids])
+            yield pa.RecordBatch.from_arrays(columns + [pa.array(ids, pa.binary())] * with_ids, names=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "salt", "marks", *["ids"] * with_ids])
 
     return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(cut, schema)
 
 
+def part_crc32(marks: list[int], whole: int, length: int, a: int, b: int) -> int:
+    """The checksum of ids ``a`` to ``b`` of a rest, ``a`` a multiple of ``GRAIN`` and ``b``, too, or its end.
+
+    A checksum of two parts is that of the first, carried over as many zero bytes as the
+    second has, xor that of the second.
+    """
+    upto = lambda n: whole if n == length else marks[n // GRAIN - 1] if n else 0
+    carried = zlib.crc32(bytes(4 * (b - a)), upto(a) ^ 0xFFFFFFFF) ^ 0xFFFFFFFF if a else 0
+    return upto(b) ^ carried
+
+
 def differencing(lengths: np.ndarray, windows: int) -> np.ndarray:
     """The window of each piece by Karmarkar-Karp multiway differencing.
 
@@ -144,36 +164,72 @@ def differencing(lengths: np.ndarray, windows: int) -> np.ndarray:
     return np.array([slots[i][0] for i in range(n)], np.int64)
 
 
-def windows_of(lengths: np.ndarray, capacity: int) -> np.ndarray:
-    """The window of each piece; no window exceeds the capacity."""
+def fitted(lengths: np.ndarray, capacity: int) -> list[tuple[int, int, int, int]]:
+    """``(piece, from, to, window)`` of every part: pieces stay whole where their window has room for them.
+
+    No window exceeds the capacity. A window that differencing fills beyond it gives the end
+    of its longest piece, down to a multiple of ``GRAIN``, to the fullest window with room for
+    it, or in parts to the emptiest ones; what finds no room opens a new window.
+    """
     k = max(1, -(-int(lengths.sum()) // capacity))
-    while True:
-        found = differencing(lengths, k)
-        if np.bincount(found, lengths, k).max() <= capacity:
-            return found
-        k += 1
+    window = differencing(lengths, k)
+    room = (capacity - np.bincount(window, lengths, k).astype(np.int64)).tolist()
+    parts = [[0, int(n), int(w)] for n, w in zip(lengths, window)]
+    members: dict[int, list[int]] = {}
+    for i, w in enumerate(window.tolist()):
+        members.setdefault(w, []).append(i)
+    loose: list[tuple[int, int, int]] = []
+    for w in np.flatnonzero(np.array(room) < 0).tolist():
+        while room[w] < 0:
+            i = max(members[w], key=lambda i: (parts[i][1], -i))
+            keep = max(0, parts[i][1] + room[w]) // GRAIN * GRAIN
+            loose.append((i, keep, parts[i][1]))
+            room[w] += parts[i][1] - keep
+            parts[i][1] = keep
+    out = [(i, a, b, w) for i, (a, b, w) in enumerate(parts) if b > a]
+    for i, a, b in sorted(loose, key=lambda x: (x[1] - x[2], x[0])):
+        while a < b:
+            fits = [w for w, r in enumerate(room) if r >= b - a]
+            if fits:
+                w, end = min(fits, key=lambda w: (room[w], w)), b
+            else:
+                w = max(range(len(room)), key=lambda w: (room[w], -w))
+                end = a + room[w] // GRAIN * GRAIN
+                if end == a:
+                    room.append(capacity)
+                    continue
+            out.append((i, a, end, w))
+            room[w] -= end - a
+            a = end
+    return out
 
 
 def pack(found: DataFrame, capacity: int = CAPACITY) -> DataFrame:
-    """``pieces`` with ``sequence_id`` and ``offset``; each is kept once, windows are gapless."""
+    """``pieces`` with ``sequence_id`` and ``offset``, rests cut where they must be; windows are gapless."""
     found = landed(found, "pieces")
     rest = found.filter(F.col("length") < capacity)
     tokens = rest.agg(F.sum("length")).first()[0] or 0
     groups = max(1, round(tokens / (capacity * WINDOWS)))
-    full = found.filter(F.col("length") == capacity).withColumn("sequence_id", F.col("salt") * 2 + 1).withColumn("offset", F.lit(0).cast("bigint"))
+    full = found.filter(F.col("length") == capacity).drop("marks").withColumn("sequence_id", F.col("salt") * 2 + 1).withColumn("offset", F.lit(0).cast("bigint"))
 
     def place(group: pa.Table) -> pa.Table:
         group = group.sort_by("salt")
-        lengths = group.column("length").to_numpy().astype(np.int64)
-        window = windows_of(lengths, capacity)
-        order = np.argsort(window, kind="stable")
-        ends = np.cumsum(lengths[order])
-        first = np.concatenate([[True], np.diff(window[order]) > 0])
-        offset = np.empty(len(lengths), np.int64)
-        begins = ends - lengths[order]
-        offset[order] = begins - begins[np.maximum.accumulate(np.where(first, np.arange(len(lengths)), 0))]
-        sequence = (group.column("g").to_numpy().astype(np.int64) << 32 | window) * 2
-        return group.drop_columns(["g"]).append_column("sequence_id", pa.array(sequence)).append_column("offset", pa.array(offset))
+        lengths, crcs, marks = group.column("length").to_numpy().astype(np.int64), group.column("ids_crc32").to_pylist(), group.column("marks").to_pylist()
+        parts = sorted(fitted(lengths, capacity), key=lambda p: (p[3], p[0], p[1]))
+        piece, a, b, window = (np.array(x, np.int64) for x in zip(*parts))
+        ends = np.cumsum(b - a)
+        first = np.concatenate([[True], np.diff(window) > 0])
+        begins = ends - (b - a)
+        offset = begins - begins[np.maximum.accumulate(np.where(first, np.arange(len(window)), 0))]
+        out = group.take(pa.array(piece))
+        put = lambda t, c, v: t.set_column(t.column_names.index(c), c, v)
+        out = put(out, "start", pa.array(out.column("start").to_numpy() + a))
+        out = put(out, "length", pa.array(b - a))
+        out = put(out, "ids_crc32", pa.array([part_crc32(marks[i], crcs[i], int(lengths[i]), x, y) for i, x, y, _ in parts], pa.int64()))
+        if "ids" in out.column_names:
+            out = put(out, "ids", pa.array([v[4 * x : 4 * y] for v, (_, x, y, _) in zip(out.column("ids").to_pylist(), parts)], pa.binary()))
+        sequence = (out.column("g").to_numpy().astype(np.int64) << 32 | window) * 2
+        return out.drop_columns(["g", "marks"]).append_column("sequence_id", pa.array(sequence)).append_column("offset", pa.array(offset))
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in full.schema)
     dealt = rest.withColumn("g", F.pmod(F.xxhash64("salt"), F.lit(groups)))
