@@ -39,6 +39,33 @@ def test_top_k(spark, block, queries):
     assert got == sorted(want)
 
 
+def test_vectors_go_to_the_groups_that_visit_them_only(spark):
+    """Long and short vectors, so that most blocks are out of reach: copies are counted."""
+    r = np.random.RandomState(2)
+    x = np.concatenate([r.normal(size=(300, 16)) * s for s in (10, 1, 0.1, 0.01)])
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(x.tolist())], "vec_id bigint, embedding array<double>")
+    placed, visits = topk.planned(df, F.col("id") % 5 == 0, 10, "vec_id", "embedding", 64, 16)
+    groups = visits.agg(F.max("group")).first()[0] + 1
+    assert groups >= 10
+    copies, visited = topk.sent(placed, visits).count(), visits.select(*topk.NAMES).distinct().count()
+    blocks = placed.select(*topk.NAMES[:3]).distinct().count()
+    assert visited < 0.6 * blocks * groups
+    assert copies <= visited * 128 and copies < 0.6 * len(x) * groups
+    # buckets follow the size of the table, and hold vectors of near lengths
+    assert placed.select("bucket").distinct().count() >= len(x) / 64 * 0.9
+
+
+def test_repeated_rows_count_once_here_and_in_sql(spark, tmp_path):
+    import duckdb
+
+    rows = [(i, [float(i % 7), 1.0, -0.5 * i]) for i in range(210)]
+    spark.createDataFrame(rows + rows[::3] + rows[:1] * 4, "vec_id bigint, embedding array<float>").coalesce(1).write.parquet(f"{tmp_path}/embeddings.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW embeddings AS SELECT * FROM read_parquet('{tmp_path}/embeddings.parquet/*.parquet')")
+    want = con.execute(topk.ORACLE_SQL["op2_top_k"]).fetchall()
+    assert sorted(map(tuple, topk.op2_top_k(spark, str(tmp_path)).collect())) == sorted(want) and len(want) == 30
+
+
 @pytest.mark.parametrize("chunk", [16384, 24])
 def test_links(spark, chunk):
     r = np.random.RandomState(1)

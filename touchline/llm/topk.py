@@ -8,6 +8,10 @@ buckets whose longest vector can reach that. In a block the threshold becomes a
 high, the query's largest coordinates bound those of every result (coordinate
 pruning); if it is low, only vectors that are too short are left out (length
 pruning). The products of what remains are verified exactly.
+
+Buckets are quantiles of the length, as many as there are blocks up to ``MOST_BUCKETS``, so
+that length pruning keeps up with the size of the table. Queries are dealt into groups, and
+a vector is sent to those groups only that visit its block.
 """
 
 from __future__ import annotations
@@ -25,8 +29,10 @@ from touchline.llm.common import landed, table
 
 SCALE = 1024
 K = 10
-#: Length buckets, and vectors and queries of a block, about.
-BUCKETS, BLOCK, QUERIES_BLOCK = 16, 8192, 4096
+#: Length buckets at least and at most, and vectors and queries of a block, about.
+BUCKETS, MOST_BUCKETS, BLOCK, QUERIES_BLOCK = 16, 4096, 8192, 4096
+#: A block of vectors, and the group of queries that it meets.
+NAMES = ["dims", "bucket", "part", "group"]
 #: Coordinate pruning pays from this local cosine threshold on, with so many coordinates.
 HIGH, FOCUS = 0.3, 6
 #: Room for rounding in lengths and cosines.
@@ -122,11 +128,43 @@ def search(vectors: DataFrame, is_query, k: int = K, id_col: str = "vec_id", vec
     different vectors of one query id share its list. An empty table, or one
     without queries, gives no rows.
     """
+    placed, visits = planned(vectors, is_query, k, id_col, vector_col, block, queries_block)
+    best = _met(placed, visits, k, False)
+    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id"))
+    return best.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+
+
+def _bucketed(rows: DataFrame, block: int) -> DataFrame:
+    """``rows`` with the ``bucket`` of their length, the longest vectors in bucket 0."""
+    n = min(MOST_BUCKETS, max(BUCKETS, math.ceil(rows.count() / block)))
+    found = rows.agg(F.percentile_approx("norm", [(i + 1) / n for i in range(n - 1)], 100 * n).alias("cuts")).first()["cuts"] or []
+    cuts = np.array(sorted(set(found)), float)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            norms = batch.column("norm").to_numpy()
+            yield batch.append_column("bucket", pa.array((len(cuts) - np.searchsorted(cuts, norms)).astype(np.int32)))
+
+    return rows.mapInArrow(run, ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema) + ", bucket int")
+
+
+def sent(candidates: DataFrame, visits: DataFrame) -> DataFrame:
+    """A copy of each candidate for each group of queries that visits its block."""
+    groups = landed(visits.select(*NAMES).distinct(), "groups")
+    return candidates.select("dims", "bucket", "part", "id", "v", "norm").join(groups, NAMES[:3])
+
+
+def _met(candidates: DataFrame, visits: DataFrame, k: int, seed: bool) -> DataFrame:
+    left = sent(candidates, visits).groupBy(*NAMES)
+    right = visits.select(*(F.col(c).alias(c) for c in (*NAMES, "id", "v", "norm", "threshold"))).groupBy(*NAMES)
+    return left.cogroup(right).applyInPandas(_searched(k, seed), "query_id bigint, vec_id bigint, score bigint")
+
+
+def planned(vectors: DataFrame, is_query, k: int, id_col: str, vector_col: str, block: int, queries_block: int) -> tuple[DataFrame, DataFrame]:
+    """The vectors in their blocks, and the queries once for each block that they visit."""
     rows = vectors.select(F.col(id_col).cast("bigint").alias("id"), F.col(vector_col).alias("vector")).filter("id is not null")
     rows = landed(rows.mapInArrow(_quantised, "id bigint, v binary, dims int, norm double").distinct(), "quantised")
-    cuts = rows.agg(F.percentile_approx("norm", [(i + 1) / BUCKETS for i in range(BUCKETS - 1)], 10000).alias("cuts")).first()["cuts"] or []
-    above = [F.when(F.col("norm") <= F.lit(c), 1).otherwise(0) for c in sorted(set(cuts))]
-    placed = rows.withColumn("bucket", sum(above, F.lit(0)))
+    placed = _bucketed(rows, block)
     sizes = landed(
         placed.groupBy("dims", "bucket").agg(F.max("norm").alias("longest"), F.ceil(F.count(F.lit(1)) / F.lit(block)).cast("int").alias("parts")), "buckets"
     )
@@ -134,26 +172,17 @@ def search(vectors: DataFrame, is_query, k: int = K, id_col: str = "vec_id", vec
     asked = landed(rows.filter(is_query), "queries")
     groups = max(1, math.ceil(asked.count() / queries_block))
     asked = asked.withColumn("group", F.pmod(F.xxhash64("id", F.lit(1)), F.lit(groups)).cast("int"))
-    each = F.explode(F.sequence(F.lit(0), F.lit(groups - 1)))
-    names = ["dims", "bucket", "part", "group"]
-
-    def met(candidates: DataFrame, queries: DataFrame, seed: bool) -> DataFrame:
-        left = candidates.select("dims", "bucket", "part", each.alias("group"), "id", "v", "norm").groupBy(*names)
-        right = queries.select(*(F.col(c).alias(c) for c in (*names, "id", "v", "norm", "threshold"))).groupBy(*names)
-        return left.cogroup(right).applyInPandas(_searched(k, seed), "query_id bigint, vec_id bigint, score bigint")
 
     # the first pass: one block of the longest bucket of each dimension
     first = sizes.groupBy("dims").agg(F.min("bucket").alias("bucket")).withColumn("part", F.lit(0))
-    seeds = met(placed.join(first, ["dims", "bucket", "part"], "left_semi"), asked.join(first, "dims").withColumn("threshold", F.lit(float("nan"))), True)
+    seeds = _met(placed.join(first, ["dims", "bucket", "part"], "left_semi"), asked.join(first, "dims").withColumn("threshold", F.lit(float("nan"))), k, True)
     thresholds = landed(seeds.groupBy(F.col("query_id").alias("id")).agg(F.expr("min(score) - abs(min(score)) * 1e-12D").alias("threshold")), "thresholds")
     queries = landed(asked.join(thresholds, "id", "left").withColumn("threshold", F.coalesce("threshold", F.lit(float("nan")))), "queries")
     visits = (
         queries.join(sizes, "dims").filter(F.isnan("threshold") | (F.col("norm") * F.col("longest") * _ROOM >= F.col("threshold")))
         .withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     )
-    best = met(placed, visits, False)
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id"))
-    return best.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    return placed, visits
 
 
 def op2_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -165,7 +194,7 @@ QUERIES = {"op2_top_k": op2_top_k}
 ORACLE_SQL = {
     "op2_top_k": f"""
 WITH v AS (
-  SELECT vec_id, [floor({SCALE} * x::DOUBLE) FOR x IN embedding] AS e FROM embeddings
+  SELECT DISTINCT vec_id, [floor({SCALE} * x::DOUBLE) FOR x IN embedding] AS e FROM embeddings
   WHERE embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
 s AS (
   SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e)::BIGINT AS score
