@@ -34,8 +34,9 @@ def _texts():
     return out + out[:15] + [out[0].upper(), "  " + out[1].replace(" ", "\n\t")]
 
 
-@pytest.mark.parametrize("words,rounds", [(2, None), (5, None), (2, 0)])
-def test_links(spark, make_docs, monkeypatch, words, rounds):  # noqa: F811
+@pytest.mark.parametrize("words,rounds,crowd", [(2, None, 64), (5, None, 64), (2, 0, 64), (2, 0, 1), (5, 0, 1), (2, None, 2)])
+def test_links(spark, make_docs, monkeypatch, words, rounds, crowd):  # noqa: F811
+    monkeypatch.setattr(near_dups, "CROWD", crowd)
     if rounds == 0:  # the exact round alone
         monkeypatch.setattr(near_dups, "CENTERS", ())
     rows = [*enumerate(_texts() + ODD), (3, _texts()[3]), (3, _texts()[3]), (None, _texts()[0]), (None, None)]
@@ -63,6 +64,21 @@ def test_links(spark, make_docs, monkeypatch, words, rounds):  # noqa: F811
             assert (r["n_shingles"], r["component_id"], r["kept"]) == (len(count[r["doc_id"]]), root, root == r["doc_id"])
 
 
+def test_boilerplate_makes_few_pairs(spark):
+    """Thousands of texts that share 60 percent of their words and no link: the rows of the last round stay linear."""
+    r = np.random.RandomState(3)
+    boiler = " ".join(f"b{i}" for i in range(300))
+    n = 3000
+    texts = [boiler + " " + " ".join(f"own{i}x{k}" for k in range(100)) + " " + " ".join(f"c{x}" for x in r.randint(0, 500, 10)) for i in range(n)]
+    texts += [texts[i] + " tail" for i in range(50)]  # and some links among them
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(8)
+    sketch = docs.select(F.col("doc_id").alias("id"), "text")
+    pairs = near_dups._rare_pairs(sketch, spark.createDataFrame([], "rep bigint, component bigint"), 2, 80).count()
+    assert 50 <= pairs <= 4 * n
+    got = {x["doc_id"]: x["component_id"] for x in near_dups.link(docs, words=2).collect()}
+    assert got == {i: i if i < n else i - n for i in range(n + 50)}
+
+
 def test_empty(spark, make_docs):  # noqa: F811
     assert near_dups.link(make_docs([])).count() == 0
 

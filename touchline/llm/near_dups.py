@@ -17,6 +17,13 @@ verified or already connected, or proved to be no link: each set also has an
 odd sketch, the parities of its shingles in ``BITS`` cells, and two sets differ
 in at least as many shingles as their sketches in cells. Verification builds
 both full sets from the whole texts.
+
+Of a bucket that is crowded by then, with more than ``CROWD`` members, not all pairs are
+formed: its sets are alike without being linked, as texts with much boilerplate are. They
+are compared by their rarest shingles instead. Linked sets share one of the first
+``n - percent * n / 100 + 1`` of their shingles in any common order; taken in order of
+frequency these are what is a text's own and not boilerplate, so they meet few others.
+That finds every link among these sets, whichever buckets they share.
 """
 
 from __future__ import annotations
@@ -26,7 +33,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from touchline.llm.common import by_bytes, components, landed, table
@@ -35,6 +42,8 @@ from touchline.llm.common import by_bytes, components, landed, table
 COLLECTIONS = ((2, 8), (3, 11))
 #: Hashes that choose centers, by round; the exact round follows.
 CENTERS = ((0, 1), (2, 3, 4, 5))
+#: Members of a bucket whose pairs are formed one by one.
+CROWD = 64
 #: Cells of an odd sketch.
 BITS = 512
 #: Bytes of text whose sets are built at once.
@@ -137,6 +146,38 @@ def _sketch(words: int):
     return run
 
 
+def _shingled(words: int):
+    """Every text's shingles, a row each, with the size of its set."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, texts in by_bytes(batches, "text", _RUN):
+            sets = shingle_sets(texts, words)
+            sizes = np.array([len(s) for s in sets], np.int64)
+            of = pa.array(np.repeat(np.arange(len(sets)), sizes))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("place").take(of), batch.column("id").take(of), pa.array(np.repeat(sizes, sizes)), pa.array(np.concatenate(sets).view(np.int64))], names=["place", "id", "n", "shingle"]
+            )
+
+    return run
+
+
+def _rare_pairs(texts: DataFrame, found: DataFrame, words: int, percent: int) -> DataFrame:
+    """Pairs ``(a, b)`` of different components that share one of their rarest shingles: every link is among them."""
+    numbered = texts.select(F.monotonically_increasing_id().alias("place"), "id", "text")
+    shingles = landed(numbered.mapInArrow(_shingled(words), "place bigint, id bigint, n bigint, shingle bigint"), "shingles")
+    shared = shingles.groupBy("shingle").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
+    # in order of frequency a set's unshared shingles come first; only those behind them can meet another set
+    common = shingles.join(shared, "shingle")
+    of = Window.partitionBy("place")
+    first = F.col("n") - F.expr(f"(n * {percent} + 99) div 100") + 1
+    place = F.col("n") - F.count(F.lit(1)).over(of) + F.row_number().over(of.orderBy("df", "shingle"))
+    rare = common.withColumn("at", place).filter(F.col("at") <= first).join(found, F.col("id") == F.col("rep"), "left")
+    rare = landed(rare.select("shingle", "id", "n", F.coalesce("component", "id").alias("component")), "rare")
+    other = rare.select("shingle", F.col("id").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb"))
+    met = rare.join(other, "shingle").filter((F.col("id") < F.col("b")) & (F.col("component") != F.col("cb")))
+    return met.filter(F.least("n", "nb") * 100 >= F.greatest("n", "nb") * percent).select(F.col("id").alias("a"), "b").distinct()
+
+
 def _similar(words: int, percent: int):
     """Pairs of texts whose full sets are similar enough."""
 
@@ -218,6 +259,9 @@ def link(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_
             break
         if seeds is None:
             undone = members.join(apart.select("key").distinct(), "key", "left_semi").select("key", "rep", "n")
+            crowded = landed(undone.groupBy("key").agg(F.count(F.lit(1)).alias("size")).filter(F.col("size") > CROWD).select("key"), "crowded")
+            crowd = landed(undone.join(crowded, "key", "left_semi").select(F.col("rep").alias("id")).distinct(), "crowd")
+            undone, apart = (x.join(crowded, "key", "left_anti") for x in (undone, apart))
             of = sets.select("rep", "left", "right", "odd")
             other = undone.join(of, "rep").join(found, "rep", "left").select(
                 "key", F.col("rep").alias("b"), F.col("n").alias("nb"), F.coalesce("component", "rep").alias("cb"), F.col("left").alias("lb"), F.col("right").alias("rb"), F.col("odd").alias("ob")
@@ -232,6 +276,8 @@ def link(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_
                 .filter(F.col("key") == F.xxhash64(i, j, F.get("left", i), F.get("right", j)))
                 .select(F.least("rep", "b").alias("a"), F.greatest("rep", "b").alias("b")).distinct()
             )
+            if not crowd.isEmpty():
+                pairs = pairs.union(_rare_pairs(texts.join(crowd, "id", "left_semi"), found, words, percent)).distinct()
         else:
             # the buckets that aren't done get new centers
             undone = members.join(apart.select("key").distinct(), "key", "left_semi")
