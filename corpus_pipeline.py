@@ -32,7 +32,8 @@ def keep_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 9, five words, 80 percent: one document of each group stays, that of the smallest id.
 
-    Rows without an id stay. Of rows that repeat an id and its text one stays.
+    Rows without an id stay. Of rows that repeat an id and its text one stays, the one
+    whose columns, written as JSON, are least.
     """
     found = landed(near_dups.link(docs).select("doc_id", "kept"), "kept")
     gone = landed(found.filter("not kept").select("doc_id").distinct(), "gone")
@@ -40,7 +41,8 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     again = landed(found.filter("kept and doc_id is not null").groupBy("doc_id").count().filter("count > 1").select("doc_id"), "again")
     if again.isEmpty():
         return stay
-    once = stay.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"]).select(*docs.columns)
+    whole = F.struct(*docs.columns)
+    once = stay.join(again, "doc_id", "left_semi").groupBy("doc_id", "text").agg(F.min_by(whole, F.to_json(whole)).alias("row")).select("row.*")
     return stay.join(again, "doc_id", "left_anti").select(*docs.columns).union(once)
 
 
