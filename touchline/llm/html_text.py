@@ -6,8 +6,13 @@ list item before the next, cells and rows of tables) and the rows that cells
 imply. A renderer follows the tree: visibility rules cut what a reader doesn't
 see, blocks start new lines, paragraphs and the like are set apart by a blank
 line, list items get their bullets or numbers and their indent, and the cells
-of a table are rendered by themselves and aligned in columns. The open elements
-are a plain list, so no depth of nesting exhausts a stack.
+of a table are rendered by themselves and aligned in columns, to the right where they say
+so. The open elements are a plain list, so no depth of nesting exhausts a stack.
+
+Style sheets are gathered before anything is rendered, wherever they stand. Of their rules
+``display`` and ``visibility`` count, for selectors of tags, ids, classes, attributes,
+descendants and children, by importance, specificity and order; rules are looked up
+by what their last part asks for. Selectors with siblings or pseudo-classes match nothing.
 """
 
 from __future__ import annotations
@@ -59,10 +64,15 @@ _MARKUP = re.compile(
 _ATTRIBUTE = re.compile(r"""([^\s"'>/=][^\s"'>/=]*)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 _SPACE = re.compile("[ \t\n\r\f]+")
 _SHEET = re.compile(r"""[{};]|"(?:[^"\\\n]|\\.)*"?|'(?:[^'\\\n]|\\.)*'?|[^{};"']+""", re.S)
+_STYLED = re.compile(r"<style(?=[\s/>]).*?(?:display|visibility)", re.I | re.S)
 #: Media queries that hold for every screen.
 _SCREEN = re.compile(r"(?:(?:only\s+)?(?:all|screen)|not\s+print)?", re.I)
-_SELECTOR = re.compile(r"([a-z][a-z0-9]*)?(?:([.#])([\w-]+))?")
-_HIDING = re.compile(r"(?:^|;)\s*(display|visibility)\s*:\s*([a-z-]+)", re.I)
+_HIDING = re.compile(r"(?:^|;)\s*(display|visibility)\s*:\s*([a-z-]+)\s*(!\s*important)?", re.I)
+#: A part of a selector: a tag, an id, a class, an attribute; what stands between two elements.
+_PART = re.compile(r"""([a-zA-Z][\w-]*|\*)|([.#])([\w-]+)|\[\s*([\w-]+)\s*(?:([~^$*|]?=)\s*(?:"([^"]*)"|'([^']*)'|([^\s\]"']+))\s*)?\]|\s*(>)\s*|(\s+)""")
+_RIGHT = re.compile(r"(?:^|;)\s*text-align\s*:\s*(?:right|end)\b", re.I)
+#: Buttons that show a text of their own without a value.
+_BUTTONS = {"submit": "Submit", "reset": "Reset", "button": ""}
 #: Widest line of a cell, widest indent.
 WRAP, INDENT = 80, 40
 
@@ -117,21 +127,81 @@ class _Lines:
         self.gap |= gap
 
 
+class _Compound:
+    """What a selector asks of one element, and of which kind of ancestor the part before it speaks."""
+
+    __slots__ = ("tag", "ids", "classes", "attributes", "child")
+
+    def __init__(self):
+        self.tag, self.ids, self.classes, self.attributes, self.child = "", [], [], [], False
+
+    def fits(self, e: "_Open") -> bool:
+        if self.tag not in ("", e.name) or not e.classes.issuperset(self.classes) or any(i != e.got.get("id") for i in self.ids):
+            return False
+        return all(name in e.got and _compares(e.got[name], how, value) for name, how, value in self.attributes)
+
+
+def _compares(have: str, how: str, value: str) -> bool:
+    if not how:
+        return True
+    if how == "=":
+        return have == value
+    if not value:
+        return False
+    return {"~=": value in have.split(), "^=": have.startswith(value), "$=": have.endswith(value), "*=": value in have, "|=": have == value or have.startswith(value + "-")}[how]
+
+
+def _selector(text: str) -> list[_Compound] | None:
+    """The compounds of a selector, first to last; None if it has parts that are not understood."""
+    text = text.strip()
+    out, at = [_Compound()], 0
+    while at < len(text):
+        m = _PART.match(text, at)
+        if not m:
+            return None
+        now = out[-1]
+        if m[1]:
+            now.tag = "" if m[1] == "*" else m[1].lower()
+        elif m[2]:
+            (now.classes if m[2] == "." else now.ids).append(m[3])
+        elif m[4]:
+            now.attributes.append((m[4].lower(), m[5] or "", m[6] or m[7] or m[8] or ""))
+        else:
+            out.append(_Compound())
+            out[-1].child = bool(m[9])
+        at = m.end()
+    return out
+
+
+def _asked(c: _Compound) -> bool:
+    return bool(c.tag or c.ids or c.classes or c.attributes)
+
+
+def _matches(selector: list[_Compound], elements: list["_Open"], last: int) -> bool:
+    """Whether the element at ``last`` and ancestors of it fit the selector."""
+    if not selector[-1].fits(elements[last]):
+        return False
+    if len(selector) == 1:
+        return True
+    above = range(last - 1, max(0, last - 2) if selector[-1].child else 0, -1)
+    return any(_matches(selector[:-1], elements, n) for n in above)
+
+
 class _Table:
     def __init__(self, above: _Lines):
         self.above = above
-        self.rows: list[list[tuple[list[str], int, int]]] = []
+        self.rows: list[list[tuple[list[str], int, int, bool]]] = []
 
     def render(self) -> list[str]:
         """The rows as lines, columns aligned."""
         placed, held, columns = [], {}, 0
         for row in self.rows:
             at, line = 0, []
-            for cell, across, down in row:
+            for cell, across, down, right in row:
                 while held.get(at, 0):
                     held[at] -= 1
                     at += 1
-                line.append((at, across, cell))
+                line.append((at, across, cell, right))
                 if down > 1:
                     held.update(dict.fromkeys(range(at, at + across), down - 1))
                 at += across
@@ -142,10 +212,10 @@ class _Table:
             columns = max(columns, at)
         several = any(sum(1 for c in line if c[2]) > 1 for line in placed)
         if several:
-            placed = [[(at, across, [w for x in cell for w in _wrapped(x)]) for at, across, cell in line] for line in placed]
+            placed = [[(at, across, [w for x in cell for w in _wrapped(x)], right) for at, across, cell, right in line] for line in placed]
         widths: dict[int, int] = {}
         for line in placed:
-            for at, across, cell in line:
+            for at, across, cell, _ in line:
                 if across == 1 and cell:
                     widths[at] = max(widths.get(at, 0), max(map(len, cell)))
         starts, x = {}, 0
@@ -154,12 +224,12 @@ class _Table:
             x += widths[at] + 2 if widths.get(at) else 0
         out = []
         for line in placed:
-            for k in range(max((len(cell) for _, _, cell in line), default=0)):
+            for k in range(max((len(cell) for _, _, cell, _ in line), default=0)):
                 text = ""
-                for at, _, cell in line:
+                for at, across, cell, right in line:
                     if k < len(cell) and cell[k]:
                         text = text + "  " if len(text) > starts[at] - 2 and text else text
-                        text = text.ljust(starts[at]) + cell[k]
+                        text = text.ljust(starts[at]) + (cell[k].rjust(widths[at]) if right and across == 1 else cell[k])
                 out.append(text)
         return out
 
@@ -173,20 +243,27 @@ def _wrapped(line: str) -> list[str]:
 
 
 class _Open:
-    __slots__ = ("name", "seen", "shown", "undo", "count")
+    __slots__ = ("name", "got", "classes", "seen", "shown", "undo", "count")
 
-    def __init__(self, name: str, seen: bool, shown: bool, undo=None):
-        self.name, self.seen, self.shown, self.undo, self.count = name, seen, shown, undo, 0
+    def __init__(self, name: str, got: dict[str, str], seen: bool, shown: bool):
+        self.name, self.got, self.seen, self.shown, self.undo, self.count = name, got, seen, shown, None, 0
+        self.classes = set(got["class"].split()) if "class" in got else frozenset()
+
+    def folded(self) -> bool:
+        """Closed details show their summary only."""
+        return self.name == "details" and "open" not in self.got
 
 
 class Renderer:
     """Tree builder and renderer of one page."""
 
     def __init__(self):
-        self.open: list[_Open] = [_Open("", True, True)]
+        self.open: list[_Open] = [_Open("", {}, True, True)]
         self.out = _Lines()
         self.tables: list[_Table] = []
-        self.rules: list[tuple[str, str, str, str, str]] = []
+        #: Rules by what their last compound asks for: ``(selector, important, specificity, number, property, value)``.
+        self.rules: dict[str, list[tuple]] = {}
+        self.n_rules = 0
         self.pre = self.foreign = 0
         self.n_tables = self.n_items = 0
         self.title: list[str] = []
@@ -244,30 +321,47 @@ class Renderer:
 
     # renderer
 
-    def hidden(self, name: str, got: dict[str, str]) -> tuple[bool, bool | None]:
-        """Whether the element is cut, and what it says of its visibility."""
-        cut, shown = "hidden" in got or name == "input" or name == "dialog" and "open" not in got, None
-        classes = got.get("class", "").split()
-        said = [(k, got[k].strip().lower()) for k in ("display", "visibility") if self.foreign and k in got]
-        said += [b for tag, kind, value, a, b in self.rules if (not tag or tag == name) and (not kind or (value in classes if kind == "." else value == got.get("id"))) for b in [(a, b)]]
-        said += [(m[1].lower(), m[2].lower()) for m in _HIDING.finditer(got.get("style", ""))]
-        for what, value in said:
-            if what == "display":
-                cut = value == "none" or "hidden" in got
-            else:
-                shown = value == "visible"
-        return cut, shown
+    def said(self, e: _Open) -> dict[str, str]:
+        """The values of ``display`` and ``visibility`` that win for the innermost open element."""
+        best: dict[str, tuple] = {}
+        if self.foreign:
+            best = {k: ((0, (0, 0, 0, 0), -1), e.got[k].strip().lower()) for k in ("display", "visibility") if k in e.got}
+        if self.rules:
+            for key in (e.name, "", *("." + c for c in e.classes), "#" + e.got.get("id", "")):
+                for selector, important, weight, number, what, value in self.rules.get(key, ()):
+                    rank = (important, (0, *weight), number)
+                    if (what not in best or rank >= best[what][0]) and _matches(selector, self.open, len(self.open) - 1):
+                        best[what] = (rank, value)
+        if "style" in e.got:
+            for n, m in enumerate(_HIDING.finditer(e.got["style"])):
+                rank, what = (bool(m[3]), (1, 0, 0, 0), n), m[1].lower()
+                if what not in best or rank >= best[what][0]:
+                    best[what] = (rank, m[2].lower())
+        return {what: value for what, (_, value) in best.items()}
 
     def element(self, name: str, attributes: str) -> None:
         above = self.open[-1]
         self.foreign += name in FOREIGN
         got = _attributes(attributes) if attributes and not attributes.isspace() else {}
-        cut, shown = self.hidden(name, got) if got or self.rules else (name in ("input", "dialog"), None)
-        seen = above.seen and not cut and name not in UNSEEN and not (self.foreign and name in FOREIGN_UNSEEN)
-        e = _Open(name, seen, above.shown if shown is None else shown)
+        e = _Open(name, got, above.seen, above.shown)
         self.open.append(e)
+        if above.folded():
+            e.seen = e.seen and name == "summary" and not above.count
+            above.count += name == "summary"
+        if not e.seen:
+            return
+        said = self.said(e) if got or self.rules else {}
+        cut = said["display"] == "none" if "display" in said else "hidden" in got or name == "dialog" and "open" not in got
+        e.seen = seen = not cut and name not in UNSEEN and not (self.foreign and name in FOREIGN_UNSEEN)
+        if said.get("visibility", "inherit") != "inherit":
+            e.shown = said["visibility"] == "visible"
         if not seen:
             return
+        if name == "input":
+            kind = got.get("type", "").strip().lower()
+            if kind in _BUTTONS:
+                self.text(html.escape(got.get("value", _BUTTONS[kind])))
+            return
         if name == "br":
             if self.out.now:
                 self.out.end()
@@ -278,7 +372,8 @@ class Renderer:
             return
         nested = name in LISTS and any(x.name == "li" for x in self.open[:-1])
         if name in CELLS:
-            e.undo = (self.out, self.pre, _number(got.get("colspan"), 1, 1000, 1), _number(got.get("rowspan"), 1, 65534, 1))
+            right = got.get("align", "").strip().lower() == "right" or bool(_RIGHT.search(got.get("style", "")))
+            e.undo = (self.out, self.pre, _number(got.get("colspan"), 1, 1000, 1), _number(got.get("rowspan"), 1, 65534, 1), right)
             self.out, self.pre = _Lines(), 0
             return
         if name == "tr":
@@ -327,10 +422,10 @@ class Renderer:
         if name in CELLS:
             self.out.end()
             lines = self.out.lines
-            self.out, self.pre, across, down = e.undo
+            self.out, self.pre, across, down, right = e.undo
             if not self.tables[-1].rows:
                 self.tables[-1].rows.append([])
-            self.tables[-1].rows[-1].append((lines, across, down))
+            self.tables[-1].rows[-1].append((lines, across, down, right))
             return
         if name == "tr" or name in SECTIONS:
             return
@@ -350,7 +445,7 @@ class Renderer:
 
     def text(self, value: str) -> None:
         e = self.open[-1]
-        if not (e.seen and e.shown) or not value:
+        if not (e.seen and e.shown) or not value or e.folded():
             return
         if "&" in value:
             value = html.unescape(value)
@@ -366,7 +461,22 @@ class Renderer:
             return
         self.out.text(value)
 
+    def sheets(self, page: str) -> None:
+        """Gather the rules of all style sheets of the page."""
+        if not _STYLED.search(page):
+            return
+        at = 0
+        while m := _MARKUP.search(page, at):
+            at = m.end()
+            name = (m[2] or "").lower()
+            if name in RAW and not m[1]:
+                stop = re.compile(f"</{name}(?=[\\s/>])[^>]*>?", re.I).search(page, at)
+                if name == "style" and _on_screen(_attributes(m[3] or "").get("media", "")):
+                    self.styled(page[at : stop.start() if stop else len(page)])
+                at = stop.end() if stop else len(page)
+
     def feed(self, page: str) -> None:
+        self.sheets(page)
         at = 0
         while m := _MARKUP.search(page, at):
             if m.start() > at:
@@ -386,9 +496,7 @@ class Renderer:
                 stop = re.compile(f"</{name}(?=[\\s/>])[^>]*>?", re.I).search(page, at)
                 raw = page[at : stop.start() if stop else len(page)]
                 at = stop.end() if stop else len(page)
-                if name == "style" and _on_screen(_attributes(attributes).get("media", "")):
-                    self.styled(raw)
-                elif name == "title" and not self.title:
+                if name == "title" and not self.title:
                     self.title.append(_SPACE.sub(" ", html.unescape(raw)).strip())
                 self.text(raw)
                 if self.open[-1].name == name:
@@ -427,10 +535,17 @@ class Renderer:
                 now += m[0]
 
     def rule(self, selectors: str, body: str) -> None:
-        said = [(m[1].lower(), m[2].lower()) for m in _HIDING.finditer(body)]
-        for selector in selectors.split(",") if said else ():
-            if (m := _SELECTOR.fullmatch(selector.strip())) and m[0]:
-                self.rules += [(m[1] or "", m[2] or "", m[3] or "", a, b) for a, b in said]
+        said = [(m[1].lower(), m[2].lower(), bool(m[3])) for m in _HIDING.finditer(body)]
+        for text in selectors.split(",") if said else ():
+            selector = _selector(text)
+            if selector is None or not text.strip() or not _asked(selector[-1]) and text.strip()[-1] != "*":
+                continue
+            weight = (sum(len(c.ids) for c in selector), sum(len(c.classes) + len(c.attributes) for c in selector), sum(bool(c.tag) for c in selector))
+            last = selector[-1]
+            key = "#" + last.ids[0] if last.ids else "." + last.classes[0] if last.classes else last.tag
+            for what, value, important in said:
+                self.n_rules += 1
+                self.rules.setdefault(key, []).append((selector, important, weight, self.n_rules, what, value))
 
 
 def render(page: str) -> tuple[str, str, int, int]:
