@@ -64,7 +64,7 @@ def test_links(spark, make_docs, monkeypatch, words, rounds, crowd):  # noqa: F8
             assert (r["n_shingles"], r["component_id"], r["kept"]) == (len(count[r["doc_id"]]), root, root == r["doc_id"])
 
 
-def test_boilerplate_makes_few_pairs(spark):
+def test_boilerplate_makes_few_pairs(spark, monkeypatch):
     """Thousands of texts that share 60 percent of their words and no link: the rows of the last round stay linear."""
     r = np.random.RandomState(3)
     boiler = " ".join(f"b{i}" for i in range(300))
@@ -72,9 +72,11 @@ def test_boilerplate_makes_few_pairs(spark):
     texts = [boiler + " " + " ".join(f"own{i}x{k}" for k in range(100)) + " " + " ".join(f"c{x}" for x in r.randint(0, 500, 10)) for i in range(n)]
     texts += [texts[i] + " tail" for i in range(50)]  # and some links among them
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(8)
-    sketch = docs.select(F.col("doc_id").alias("id"), "text")
-    pairs = near_dups._rare_pairs(sketch, spark.createDataFrame([], "rep bigint, component bigint"), 2, 80).count()
+    texts = docs.select(F.col("doc_id").alias("id"), "text")
+    sketches = texts.mapInArrow(near_dups._sketch(2), "id bigint, n bigint, mark binary, left array<bigint>, right array<bigint>, odd array<bigint>").withColumnRenamed("id", "rep")
+    pairs = near_dups._rare_pairs(texts, sketches, spark.createDataFrame([], "rep bigint, component bigint"), 2, 80).count()
     assert 50 <= pairs <= 4 * n
+    monkeypatch.setattr(near_dups, "CROWD", 64)
     got = {x["doc_id"]: x["component_id"] for x in near_dups.link(docs, words=2).collect()}
     assert got == {i: i if i < n else i - n for i in range(n + 50)}
 

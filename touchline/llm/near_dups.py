@@ -43,7 +43,7 @@ COLLECTIONS = ((2, 8), (3, 11))
 #: Hashes that choose centers, by round; the exact round follows.
 CENTERS = ((0, 1), (2, 3, 4, 5))
 #: Members of a bucket whose pairs are formed one by one.
-CROWD = 64
+CROWD = 1024
 #: Cells of an odd sketch.
 BITS = 512
 #: Bytes of text whose sets are built at once.
@@ -155,14 +155,25 @@ def _shingled(words: int):
             sizes = np.array([len(s) for s in sets], np.int64)
             of = pa.array(np.repeat(np.arange(len(sets)), sizes))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("place").take(of), batch.column("id").take(of), pa.array(np.repeat(sizes, sizes)), pa.array(np.concatenate(sets).view(np.int64))], names=["place", "id", "n", "shingle"]
+                [batch.column("place").take(of), batch.column("id").take(of), pa.array(np.repeat(sizes, sizes)), pa.array(np.concatenate(sets).view(np.int64))],
+                names=["place", "id", "n", "shingle"],
             )
 
     return run
 
 
-def _rare_pairs(texts: DataFrame, found: DataFrame, words: int, percent: int) -> DataFrame:
-    """Pairs ``(a, b)`` of different components that share one of their rarest shingles: every link is among them."""
+def _may_link(a: str, b: str, n: str, m: str, percent: int) -> Column:
+    """Whether the odd sketches and sizes of two sets allow that they are linked."""
+    differ = sum(F.bit_count(F.col(a)[k].bitwiseXOR(F.col(b)[k])) for k in range(BITS // 64))
+    sizes = F.least(n, m) * 100 >= F.greatest(n, m) * percent
+    return sizes & (differ * (100 + percent) <= (F.col(n) + F.col(m)) * (100 - percent))
+
+
+def _rare_pairs(texts: DataFrame, sketches: DataFrame, found: DataFrame, words: int, percent: int) -> DataFrame:
+    """Pairs ``(a, b)`` of different components that share one of their rarest shingles: every link is among them.
+
+    ``sketches(rep, odd)`` are the odd sketches of the texts' sets, which leave out pairs that can't be links.
+    """
     numbered = texts.select(F.monotonically_increasing_id().alias("place"), "id", "text")
     shingles = landed(numbered.mapInArrow(_shingled(words), "place bigint, id bigint, n bigint, shingle bigint"), "shingles")
     shared = shingles.groupBy("shingle").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
@@ -171,11 +182,12 @@ def _rare_pairs(texts: DataFrame, found: DataFrame, words: int, percent: int) ->
     of = Window.partitionBy("place")
     first = F.col("n") - F.expr(f"(n * {percent} + 99) div 100") + 1
     place = F.col("n") - F.count(F.lit(1)).over(of) + F.row_number().over(of.orderBy("df", "shingle"))
-    rare = common.withColumn("at", place).filter(F.col("at") <= first).join(found, F.col("id") == F.col("rep"), "left")
-    rare = landed(rare.select("shingle", "id", "n", F.coalesce("component", "id").alias("component")), "rare")
-    other = rare.select("shingle", F.col("id").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb"))
+    rare = common.withColumn("at", place).filter(F.col("at") <= first).join(found.withColumnRenamed("rep", "id"), "id", "left")
+    rare = rare.join(sketches.select(F.col("rep").alias("id"), "odd"), "id")
+    rare = landed(rare.select("shingle", "id", "n", "odd", F.coalesce("component", "id").alias("component")), "rare")
+    other = rare.select("shingle", F.col("id").alias("b"), F.col("n").alias("nb"), F.col("odd").alias("ob"), F.col("component").alias("cb"))
     met = rare.join(other, "shingle").filter((F.col("id") < F.col("b")) & (F.col("component") != F.col("cb")))
-    return met.filter(F.least("n", "nb") * 100 >= F.greatest("n", "nb") * percent).select(F.col("id").alias("a"), "b").distinct()
+    return met.filter(_may_link("odd", "ob", "n", "nb", percent)).select(F.col("id").alias("a"), "b").distinct()
 
 
 def _similar(words: int, percent: int):
@@ -268,16 +280,14 @@ def link(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_
             )
             # a pair counts in the first table that it shares
             i, j = (F.coalesce(*(F.when(F.col(x)[k] == F.col(y)[k], k) for k in range(s))) for (_, s), x, y in zip(COLLECTIONS, ("left", "right"), ("lb", "rb"), strict=True))
-            differ = sum(F.bit_count(F.col("odd")[k].bitwiseXOR(F.col("ob")[k])) for k in range(BITS // 64))
             pairs = (
                 apart.join(of, "rep").join(other, "key").filter(F.col("component") != F.col("cb"))
-                .filter(F.least("n", "nb") * 100 >= F.greatest("n", "nb") * percent)
-                .filter(differ * (100 + percent) <= (F.col("n") + F.col("nb")) * (100 - percent))
+                .filter(_may_link("odd", "ob", "n", "nb", percent))
                 .filter(F.col("key") == F.xxhash64(i, j, F.get("left", i), F.get("right", j)))
                 .select(F.least("rep", "b").alias("a"), F.greatest("rep", "b").alias("b")).distinct()
             )
             if not crowd.isEmpty():
-                pairs = pairs.union(_rare_pairs(texts.join(crowd, "id", "left_semi"), found, words, percent)).distinct()
+                pairs = pairs.union(_rare_pairs(texts.join(crowd, "id", "left_semi"), sets, found, words, percent)).distinct()
         else:
             # the buckets that aren't done get new centers
             undone = members.join(apart.select("key").distinct(), "key", "left_semi")
