@@ -229,15 +229,19 @@ def _text(value: str) -> str:
     return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def _rule_map(found: list[Rule]) -> str:
-    """SQL of a constant map from keyword to its rules."""
+def _matches(found: list[Rule]) -> str:
+    """SQL of the matches at the anchor ``a``: those of its keyword's rules, each with a pattern of its own in the plan.
+
+    A pattern is compiled once for each task, and asked only where its needle is.
+    """
     by: dict[str, list[str]] = {}
     for n, r in enumerate(found):
-        by.setdefault(r.keyword, []).append(
-            f"named_struct('n', {n}, 'label', {_text(r.label)}, 'tier', {r.tier}, 'needle', {_text(f' {r.needle} ' if r.needle else '')}, "
-            f"'pattern', {_text(f' (?:{r.pattern}) ')}, 'weight', {r.weight}D, 'base', {str(r.base).lower()})"
+        match = (
+            f"named_struct('i', a.i, 'n', {n}, 'label', {_text(r.label)}, 'tier', {r.tier}, 'weight', {r.weight}D, 'base', {str(r.base).lower()}, "
+            f"'m', regexp_extract(a.window, {_text(f' (?:{r.pattern}) ')}, 0))"
         )
-    return "map(" + ", ".join(f"{_text(k)}, array({', '.join(v)})" for k, v in by.items()) + ")"
+        by.setdefault(r.keyword, []).append(f"if(contains(a.plain, {_text(f' {r.needle} ')}), {match}, null)" if r.needle else match)
+    return "case a.w " + " ".join(f"when {_text(k)} then array({', '.join(v)})" for k, v in by.items()) + " end"
 
 
 def normalized(text: Column) -> Column:
@@ -278,20 +282,15 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
             f"'@', array_join(slice(words, a.i + 1, {AFTER}), ' '), ' ')))"
         ),
     )
-    out = out.withColumn(
-        "hits",
-        F.expr(
-            f"filter(flatten(transform(anchors, a -> transform(filter({_rule_map(found)}[a.w], r -> r.needle = '' or contains(replace(a.window, '@', ''), r.needle)), "
-            "r -> named_struct('i', a.i, 'r', r, 'm', regexp_extract(a.window, r.pattern, 0))))), h -> h.m <> '')"
-        ),
-    )
+    out = out.withColumn("anchors", F.expr("transform(anchors, a -> named_struct('i', a.i, 'w', a.w, 'window', a.window, 'plain', replace(a.window, '@', '')))"))
+    out = out.withColumn("hits", F.expr(f"filter(flatten(transform(anchors, a -> {_matches(found)})), h -> h.m <> '')"))
     spaces = "(length({0}) - length(replace({0}, ' ', '')))"
     left, right = spaces.format("substring_index(h.m, '@', 1)"), spaces.format("substring_index(h.m, '@', -1)")
     out = out.withColumn(
         "hits",
         F.expr(
-            f"array_sort(transform(hits, h -> named_struct('first', h.i - {left} + 1, 'back', - h.i - {right}, 'n', h.r.n, "
-            "'label', h.r.label, 'tier', h.r.tier, 'weight', h.r.weight, 'base', h.r.base)))"
+            f"array_sort(transform(hits, h -> named_struct('first', h.i - {left} + 1, 'back', - h.i - {right}, 'n', h.n, "
+            "'label', h.label, 'tier', h.tier, 'weight', h.weight, 'base', h.base)))"
         ),
     )
     whole = "named_struct('first', h.first, 'last', - h.back, 'n', h.n, 'label', h.label, 'tier', h.tier, 'weight', h.weight)"
