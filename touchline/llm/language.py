@@ -34,6 +34,9 @@ PER_LANGUAGE, SAMPLE_WORDS = 300, 1_000_000
 #: Feature buckets, longest n-gram, words of the lexicon, words of a chain, of a spliced stretch.
 BUCKETS, GRAM, LEXICON, CHAIN, STRETCH = 1 << 17, 4, 20_000, 64, 16
 EPOCHS, CHAINS, RATE, DECAY = 3, 256, 0.2, 1e-6
+#: Most languages that are learned; most weights of n-grams, and of pairs of labels in a step. They bound the model and the
+#: driver's memory: with many languages there are fewer buckets and fewer chains in a step.
+MOST_LABELS, CELLS, JOINT = 128, 1 << 20, 1 << 22
 UNKNOWN = "und"
 #: Bytes of text, and words, whose features are computed at once.
 _RUN, _PART = 600_000, 20_000
@@ -167,13 +170,17 @@ def fitted(texts: list[str], langs: list[str]) -> Model:
     label = np.repeat([labels.index(x) for x in langs], words.counts) if langs else np.zeros(0, np.int64)
     marks, one, of = np.unique(words.mark, return_index=True, return_inverse=True)
     common = np.sort(marks[np.argsort(-np.bincount(of, minlength=len(marks)), kind="stable")[:LEXICON]])
-    model = Model(labels, np.zeros((BUCKETS, size)), common, np.zeros((len(common) + 1, size)), np.zeros((size, size)), np.zeros(size))
+    buckets = BUCKETS
+    while buckets * size > CELLS and buckets > 1024:  # with more languages, fewer buckets
+        buckets //= 2
+    chains = max(1, min(CHAINS, JOINT // (CHAIN * size * size)))
+    model = Model(labels, np.zeros((buckets, size)), common, np.zeros((len(common) + 1, size)), np.zeros((size, size)), np.zeros(size))
     if not len(marks) or size < 2:
         return model
     found, spans = [], []
     for at in range(0, len(one), _PART):  # in parts, as the intermediate arrays are larger than the result
         part, begins = features(words, one[at : at + _PART])
-        found.append(part.astype(np.int32)), spans.append(np.diff(np.append(begins, len(part))))
+        found.append((part % buckets).astype(np.int32)), spans.append(np.diff(np.append(begins, len(part))))
     found, spans = np.concatenate(found), np.concatenate(spans)
     bounds = np.cumsum(spans) - spans
     lexical = _lexical(common, marks)
@@ -192,8 +199,8 @@ def fitted(texts: list[str], langs: list[str]) -> Model:
         spliced = runs[rows[: len(rows) // 2]]
         spliced = random.permutation(spliced.reshape(-1)).reshape(spliced.shape)
         runs = random.permutation(np.concatenate([spliced, runs[rows[len(rows) // 2 :]]]))
-        for at in range(0, len(runs), CHAINS):
-            part = runs[at : at + CHAINS]
+        for at in range(0, len(runs), chains):
+            part = runs[at : at + chains]
             which = np.concatenate([np.arange(starts[s], starts[s] + sizes[s]) for s in part.reshape(-1)])
             lengths = sizes[part].sum(axis=1)
             seen, back = np.unique(of[which], return_inverse=True)
@@ -216,7 +223,7 @@ def fitted(texts: list[str], langs: list[str]) -> Model:
             each = np.stack([np.bincount(back, slope[:, k], len(seen)) for k in range(size)], axis=1)
             spread = np.repeat(each, spans[seen], axis=0)
             slopes = [
-                np.stack([np.bincount(flat, spread[:, k], BUCKETS) for k in range(size)], axis=1),
+                np.stack([np.bincount(flat, spread[:, k], buckets) for k in range(size)], axis=1),
                 np.stack([np.bincount(lexical[seen], each[:, k], len(common) + 1) for k in range(size)], axis=1),
                 both.sum(axis=0) - wanted,
                 (off[begins] - gold[begins]).sum(axis=0),
@@ -235,7 +242,7 @@ def labelled(model: Model, texts: list[str]) -> tuple[Words, np.ndarray]:
         return words, np.zeros((0, len(model.labels)))
     marks, one, of = np.unique(words.mark, return_index=True, return_inverse=True)
     found, bounds = features(words, one)
-    scores = np.add.reduceat(model.grams[found], bounds).astype(np.float64) + model.lexical[_lexical(model.lexicon, marks)]
+    scores = np.add.reduceat(model.grams[found % len(model.grams)], bounds).astype(np.float64) + model.lexical[_lexical(model.lexicon, marks)]
     return words, marginals(model, scores[of], _chains(words.counts))
 
 
@@ -272,13 +279,14 @@ def _longest(lengths: list[int], room: int) -> int:
 def sample(docs: DataFrame, per_language: int = PER_LANGUAGE) -> tuple[list[str], list[str]]:
     """Texts and languages of a bounded sample of the labelled rows that may be learned from.
 
-    All rows are counted, then rows are chosen by a hash of their id, at a rate
+    Of more than ``MOST_LABELS`` languages the commonest are learned. All rows are counted,
+    then rows are chosen by a hash of their id, at a rate
     that gives ``per_language`` rows of each language on average, and one at
     least. Every language has the same share of the sample's characters; if its
     texts are longer, the longest give their first part only.
     """
     rows = docs.filter("lang is not null and text is not null").filter(~held_out(F.col("doc_id"))).select("text", "lang", F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)).alias("draw"))
-    counts = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.min("draw").alias("least")).collect()
+    counts = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.min("draw").alias("least")).orderBy(F.col("n").desc(), "lang").limit(MOST_LABELS).collect()
     if not counts:
         return [], []
     chosen = F.lit(False)
