@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -11,7 +10,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from touchline.session import checkpoint_dir
+from touchline.session import scratch_folder
 
 #: Bytes of text that one step inside a task handles at once.
 BATCH_BYTES = 2_000_000
@@ -23,8 +22,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:
-    """A new folder on the storage that the driver and all executors share."""
-    return f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    """A new folder on the storage that the driver and all executors share, removed with the application's others."""
+    return scratch_folder(spark, name)
 
 
 def landed(df: DataFrame, name: str) -> DataFrame:
