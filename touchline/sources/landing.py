@@ -95,9 +95,10 @@ def land_events(
         quarantine_path,
     )
     arrived = events.select("match_id").distinct()
+    waiting = None
     if _exists(spark, pending_path):
-        waiting = spark.read.schema(_with(events, "match_id")).parquet(pending_path)
-        named = waiting.join(seasons, "match_id", "left_semi").join(arrived, "match_id", "left_anti")
+        waiting = spark.read.schema(_bucketed(events).schema).parquet(pending_path)
+        named = waiting.drop("bucket").join(seasons, "match_id", "left_semi").join(arrived, "match_id", "left_anti")
         events = events.unionByName(named)
         arrived = events.select("match_id").distinct()
     incoming = events.join(seasons, "match_id", "left")
@@ -106,13 +107,19 @@ def land_events(
     merged, gone = fresh, None
     if _exists(spark, path):
         landed = spark.read.schema(fresh.schema).parquet(path)
-        gone = landed.join(arrived, "match_id", "left_semi").select(*SEASON).distinct()
+        places = read_index(spark, path) if _exists(spark, index_path(path)) else match_partitions(landed)
+        gone = places.join(arrived, "match_id", "left_semi").select(*SEASON).distinct()
         touched = gone.union(fresh.select(*SEASON).distinct()).distinct()
         old = landed.join(touched, SEASON, "left_semi").join(arrived, "match_id", "left_anti")
         merged = fresh.unionByName(old)
     write_events(merged, f"{staged}/events")
-    incoming.filter("competition_id is null").drop(*SEASON).write.partitionBy("match_id").parquet(f"{staged}/pending")
-    arrived.write.parquet(f"{staged}/arrived")
+    # the pending table's buckets that hold a match of this landing are written anew
+    pending = _bucketed(incoming.filter("competition_id is null").drop(*SEASON))
+    touched_buckets = _bucketed(arrived).select("bucket").distinct()
+    if waiting is not None:
+        pending = pending.unionByName(waiting.join(touched_buckets, "bucket", "left_semi").join(arrived, "match_id", "left_anti"))
+    pending.write.partitionBy("bucket").parquet(f"{staged}/pending")
+    touched_buckets.write.parquet(f"{staged}/buckets")
     emptied = []
     if gone is not None:
         state = spark.read.schema(fresh.schema).parquet(f"{staged}/events").select(*SEASON).distinct()
@@ -125,20 +132,22 @@ def land_events(
     for row in emptied:
         for table in (path, index_path(path)):
             _delete(spark, f"{table}/competition_id={row[0]}/season_id={row[1]}")
-    if _exists(spark, pending_path):
-        kept = spark.read.schema(_with(events, "match_id")).parquet(pending_path)
-        settled = kept.select("match_id").distinct().join(spark.read.schema("match_id bigint").parquet(f"{staged}/arrived"), "match_id")
-        for row in settled.collect():  # matches, not events
-            _delete(spark, f"{pending_path}/match_id={row[0]}")
-    spark.read.schema(_with(events, "match_id")).parquet(f"{staged}/pending").write.mode("overwrite").options(**dynamic).partitionBy(
-        "match_id"
-    ).parquet(pending_path)
+    staged_pending = spark.read.schema(pending.schema).parquet(f"{staged}/pending")
+    if waiting is not None:
+        buckets = spark.read.schema("bucket int").parquet(f"{staged}/buckets").join(staged_pending.select("bucket").distinct(), "bucket", "left_anti")
+        for row in buckets.collect():  # at most PENDING_BUCKETS
+            _delete(spark, f"{pending_path}/bucket={row[0]}")
+    staged_pending.write.mode("overwrite").options(**dynamic).partitionBy("bucket").parquet(pending_path)
     _delete(spark, staged)
 
 
-def _with(events: DataFrame, key: str):
-    """The schema of ``events`` with the partition column ``key`` last."""
-    return events.select(*[c for c in events.columns if c != key], key).schema
+#: Folders of a pending table, whatever the number of matches in it.
+PENDING_BUCKETS = 64
+
+
+def _bucketed(events: DataFrame) -> DataFrame:
+    """Events with the folder of the pending table that their match belongs to."""
+    return events.withColumn("bucket", F.pmod(F.xxhash64("match_id"), F.lit(PENDING_BUCKETS)).cast("int"))
 
 
 def write_events(events: DataFrame, path: str, mode: str = "overwrite") -> None:
