@@ -243,3 +243,22 @@ def test_pipeline_keeps_unlabelled_texts(spark, make_docs):  # noqa: F811
 @pytest.mark.parametrize("stage", range(4))
 def test_pipeline_stands_empty_tables(spark, make_docs, stage):  # noqa: F811
     assert corpus_pipeline.STAGES[stage][1](spark, make_docs([]), "").count() == 0
+
+
+def test_many_languages_have_a_bounded_model(monkeypatch):
+    monkeypatch.setattr(language, "CELLS", 1 << 13)
+    names = [f"l{i:02}" for i in range(40)]
+    r = random.Random(3)
+    words = {n: ["".join(r.choice("abcdefghij") for _ in range(r.randint(3, 7))) for _ in range(30)] for n in names}
+    texts = [" ".join(r.choice(words[n]) for _ in range(40)) for n in names for _ in range(6)]
+    model = language.fitted(texts, [n for n in names for _ in range(6)])
+    assert model.grams.shape == (1024, 40)
+    found, _ = language.languages(model, [" ".join(r.choice(words[n]) for _ in range(40)) for n in names])
+    assert sum(a == b for a, b in zip(found, names)) >= 30
+
+
+def test_the_commonest_languages_are_learned(spark, monkeypatch):
+    monkeypatch.setattr(language, "MOST_LABELS", 3)
+    rows = [(i, f"text number {i}", f"l{min(i % 10, 5)}", None, 1) for i in range(400)]
+    _, langs = language.sample(spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint"))
+    assert len(set(langs)) == 3 and "l5" in langs

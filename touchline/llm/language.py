@@ -173,7 +173,7 @@ def fitted(texts: list[str], langs: list[str]) -> Model:
     buckets = BUCKETS
     while buckets * size > CELLS and buckets > 1024:  # with more languages, fewer buckets
         buckets //= 2
-    chains = max(1, min(CHAINS, JOINT // (CHAIN * size * size)))
+    chains = max(1, min(CHAINS, JOINT // (CHAIN * max(1, size) ** 2)))
     model = Model(labels, np.zeros((buckets, size)), common, np.zeros((len(common) + 1, size)), np.zeros((size, size)), np.zeros(size))
     if not len(marks) or size < 2:
         return model
