@@ -268,21 +268,22 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _oracle() -> str:
     return f"""
-WITH docs AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '{WORD}') AS ws, {crc32_sql("doc_id::VARCHAR")} AS h FROM documents),
-sized AS (SELECT r, doc_id, ws, len(ws) AS n, h // 10 AS g, CASE WHEN h % 10 = 0 AND len(ws) > 0 THEN (h // 10) % len(ws) END AS a FROM docs),
-placed AS (SELECT r, unnest(ws) AS w, unnest(range(n)) AS i FROM sized),
-plan AS (SELECT r, i, CASE WHEN i >= a THEN a + (i - a) % (1 + (n - a) // (3 + g % 8)) ELSE i END AS j FROM placed JOIN sized USING (r)),
-words AS (SELECT p.r, p.i, q.w FROM plan p JOIN placed q ON q.r = p.r AND q.i = p.j),
+WITH docs AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '{WORD}') AS ws, {crc32_sql("doc_id::VARCHAR")} AS h FROM documents),
+sized AS MATERIALIZED (SELECT r, doc_id, ws, len(ws) AS n, h // 10 AS g, CASE WHEN h % 10 = 0 AND len(ws) > 0 THEN (h // 10) % len(ws) END AS a FROM docs),
+placed AS MATERIALIZED (SELECT r, unnest(ws) AS w, unnest(range(n)) AS i FROM sized),
+plan AS MATERIALIZED (SELECT r, i, CASE WHEN i >= a THEN a + (i - a) % (1 + (n - a) // (3 + g % 8)) ELSE i END AS j FROM placed JOIN sized USING (r)),
+words AS MATERIALIZED (SELECT p.r, p.i, q.w FROM plan p JOIN placed q ON q.r = p.r AND q.i = p.j),
 lags AS (SELECT r, n, unnest(range(1, n // {LEAST_PERIODS} + 1)) AS q FROM sized),
 aligned AS (SELECT r, q, unnest(range(0, n - 2 * q, q)) AS x FROM lags),
-hit AS (
-  SELECT DISTINCT x.r, x.q FROM aligned x JOIN words a ON a.r = x.r AND a.i = x.x JOIN words b ON b.r = x.r AND b.i = x.x + x.q AND b.w = a.w
-  JOIN words c ON c.r = x.r AND c.i = x.x + 2 * x.q AND c.w = a.w),
-same AS (SELECT h.r, h.q, a.i FROM hit h JOIN words a ON a.r = h.r JOIN words b ON b.r = h.r AND b.i = a.i + h.q AND b.w = a.w),
-stretch AS (
+first AS MATERIALIZED (SELECT x.r, x.q, x.x, a.w FROM aligned x JOIN words a ON a.r = x.r AND a.i = x.x),
+second AS MATERIALIZED (SELECT p.r, p.q, p.x, p.w FROM first p JOIN words b ON b.r = p.r AND b.i = p.x + p.q AND b.w = p.w),
+hit AS MATERIALIZED (SELECT DISTINCT p.r, p.q FROM second p JOIN words c ON c.r = p.r AND c.i = p.x + 2 * p.q AND c.w = p.w),
+tried AS MATERIALIZED (SELECT h.r, h.q, a.i, a.w FROM hit h JOIN words a ON a.r = h.r),
+same AS MATERIALIZED (SELECT t.r, t.q, t.i FROM tried t JOIN words b ON b.r = t.r AND b.i = t.i + t.q AND b.w = t.w),
+stretch AS MATERIALIZED (
   SELECT r, q, min(i) AS s, count(*) + q AS l FROM (SELECT *, i - row_number() OVER (PARTITION BY r, q ORDER BY i) AS k FROM same)
   GROUP BY r, q, k HAVING count(*) + q >= greatest({LEAST_WORDS}, {LEAST_PERIODS} * q)),
-runs AS (SELECT * FROM stretch a WHERE NOT EXISTS (SELECT 1 FROM stretch b WHERE b.r = a.r AND b.s = a.s AND b.l = a.l AND b.q < a.q)),
+runs AS MATERIALIZED (SELECT * FROM stretch a WHERE NOT EXISTS (SELECT 1 FROM stretch b WHERE b.r = a.r AND b.s = a.s AND b.l = a.l AND b.q < a.q)),
 best AS (SELECT r, s, l, q FROM runs QUALIFY row_number() OVER (PARTITION BY r ORDER BY l::DOUBLE / q DESC, s, q) = 1),
 listed AS (SELECT r, count(*) AS n_runs, string_agg(s || ',' || l || ',' || q || chr(10), '' ORDER BY s, q) AS lines FROM runs GROUP BY r),
 gone AS (SELECT DISTINCT r, unnest(range(s + q, s + l)) AS i FROM runs),
