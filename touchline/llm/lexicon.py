@@ -14,19 +14,19 @@ from __future__ import annotations
 import hashlib
 import heapq
 import json
-import os
 import re
-import tempfile
+import uuid
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from touchline.llm.common import by_bytes, landed, table
+from touchline.llm.common import by_bytes, landed, shared_folder, table
 
 #: Words of the lexicon, and their most bytes.
 WORDS, WORD_BYTES = 131_072, 48
@@ -167,15 +167,10 @@ def compiled(words: Iterable[bytes], ids: list[list[int]]) -> bytes:
 
 
 class Transducer:
-    """The compiled lexicon, mapped into memory."""
-
-    def __init__(self, blob: bytes):
-        # the file has no name any more once it is mapped, so nothing stays behind
-        handle, name = tempfile.mkstemp(prefix="lexicon-")
-        with os.fdopen(handle, "wb") as f:
-            f.write(blob)
-        mapped = np.memmap(name, "<i8", "r")
-        os.unlink(name)
+    """The compiled lexicon, mapped into memory from a file, or from bytes."""
+
+    def __init__(self, source: str | bytes):
+        mapped = np.frombuffer(source, "<i8") if isinstance(source, bytes) else np.memmap(source, "<i8", "r")
         ends = np.cumsum([6, *mapped[:6]])
         self.key, self.target, self.output, self.final, self.starts, self.ids = (mapped[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True))
 
@@ -286,20 +281,32 @@ def lexicon_of(found: list[str], tokenizer: str) -> bytes:
     return compiled([b for b, _ in ordered], [bpe.merged(w) for _, w in ordered])
 
 
+def published(spark: SparkSession, blob: bytes) -> str:
+    """Write the compiled lexicon to shared storage and have Spark bring it to every executor, once each; its name there."""
+    name = f"lexicon-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark, 'lexicon')}/{name}"
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    out = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(p)
+    out.write(bytearray(blob))
+    out.close()
+    spark.sparkContext.addFile(path)
+    return name
+
+
 def encode(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, full: bool = True) -> DataFrame:
     """One row per document: ``doc_id, n_tokens, ids_sha256, decoded_sha256`` and, if ``full``, ``ids`` and ``decoded``.
 
     A null or empty text has no ids and decodes to an empty text. Repeated rows
     give repeated results, a null id stays null, other columns are not read. The
-    lexicon, of ``words`` words of at most ``WORD_BYTES`` bytes, is a broadcast
-    of a few megabytes at any size of the input.
+    lexicon, of ``words`` words of at most ``WORD_BYTES`` bytes, is a file of a few
+    megabytes at any size of the input, which an executor fetches once.
     """
     kind = docs.schema[id_col].dataType.simpleString()
-    blob = docs.sparkSession.sparkContext.broadcast(lexicon_of(frequent_words(docs, tokenizer, text_col, words), tokenizer))
+    name = published(docs.sparkSession, lexicon_of(frequent_words(docs, tokenizer, text_col, words), tokenizer))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = _bpe(tokenizer)
-        encoder = Encoder(bpe, Transducer(blob.value))
+        encoder = Encoder(bpe, Transducer(SparkFiles.get(name)))
         for batch, texts in by_bytes(batches, "text"):
             ids = encoder.encode(texts)
             decoded = [bpe.decode(x) for x in ids]

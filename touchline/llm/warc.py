@@ -231,12 +231,15 @@ def read(spark: SparkSession, path: str) -> DataFrame:
 
 def _joined(spark: SparkSession, path: str, pieces: DataFrame, splits: DataFrame, broken: DataFrame) -> DataFrame:
     """Records that hold magic in their payload, put together from their pieces."""
-    owner = Window.partitionBy("path").orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
-    marks = broken.select("path", F.col("offset").alias("at"), F.col("offset").alias("own"), "next")
+    marks = broken.select("path", F.col("offset").alias("at"), F.struct(F.col("offset").alias("own"), "next").alias("mark"))
+    held = pieces.join(broken.select("path").distinct(), "path", "left_semi").select("path", "block", "at").join(marks, ["path", "at"], "left")
+    # the record that a piece is in began in its own split, or is the last that began in an earlier one
+    inside = Window.partitionBy("path", "block").orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
+    earlier = Window.partitionBy("path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    latest = held.groupBy("path", "block").agg(F.max("mark").alias("mark")).select("path", "block", F.last("mark", True).over(earlier).alias("carried"))
     parts = (
-        pieces.join(broken.select("path").distinct(), "path", "left_semi").select("path", "block", "at")
-        .join(marks, ["path", "at"], "left")
-        .withColumns({"own": F.last("own", True).over(owner), "next": F.last("next", True).over(owner)})
+        held.withColumn("mark", F.last("mark", True).over(inside)).join(latest, ["path", "block"])
+        .withColumn("mark", F.coalesce("mark", "carried")).select("path", "block", "at", "mark.own", "mark.next")
         .filter("own is not null and at < next")
     )
     parts = landed(parts.join(splits, ["path", "block"]).select("path", "block", (F.col("at") - F.col("base")).alias("at"), "own"), "parts")
