@@ -39,6 +39,28 @@ def flat(events: DataFrame, *more: str) -> DataFrame:
     )
 
 
+#: Every field of an event that the documents fill, by the column that it is compared as.
+LEAVES = {
+    "match_id": "match_id", "id": "id", "event_index": "index", "type_name": "type.name", "team_id": "team.id", "team_name": "team.name",
+    "player_id": "string(player.id)", "player_name": "player.name", "position_name": "position.name", "minute": "minute", "second": "second", "duration": "duration",
+    "location_x": "get(location, 0)", "location_y": "get(location, 1)",
+    "sub_in_id": "string(substitution.replacement.id)", "sub_in_name": "substitution.replacement.name", "sub_reason": "substitution.outcome.name",
+    "end_x": "coalesce(get(pass.end_location, 0), get(shot.end_location, 0))", "end_y": "coalesce(get(pass.end_location, 1), get(shot.end_location, 1))",
+    "end_z": "get(shot.end_location, 2)", "pass_outcome": "pass.outcome.name", "pass_body_part": "pass.body_part.name", "pass_type": "pass.type.name",
+    "shot_outcome": "shot.outcome.name", "dribble_outcome": "dribble.outcome.name", "recovery_failure": "coalesce(ball_recovery.recovery_failure, false)",
+    "block_present": "block IS NOT NULL", "block_deflection": "coalesce(block.deflection, false)", "block_offensive": "coalesce(block.offensive, false)", "block_save": "coalesce(block.save_block, false)",
+    "block_counterpress": "coalesce(block.counterpress, false)", "foul_present": "foul_committed IS NOT NULL", "foul_type": "foul_committed.type.name",
+    "foul_counterpress": "coalesce(foul_committed.counterpress, false)", "foul_offensive": "coalesce(foul_committed.offensive, false)", "foul_advantage": "coalesce(foul_committed.advantage, false)",
+    "foul_penalty": "coalesce(foul_committed.penalty, false)", "foul_card": "foul_committed.card.name", "won_present": "foul_won IS NOT NULL",
+    "won_advantage": "coalesce(foul_won.advantage, false)", "won_defensive": "coalesce(foul_won.defensive, false)", "won_penalty": "coalesce(foul_won.penalty, false)", "players_listed": "coalesce(size(tactics.lineup), 0)",
+}
+
+
+def leaves(events: DataFrame) -> DataFrame:
+    """All that an event says, as scalar columns."""
+    return events.selectExpr(*[f"{value} AS `{name}`" for name, value in LEAVES.items()])
+
+
 def _chunked(events: DataFrame) -> DataFrame:
     """Events with the ``chunk`` of their match, of about ``DOCUMENT_EVENTS`` events, and the ``piece`` of it, of no more."""
     sizes = events.groupBy("match_id").agg(F.ceil(F.count("*") / DOCUMENT_EVENTS).alias("chunks"))

@@ -19,7 +19,7 @@ from touchline.plans.registry import (
     TEAM_NAME,
     TOP_N,
 )
-from touchline.plans.documents import DAMAGE
+from touchline.plans.documents import DAMAGE, LEAVES
 from touchline.sources.derived import LINEUP_CHUNK, flat_match_events_sql
 
 ME = flat_match_events_sql("events")
@@ -320,6 +320,23 @@ def _flat_events(where: str) -> str:
     )
 
 
+def _whole_events(where: str) -> str:
+    """Every field of player events, and the line-ups with the number of their players."""
+    flags = [c for c in LEAVES if c.startswith(("block_", "foul_", "won_")) and c not in ("foul_type", "foul_card")] + ["recovery_failure"]
+    own = {"id": "cast(event_id AS VARCHAR)", "event_index": "event_id", "players_listed": "0", "player_id": "cast(player_id AS VARCHAR)", "sub_in_id": "cast(sub_in_id AS VARCHAR)"}
+    own |= {c: f"coalesce({c}, false)" for c in flags}
+    columns = ", ".join(f"{own.get(c, chr(34) + c + chr(34))} AS {chr(34)}{c}{chr(34)}" for c in LEAVES)
+    none = ", ".join(f"false AS {c}" for c in flags)
+    return (
+        f"SELECT {columns} FROM me WHERE {where} UNION ALL BY NAME "
+        f"SELECT match_id, 'xi-' || match_id || '-' || team_id || '-' || cast(floor(player_id / {LINEUP_CHUNK}) AS BIGINT) AS id, 0 AS event_index, 'Starting XI' AS type_name, "
+        "team_id, team_name, cast(0 AS BIGINT) AS minute, cast(0 AS BIGINT) AS \"second\", "
+        f"{none}, "
+        f"cast(count(DISTINCT player_id) AS INTEGER) AS players_listed FROM me WHERE {where} "
+        f"GROUP BY match_id, team_id, team_name, cast(floor(player_id / {LINEUP_CHUNK}) AS BIGINT)"
+    )
+
+
 IN_SEASON = f"competition_id = {SEASON[0]} AND season_id = {SEASON[1]}"
 SEASON_EVENTS = _flat_events(IN_SEASON)
 
@@ -473,7 +490,7 @@ def oracle_sql() -> dict[str, str]:
     out["entry_competitions"] = _with(COMPETITIONS)
     out["entry_matches"] = _with(
         f"SELECT m.* FROM ({MATCHES}) AS m WHERE m.match_id IN (SELECT match_id FROM me WHERE {IN_SEASON})")
-    out["entry_match_all"] = _with(_flat_events(f"match_id = {MATCH_ID}"))
+    out["entry_match_all"] = _with(_whole_events(f"match_id = {MATCH_ID}"))
     out["entry_match_stat"] = _with(pass_accuracy_sql(f"match_id = {MATCH_ID}"))
     out["entry_season_stat"] = _with(shots_sql(IN_SEASON))
     out["entry_season_team_all"] = all_player_stats_sql(st)

@@ -127,7 +127,7 @@ def _entry_points() -> dict[str, Query]:
     return {
         "entry_competitions": lambda spark, sf_dir: catalog.competitions(competitions(spark, sf_dir)),
         "entry_matches": lambda spark, sf_dir: catalog.matches(D.load_matches(spark, sf_dir), *SEASON),
-        "entry_match_all": lambda spark, sf_dir: flat(catalog.match_stat(_ev(spark, sf_dir), MATCH_ID, "all")),
+        "entry_match_all": lambda spark, sf_dir: DOC.leaves(catalog.match_stat(_ev(spark, sf_dir), MATCH_ID, "all")),
         "entry_match_stat": lambda spark, sf_dir: catalog.match_stat(_ev(spark, sf_dir), MATCH_ID, "pass_acc"),
         "entry_season_stat": lambda spark, sf_dir: catalog.season_stat(_ev(spark, sf_dir), D.load_matches(spark, sf_dir), *SEASON, "shot", index=D.load_match_index(spark, sf_dir)),
         "entry_season_team_all": _season_team("all", team_id=SEASON_TEAM),
