@@ -23,6 +23,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -32,30 +33,46 @@ from touchline.session import scratch_folder
 PLAIN, TEXT, ESCAPED = range(3)
 _SPACE = b" \t\r\n\xef\xbb\xbf"  # a byte order mark stands at the beginning only
 _OPEN, _CLOSE, _COMMA = ord("["), ord("]"), ord(",")
+#: By byte: whether a scan looks at it, how it changes the depth, whether it is white space of an element's edge.
+_MARK, _CHANGE, _WHITE = np.zeros(256, bool), np.zeros(256, np.int8), np.zeros(256, bool)
+_MARK[list(b'"\\{}[],')] = True
+_CHANGE[list(b"{[")], _CHANGE[list(b"}]")] = 1, -1
+_WHITE[list(b" \t\n\x0b\f\r")] = True
+#: What is no part of an element at its edges. Pieces that ``_cut`` calls ``plain`` have lost it already.
+_EDGES = "^[\ufeff\\s]+|\\s+$"
 #: A summed up split; ``ends`` and ``changes`` have an entry for each state that it can begin in.
-SUMMARY = "document string, file string, start bigint, size bigint, bytes bigint, first int, ends array<int>, changes array<bigint>"
-_PIECE = "document string, file string, start bigint, number bigint, last boolean, left int, right int, text binary"
-
-
-def _walk(data: np.ndarray, state: int) -> tuple[np.ndarray, np.ndarray, int]:
-    """Which bytes stand outside strings, how each changes the depth, and the state behind them."""
-    n = len(data)
-    place = np.arange(n)
-    backslash = data == 92
-    # the last other byte up to each place; -1 stands for the beginning, before which a state may hold one backslash
-    other = np.maximum.accumulate(np.where(backslash, -1, place))
-    before = np.concatenate(([-1], other[:-1]))
-    run = place - 1 - before
-    if state == ESCAPED:
-        run = run + (before == -1)
-    quote = (data == 34) & (run % 2 == 0)
-    count = np.cumsum(quote)
+SUMMARY = "file string, start bigint, size bigint, bytes bigint, first int, ends array<int>, changes array<bigint>"
+_PIECE = "document string, file string, start bigint, number bigint, last boolean, left int, right int, plain boolean, text binary"
+#: So many beginnings of splits, some 30 MB, are sent to every executor; of more, rows are dealt out by split.
+SENT_SPLITS = 100_000
+
+
+def _marks(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places and values of the bytes that a scan looks at."""
+    at = np.flatnonzero(_MARK[data])
+    return at, data[at]
+
+
+def _walk(at: np.ndarray, byte: np.ndarray, n: int, state: int) -> tuple[np.ndarray, np.ndarray, int]:
+    """Which marks of ``n`` bytes stand outside strings, how each changes the depth, and the state behind the bytes."""
+    quote = byte == 34
+    backslash = at[byte == 92]
+    escaped = np.zeros(0, np.int64)
+    if len(backslash):
+        # a run of backslashes escapes the byte behind it if their number is odd; a state may hold one more before the beginning
+        begin = backslash[np.diff(backslash, prepend=-2) != 1]
+        behind = backslash[np.diff(backslash, append=n + 1) != 1] + 1
+        escaped = behind[(behind - begin + ((begin == 0) & (state == ESCAPED))) % 2 == 1]
+    if state == ESCAPED and not (len(backslash) and backslash[0] == 0):
+        escaped = np.concatenate(([0], escaped))
+    if len(escaped):
+        quote &= ~np.isin(at, escaped)
+    count = np.cumsum(quote, dtype=np.int64)
     plain = (count - quote + (state != PLAIN)) % 2 == 0
-    change = (plain & ((data == 123) | (data == 91))).astype(np.int8) - (plain & ((data == 125) | (data == 93)))
-    if (count[-1] + (state != PLAIN)) % 2 == 0:
+    change = _CHANGE[byte] * plain
+    if ((count[-1] if len(count) else 0) + (state != PLAIN)) % 2 == 0:
         return plain, change, PLAIN
-    trailing = n - 1 - other[-1] + (state == ESCAPED and other[-1] == -1)
-    return plain, change, ESCAPED if trailing % 2 else TEXT
+    return plain, change, ESCAPED if len(escaped) and escaped[-1] == n else TEXT
 
 
 def _brace(state: int, depth: int) -> tuple[int, int]:
@@ -63,25 +80,28 @@ def _brace(state: int, depth: int) -> tuple[int, int]:
     return (PLAIN, depth - 1) if state == PLAIN else (TEXT, depth)
 
 
-def _blobs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[dict, bytes, int, bool]]:
-    """``(row, bytes, rows, begins)`` of consecutive rows of a split, with the ``}`` between them back in place.
+def _blobs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[dict, bytes, bool]]:
+    """``(row, bytes, begins)`` of consecutive rows of a split, with the ``}`` between them back in place.
 
     ``row`` holds the other columns; a split's bytes come in one or several blobs, the first one ``begins`` it.
     """
     current = None
     for batch in batches:
-        values = batch.column("value").to_pylist()
-        rest = batch.drop_columns(["value"])
-        keys = list(zip(rest.column("file").to_pylist(), rest.column("start").to_pylist()))
-        at = 0
-        while at < len(keys):
-            stop = at
-            while stop < len(keys) and keys[stop] == keys[at]:
-                stop += 1
-            begins = keys[at] != current
-            blob = b"}".join(values[at:stop])
-            yield rest.slice(at, 1).to_pylist()[0], blob if begins else b"}" + blob, stop - at, begins
-            current, at = keys[at], stop
+        n = batch.num_rows
+        if not n:
+            continue
+        values, rest = batch.column("value"), batch.drop_columns(["value"])
+        file, start = rest.column("file"), rest.column("start")
+        bounds = [0, n]
+        if (file[0], start[0]) != (file[n - 1], start[n - 1]):
+            other = pc.or_(pc.not_equal(file.slice(1), file.slice(0, n - 1)), pc.not_equal(start.slice(1), start.slice(0, n - 1)))
+            bounds = [0, *(np.flatnonzero(other.to_numpy(zero_copy_only=False)) + 1).tolist(), n]
+        joined = pc.binary_join(pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), values), pa.scalar(b"}", values.type))
+        for at, blob in zip(bounds, joined.to_pylist()):
+            row = rest.slice(at, 1).to_pylist()[0]
+            key = (row["file"], row["start"])
+            yield row, blob if key != current else b"}" + blob, key != current
+            current = key
 
 
 def _table(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
@@ -101,9 +121,9 @@ def _summed(schema: pa.Schema) -> Callable:
 
         def done() -> pa.RecordBatch:
             ends, changes = zip(*sums)
-            return _table([(row["document"], row["file"], row["start"], row["size"], total, first, ends, changes)], schema)
+            return _table([(row["file"], row["start"], row["size"], total, first, ends, changes)], schema)
 
-        for head, blob, rows, begins in _blobs(batches):
+        for head, blob, begins in _blobs(batches):
             if begins:
                 if row is not None:
                     yield done()
@@ -113,7 +133,8 @@ def _summed(schema: pa.Schema) -> Callable:
                 first = bare[0]
             if blob:
                 data = np.frombuffer(blob, np.uint8)
-                found = {s: _walk(data, s) for s in {s for s, _ in sums}}
+                marks = _marks(data)
+                found = {s: _walk(*marks, len(data), s) for s in {s for s, _ in sums}}
                 sums = [(found[s][2], d + int(found[s][1].sum(dtype=np.int64))) for s, d in sums]
         if row is not None:
             yield done()
@@ -147,50 +168,105 @@ def _begun(schema: pa.Schema) -> Callable:
     return run
 
 
-def _cut(schema: pa.Schema) -> Callable:
-    """The pieces of each split between the array's own brackets and commas."""
+def _edged(blob: bytes, data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``(plain, begin, end)`` of the pieces of ``blob``, ``plain`` ones without the white space at their edges.
+
+    Pieces with a byte order mark in front, another character than ASCII at the end, or broken
+    UTF-8 stay as they are and are not ``plain``: their edges are left to Spark.
+    """
+    try:
+        blob.decode()
+        valid = True
+    except UnicodeDecodeError:
+        valid = False
+    solid = np.flatnonzero(~_WHITE[data])
+    if not valid or not len(solid):
+        return np.full(len(begin), valid), begin, end if not valid else begin
+    first, behind = np.searchsorted(solid, begin), np.searchsorted(solid, end)
+    blank = first == behind
+    inner = np.where(blank, begin, solid[np.minimum(first, len(solid) - 1)])
+    outer = np.where(blank, begin, solid[behind - 1] + 1)
+    plain = blank | ((data[np.minimum(inner, len(data) - 1)] != 0xEF) & (data[outer - 1] < 0x80))
+    return plain, np.where(plain, inner, begin), np.where(plain, outer, end)
+
+
+def _is_blank(text: bytes) -> bool:
+    return not text.decode("utf-8", "replace").strip("\ufeff \t\n\x0b\f\r")
+
+
+def _cut(schema: pa.Schema, folders: bool) -> Callable:
+    """The pieces of each split between the array's own brackets and commas, without empty arrays' blanks."""
+    kinds = dict(zip(schema.names, schema.types))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         row, state, depth, number, left = None, PLAIN, 0, 0, None
         piece: list[bytes] = []
-        out: list[tuple] = []
 
-        def put(right: int | None, last: bool) -> None:
-            out.append((row["document"], row["file"], row["start"], number, last, left, right, b"".join(piece)))
+        def table(numbers: np.ndarray, last: bool, lefts: pa.Array, rights: pa.Array, plain: np.ndarray, texts: list[bytes]) -> pa.RecordBatch:
+            n = len(texts)
+            document = row["file"].rpartition("/")[0] if folders else row["file"]
+            same = {"document": document, "file": row["file"], "start": row["start"], "last": last}
+            found = {k: pa.repeat(pa.scalar(v, kinds[k]), n) for k, v in same.items()}
+            found |= {"number": pa.array(numbers, kinds["number"]), "left": lefts, "right": rights, "plain": pa.array(plain), "text": pa.array(texts, kinds["text"])}
+            return pa.RecordBatch.from_arrays([found[k] for k in schema.names], schema=schema)
+
+        def one(right: int | None, last: bool) -> pa.RecordBatch | None:
+            """The piece that ends here; one that may be a part keeps its edges."""
+            text, plain = b"".join(piece), False
             piece.clear()
-
-        def end() -> None:
+            if number and not last:
+                if left == _OPEN and right == _CLOSE and _is_blank(text):
+                    return None
+                edged = _edged(text, np.frombuffer(text, np.uint8), np.array([0]), np.array([len(text)]))
+                plain, text = bool(edged[0][0]), text[int(edged[1][0]) : int(edged[2][0])]
+            return table(np.array([number]), last, pa.array([left], kinds["left"]), pa.array([right], kinds["right"]), np.array([plain]), [text])
+
+        def end() -> pa.RecordBatch:
             if row["closed"]:
                 piece.append(b"}")
-            put(None, True)
+            return one(None, True)
 
-        for head, blob, _, begins in _blobs(batches):
+        for head, blob, begins in _blobs(batches):
             if begins:
                 if row is not None:
-                    end()
+                    yield end()
                 row, state, depth, number, left = head, head["state"], head["depth"], 0, None
+            if not blob:
+                continue
             data = np.frombuffer(blob, np.uint8)
-            if len(data):
-                plain, change, state = _walk(data, state)
-                after = depth + np.cumsum(change, dtype=np.int64)
-                depth = int(after[-1])
-                if row["is_array"]:
-                    own = ((data == _OPEN) | (data == _COMMA)) & (after == 1) & ((data == _COMMA) | (change == 1)) | (data == _CLOSE) & (after == 0) & (change == -1)
-                    cuts = np.flatnonzero(own & plain)
-                else:
-                    cuts = np.zeros(0, np.int64)
-                at = 0
-                for c in cuts.tolist():
-                    piece.append(blob[at:c])
-                    put(blob[c], False)
-                    number, left, at = number + 1, blob[c], c + 1
-                piece.append(blob[at:])
-            if out:
-                yield _table(out, schema)
-                out.clear()
+            at, byte = _marks(data)
+            plain, change, state = _walk(at, byte, len(data), state)
+            after = depth + np.cumsum(change, dtype=np.int64)
+            depth = int(after[-1]) if len(after) else depth
+            cuts = np.zeros(0, np.int64)
+            if row["is_array"]:
+                own = ((byte == _OPEN) | (byte == _COMMA)) & (after == 1) & ((byte == _COMMA) | (change == 1)) | (byte == _CLOSE) & (after == 0) & (change == -1)
+                cuts = at[own & plain]
+            if not len(cuts):
+                piece.append(blob)
+                continue
+            piece.append(blob[: cuts[0]])
+            # a piece behind a cut has a number from 1 on
+            if (found := one(int(data[cuts[0]]), False)) is not None:
+                yield found
+                number += 1
+            if len(cuts) > 1:
+                begin, stop = cuts[:-1] + 1, cuts[1:]
+                lefts, rights = data[cuts[:-1]].astype(np.int32), data[stop].astype(np.int32)
+                clean, begin, stop = _edged(blob, data, begin, stop)
+                texts = [blob[a:b] for a, b in zip(begin.tolist(), stop.tolist())]
+                empty = np.flatnonzero((lefts == _OPEN) & (rights == _CLOSE)).tolist()
+                if empty := [n for n in empty if _is_blank(texts[n])]:
+                    lefts, rights, clean = (np.delete(x, empty) for x in (lefts, rights, clean))
+                    gone = set(empty)
+                    texts = [x for n, x in enumerate(texts) if n not in gone]
+                if texts:
+                    yield table(number + np.arange(len(texts)), False, pa.array(lefts, kinds["left"]), pa.array(rights, kinds["right"]), clean, texts)
+                    number += len(texts)
+            left = int(data[cuts[-1]])
+            piece.append(blob[cuts[-1] + 1 :])
         if row is not None:
-            end()
-            yield _table(out, schema)
+            yield end()
 
     return run
 
@@ -208,11 +284,9 @@ def scan_array_documents(spark: SparkSession, path: str | list[str], folders: bo
     place between commas, the unfinished rest of a truncated array, text outside the
     brackets, a document of another kind. The elements before and behind it are whole.
     """
-    file = F.col("_metadata.file_path")
     chunks = spark.read.option("lineSep", "}").text(path).select(
         F.col("value").cast("binary").alias("value"),
-        (F.regexp_replace(file, "/[^/]*$", "") if folders else file).alias("document"),
-        file.alias("file"), F.col("_metadata.file_block_start").alias("start"), F.col("_metadata.file_size").alias("size"),
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), F.col("_metadata.file_size").alias("size"),
     )
     home = scratch_folder(spark, "array")
 
@@ -221,13 +295,17 @@ def scan_array_documents(spark: SparkSession, path: str | list[str], folders: bo
         df.write.parquet(f"{home}/{name}")
         return spark.read.schema(df.schema).parquet(f"{home}/{name}")
 
-    summed = chunks.mapInArrow(_summed(_arrow(spark, SUMMARY)), SUMMARY)
+    document = F.regexp_replace("file", "/[^/]*$", "") if folders else F.col("file")
+    summed = chunks.mapInArrow(_summed(_arrow(spark, SUMMARY)), SUMMARY).withColumn("document", document)
     parts = summed.groupBy("document").agg(F.array_sort(F.collect_list(F.struct("file", "start", "size", "bytes", "first", "ends", "changes"))).alias("splits"))
     beginnings = "file string, start bigint, state int, depth bigint, is_array boolean, closed boolean"
     begun = kept(parts.mapInArrow(_begun(_arrow(spark, beginnings)), beginnings), "beginnings")
-    # rows of a split in their order again, also where the join had to move them
-    rows = chunks.withColumn("row", F.monotonically_increasing_id()).join(begun, ["file", "start"]).sortWithinPartitions("file", "start", "row").drop("row", "size")
-    pieces = kept(rows.mapInArrow(_cut(_arrow(spark, _PIECE)), _PIECE), "pieces")
+    if begun.count() <= SENT_SPLITS:
+        rows = chunks.drop("size").join(F.broadcast(begun), ["file", "start"])
+    else:
+        # rows of a split in their order again, where the join may have moved them
+        rows = chunks.drop("size").withColumn("row", F.monotonically_increasing_id()).join(begun, ["file", "start"]).sortWithinPartitions("file", "start", "row").drop("row")
+    pieces = kept(rows.mapInArrow(_cut(_arrow(spark, _PIECE), folders), _PIECE), "pieces")
 
     between = (F.col("number") > 0) & ~F.col("last")
     order = ["file", "start", "number"]
@@ -235,22 +313,28 @@ def scan_array_documents(spark: SparkSession, path: str | list[str], folders: bo
     loose = pieces.filter(~between).withColumn("group", F.sum(F.when(F.col("number") > 0, 1).otherwise(0)).over(Window.partitionBy("document").orderBy(*order)))
     joined = loose.groupBy("document", "group").agg(F.array_sort(F.collect_list(F.struct(*order, "left", "right", "text"))).alias("p")).select(
         "document", *[F.col("p")[0][c].alias(c) for c in (*order, "left")], F.element_at("p", -1)["right"].alias("right"),
-        F.aggregate("p", F.lit(b""), lambda text, x: F.concat(text, x["text"])).alias("text"),
+        F.regexp_replace(F.aggregate("p", F.lit(b""), lambda text, x: F.concat(text, x["text"])).cast("string"), _EDGES, "").alias("bare"),
     )
-    whole = pieces.filter(between).select("document", *order, "left", "right", "text").union(joined)
-    bare = F.regexp_replace(F.col("text").cast("string"), "^[\ufeff\\s]+|\\s+$", "")
     outside = (F.col("left").isNull() & (F.coalesce("right", F.lit(_OPEN)) == _OPEN)) | ((F.col("left") == _CLOSE) & F.col("right").isNull())
     empty = outside | ((F.col("left") == _OPEN) & (F.col("right") == _CLOSE))
-    element = F.col("left").isin(_OPEN, _COMMA) & F.col("right").isin(_COMMA, _CLOSE) & (bare != "")
-    alone = F.col("left").isNull() & F.col("right").isNull() & bare.startswith("{")
-    found = whole.withColumns({"bare": bare, "readable": F.coalesce(element | alone, F.lit(False))}).filter((F.col("bare") != "") | ~F.coalesce(empty, F.lit(False)))
-    out = found.select(F.col("document").alias("source_file"), *order, F.col("bare").alias("element"), (~F.col("readable")).alias("unreadable"))
+    element = F.col("left").isin(_OPEN, _COMMA) & F.col("right").isin(_COMMA, _CLOSE) & (F.col("bare") != "")
+    alone = F.col("left").isNull() & F.col("right").isNull() & F.col("bare").startswith("{")
+    # few rows, two a split at most; written, so that their texts are put together once
+    ends = kept(joined.filter((F.col("bare") != "") | ~F.coalesce(empty, F.lit(False))), "ends")
+    text = F.col("text").cast("string")
+    whole = pieces.filter(between).select("document", *order, "left", "right", F.when(F.col("plain"), text).otherwise(F.regexp_replace(text, _EDGES, "")).alias("bare"))
+    found = whole.unionByName(ends)
+    out = found.select(F.col("document").alias("source_file"), *order, F.col("bare").alias("element"), (~F.coalesce(element | alone, F.lit(False))).alias("unreadable"))
     if not position:
         return out.drop(*order)
-    counted = out.groupBy("source_file", "file", "start").agg(F.count("*").alias("n"))
-    ahead = counted.withColumn("ahead", F.sum("n").over(Window.partitionBy("source_file").orderBy("file", "start")) - F.col("n")).drop("n")
-    place = F.row_number().over(Window.partitionBy("source_file", "file", "start").orderBy("number")) - 1
-    return out.withColumn("place", place).join(ahead, ["source_file", "file", "start"]).select("source_file", "element", "unreadable", (F.col("ahead") + F.col("place")).alias("position"))
+    # A split's rows are numbered without gaps, from 0 if its first piece begins the document and is a row, else from 1;
+    # its last piece has its highest number and is a row if it is no part of an earlier one.
+    inner = pieces.filter("last").select("document", "file", "start", F.greatest(F.col("number") - 1, F.lit(0)).alias("n"), F.lit(1).alias("base"))
+    outer = ends.select("document", "file", "start", F.lit(1).cast("bigint").alias("n"), F.when(F.col("number") == 0, 0).otherwise(1).alias("base"))
+    counted = inner.unionByName(outer).groupBy("document", "file", "start").agg(F.sum("n").alias("n"), F.min("base").alias("base"))
+    behind = F.sum("n").over(Window.partitionBy("document").orderBy("file", "start"))
+    ahead = kept(counted.select("file", "start", (behind - F.col("n") - F.col("base")).alias("ahead")), "ahead")
+    return out.join(ahead, ["file", "start"]).select("source_file", "element", "unreadable", (F.col("ahead") + F.col("number")).alias("position"))
 
 
 def write_json_array(df: DataFrame, path: str, order_by: list[str]) -> None:
