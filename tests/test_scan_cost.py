@@ -53,3 +53,15 @@ def test_rows_do_not_depend_on_batches(spark, scratch, monkeypatch, batch, sent)
                 assert [(r.element, r.unreadable) for r in got] == [w if isinstance(w, tuple) else (w, False) for w in want]
     finally:
         spark.conf.set(BATCH, before)
+
+
+def test_elements_are_parsed_once(spark, scratch):
+    """Keeping good or bad rows parses no element again, and their reasons parse it once, however many fields are checked."""
+    with open(f"{scratch}/1.json", "w") as f:
+        json.dump([{"id": "a", "minute": 3}, {"id": "b", "minute": "late"}, {"id": "c", "team": {"id": [1]}}], f)
+    good, bad = S.split_corrupt(S.read_json_documents(spark, f"{scratch}/1.json", EVENT_DOCUMENT_SCHEMA, split=True))
+    for df in (good, bad):
+        assert _plan(df).count("from_json(") == 1
+    assert str(S.misfit(F.col("element"), EVENT_DOCUMENT_SCHEMA)).count("try_parse_json") == 1
+    assert [(r.id, r.minute) for r in good.collect()] == [("a", 3)]
+    assert sorted(r.reason for r in bad.collect()) == ["field minute: bigint expected, string found", "field team.id: bigint expected, array found"]

@@ -60,7 +60,8 @@ def parse_elements(rows: DataFrame, schema: T.StructType) -> DataFrame:
     with_corrupt = T.StructType(schema.fields + [T.StructField(CORRUPT, T.StringType())])
     keep = [c for c in rows.columns if c not in ("element", "unreadable")]
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
-    parsed = rows.withColumn("row", F.from_json("element", with_corrupt, options))
+    # exploded, not just added: a filter on the parsed fields would otherwise be pushed below and parse every element again
+    parsed = rows.select("*", F.explode(F.array(F.from_json("element", with_corrupt, options))).alias("row"))
     # an element that is no object (a number, null) has no fields to read
     no_object = ~F.coalesce(F.ltrim("element").startswith("{"), F.lit(False))
     corrupt = (
@@ -114,17 +115,20 @@ def _holds(kind: T.DataType) -> str:
 def misfit(element: Column, schema: T.StructType) -> Column:
     """Why a JSON object doesn't fit ``schema``: broken JSON, or the first field
     that holds another type, with the type expected and the kind of value found."""
-    value = F.try_parse_json(element)
 
-    def check(path: str, kind: T.DataType) -> Column:
+    def check(value: Column, path: str, kind: T.DataType) -> Column:
         found = F.schema_of_variant(F.try_variant_get(value, path, "variant"))
         name, expected = path.removeprefix("$."), "struct" if isinstance(kind, T.StructType) else kind.simpleString().split("<struct")[0]
         # objects and arrays by their kind alone: their contents vary
         kind_found = F.lower(F.regexp_extract(found, r"^\w+", 0))
         return F.when(~found.rlike(rf"^({_holds(kind)}|VOID)$"), F.concat(F.lit(f"field {name}: {expected} expected, "), kind_found, F.lit(" found")))
 
-    checks = [check(path, kind) for path, kind in _fields(schema) if _holds(kind) != r".*"]
-    return F.when(value.isNull(), BROKEN).otherwise(F.coalesce(*checks, F.lit(UNFIT)))
+    def reason(value: Column) -> Column:
+        checks = [check(value, path, kind) for path, kind in _fields(schema) if _holds(kind) != r".*"]
+        return F.when(value.isNull(), BROKEN).otherwise(F.coalesce(*checks, F.lit(UNFIT)))
+
+    # a lambda's argument is parsed once, however many fields are checked
+    return F.transform(F.array(F.try_parse_json(element)), reason)[0]
 
 
 def read_json_documents(
