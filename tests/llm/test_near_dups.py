@@ -81,6 +81,46 @@ def test_boilerplate_makes_few_pairs(spark, monkeypatch):
     assert got == {i: i if i < n else i - n for i in range(n + 50)}
 
 
+def test_exact_round_follows_when_it_meets_few(spark, make_docs, monkeypatch):  # noqa: F811
+    """Few pairs left after the first centers are not worth another round of them; with it the result is the same."""
+    rounds = []
+    verified = near_dups._verified
+    monkeypatch.setattr(near_dups, "_verified", lambda *a: rounds.append(1) or verified(*a))
+    docs = make_docs(list(enumerate(_texts())))
+    got = {}
+    for easy in (16, -1):
+        monkeypatch.setattr(near_dups, "EASY", easy, raising=False)
+        rounds.clear()
+        rows = sorted(map(tuple, near_dups.link(docs, words=2).collect()))
+        got[easy] = len(rounds), rows
+    (few, a), (many, b) = got.values()
+    assert (few, many) == (2, 3) and a == b
+
+
+def test_copies_make_few_pairs_with_others(spark, monkeypatch):
+    """Even without the odd sketches texts of one component don't meet each other, nor texts whose common shingles begin too late."""
+    monkeypatch.setattr(near_dups, "_may_link", lambda *a: F.lit(True))
+    r = random.Random(9)
+    base = [f"b{k}" for k in range(200)]
+    texts = []
+    for _ in range(150):  # near copies, one component
+        copy = list(base)
+        for _ in range(4):
+            copy[r.randrange(200)] = f"x{r.random()}"
+        texts.append(" ".join(copy))
+    texts += [" ".join(base[:172] + [f"o{i}x{k}" for k in range(28)]) for i in range(40)]  # about 70 percent, no links
+    texts += [" ".join(base[:190] + [f"l{i}x{k}" for k in range(5)]) for i in range(3)]  # and some links
+    docs = spark.createDataFrame(list(enumerate(texts)), "id bigint, text string").repartition(4)
+    sketches = docs.mapInArrow(near_dups._sketch(2), "id bigint, n bigint, mark binary, left array<bigint>, right array<bigint>, odd array<bigint>").withColumnRenamed("id", "rep")
+    found = spark.createDataFrame([(i, 0) for i in range(150)], "rep bigint, component bigint")
+    got = {(x["a"], x["b"]) for x in near_dups._rare_pairs(docs, sketches, found, 2, 80).collect()}
+    sets = [_set(t, 2) for t in texts]
+    links = {(i, j) for j, b in enumerate(sets) for i, a in enumerate(sets[:j]) if j >= 150 and 100 * len(a & b) >= 80 * len(a | b)}
+    assert links and links <= got
+    assert not any(a < 150 and b < 150 for a, b in got)
+    assert len(got - links) <= 40
+
+
 def test_empty(spark, make_docs):  # noqa: F811
     assert near_dups.link(make_docs([])).count() == 0
 

@@ -8,11 +8,11 @@ tables would take. A pair of similarity ``j`` meets in some table with
 probability ``(1 - (1 - j^r1)^s1) * (1 - (1 - j^r2)^s2)``, 0.9993 at ``j = 0.8``.
 
 Equal sets are collapsed first. A bucket is compared with a few of its members
-only, its centers (its smallest member, and the least by some hashes), and each
+only, its centers (its smallest member, and the least in some random orders), and each
 set with one center of each kind: linear in the bucket's size, however many copies it holds. Verified
 links join components. A second round does this with new centers over the
-bucket members that are not yet in their center's component; at last those meet
-every bucket member of another component. So every pair that shares a bucket is
+bucket members that are not yet in their center's component, unless they would meet few;
+at last those meet every bucket member of another component. So every pair that shares a bucket is
 verified or already connected, or proved to be no link: each set also has an
 odd sketch, the parities of its shingles in ``BITS`` cells, and two sets differ
 in at least as many shingles as their sketches in cells. Verification builds
@@ -23,6 +23,7 @@ formed: its sets are alike without being linked, as texts with much boilerplate
 are compared by their rarest shingles instead. Linked sets share one of the first
 ``n - percent * n / 100 + 1`` of their shingles in any common order; taken in order of
 frequency these are what is a text's own and not boilerplate, so they meet few others.
+Texts of the component that has most of a shingle's texts don't meet each other there.
 That finds every link among these sets, whichever buckets they share.
 """
 
@@ -40,8 +41,10 @@ from touchline.llm.common import by_bytes, components, landed, table
 
 #: (minhashes of a tuple, tuples) of the two collections.
 COLLECTIONS = ((2, 8), (3, 11))
-#: Hashes that choose centers, by round; the exact round follows.
+#: Random orders that choose centers, by round; the exact round follows.
 CENTERS = ((0, 1), (2, 3, 4, 5))
+#: Pairs a bucket member, below which the exact round follows at once.
+EASY = 16
 #: Members of a bucket whose pairs are formed one by one.
 CROWD = 1024
 #: Cells of an odd sketch.
@@ -57,6 +60,7 @@ _TIMES = _RANDOM.integers(0, 1 << 62, _HASHES, np.uint64) * np.uint64(2) + np.ui
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
+_MASKS = _RANDOM.integers(0, 1 << 63, 8).tolist()
 #: Rows of a set that are hashed at once.
 _ROWS = 1 << 14
 
@@ -155,39 +159,53 @@ def _shingled(words: int):
             sizes = np.array([len(s) for s in sets], np.int64)
             of = pa.array(np.repeat(np.arange(len(sets)), sizes))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("place").take(of), batch.column("id").take(of), pa.array(np.repeat(sizes, sizes)), pa.array(np.concatenate(sets).view(np.int64))],
-                names=["place", "id", "n", "shingle"],
+                [*(batch.column(c).take(of) for c in ("place", "id", "component")), pa.array(np.repeat(sizes, sizes)), pa.array(np.concatenate(sets).view(np.int64))],
+                names=["place", "id", "component", "n", "shingle"],
             )
 
     return run
 
 
+def _cells(name: str) -> list[Column]:
+    """The words of the odd sketch, a column each: a join's condition on them compiles to little code."""
+    return [F.coalesce(F.get("odd", F.lit(k)), F.lit(0)).alias(f"{name}{k}") for k in range(BITS // 64)]
+
+
 def _may_link(a: str, b: str, n: str, m: str, percent: int) -> Column:
     """Whether the odd sketches and sizes of two sets allow that they are linked."""
-    differ = sum(F.bit_count(F.col(a)[k].bitwiseXOR(F.col(b)[k])) for k in range(BITS // 64))
+    differ = sum(F.bit_count(F.col(f"{a}{k}").bitwiseXOR(F.col(f"{b}{k}"))) for k in range(BITS // 64))
     sizes = F.least(n, m) * 100 >= F.greatest(n, m) * percent
     return sizes & (differ * (100 + percent) <= (F.col(n) + F.col(m)) * (100 - percent))
 
 
+def _first_shared(x: str, y: str) -> Column:
+    """The first place, from 0, where two arrays agree; -1 without one."""
+    return (F.array_position(F.zip_with(x, y, lambda a, b: a == b), True) - 1).cast("int")
+
+
 def _rare_pairs(texts: DataFrame, sketches: DataFrame, found: DataFrame, words: int, percent: int) -> DataFrame:
     """Pairs ``(a, b)`` of different components that share one of their rarest shingles: every link is among them.
 
     ``sketches(rep, odd)`` are the odd sketches of the texts' sets, which leave out pairs that can't be links.
     """
-    numbered = texts.select(F.monotonically_increasing_id().alias("place"), "id", "text")
-    shingles = landed(numbered.mapInArrow(_shingled(words), "place bigint, id bigint, n bigint, shingle bigint"), "shingles")
-    shared = shingles.groupBy("shingle").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
+    numbered = texts.join(found.withColumnRenamed("rep", "id"), "id", "left").select(F.monotonically_increasing_id().alias("place"), "id", F.coalesce("component", "id").alias("component"), "text")
+    shingles = landed(numbered.mapInArrow(_shingled(words), "place bigint, id bigint, component bigint, n bigint, shingle bigint"), "shingles")
+    # only shingles of several components can make a pair; each one's main component has most of its texts
+    counts = shingles.groupBy("shingle", "component").agg(F.count(F.lit(1)).alias("of"))
+    shared = counts.groupBy("shingle").agg(F.sum("of").alias("df"), F.count(F.lit(1)).alias("parts"), F.max(F.struct("of", "component")).getField("component").alias("main"))
     # in order of frequency a set's unshared shingles come first; only those behind them can meet another set
-    common = shingles.join(shared, "shingle")
+    common = shingles.join(landed(shared.filter("parts > 1").drop("parts"), "shared"), "shingle")
     of = Window.partitionBy("place")
     first = F.col("n") - F.expr(f"(n * {percent} + 99) div 100") + 1
     place = F.col("n") - F.count(F.lit(1)).over(of) + F.row_number().over(of.orderBy("df", "shingle"))
-    rare = common.withColumn("at", place).filter(F.col("at") <= first).join(found.withColumnRenamed("rep", "id"), "id", "left")
-    rare = rare.join(sketches.select(F.col("rep").alias("id"), "odd"), "id")
-    rare = landed(rare.select("shingle", "id", "n", "odd", F.coalesce("component", "id").alias("component")), "rare")
-    other = rare.select("shingle", F.col("id").alias("b"), F.col("n").alias("nb"), F.col("odd").alias("ob"), F.col("component").alias("cb"))
-    met = rare.join(other, "shingle").filter((F.col("id") < F.col("b")) & (F.col("component") != F.col("cb")))
-    return met.filter(_may_link("odd", "ob", "n", "nb", percent)).select(F.col("id").alias("a"), "b").distinct()
+    rare = common.withColumn("at", place).filter(F.col("at") <= first).join(sketches.select(F.col("rep").alias("id"), "odd"), "id")
+    rare = landed(rare.select("shingle", "id", "n", "odd", "component", "main", (F.col("n") - F.col("at") + 1).alias("rest")), "rare")
+    other = rare.select("shingle", F.col("id").alias("b"), F.col("n").alias("nb"), *_cells("ob"), F.col("component").alias("cb"), F.col("rest").alias("rb"))
+    # of two components one at least isn't the main one, so its texts never meet each other
+    met = rare.filter("component <> main").select("shingle", "id", "n", *_cells("odd"), "component", "main", "rest").join(other, "shingle").filter((F.col("component") != F.col("cb")) & ((F.col("cb") == F.col("main")) | (F.col("id") < F.col("b"))))
+    # the first shingle that linked sets share has all the others of both behind it
+    met = met.filter(F.least("rest", "rb") * (100 + percent) >= (F.col("n") + F.col("nb")) * percent)
+    return met.filter(_may_link("odd", "ob", "n", "nb", percent)).select(F.least("id", "b").alias("a"), F.greatest("id", "b").alias("b")).distinct()
 
 
 def _similar(words: int, percent: int):
@@ -223,13 +241,14 @@ def _verified(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> Da
     return landed(joined.mapInArrow(_similar(words, percent), "a bigint, b bigint"), "links")
 
 
-def _ranked(rep: Column, seed: int) -> Column:
-    return F.struct(F.xxhash64(F.lit(seed), rep).alias("rank"), rep.alias("rep"))
+def _turned(x: str, seed: int) -> Column:
+    """A random order of the ids; turned again, the id."""
+    return F.col(x).bitwiseXOR(F.lit(_MASKS[seed]))
 
 
 def _centers(seeds: tuple[int, ...]) -> list[Column]:
-    """The bucket's least member by each hash."""
-    return [F.min(_ranked(F.col("rep"), k)).getField("rep").alias(f"center{k}") for k in seeds]
+    """The bucket's least member in each order, turned."""
+    return [F.min(_turned("rep", k)).alias(f"center{k}") for k in seeds]
 
 
 def link(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -252,7 +271,8 @@ def link(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_
     keys = sets.select(
         "rep", "n", F.explode(F.expr("flatten(transform(left, (x, i) -> transform(right, (y, j) -> xxhash64(i, j, x, y))))")).alias("key")
     )
-    buckets = keys.groupBy("key").agg(F.min("rep").alias("center"), F.count(F.lit(1)).alias("size")).filter("size > 1").drop("size")
+    first = CENTERS[0] if CENTERS else ()
+    buckets = keys.groupBy("key").agg(F.min("rep").alias("center"), *_centers(first), F.count(F.lit(1)).alias("size")).filter("size > 1")
     members = landed(keys.join(buckets, "key"), "members")
 
     # each text that may take part, once: the representatives that share a bucket
@@ -263,41 +283,52 @@ def link(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_
     links = None
     found = docs.sparkSession.createDataFrame([], "rep bigint, component bigint")
     for seeds in (*CENTERS, None):
-        left = members.join(found, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-        center = found.select(F.col("rep").alias("center"), F.col("component").alias("central"))
-        left = left.join(center, "center", "left").filter(F.col("component") != F.coalesce("central", "center"))
-        apart = landed(left.select("key", "rep", "n", "component"), "apart")
+        if links is None and seeds is not None:  # nothing is linked yet: all but the centers are apart
+            apart = members.filter("rep <> center")
+        else:
+            left = members.join(found, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+            center = found.select(F.col("rep").alias("center"), F.col("component").alias("central"))
+            left = left.join(center, "center", "left").filter(F.col("component") != F.coalesce("central", "center"))
+            apart = landed(left.select("key", "rep", "n", "size", "component"), "apart")
         if apart.isEmpty():
             break
+        crowded, small = F.col("size") > CROWD, F.col("size") <= CROWD
+        if links is not None and seeds is not None:
+            meet = apart.filter(small).agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
+            seeds = None if meet <= EASY * members.count() else seeds
         if seeds is None:
-            undone = members.join(apart.select("key").distinct(), "key", "left_semi").select("key", "rep", "n")
-            crowded = landed(undone.groupBy("key").agg(F.count(F.lit(1)).alias("size")).filter(F.col("size") > CROWD).select("key"), "crowded")
-            crowd = landed(undone.join(crowded, "key", "left_semi").select(F.col("rep").alias("id")).distinct(), "crowd")
-            undone, apart = (x.join(crowded, "key", "left_anti") for x in (undone, apart))
-            of = sets.select("rep", "left", "right", "odd")
+            full = landed(apart.filter(crowded).select("key").distinct(), "crowded")
+            crowd = members.filter(crowded).join(full, "key", "left_semi")
+            crowd = landed(crowd.select(F.col("rep").alias("id")).distinct(), "crowd")
+            undone = members.filter(small).join(apart.select("key").distinct(), "key", "left_semi").select("key", "rep", "n")
+            of = sets.select("rep", "left", "right", *_cells("odd"))
             other = undone.join(of, "rep").join(found, "rep", "left").select(
-                "key", F.col("rep").alias("b"), F.col("n").alias("nb"), F.coalesce("component", "rep").alias("cb"), F.col("left").alias("lb"), F.col("right").alias("rb"), F.col("odd").alias("ob")
+                "key", F.col("rep").alias("b"), F.col("n").alias("nb"), F.coalesce("component", "rep").alias("cb"), F.col("left").alias("lb"), F.col("right").alias("rb"), *(F.col(f"odd{k}").alias(f"ob{k}") for k in range(BITS // 64))
             )
             # a pair counts in the first table that it shares
-            i, j = (F.coalesce(*(F.when(F.col(x)[k] == F.col(y)[k], k) for k in range(s))) for (_, s), x, y in zip(COLLECTIONS, ("left", "right"), ("lb", "rb"), strict=True))
+            i, j = _first_shared("left", "lb"), _first_shared("right", "rb")
             pairs = (
-                apart.join(of, "rep").join(other, "key").filter(F.col("component") != F.col("cb"))
+                apart.filter(small).join(of, "rep").join(other, "key").filter(F.col("component") != F.col("cb"))
                 .filter(_may_link("odd", "ob", "n", "nb", percent))
                 .filter(F.col("key") == F.xxhash64(i, j, F.get("left", i), F.get("right", j)))
-                .select(F.least("rep", "b").alias("a"), F.greatest("rep", "b").alias("b")).distinct()
+                .select(F.least("rep", "b").alias("a"), F.greatest("rep", "b").alias("b"))
             )
             if not crowd.isEmpty():
-                pairs = pairs.union(_rare_pairs(texts.join(crowd, "id", "left_semi"), sets, found, words, percent)).distinct()
+                pairs = pairs.union(_rare_pairs(texts.join(crowd, "id", "left_semi"), sets, found, words, percent))
+            pairs = pairs.distinct()
         else:
-            # the buckets that aren't done get new centers
-            undone = members.join(apart.select("key").distinct(), "key", "left_semi")
-            near = apart.select("key", "rep").join(undone.groupBy("key").agg(F.min("center").alias("center"), *_centers(seeds)), "key")
-            least = [F.min("center"), *(F.min(_ranked(F.col(f"center{k}"), k)).getField("rep") for k in seeds)]
-            pairs = near.groupBy("rep").agg(F.array_distinct(F.array(*least)).alias("near")).select("rep", F.explode("near").alias("near"))
-            pairs = pairs.filter("rep <> near").select(F.least("rep", "near").alias("a"), F.greatest("rep", "near").alias("b")).distinct()
+            near = apart
+            if links is not None:  # the buckets that aren't done get new centers
+                undone = members.select("key", "rep", "center").join(apart.select("key").distinct(), "key", "left_semi")
+                near = apart.select("key", "rep").join(undone.groupBy("key").agg(F.min("center").alias("center"), *_centers(seeds)), "key")
+            near = near.groupBy("rep").agg(F.min("center").alias("center"), *(F.min(f"center{k}").alias(f"center{k}") for k in seeds))
+            pairs = near.select("rep", F.explode(F.array_distinct(F.array("center", *(_turned(f"center{k}", k) for k in seeds)))).alias("near"))
+            pairs = pairs.filter("rep <> near").select(F.least("rep", "near").alias("a"), F.greatest("rep", "near").alias("b"))
         more = _verified(pairs, texts, words, percent)
         links = more if links is None else links.union(more)
-        found = components(links).select(F.col("node").alias("rep"), "component")
+        found = components(links, once=True).select(F.col("node").alias("rep"), "component")
+        if seeds is None:
+            break
     named = sets.select("mark", "rep").join(found, "rep", "left").select("mark", F.coalesce("component", "rep").alias("component"))
     out = sketch.select("id", "n", F.when(F.col("n") > 0, F.col("mark")).alias("mark")).join(named, "mark", "left")
     component = F.when(F.col("id").isNotNull(), F.coalesce("component", "id"))
