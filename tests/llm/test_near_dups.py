@@ -150,3 +150,25 @@ def test_components(spark):
     got = {x["node"]: x["component"] for x in components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()}
     assert got == {n: find(n) for e in edges if e[0] != e[1] for n in e}
     assert components(spark.createDataFrame([], "a bigint, b bigint")).filter(F.lit(True)).count() == 0
+
+
+def test_keys_are_spread_over_tasks(spark, make_docs, monkeypatch):  # noqa: F811
+    """Sets of one small file: their many keys are grouped by as many tasks as a shuffle has partitions, the same rows in both uses."""
+    seen = {}
+    landed = near_dups.landed
+
+    def kept(df, name):
+        seen.setdefault(name, df)
+        return landed(df, name)
+
+    monkeypatch.setattr(near_dups, "landed", kept)
+    rows = [(i, f"w{i} of a few words that all texts have") for i in range(200)]
+    near_dups.link(make_docs(rows), words=2).collect()
+    plan = seen["members"]._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("RepartitionByExpression") == 2
+    tables = np.prod([s for _, s in near_dups.COLLECTIONS])
+    sets = landed(seen["sets"].coalesce(1), "sets")
+    keys = near_dups._keys(sets).select("rep", "key", F.spark_partition_id().alias("task"))
+    tasks = keys.groupBy("task").count().collect()
+    assert len(tasks) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert sum(r["count"] for r in tasks) == len(rows) * tables and max(r["count"] for r in tasks) < len(rows) * tables / 2

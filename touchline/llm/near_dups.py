@@ -246,6 +246,17 @@ def _turned(x: str, seed: int) -> Column:
     return F.col(x).bitwiseXOR(F.lit(_MASKS[seed]))
 
 
+def _keys(sets: DataFrame) -> DataFrame:
+    """Every set's table keys, ``(rep, key)``.
+
+    The few files of ``sets`` would give few tasks, each of which held the groups of all its
+    sets' keys in memory; spread over a number of partitions, which Spark doesn't
+    coalesce, a task has its share of them only.
+    """
+    spread = sets.select("rep", "left", "right").repartition(int(sets.sparkSession.conf.get("spark.sql.shuffle.partitions")), "rep")
+    return spread.select("rep", F.explode(F.expr("flatten(transform(left, (x, i) -> transform(right, (y, j) -> xxhash64(i, j, x, y))))")).alias("key"))
+
+
 def _centers(seeds: tuple[int, ...]) -> list[Column]:
     """The bucket's least member in each order, turned."""
     return [F.min(_turned("rep", k)).alias(f"center{k}") for k in seeds]
@@ -268,9 +279,7 @@ def link(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_
         .agg(F.min("id").alias("rep"), F.first("n").alias("n"), F.first("left").alias("left"), F.first("right").alias("right"), F.first("odd").alias("odd")),
         "sets",
     )
-    keys = sets.select(
-        "rep", "n", F.explode(F.expr("flatten(transform(left, (x, i) -> transform(right, (y, j) -> xxhash64(i, j, x, y))))")).alias("key")
-    )
+    keys = _keys(sets)
     first = CENTERS[0] if CENTERS else ()
     buckets = keys.groupBy("key").agg(F.min("rep").alias("center"), *_centers(first), F.count(F.lit(1)).alias("size")).filter("size > 1")
     members = landed(keys.join(buckets, "key"), "members")
@@ -289,7 +298,7 @@ def link(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_
             left = members.join(found, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
             center = found.select(F.col("rep").alias("center"), F.col("component").alias("central"))
             left = left.join(center, "center", "left").filter(F.col("component") != F.coalesce("central", "center"))
-            apart = landed(left.select("key", "rep", "n", "size", "component"), "apart")
+            apart = landed(left.select("key", "rep", "size", "component"), "apart")
         if apart.isEmpty():
             break
         crowded, small = F.col("size") > CROWD, F.col("size") <= CROWD
@@ -300,8 +309,8 @@ def link(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_
             full = landed(apart.filter(crowded).select("key").distinct(), "crowded")
             crowd = members.filter(crowded).join(full, "key", "left_semi")
             crowd = landed(crowd.select(F.col("rep").alias("id")).distinct(), "crowd")
-            undone = members.filter(small).join(apart.select("key").distinct(), "key", "left_semi").select("key", "rep", "n")
-            of = sets.select("rep", "left", "right", *_cells("odd"))
+            undone = members.filter(small).join(apart.select("key").distinct(), "key", "left_semi").select("key", "rep")
+            of = sets.select("rep", "n", "left", "right", *_cells("odd"))
             other = undone.join(of, "rep").join(found, "rep", "left").select(
                 "key", F.col("rep").alias("b"), F.col("n").alias("nb"), F.coalesce("component", "rep").alias("cb"), F.col("left").alias("lb"), F.col("right").alias("rb"), *(F.col(f"odd{k}").alias(f"ob{k}") for k in range(BITS // 64))
             )
