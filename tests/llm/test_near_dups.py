@@ -97,6 +97,29 @@ def test_exact_round_follows_when_it_meets_few(spark, make_docs, monkeypatch):
     assert (few, many) == (2, 3) and a == b
 
 
+def test_members_are_looked_up_once(spark, make_docs, monkeypatch):  # noqa: F811
+    """However many rounds there are, a bucket member passes one semi-join at most: that of the exact round, not one for the new centers."""
+    seen = []
+    landed = near_dups.landed
+    monkeypatch.setattr(near_dups, "landed", lambda df, name: seen.append((name, df)) or landed(df, name))
+    rows = {}
+    for easy in (-1, 1 << 60):  # with the second round, and without it
+        monkeypatch.setattr(near_dups, "EASY", easy)
+        seen.clear()
+        got = sorted(map(tuple, near_dups.link(make_docs(list(enumerate(_texts()))), words=2).collect()))
+        members = next(df for name, df in seen if name == "members").count()
+        made = 0
+        for plan in (df._jdf.queryExecution().optimizedPlan() for name, df in seen if name == "pairs"):
+            for k in range(5000):
+                if (node := plan.apply(k)) is None:
+                    break
+                if node.nodeName() == "Join" and "LeftSemi, (key#" in node.simpleString(10000):
+                    made += spark._jvm.org.apache.spark.sql.classic.Dataset.ofRows(spark._jsparkSession, node).count()
+        rows[easy] = got, made
+        assert 0 < made <= members
+    assert rows[-1][0] == rows[1 << 60][0]
+
+
 def test_copies_make_few_pairs_with_others(spark, monkeypatch):
     """Even without the odd sketches texts of one component don't meet each other, nor texts whose common shingles begin too late."""
     monkeypatch.setattr(near_dups, "_may_link", lambda *a: F.lit(True))

@@ -327,9 +327,9 @@ def link(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_
             pairs = pairs.distinct()
         else:
             near = apart
-            if links is not None:  # the buckets that aren't done get new centers
-                undone = members.select("key", "rep", "center").join(apart.select("key").distinct(), "key", "left_semi")
-                near = apart.select("key", "rep").join(undone.groupBy("key").agg(F.min("center").alias("center"), *_centers(seeds)), "key")
+            if links is not None:  # new centers; only those apart meet them, the other members go through no join
+                center = members.groupBy("key").agg(F.min("center").alias("center"), *_centers(seeds))
+                near = apart.select("key", "rep").join(center, "key")
             near = near.groupBy("rep").agg(F.min("center").alias("center"), *(F.min(f"center{k}").alias(f"center{k}") for k in seeds))
             pairs = near.select("rep", F.explode(F.array_distinct(F.array("center", *(_turned(f"center{k}", k) for k in seeds)))).alias("near"))
             pairs = pairs.filter("rep <> near").select(F.least("rep", "near").alias("a"), F.greatest("rep", "near").alias("b"))
